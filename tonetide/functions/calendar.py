@@ -26,12 +26,12 @@ def days_in_month_rule(year, month) -> Column:
 
 def parse_iso_date(c) -> Column:
     """'yyyy-MM-dd' text -> date; invalid text -> null (ANSI-safe)."""
-    return F.try_to_date(col_(c), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(col_(c), "yyyy-MM-dd")
 
 
 def parse_compact_date(c) -> Column:
     """yyyyMMdd integer/text -> date; invalid -> null."""
-    return F.try_to_date(col_(c).cast("string"), F.lit("yyyyMMdd"))
+    return F.try_to_date(col_(c).cast("string"), "yyyyMMdd")
 
 
 def iso_text(c) -> Column:

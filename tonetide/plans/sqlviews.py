@@ -37,6 +37,7 @@ news AS (
               ELSE strftime(DATE '1998-01-01' + CAST(d.doc_id % 366 AS INTEGER), '%Y-%m-%d') END AS date,
          array_to_string(list_transform(string_split(r.r_name, ' '),
              lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') AS category,
+         d.source,
          split_part(d.text, chr(10), 1) AS headline,
          substring(d.text, length(split_part(d.text, chr(10), 1)) + 2) AS short_description
   FROM documents d
@@ -46,8 +47,8 @@ news AS (
 EVENTS = """
 events_in AS (
   SELECT event_id,
-         CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS Day,
-         CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS DATEADDED,
+         CAST(strftime(CAST(ts AS DATE) - INTERVAL 312 MONTH, '%Y%m%d') AS INTEGER) AS Day,
+         CAST(strftime(CAST(ts AS DATE) - INTERVAL 312 MONTH, '%Y%m%d') AS INTEGER) AS DATEADDED,
          value - 50.0 AS AvgTone,
          event_type AS CAMEOCodeDescription,
          'u/' || CAST(user_id AS VARCHAR) || '/' || json_extract_string(props, '$.k') AS SOURCEURL,

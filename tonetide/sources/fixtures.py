@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..config import bounded_broadcast
 
 DIM_BOUND = 10_000  # nation/region are 25/5 rows by spec; generous guard
+EVENT_SHIFT_MONTHS = 312  # 26 years: 2024-01 -> 1998-01
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,19 +112,23 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
         .alias("date"),
+        "source",
         (src_num % 5).alias("rk"),
         headline.alias("headline"),
         F.expr("substring(text, length(split(text, '\\n', 2)[0]) + 2)").alias("short_description"),
     )
     return withkey.join(bounded_broadcast(r, DIM_BOUND), withkey.rk == r.r_regionkey, "left").select(
-        "doc_id", "date", F.initcap("r_name").alias("category"), "headline", "short_description"
+        "doc_id", "date", F.initcap("r_name").alias("category"), "source", "headline",
+        "short_description"
     )
 
 
 def events_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     """News-event rows with the event feed's column names."""
     ev = table(spark, sf_dir, "events")
-    day = F.date_format("ts", "yyyyMMdd").cast("int")
+    # The feed is moved back EVENT_SHIFT_MONTHS so its days overlap the news
+    # (1998) and bar (1995-2001) dates of the fixture tables.
+    day = F.date_format(F.add_months(F.col("ts").cast("date"), -EVENT_SHIFT_MONTHS), "yyyyMMdd").cast("int")
     return ev.select(
         "event_id",
         day.alias("Day"),
