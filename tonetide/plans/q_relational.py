@@ -1 +1,365 @@
-"""Registered queries (filled in below)."""
+"""Joins, filters, splits, set operations, scaling, lags, sources and sinks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import schemas
+from ..config import scratch_path
+from ..functions.calendar import in_year, iso_text, parse_iso_date
+from ..operators import market, normalize, profile, signal, split
+from ..sources import files, fixtures as fx
+from . import flows
+from .catalog import query, rounded
+from .q_market import sector_signal_df
+from .q_text import DAILY_SQL
+from .q_tone import TONE_DAILY_FILLED
+from .sqlviews import BARS, EVENTS, NEWS, TICKS, r4
+
+SENT_PRICE_SQL = f"""{BARS},{DAILY_SQL},
+px AS (SELECT Date AS date, lower(Category) AS category, avg(Open) AS Open, avg(Close) AS Close
+       FROM bars GROUP BY 1, 2),
+sp AS (SELECT CAST(d.date AS DATE) AS date, d.avg_sentiment, d.avg_subjectivity, p.Open, p.Close,
+              p.Open - p.Close AS open_close_diff
+       FROM daily d JOIN px p ON CAST(d.date AS DATE) = p.date AND d.category = p.category
+       WHERE CAST(d.date AS DATE) >= DATE '1998-01-01' AND CAST(d.date AS DATE) < DATE '1999-01-01'
+         AND (d.avg_sentiment <> 0 OR d.avg_subjectivity <> 0))"""
+
+STOCK_FEATURES_SQL = f"""{BARS},{DAILY_SQL},
+sf AS (SELECT b.Date, b.Stock, b.Category,
+              coalesce(CAST(d.articles_count AS DOUBLE), 0.0) AS avg_articles_count,
+              coalesce(d.avg_subjectivity, 0.0) AS avg_subjectivity,
+              b.Close - lag(b.Close, 5) OVER (PARTITION BY b.Stock ORDER BY b.Date) AS Momentum,
+              b.Close - b.Open AS "Close-Open"
+       FROM bars b LEFT JOIN daily d ON CAST(d.date AS DATE) = b.Date AND d.category = lower(b.Category))"""
+
+BUYSELL_IN_SQL = f"""{BARS},{DAILY_SQL},
+idx AS (SELECT Date, Category, avg(VWAP) AS sectorIndex FROM bars GROUP BY 1, 2),
+sig AS (SELECT *, CAST(CAST(lead(sectorIndex) OVER (PARTITION BY Category ORDER BY Date) - sectorIndex > 0 AS INTEGER) AS DOUBLE) AS buySell FROM idx),
+bi AS (SELECT s.Date, s.Category, coalesce(d.avg_sentiment, 0.0) AS avg_sentiment,
+              coalesce(d.avg_subjectivity, 0.0) AS avg_subjectivity,
+              coalesce(CAST(d.articles_count AS DOUBLE), 0.0) AS avg_articles_count, s.buySell
+       FROM sig s LEFT JOIN daily d ON CAST(d.date AS DATE) = s.Date AND d.category = lower(s.Category))"""
+
+
+def _cols(*names):
+    return ", ".join(f'{r4(chr(34) + n + chr(34))} AS "{n}"' for n in names)
+
+
+@query("join_sentiment_price", sql=f"""
+WITH {SENT_PRICE_SQL}
+SELECT date, {_cols('avg_sentiment', 'avg_subjectivity', 'Open', 'Close', 'open_close_diff')} FROM sp""")
+def q_join_sentiment_price(spark, sf_dir):
+    return rounded(flows.sentiment_price(spark, sf_dir))
+
+
+@query("filter_year", sql=f"""
+WITH {BARS}
+SELECT Date, Stock, Category, {r4('Close')} AS Close FROM bars
+WHERE Date >= DATE '1998-01-01' AND Date < DATE '1999-01-01'""")
+def q_filter_year(spark, sf_dir):
+    b = fx.bars(spark, sf_dir).where(in_year("Date", 1998))
+    return rounded(b.select("Date", "Stock", "Category", "Close"))
+
+
+@query("filter_nonzero", sql=f"""
+WITH {DAILY_SQL}
+SELECT date, category, {r4('avg_sentiment')} AS avg_sentiment, {r4('avg_subjectivity')} AS avg_subjectivity
+FROM daily WHERE avg_sentiment <> 0 OR avg_subjectivity <> 0""")
+def q_filter_nonzero(spark, sf_dir):
+    d = flows.daily_sentiment(spark, sf_dir)
+    d = d.where((F.col("avg_sentiment") != 0) | (F.col("avg_subjectivity") != 0))
+    return rounded(d.select("date", "category", "avg_sentiment", "avg_subjectivity"))
+
+
+@query("join_three_way", sql=f"""
+WITH {BARS},{DAILY_SQL},{TONE_DAILY_FILLED},
+tn AS (SELECT Date AS date, num,
+              (avg_tone - (SELECT min(avg_tone) FROM tg)) / ((SELECT max(avg_tone) FROM tg) - (SELECT min(avg_tone) FROM tg)) AS normalized_avg_tone,
+              (std_tone - (SELECT min(std_tone) FROM tg)) / ((SELECT max(std_tone) FROM tg) - (SELECT min(std_tone) FROM tg)) AS normalized_std_tone,
+              (median_tone - (SELECT min(median_tone) FROM tg)) / ((SELECT max(median_tone) FROM tg) - (SELECT min(median_tone) FROM tg)) AS normalized_median_tone
+       FROM tg),
+sec AS (SELECT Date, Category, avg(VWAP) AS v FROM bars GROUP BY 1, 2),
+secn AS (SELECT Date AS date, lower(Category) AS category,
+                (v - (SELECT min(v) FROM sec)) / ((SELECT max(v) FROM sec) - (SELECT min(v) FROM sec)) AS Normalized_Sector_VWAP
+         FROM sec)
+SELECT CAST(d.date AS DATE) AS date, d.category, {r4('d.avg_sentiment')} AS avg_sentiment,
+       {r4('d.avg_subjectivity')} AS avg_subjectivity, d.articles_count, tn.num,
+       {r4('normalized_avg_tone')} AS normalized_avg_tone, {r4('normalized_std_tone')} AS normalized_std_tone,
+       {r4('normalized_median_tone')} AS normalized_median_tone,
+       {r4('Normalized_Sector_VWAP')} AS Normalized_Sector_VWAP
+FROM daily d JOIN tn ON CAST(d.date AS DATE) = tn.date
+JOIN secn s ON CAST(d.date AS DATE) = s.date AND d.category = s.category""")
+def q_join_three_way(spark, sf_dir):
+    return rounded(flows.three_way(spark, sf_dir))
+
+
+@query("distinct_keys", sql=f"WITH {BARS} SELECT DISTINCT Stock FROM bars")
+def q_distinct_keys(spark, sf_dir):
+    return fx.bars(spark, sf_dir).select("Stock").distinct()
+
+
+@query("union_by_name", sql=f"""
+WITH {BARS},
+a AS (SELECT Date, Stock, Category, Open, Close, Volume, CAST(NULL AS DOUBLE) AS VWAP, CAST(NULL AS BIGINT) AS n_ticks FROM bars),
+t AS (SELECT CAST(l_shipdate AS DATE) AS Date, l_suppkey AS Stock, c.Category,
+             sum(l_extendedprice * l_quantity) / sum(l_quantity) AS VWAP, sum(l_quantity) AS Volume, count(*) AS n_ticks
+      FROM lineitem JOIN cat c ON l_suppkey = c.Stock GROUP BY 1, 2, 3),
+u AS (SELECT * FROM a UNION ALL
+      SELECT Date, Stock, Category, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), Volume, VWAP, n_ticks FROM t)
+SELECT Date, Stock, Category, {r4('Open')} AS Open, {r4('Close')} AS Close, {r4('Volume')} AS Volume,
+       {r4('VWAP')} AS VWAP, n_ticks FROM u""")
+def q_union_by_name(spark, sf_dir):
+    a = fx.bars(spark, sf_dir).select("Date", "Stock", "Category", "Open", "Close", "Volume")
+    t = market.vwap_by_stock_day(fx.ticks(spark, sf_dir))
+    return rounded(profile.union_all_by_name([a, t]))
+
+
+@query("conform_schema", sql=f"""
+WITH {BARS}
+SELECT Date, {r4('Open')} AS Open, {r4('High')} AS High, {r4('Low')} AS Low, {r4('Close')} AS Close,
+       {r4('Volume')} AS Volume, CAST(Stock AS VARCHAR) AS Stock, Category, CAST(NULL AS DOUBLE) AS Dividends
+FROM bars""")
+def q_conform_schema(spark, sf_dir):
+    return rounded(profile.conform(fx.bars(spark, sf_dir), schemas.BAR_FACTORS))
+
+
+@query("describe_bars", sql=f"""
+WITH {BARS}
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, {r4(f'avg({c})')} AS mean, {r4(f'stddev_samp({c})')} AS stddev, "
+    f"{r4(f'min({c})')} AS min, {r4(f'max({c})')} AS max FROM bars"
+    for c in ("Open", "High", "Low", "Close", "Volume", "VWAP")))
+def q_describe_bars(spark, sf_dir):
+    return rounded(profile.summary_long(fx.bars(spark, sf_dir), ["Open", "High", "Low", "Close", "Volume", "VWAP"]))
+
+
+@query("chrono_split", sql=f"""
+WITH {STOCK_FEATURES_SQL}
+SELECT Date, Stock, CAST(row_number() OVER (PARTITION BY Stock ORDER BY Date) AS INTEGER) AS idx,
+       row_number() OVER (PARTITION BY Stock ORDER BY Date) <= floor(count(*) OVER (PARTITION BY Stock) * 0.8) AS is_train
+FROM sf""")
+def q_chrono_split(spark, sf_dir):
+    s = split.chrono_split(flows.stock_features(spark, sf_dir), "Stock", "Date", 0.8)
+    return s.select("Date", "Stock", "idx", "is_train")
+
+
+@query("chrono_split_global", sql=f"""
+WITH {BUYSELL_IN_SQL}
+SELECT Date, Category, row_number() OVER (ORDER BY Date, Category) <= floor((SELECT count(*) FROM bi) * 0.8) AS is_train
+FROM bi""")
+def q_chrono_split_global(spark, sf_dir):
+    s = split.chrono_split_global(flows.buysell_in(spark, sf_dir), "Date", ("Category",), 0.8)
+    return s.select("Date", "Category", "is_train")
+
+
+@query("hash_split", sql=f"""
+WITH {BARS}
+SELECT Date, Stock,
+       CAST(('0x' || substr(md5(CAST(Stock AS VARCHAR) || '|' || strftime(Date, '%Y-%m-%d')), 1, 6)) AS BIGINT) % 100 < 80 AS is_train
+FROM bars""")
+def q_hash_split(spark, sf_dir):
+    b = fx.bars(spark, sf_dir)
+    key = F.concat_ws("|", F.col("Stock").cast("string"), iso_text("Date"))
+    return split.hash_split(b, key, 0.8).select("Date", "Stock", "is_train")
+
+
+_EXC_BASE = f"""{BUYSELL_IN_SQL},
+allr AS (SELECT Category, CAST(year(Date) AS INTEGER) AS yr FROM bi),
+ranked AS (SELECT Category, CAST(year(Date) AS INTEGER) AS yr,
+                  row_number() OVER (ORDER BY Date, Category) <= floor((SELECT count(*) FROM bi) * 0.8) AS is_train
+           FROM bi),
+train AS (SELECT Category, yr FROM ranked WHERE is_train)"""
+
+
+def _exc_frames(spark, sf_dir):
+    s = split.chrono_split_global(flows.buysell_in(spark, sf_dir), "Date", ("Category",), 0.8)
+    allr = s.select("Category", F.year("Date").alias("yr"))
+    train = s.where("is_train").select("Category", F.year("Date").alias("yr"))
+    return allr, train
+
+
+@query("except_distinct", sql=f"WITH {_EXC_BASE} SELECT * FROM allr EXCEPT SELECT * FROM train")
+def q_except_distinct(spark, sf_dir):
+    a, t = _exc_frames(spark, sf_dir)
+    return split.except_distinct(a, t)
+
+
+@query("except_all", sql=f"WITH {_EXC_BASE} SELECT * FROM allr EXCEPT ALL SELECT * FROM train")
+def q_except_all(spark, sf_dir):
+    a, t = _exc_frames(spark, sf_dir)
+    return split.except_all(a, t)
+
+
+@query("lag_features", sql=f"""
+WITH {STOCK_FEATURES_SQL}
+SELECT Date, Stock, {r4('"Close-Open"')} AS "Close-Open",
+       {r4('lag("Close-Open", 1) OVER (PARTITION BY Stock ORDER BY Date)')} AS "Close-Open_Lag_1",
+       {r4('lag("Close-Open", 2) OVER (PARTITION BY Stock ORDER BY Date)')} AS "Close-Open_Lag_2",
+       {r4('lag("Close-Open", 3) OVER (PARTITION BY Stock ORDER BY Date)')} AS "Close-Open_Lag_3"
+FROM sf""")
+def q_lag_features(spark, sf_dir):
+    s = signal.lag_features(flows.stock_features(spark, sf_dir), "Close-Open", 3)
+    return rounded(s.select("Date", "Stock", "Close-Open", *[f"Close-Open_Lag_{i}" for i in (1, 2, 3)]))
+
+
+@query("stock_features", sql=f"""
+WITH {STOCK_FEATURES_SQL}
+SELECT Date, Stock, Category, {_cols('avg_articles_count', 'avg_subjectivity', 'Momentum', 'Close-Open')} FROM sf""")
+def q_stock_features(spark, sf_dir):
+    return rounded(flows.stock_features(spark, sf_dir))
+
+
+@query("minmax_per_stock", sql=f"""
+WITH {STOCK_FEATURES_SQL}
+SELECT Date, Stock, """ + ", ".join(
+    f"""{r4(f'CASE WHEN max("{c}") OVER w = min("{c}") OVER w THEN 0.5 ELSE ("{c}" - min("{c}") OVER w) / (max("{c}") OVER w - min("{c}") OVER w) END')} AS "{c}_scaled\""""
+    for c in ("avg_articles_count", "avg_subjectivity", "Momentum")) + """
+FROM sf WINDOW w AS (PARTITION BY Stock)""")
+def q_minmax_per_stock(spark, sf_dir):
+    cols = ["avg_articles_count", "avg_subjectivity", "Momentum"]
+    s = normalize.minmax_per_key(flows.stock_features(spark, sf_dir), cols, "Stock")
+    return rounded(s.select("Date", "Stock", *[f"{c}_scaled" for c in cols]))
+
+
+@query("minmax_range", sql=f"""
+WITH {SENT_PRICE_SQL},
+st AS (SELECT min(avg_sentiment) a0, max(avg_sentiment) a1, min(avg_subjectivity) b0, max(avg_subjectivity) b1,
+              min(open_close_diff) y0, max(open_close_diff) y1 FROM sp),
+sc AS (SELECT sp.date,
+              CASE WHEN a1 = a0 THEN 0.0 ELSE (avg_sentiment - a0) / (a1 - a0) END * 2.0 - 1.0 AS avg_sentiment_scaled,
+              CASE WHEN b1 = b0 THEN 0.0 ELSE (avg_subjectivity - b0) / (b1 - b0) END * 2.0 - 1.0 AS avg_subjectivity_scaled,
+              CASE WHEN y1 = y0 THEN 0.0 ELSE (open_close_diff - y0) / (y1 - y0) END * 100.0 AS open_close_diff_scaled,
+              y0, y1
+       FROM sp, st)
+SELECT date, {r4('avg_sentiment_scaled')} AS avg_sentiment_scaled, {r4('avg_subjectivity_scaled')} AS avg_subjectivity_scaled,
+       {r4('open_close_diff_scaled')} AS open_close_diff_scaled,
+       {r4('(open_close_diff_scaled - 0.0) / 100.0 * (y1 - y0) + y0')} AS open_close_diff_restored
+FROM sc""")
+def q_minmax_range(spark, sf_dir):
+    sp = flows.sentiment_price(spark, sf_dir)
+    s = normalize.minmax_range(sp, ["avg_sentiment", "avg_subjectivity"], -1.0, 1.0)
+    s = normalize.minmax_range(s, ["open_close_diff"], 0.0, 100.0)
+    s = normalize.unscale_range(s, "open_close_diff_scaled", "open_close_diff", 0.0, 100.0,
+                                "open_close_diff_restored")
+    return rounded(s.select("date", "avg_sentiment_scaled", "avg_subjectivity_scaled",
+                            "open_close_diff_scaled", "open_close_diff_restored"))
+
+
+@query("sequence_features", sql=f"""
+WITH {SENT_PRICE_SQL}
+SELECT date, list([{r4('avg_sentiment')}, {r4('avg_subjectivity')}, {r4('Open')}, {r4('Close')}])
+         OVER (ORDER BY date ROWS BETWEEN CURRENT ROW AND CURRENT ROW) AS sequence
+FROM sp""")
+def q_sequence_features(spark, sf_dir):
+    sp = rounded(flows.sentiment_price(spark, sf_dir))
+    sp = sp.withColumn("__k", F.lit(1))
+    s = signal.sequence_features(sp, ["avg_sentiment", "avg_subjectivity", "Open", "Close"], steps=1,
+                                 key="__k", order="date")
+    return s.select("date", "sequence")
+
+
+@query("parse_dates", sql=f"""
+WITH {NEWS}
+SELECT doc_id, date, try_strptime(date, '%Y-%m-%d')::DATE AS parsed,
+       strftime(try_strptime(date, '%Y-%m-%d')::DATE, '%Y-%m-%d') AS formatted
+FROM news""")
+def q_parse_dates(spark, sf_dir):
+    n = fx.news(spark, sf_dir)
+    return n.select("doc_id", "date", parse_iso_date("date").alias("parsed"),
+                    iso_text(parse_iso_date("date")).alias("formatted"))
+
+
+# ---- sources and sinks: write to the shared folder, read back -------------
+
+SIGNAL_SQL = f"""
+WITH {BARS},
+sec AS (SELECT Date, Category, avg(VWAP) AS Sector_VWAP FROM bars GROUP BY 1, 2)
+SELECT Date, Category, {r4('Sector_VWAP')} AS Sector_VWAP,
+       {r4('avg(Sector_VWAP) OVER (PARTITION BY Category ORDER BY Date ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)')} AS MovingAvg_VWAP,
+       CAST(lead(Sector_VWAP) OVER (PARTITION BY Category ORDER BY Date) - Sector_VWAP > 0 AS INTEGER) AS BuySell
+FROM sec"""
+
+
+@query("sink_csv", sql=SIGNAL_SQL)
+def q_sink_csv(spark, sf_dir):
+    path = scratch_path(spark, "sector_signal_csv")
+    files.write_csv(rounded(sector_signal_df(spark, sf_dir)), path)
+    return files.read_csv(spark, path, schemas.SECTOR_SIGNAL)
+
+
+@query("scan_csv_roundtrip", sql=f"""
+WITH {BARS}
+SELECT Date, Stock, Category, {r4('Open')} AS Open, {r4('High')} AS High, {r4('Low')} AS Low,
+       {r4('Close')} AS Close, {r4('Volume')} AS Volume, {r4('VWAP')} AS VWAP
+FROM bars""")
+def q_scan_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "bars_csv")
+    files.write_csv(rounded(fx.bars(spark, sf_dir)), path)
+    return files.read_csv(spark, path, schemas.BARS)
+
+
+@query("scan_csv_infer", sql=SIGNAL_SQL)
+def q_scan_csv_infer(spark, sf_dir):
+    path = scratch_path(spark, "signal_csv_infer")
+    files.write_csv(rounded(sector_signal_df(spark, sf_dir)), path)
+    df = files.read_csv(spark, path, infer=True)
+    return df.select(F.col("Date").cast("date").alias("Date"), "Category",
+                     F.col("Sector_VWAP").cast("double").alias("Sector_VWAP"),
+                     F.col("MovingAvg_VWAP").cast("double").alias("MovingAvg_VWAP"),
+                     F.col("BuySell").cast("int").alias("BuySell"))
+
+
+@query("scan_csv_strings", sql=f"""
+WITH {EVENTS}
+SELECT event_id, Day, {r4('AvgTone')} AS AvgTone, SOURCEURL FROM events_in""")
+def q_scan_csv_strings(spark, sf_dir):
+    path = scratch_path(spark, "events_csv")
+    ev = rounded(fx.events_in(spark, sf_dir).select("event_id", "Day", "AvgTone", "SOURCEURL"))
+    files.write_csv(ev, path)
+    return files.read_csv_strings(spark, path, {"event_id": "bigint", "Day": "int", "AvgTone": "double"})
+
+
+@query("scan_csv_multiline", sql=f"WITH {NEWS} SELECT doc_id, category, headline, short_description FROM news")
+def q_scan_csv_multiline(spark, sf_dir):
+    path = scratch_path(spark, "news_csv")
+    n = fx.news(spark, sf_dir).select("doc_id", "category", "headline", "short_description")
+    files.write_csv(n, path)
+    schema = schemas.NEWS
+    from pyspark.sql import types as T
+    sch = T.StructType([schema["doc_id"], schema["category"], schema["headline"], schema["short_description"]])
+    return files.read_csv(spark, path, sch, multiline=True, escape='"', empty_is_null=False)
+
+
+@query("scan_rejects", sql=f"""
+WITH {EVENTS}
+SELECT event_id, CASE WHEN CAMEOCodeDescription = 'error' THEN 'reject' ELSE 'good' END AS status,
+       CASE WHEN CAMEOCodeDescription = 'error' THEN NULL ELSE {r4('AvgTone')} END AS AvgTone
+FROM events_in""")
+def q_scan_rejects(spark, sf_dir):
+    path = scratch_path(spark, "events_bad_csv")
+    ev = rounded(fx.events_in(spark, sf_dir))
+    # error events are landed with a non-numeric tone: they must come back as rejects
+    tone_txt = F.when(F.col("CAMEOCodeDescription") == "error", F.lit("n/a")).otherwise(F.col("AvgTone").cast("string"))
+    lines = ev.select(F.concat_ws(",", F.col("event_id").cast("string"), F.col("Day").cast("string"),
+                                  tone_txt, F.col("SOURCEURL")).alias("value"))
+    lines.write.mode("overwrite").text(path)
+    df = files.read_csv(spark, path, schemas.EVENTS_RAW, header=False, keep_rejects=True)
+    return df.select("event_id",
+                     F.when(F.col(files.CORRUPT).isNotNull(), F.lit("reject")).otherwise(F.lit("good")).alias("status"),
+                     "AvgTone")
+
+
+@query("sink_parquet", sql=f"""
+WITH {EVENTS},
+d AS (SELECT * FROM events_in
+      QUALIFY row_number() OVER (PARTITION BY SOURCEURL, DATEADDED ORDER BY event_id) = 1)
+SELECT {r4('AvgTone')} AS Tone, CAMEOCodeDescription AS Type, SOURCEURL AS Url,
+       strptime(CAST(DATEADDED AS VARCHAR), '%Y%m%d')::DATE AS Date
+FROM d""")
+def q_sink_parquet(spark, sf_dir):
+    from ..operators import tone
+
+    path = scratch_path(spark, "tone_parquet")
+    files.write_parquet(rounded(tone.ingest_events(fx.events_in(spark, sf_dir))), path, partition_by="Date")
+    return files.read_parquet(spark, path, schemas.TONE)

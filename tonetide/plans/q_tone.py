@@ -76,20 +76,25 @@ def q_tone_daily_std(spark, sf_dir):
     return rounded(tone.tone_daily_stats(ev, count_nulls=True))
 
 
-TONE_GAPFILL_SQL = f"""
-WITH {EVENTS},
+TONE_DAILY_FILLED = f"""{EVENTS},
 us AS (SELECT * FROM events_in WHERE ActionGeo_CountryCode = 'US'),
 dedup AS (SELECT * FROM us QUALIFY row_number() OVER (PARTITION BY SOURCEURL, Day ORDER BY event_id) = 1),
-daily AS (SELECT strptime(CAST(Day AS VARCHAR), '%Y%m%d')::DATE AS Date, count(*) AS num,
+tdaily AS (SELECT strptime(CAST(Day AS VARCHAR), '%Y%m%d')::DATE AS Date, count(*) AS num,
                  avg(AvgTone) AS avg_tone, var_samp(AvgTone) AS var_tone,
                  stddev_samp(AvgTone) AS std_tone, median(AvgTone) AS median_tone
           FROM dedup GROUP BY 1),
 spine AS (SELECT CAST(unnest(generate_series(date_trunc('month', min(Date)), last_day(max(Date)),
-                                             INTERVAL 1 DAY)) AS DATE) AS Date FROM daily)
-SELECT s.Date, coalesce(num, 0) AS num, {r4('coalesce(avg_tone, 0.0)')} AS avg_tone,
-       {r4('coalesce(var_tone, 0.0)')} AS var_tone, {r4('coalesce(std_tone, 0.0)')} AS std_tone,
-       {r4('coalesce(median_tone, 0.0)')} AS median_tone
-FROM spine s LEFT JOIN daily d ON s.Date = d.Date"""
+                                             INTERVAL 1 DAY)) AS DATE) AS Date FROM tdaily),
+tg AS (SELECT s.Date, coalesce(num, 0) AS num, coalesce(avg_tone, 0.0) AS avg_tone,
+              coalesce(var_tone, 0.0) AS var_tone, coalesce(std_tone, 0.0) AS std_tone,
+              coalesce(median_tone, 0.0) AS median_tone
+       FROM spine s LEFT JOIN tdaily d ON s.Date = d.Date)"""
+
+TONE_GAPFILL_SQL = f"""
+WITH {TONE_DAILY_FILLED}
+SELECT Date, num, {r4('avg_tone')} AS avg_tone, {r4('var_tone')} AS var_tone, {r4('std_tone')} AS std_tone,
+       {r4('median_tone')} AS median_tone
+FROM tg"""
 
 
 def tone_gapfill_df(spark, sf_dir):
