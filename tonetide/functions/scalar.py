@@ -82,3 +82,19 @@ def scale_to(x, lo, hi, a: float, b: float) -> Column:
 def unscale_from(y, lo, hi, a: float, b: float) -> Column:
     """Inverse of :func:`scale_to`."""
     return (col_(y) - F.lit(a)) / F.lit(b - a) * (col_(hi) - col_(lo)) + col_(lo)
+
+
+def sig_round(c, sig: int = 9) -> Column:
+    """Round to ``sig`` significant digits, identically in any IEEE engine.
+
+    Scales by an exact power of ten (10^n is exact for 0 <= n <= 22), rounds
+    the scaled value through a decimal and scales back with one correctly
+    rounded multiplication or division.
+    """
+    x = col_(c)
+    e = F.floor(F.log10(F.abs(x)))
+    n = F.lit(sig - 1) - e
+    scaled = F.when(n >= 0, x * F.pow(F.lit(10.0), n)).otherwise(x / F.pow(F.lit(10.0), -n))
+    k = F.round(scaled.cast("decimal(38,4)"), 0).cast("double")
+    res = F.when(n >= 0, k / F.pow(F.lit(10.0), n)).otherwise(k * F.pow(F.lit(10.0), -n))
+    return F.when((x == 0) | x.isNull() | F.isnan(x), x).otherwise(res)

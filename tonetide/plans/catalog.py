@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..functions.scalar import stable_round
+from ..functions.scalar import sig_round, stable_round
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,13 +30,17 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Round every double column through a decimal (engine-stable)."""
+def rounded(df: DataFrame, digits: int = 4, significant=()) -> DataFrame:
+    """Round every double column through a decimal (engine-stable); columns in
+    ``significant`` (large magnitudes) keep 9 significant digits instead."""
+    def r(f):
+        if f.name in significant:
+            return sig_round(f"`{f.name}`").alias(f.name)
+        return stable_round(f"`{f.name}`", digits).alias(f.name)
+
     return df.select(
         *[
-            stable_round(f.name, digits).alias(f.name)
-            if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else df[f"`{f.name}`"]
+            r(f) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else df[f"`{f.name}`"]
             for f in df.schema.fields
         ]
     )

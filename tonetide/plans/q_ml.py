@@ -1 +1,182 @@
-"""Registered queries (filled in below)."""
+"""Model, metric and split-evaluation queries (M6-M18, O4)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions.calendar import iso_text
+from ..operators import market, split
+from ..sources import fixtures as fx
+from . import flows, metrics, models, ols
+from .catalog import query, rounded
+from .q_relational import BUYSELL_IN_SQL, SENT_PRICE_SQL, STOCK_FEATURES_SQL
+from .sqlviews import BARS, r4, sig
+
+STOCK_X = ["avg_articles_count", "avg_subjectivity", "Momentum"]
+STOCK_Y = "Close-Open"
+SENT_X = ["avg_sentiment", "avg_subjectivity"]
+SENT_Y = "open_close_diff"
+
+
+@query("regression_metrics", sql=f"""
+WITH {BARS},
+sec AS (SELECT Date, Category, avg(VWAP) AS v FROM bars GROUP BY 1, 2),
+f AS (SELECT Category,
+             avg(v) OVER (PARTITION BY Category ORDER BY Date ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS p,
+             lead(v) OVER (PARTITION BY Category ORDER BY Date) AS y
+      FROM sec)
+SELECT Category, count(*) AS n, {r4('avg((y - p) * (y - p))')} AS mse, {r4('sqrt(avg((y - p) * (y - p)))')} AS rmse,
+       {r4('avg(abs(y - p))')} AS mae,
+       {r4('1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))')} AS r2
+FROM f WHERE y IS NOT NULL GROUP BY Category""")
+def q_regression_metrics(spark, sf_dir):
+    """How well the 6-row moving average forecasts the next day's sector VWAP."""
+    sec = market.moving_avg(market.sector_vwap(fx.bars(spark, sf_dir)))
+    w = Window.partitionBy("Category").orderBy("Date")
+    f = sec.withColumn("next_vwap", F.lead("Sector_VWAP").over(w)).where(F.col("next_vwap").isNotNull())
+    return rounded(metrics.regression_metrics(f, "next_vwap", "MovingAvg_VWAP", by="Category"))
+
+
+@query("auc_rank", sql=f"""
+WITH {BUYSELL_IN_SQL},
+h AS (SELECT Category, avg_sentiment AS s, buySell AS y FROM bi WHERE buySell IS NOT NULL AND avg_sentiment IS NOT NULL),
+r AS (SELECT Category, y, rank() OVER (PARTITION BY Category ORDER BY s)
+                          + (count(*) OVER (PARTITION BY Category, s) - 1) / 2.0 AS rk FROM h),
+g AS (SELECT Category, sum(CASE WHEN y = 1 THEN rk ELSE 0 END) AS rs,
+             sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS n_pos, sum(CASE WHEN y = 0 THEN 1 ELSE 0 END) AS n_neg
+      FROM r GROUP BY Category)
+SELECT Category, {r4('(rs - n_pos * (n_pos + 1) / 2.0) / (n_pos * n_neg)')} AS auc,
+       CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg
+FROM g""")
+def q_auc_rank(spark, sf_dir):
+    """Exact AUC of daily sentiment as a score for the next-day buy signal, per sector."""
+    bi = flows.buysell_in(spark, sf_dir)
+    return rounded(metrics.auc(bi, "buySell", "avg_sentiment", by="Category"))
+
+
+def _sent_split(spark, sf_dir):
+    sp = flows.sentiment_price(spark, sf_dir)
+    return split.hash_split(sp, iso_text("date"), 0.7)
+
+
+@query("lr_sentiment", sql=f"""
+WITH {SENT_PRICE_SQL},
+s AS (SELECT *, CAST(('0x' || substr(md5(strftime(date, '%Y-%m-%d')), 1, 6)) AS BIGINT) % 100 < 70 AS is_train FROM sp),
+st AS (SELECT {", ".join(f"{e} AS {n}" for n, e in ols.stat_exprs(SENT_X, SENT_Y).items())} FROM s WHERE is_train),
+co AS (SELECT *, {", ".join(f"{e} AS {n}" for n, e in ols.coef_exprs(SENT_X, SENT_Y).items())} FROM st),
+co2 AS (SELECT {ols.intercept_expr(SENT_X, SENT_Y)} AS b_0, b_1, b_2 FROM co)
+SELECT date, {r4('open_close_diff')} AS open_close_diff, {r4(ols.prediction_expr(SENT_X))} AS prediction
+FROM s, co2 WHERE NOT is_train""")
+def q_lr_sentiment(spark, sf_dir):
+    """Global linear regression of the daily price change on the two sentiment
+    features (spark.ml LinearRegression); actual vs predicted on the test rows."""
+    s = _sent_split(spark, sf_dir)
+    pred = models.linear(s.where("is_train"), s.where("NOT is_train"), SENT_X, SENT_Y)
+    return rounded(pred.select("date", "open_close_diff", "prediction"))
+
+
+LR_STOCK_SQL = f"""{STOCK_FEATURES_SQL},
+clean AS (SELECT * FROM sf WHERE Momentum IS NOT NULL),
+spl AS (SELECT *, row_number() OVER (PARTITION BY Stock ORDER BY Date) AS idx,
+               count(*) OVER (PARTITION BY Stock) AS n FROM clean),
+st AS (SELECT Stock, count(*) AS n_train,
+              {", ".join(f"{e} AS {n}" for n, e in ols.stat_exprs(STOCK_X, STOCK_Y).items())}
+       FROM spl WHERE idx <= floor(n * 0.8) GROUP BY Stock),
+co AS (SELECT *, {", ".join(f"{e} AS {n}" for n, e in ols.coef_exprs(STOCK_X, STOCK_Y).items())} FROM st),
+co2 AS (SELECT Stock, n_train, {ols.intercept_expr(STOCK_X, STOCK_Y)} AS b_0, b_1, b_2, b_3 FROM co),
+pr AS (SELECT t.Stock, c.n_train, t."Close-Open" AS y, {ols.prediction_expr(STOCK_X)} AS p
+       FROM spl t JOIN co2 c ON t.Stock = c.Stock WHERE t.idx > floor(t.n * 0.8)),
+m AS (SELECT Stock, any_value(n_train) AS n_train, count(*) AS n_test,
+             avg((y - p) * (y - p)) AS mse, sqrt(avg((y - p) * (y - p))) AS rmse,
+             1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2
+      FROM pr GROUP BY Stock)"""
+
+
+def lr_per_stock_df(spark, sf_dir):
+    """Per-stock OLS of Close-Open on articles, subjectivity and momentum: closed
+    form from grouped covariances on the first 80 % of each stock's days."""
+    feats = flows.stock_features(spark, sf_dir).na.drop("any", subset=STOCK_X + [STOCK_Y])
+    s = split.chrono_split(feats, "Stock", "Date", 0.8)
+    coefs = ols.fit_closed_form(s.where("is_train"), STOCK_X, STOCK_Y, by="Stock")
+    pred = ols.predict_closed_form(s.where("NOT is_train"), coefs, STOCK_X, by="Stock")
+    m = metrics.regression_metrics(pred, STOCK_Y, "prediction", by=["Stock", "n_train"])
+    return m.select("Stock", "n_train", F.col("n").alias("n_test"), "mse", "rmse", "r2")
+
+
+@query("lr_per_stock", sql=f"""
+WITH {LR_STOCK_SQL}
+SELECT Stock, n_train, n_test, {sig('mse')} AS mse, {sig('rmse')} AS rmse, {r4('r2')} AS r2 FROM m""")
+def q_lr_per_stock(spark, sf_dir):
+    return rounded(lr_per_stock_df(spark, sf_dir), significant=("mse", "rmse"))
+
+
+@query("stock_metrics_top", sql=f"""
+WITH {LR_STOCK_SQL}
+SELECT Stock, {sig('mse')} AS mse, {sig('rmse')} AS rmse, {r4('r2')} AS r2
+FROM m WHERE r2 IS NOT NULL ORDER BY r2 DESC, Stock LIMIT 10""")
+def q_stock_metrics_top(spark, sf_dir):
+    """Top 10 stocks by test r2 (the sorted metrics report)."""
+    m = lr_per_stock_df(spark, sf_dir).where(F.col("r2").isNotNull())
+    top = m.orderBy(F.col("r2").desc(), "Stock").limit(10).select("Stock", "mse", "rmse", "r2")
+    return rounded(top, significant=("mse", "rmse"))
+
+
+@query("lag_sweep")
+def q_lag_sweep(spark, sf_dir):
+    """Mean per-stock test mse/r2 for each lag count (1..30, 90, 120)."""
+    feats = flows.stock_features(spark, sf_dir)
+    per_stock = ols.lag_sweep_per_stock(feats, ["avg_articles_count", "Momentum", "avg_subjectivity"], STOCK_Y)
+    return ols.lag_sweep_summary(per_stock)
+
+
+def _buysell_split(spark, sf_dir):
+    bi = flows.buysell_in(spark, sf_dir)
+    s = split.chrono_split_global(bi, "Date", ("Category",), 0.8)
+    return s.where("is_train").drop("is_train"), s.where("NOT is_train").drop("is_train")
+
+
+@query("lpm_buysell")
+def q_lpm_buysell(spark, sf_dir):
+    tr, te = _buysell_split(spark, sf_dir)
+    return models.linear_probability(tr, te).select("Date", "Category", "buySell", "prediction")
+
+
+@query("r2_per_category")
+def q_r2_per_category(spark, sf_dir):
+    tr, te = _buysell_split(spark, sf_dir)
+    pred = models.linear_probability(tr, te)
+    return metrics.regression_metrics(pred, "buySell", "prediction", by="Category")
+
+
+@query("logit_buysell")
+def q_logit_buysell(spark, sf_dir):
+    tr, te = _buysell_split(spark, sf_dir)
+    return models.logistic(tr, te).select("Date", "Category", "buySell", "prediction", "score")
+
+
+@query("rf_buysell")
+def q_rf_buysell(spark, sf_dir):
+    tr, te = _buysell_split(spark, sf_dir)
+    return models.random_forest(tr, te).select("Date", "Category", "buySell", "prediction", "score")
+
+
+@query("poly_logit")
+def q_poly_logit(spark, sf_dir):
+    tr, te = _buysell_split(spark, sf_dir)
+    return models.poly_logistic(tr, te).select("Date", "Category", "buySell", "prediction", "score")
+
+
+@query("classifier_auc")
+def q_classifier_auc(spark, sf_dir):
+    """Exact test AUC of the three classifiers, one row per model."""
+    tr, te = _buysell_split(spark, sf_dir)
+    outs = []
+    for name, fit in (("logistic", models.logistic), ("random_forest", models.random_forest),
+                      ("poly_logistic", models.poly_logistic)):
+        pred = models.drop_null_scores(fit(tr, te))
+        outs.append(metrics.auc(pred.withColumn("model", F.lit(name)), "buySell", "score", by="model"))
+    res = outs[0]
+    for o in outs[1:]:
+        res = res.unionByName(o)
+    return res

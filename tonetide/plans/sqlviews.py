@@ -59,3 +59,13 @@ events_in AS (
 def r4(expr: str, digits: int = 4) -> str:
     """SQL side of :func:`tonetide.functions.scalar.stable_round`."""
     return f"CAST(round(CAST({expr} AS DECIMAL(28,8)), {digits}) AS DOUBLE)"
+
+
+def sig(expr: str, digits: int = 9) -> str:
+    """SQL side of :func:`tonetide.functions.scalar.sig_round`."""
+    x = f"({expr})"
+    n = f"({digits - 1} - floor(log10(abs({x}))))"
+    scaled = f"CASE WHEN {n} >= 0 THEN {x} * pow(10.0, {n}) ELSE {x} / pow(10.0, -{n}) END"
+    k = f"CAST(round(CAST({scaled} AS DECIMAL(38,4)), 0) AS DOUBLE)"
+    res = f"CASE WHEN {n} >= 0 THEN {k} / pow(10.0, {n}) ELSE {k} * pow(10.0, -{n}) END"
+    return f"CASE WHEN {x} = 0 OR {x} IS NULL OR isnan({x}) THEN {x} ELSE {res} END"
