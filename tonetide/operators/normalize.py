@@ -14,25 +14,27 @@ from pyspark.sql import functions as F
 from ..functions.scalar import minmax_scale, scale_to, unscale_from
 
 
+def global_bounds(df: DataFrame, cols) -> dict:
+    """{col: (min, max)} as fields of ONE struct-valued scalar subquery, so the
+    input is aggregated once however many columns are scaled."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    fields = [F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)] + \
+             [F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]
+    b = df.select(F.struct(*fields).alias("b")).scalar()
+    return {c: (b.getField(f"lo{i}"), b.getField(f"hi{i}")) for i, c in enumerate(cols)}
+
+
 def minmax_normalize(df: DataFrame, cols, prefix: str = "normalized_", drop: bool = True) -> DataFrame:
     """``prefix+c = (c - min c)/(max c - min c)`` with global min/max; zero range -> null."""
     cols = [cols] if isinstance(cols, str) else list(cols)
-    stats = df.agg(*[F.min(c).alias(f"min_{c}") for c in cols],
-                   *[F.max(c).alias(f"max_{c}") for c in cols])
-    out = df
-    for c in cols:
-        lo = stats.select(f"min_{c}").scalar()
-        hi = stats.select(f"max_{c}").scalar()
-        out = out.withColumn(f"{prefix}{c}", minmax_scale(c, lo, hi))
-        if drop:
-            out = out.drop(c)
-    return out
+    bounds = global_bounds(df, cols)
+    out = df.withColumns({f"{prefix}{c}": minmax_scale(c, *bounds[c]) for c in cols})
+    return out.drop(*cols) if drop else out
 
 
 def normalize_column(df: DataFrame, col: str, out: str) -> DataFrame:
     """Keep the original and add ``out`` (the sector-index / date-rank form)."""
-    lo = df.select(F.min(col)).scalar()
-    hi = df.select(F.max(col)).scalar()
+    lo, hi = global_bounds(df, [col])[col]
     return df.withColumn(out, minmax_scale(col, lo, hi))
 
 
@@ -54,16 +56,11 @@ def minmax_per_key(df: DataFrame, cols, key="Stock", suffix: str = "_scaled") ->
 def minmax_range(df: DataFrame, cols, a: float, b: float, suffix: str = "_scaled") -> DataFrame:
     """Scale each column into [a, b] with global min/max (sklearn feature_range)."""
     cols = [cols] if isinstance(cols, str) else list(cols)
-    out = df
-    for c in cols:
-        lo = df.select(F.min(c)).scalar()
-        hi = df.select(F.max(c)).scalar()
-        out = out.withColumn(f"{c}{suffix}", scale_to(c, lo, hi, a, b))
-    return out
+    bounds = global_bounds(df, cols)
+    return df.withColumns({f"{c}{suffix}": scale_to(c, *bounds[c], a, b) for c in cols})
 
 
 def unscale_range(df: DataFrame, col: str, ref_col: str, a: float, b: float, out: str) -> DataFrame:
     """Inverse transform of :func:`minmax_range` using ``ref_col``'s min/max."""
-    lo = df.select(F.min(ref_col)).scalar()
-    hi = df.select(F.max(ref_col)).scalar()
+    lo, hi = global_bounds(df, [ref_col])[ref_col]
     return df.withColumn(out, unscale_from(col, lo, hi, a, b))

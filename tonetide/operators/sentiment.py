@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..config import bounded_broadcast
 from ..functions.calendar import valid_iso_date
-from ..functions.text import clean_text, headline_description, lexicon_mean, sentiment_tokens
+from ..functions.text import (SENTIMENT_TOKEN_SPLIT, clean_text, headline_description, lexicon_mean,
+                              sentiment_tokens)
 
 # Fixed values (fixture lexicon, invented scores): word -> (polarity, subjectivity).
 LEXICON = {
@@ -91,16 +92,36 @@ def score_text(df: DataFrame, text_col="headline_description", lexicon: dict | N
     })
 
 
-def score_text_join(df: DataFrame, lexicon_df: DataFrame, key="doc_id", text_col="headline_description",
-                    max_lexicon_rows: int = 1_000_000) -> DataFrame:
-    """Same scores with the lexicon as a table (word, polarity, subjectivity)."""
-    toks = df.select(key, F.explode(sentiment_tokens(text_col)).alias("word"))
+def lexicon_frame(spark, lexicon: dict | None = None) -> DataFrame:
+    """The fixed lexicon as a small DataFrame (word, polarity, subjectivity)."""
+    rows = [(w, float(p), float(s)) for w, (p, s) in (lexicon or LEXICON).items()]
+    return spark.createDataFrame(rows, "word string, polarity double, subjectivity double")
+
+
+def score_docs(df: DataFrame, lexicon_df: DataFrame, keys=("doc_id",), text_col="headline_description",
+               max_lexicon_rows: int = 1_000_000) -> DataFrame:
+    """Per-document ``sentiment`` / ``subjectivity`` with the lexicon as a table.
+
+    Tokens are exploded next to the document keys (the text itself is never
+    shuffled), LEFT-joined to the broadcast lexicon (checked row bound) and
+    averaged per document with partial aggregation; a document without any
+    lexicon word scores 0.0. Generate, broadcast hash join and hash aggregate
+    all run inside whole-stage codegen.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    toks = df.select(*keys, F.explode_outer(F.split(F.lower(text_col), SENTIMENT_TOKEN_SPLIT)).alias("word"))
     lex = bounded_broadcast(lexicon_df.select("word", "polarity", "subjectivity"), max_lexicon_rows)
-    hits = toks.join(lex, "word").groupBy(key).agg(
-        F.avg("polarity").alias("sentiment"), F.avg("subjectivity").alias("subjectivity")
+    return toks.join(lex, "word", "left").groupBy(*keys).agg(
+        F.coalesce(F.avg("polarity"), F.lit(0.0)).alias("sentiment"),
+        F.coalesce(F.avg("subjectivity"), F.lit(0.0)).alias("subjectivity"),
     )
-    out = df.join(hits, key, "left")
-    return out.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("sentiment", "subjectivity")})
+
+
+def score_text_join(df: DataFrame, lexicon_df: DataFrame, key="doc_id", text_col="headline_description",
+                    max_lexicon_rows: int = 1_000_000) -> DataFrame:
+    """All columns of ``df`` except the text, plus the two scores."""
+    keys = [c for c in df.columns if c not in (text_col, "headline", "short_description")]
+    return score_docs(df, lexicon_df, keys, text_col, max_lexicon_rows)
 
 
 def daily_sentiment(scored: DataFrame, date="date", category="category") -> DataFrame:
@@ -122,5 +143,9 @@ def avg_of_avgs(per_source: DataFrame, date="Date", category="Category") -> Data
 
 
 def news_scored(news: DataFrame, lexicon: dict | None = None) -> DataFrame:
-    """news -> valid dates -> headline_description -> scores (one lazy plan)."""
-    return score_text(with_text(valid_dates(news)), lexicon=lexicon)
+    """news -> valid dates -> headline_description -> per-document scores (one lazy plan).
+
+    Output: doc_id, date, category, source, sentiment, subjectivity.
+    """
+    docs = with_text(valid_dates(news)).select("doc_id", "date", "category", "source", "headline_description")
+    return score_docs(docs, lexicon_frame(news.sparkSession, lexicon), ("doc_id", "date", "category", "source"))

@@ -54,7 +54,7 @@ def stock_features(spark, sf_dir, momentum_k: int = 5) -> DataFrame:
 
 def buysell_in(spark, sf_dir) -> DataFrame:
     """Per (Date, Category): sentiment features and the next-day sector signal."""
-    idx = market.sector_index(fx.bars(spark, sf_dir), "VWAP", "sectorIndex")
+    idx = market.sector_index(fx.daily_vwap(spark, sf_dir), "VWAP", "sectorIndex")
     sig = signal.buysell_signal(idx, "sectorIndex")
     sent = daily_sentiment(spark, sf_dir).select(
         F.to_date("date").alias("__d"), F.col("category").alias("__c"),
@@ -79,7 +79,7 @@ def three_way(spark, sf_dir) -> DataFrame:
     """sentiment ⋈ tone (date) ⋈ normalised sector index (date, category)."""
     sent = daily_sentiment(spark, sf_dir).withColumn("date", F.to_date("date"))
     tn = tone_features(spark, sf_dir).withColumnRenamed("Date", "date")
-    sec = normalize.normalize_column(market.sector_vwap(fx.bars(spark, sf_dir)), "Sector_VWAP",
+    sec = normalize.normalize_column(market.sector_vwap(fx.daily_vwap(spark, sf_dir)), "Sector_VWAP",
                                      "Normalized_Sector_VWAP")
     sec = sec.select(F.col("Date").alias("date"), F.lower("Category").alias("category"),
                      "Normalized_Sector_VWAP")

@@ -12,8 +12,7 @@ from .sqlviews import BARS, TICKS, r4
 
 def sector_signal_df(spark, sf_dir, preceding: int = 5):
     """Flagship: bars -> sector VWAP -> 6-row moving average -> next-day signal."""
-    bars = fx.bars(spark, sf_dir)
-    sec = market.sector_vwap(bars)
+    sec = market.sector_vwap(fx.daily_vwap(spark, sf_dir))
     sec = market.moving_avg(sec, "Sector_VWAP", "MovingAvg_VWAP", preceding)
     return signal.buysell_signal(sec, index_col="Sector_VWAP")
 
@@ -50,7 +49,7 @@ def q_category_dim(spark, sf_dir):
 WITH {BARS}
 SELECT Date, Category, {r4('avg(VWAP)')} AS Sector_VWAP FROM bars GROUP BY 1, 2""")
 def q_sector_vwap(spark, sf_dir):
-    return rounded(market.sector_vwap(fx.bars(spark, sf_dir)))
+    return rounded(market.sector_vwap(fx.daily_vwap(spark, sf_dir)))
 
 
 @query("moving_avg", sql=f"""
@@ -60,7 +59,7 @@ SELECT Date, Category,
        {r4('avg(Sector_VWAP) OVER (PARTITION BY Category ORDER BY Date ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)')} AS MovingAvg_VWAP
 FROM sec""")
 def q_moving_avg(spark, sf_dir):
-    sec = market.moving_avg(market.sector_vwap(fx.bars(spark, sf_dir)))
+    sec = market.moving_avg(market.sector_vwap(fx.daily_vwap(spark, sf_dir)))
     return rounded(sec.select("Date", "Category", "MovingAvg_VWAP"))
 
 
@@ -71,7 +70,7 @@ SELECT Date, Category, {r4('sectorIndex')} AS sectorIndex,
        CAST(lead(sectorIndex) OVER (PARTITION BY Category ORDER BY Date) - sectorIndex > 0 AS INTEGER) AS BuySell
 FROM idx""")
 def q_buysell(spark, sf_dir):
-    idx = market.sector_index(fx.bars(spark, sf_dir), "VWAP", "sectorIndex")
+    idx = market.sector_index(fx.daily_vwap(spark, sf_dir), "VWAP", "sectorIndex")
     return rounded(signal.buysell_signal(idx, "sectorIndex"))
 
 
@@ -169,7 +168,7 @@ SELECT Date, Category, {r4('Sector_VWAP')} AS Sector_VWAP,
        CAST(row_number() OVER (PARTITION BY Category ORDER BY Date) AS INTEGER) AS Rank
 FROM s""")
 def q_rank_rows(spark, sf_dir):
-    return rounded(market.row_rank(market.sector_vwap(fx.bars(spark, sf_dir))))
+    return rounded(market.row_rank(market.sector_vwap(fx.daily_vwap(spark, sf_dir))))
 
 
 @query("minmax_normalize", sql=f"""
@@ -179,5 +178,5 @@ SELECT Date, Category, {r4('Sector_VWAP')} AS Sector_VWAP,
        {r4('(Sector_VWAP - (SELECT min(Sector_VWAP) FROM s)) / ((SELECT max(Sector_VWAP) FROM s) - (SELECT min(Sector_VWAP) FROM s))')} AS Normalized_Sector_VWAP
 FROM s""")
 def q_minmax_normalize(spark, sf_dir):
-    s = market.sector_vwap(fx.bars(spark, sf_dir))
+    s = market.sector_vwap(fx.daily_vwap(spark, sf_dir))
     return rounded(normalize.normalize_column(s, "Sector_VWAP", "Normalized_Sector_VWAP"))

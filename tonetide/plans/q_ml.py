@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..config import cut_lineage
 from ..functions.calendar import iso_text
 from ..operators import market, split
 from ..sources import fixtures as fx
@@ -32,7 +33,7 @@ SELECT Category, count(*) AS n, {r4('avg((y - p) * (y - p))')} AS mse, {r4('sqrt
 FROM f WHERE y IS NOT NULL GROUP BY Category""")
 def q_regression_metrics(spark, sf_dir):
     """How well the 6-row moving average forecasts the next day's sector VWAP."""
-    sec = market.moving_avg(market.sector_vwap(fx.bars(spark, sf_dir)))
+    sec = market.moving_avg(market.sector_vwap(fx.daily_vwap(spark, sf_dir)))
     w = Window.partitionBy("Category").orderBy("Date")
     f = sec.withColumn("next_vwap", F.lead("Sector_VWAP").over(w)).where(F.col("next_vwap").isNotNull())
     return rounded(metrics.regression_metrics(f, "next_vwap", "MovingAvg_VWAP", by="Category"))
@@ -131,8 +132,10 @@ def q_lag_sweep(spark, sf_dir):
 
 
 def _buysell_split(spark, sf_dir):
+    """Chronological 80/20 split of the buy/sell features, materialised once in
+    the shared checkpoint folder so iterative fits do not replay the lineage."""
     bi = flows.buysell_in(spark, sf_dir)
-    s = split.chrono_split_global(bi, "Date", ("Category",), 0.8)
+    s = cut_lineage(split.chrono_split_global(bi, "Date", ("Category",), 0.8))
     return s.where("is_train").drop("is_train"), s.where("NOT is_train").drop("is_train")
 
 

@@ -107,13 +107,22 @@ def q_lexicon_sentiment(spark, sf_dir):
 WITH {BASE_SQL}
 SELECT doc_id, {r4('sentiment')} AS sentiment, {r4('subjectivity')} AS subjectivity FROM scored""")
 def q_lexicon_sentiment_join(spark, sf_dir):
-    lex = spark.createDataFrame([(w, float(p), float(s)) for w, (p, s) in st.LEXICON.items()],
-                                "word string, polarity double, subjectivity double")
+    """Lexicon supplied as a table (here: the fixture lexicon written as one)."""
+    lex = st.lexicon_frame(spark)
     base = st.with_text(st.valid_dates(fx.news(spark, sf_dir)))
     out = st.score_text_join(base, lex)
     return rounded(out.select("doc_id", "sentiment", "subjectivity"))
 
 
+@query("lexicon_sentiment_map", sql=f"""
+WITH {BASE_SQL}
+SELECT doc_id, {r4('sentiment')} AS sentiment, {r4('subjectivity')} AS subjectivity FROM scored""")
+def q_lexicon_sentiment_map(spark, sf_dir):
+    """Small fixed lexicon inlined as MAP literals: row-local, no join."""
+    base = st.with_text(st.valid_dates(fx.news(spark, sf_dir)))
+    return rounded(st.score_text(base).select("doc_id", "sentiment", "subjectivity"))
+
+
 @query("daily_sentiment", sql=f"""
 WITH {DAILY_SQL}
 SELECT date, category, {r4('avg_sentiment')} AS avg_sentiment, {r4('avg_subjectivity')} AS avg_subjectivity,

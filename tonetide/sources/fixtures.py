@@ -69,32 +69,55 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily OHLCV bar per stock, with per-bar VWAP.
 
-    Open/Close are the first/last trade of the day by (orderkey, linenumber,
-    price) -- the price joins the order because (orderkey, linenumber) repeats
-    in the test data.
+    Open/Close are the first/last trade of the day in (orderkey, linenumber,
+    price) order -- the price joins the order because (orderkey, linenumber)
+    repeats in the test data. Two hash aggregates with primitive buffers
+    (a struct ordering would force an interpreted sort aggregate):
+    1. per (Date, Stock, trade key): price extremes, volume and notional;
+       rows sharing a trade key collapse, so the key is unique afterwards;
+    2. per (Date, Stock): ``min_by``/``max_by`` on the long trade key.
+    Both are partial (map-side) aggregates, so a hot stock or day is combined
+    before any shuffle.
     """
     li = table(spark, sf_dir, "lineitem").select(
         F.col("l_shipdate").cast("date").alias("Date"),
         F.col("l_suppkey").alias("Stock"),
-        "l_orderkey",
-        "l_linenumber",
+        # trade key: orderkey * 8 + linenumber (linenumber is 1..7 in TPC-H)
+        (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("k"),
         F.col("l_extendedprice").alias("p"),
         F.col("l_quantity").alias("q"),
     )
-    order = F.struct("l_orderkey", "l_linenumber", "p")
-    daily = li.groupBy("Date", "Stock").agg(
-        F.min_by("p", order).alias("Open"),
-        F.max("p").alias("High"),
-        F.min("p").alias("Low"),
-        F.max_by("p", order).alias("Close"),
+    per_trade = li.groupBy("Date", "Stock", "k").agg(
+        F.min("p").alias("p_lo"), F.max("p").alias("p_hi"),
+        F.sum("q").alias("q"), F.sum(F.col("p") * F.col("q")).alias("pq"),
+    )
+    daily = per_trade.groupBy("Date", "Stock").agg(
+        F.min_by("p_lo", "k").alias("Open"),
+        F.max("p_hi").alias("High"),
+        F.min("p_lo").alias("Low"),
+        F.max_by("p_hi", "k").alias("Close"),
         F.sum("q").alias("Volume"),
-        F.try_divide(F.sum(F.col("p") * F.col("q")), F.sum("q")).alias("VWAP"),
+        F.try_divide(F.sum("pq"), F.sum("q")).alias("VWAP"),
     )
     return daily.join(category_dim(spark, sf_dir), "Stock").select(
         "Date", "Stock", "Category", "Open", "High", "Low", "Close", "Volume", "VWAP"
     )
 
 
+def daily_vwap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(Date, Stock, Category, VWAP): the per-bar VWAP without Open/Close, one
+    partial aggregate -- what the sector-index chain needs."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").cast("date").alias("Date"),
+        F.col("l_suppkey").alias("Stock"),
+        F.col("l_extendedprice").alias("p"),
+        F.col("l_quantity").alias("q"),
+    )
+    daily = li.groupBy("Date", "Stock").agg(
+        F.try_divide(F.sum(F.col("p") * F.col("q")), F.sum("q")).alias("VWAP"))
+    return daily.join(category_dim(spark, sf_dir), "Stock").select("Date", "Stock", "Category", "VWAP")
+
+
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headline rows: doc_id, date (text, some malformed), category, headline,
     short_description (the whole rest of the document after its first line)."""
