@@ -135,3 +135,20 @@ def q_days_in_month(spark, sf_dir):
     m = li.select(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")).distinct()
     return m.select("year", "month", days_in_month_rule("year", "month").alias("days_rule"),
                     days_in_month(F.make_date("year", "month", F.lit(1))).alias("days_calendar"))
+
+
+@query("tone_stream")
+def q_tone_stream(spark, sf_dir):
+    """Structured Streaming daily tone: the event feed is landed as files in the
+    shared folder, consumed with an availableNow trigger, read back from the sink."""
+    from ..config import scratch_path
+    from ..streaming import tone_stream
+
+    root = scratch_path(spark, "tone_stream")
+    ev = fx.events_in(spark, sf_dir)
+    ev.where(F.col("Day") % 100 <= 15).write.parquet(f"{root}/landing/a")
+    ev.where(F.col("Day") % 100 > 15).write.parquet(f"{root}/landing/b")
+    q = tone_stream.start_daily_tone(spark, f"{root}/landing/*", f"{root}/daily", checkpoint=f"{root}/ckpt",
+                                     output_mode="update", available_now=True, watermark="400 days")
+    q.awaitTermination()
+    return rounded(spark.read.parquet(f"{root}/daily"))
