@@ -363,3 +363,45 @@ def q_sink_parquet(spark, sf_dir):
     path = scratch_path(spark, "tone_parquet")
     files.write_parquet(rounded(tone.ingest_events(fx.events_in(spark, sf_dir))), path, partition_by="Date")
     return files.read_parquet(spark, path, schemas.TONE)
+
+
+@query("landed_bars", sql=f"""
+WITH {BARS}
+SELECT Date, {r4('Open')} AS Open, {r4('High')} AS High, {r4('Low')} AS Low, {r4('Close')} AS Close,
+       {r4('Volume')} AS Volume, CAST(Stock AS VARCHAR) AS Stock, Category
+FROM bars WHERE Date >= DATE '1995-01-01' AND Date < DATE '2002-01-01'""")
+def q_landed_bars(spark, sf_dir):
+    """Bars landed per stock with provider-only columns, read back in one scan."""
+    from ..sources import landed
+
+    path = scratch_path(spark, "landed_bars")
+    b = rounded(fx.bars(spark, sf_dir)).drop("VWAP", "Category")
+    b = b.withColumns({"Dividends": F.lit(0.0), "Stock Splits": F.lit(0.0)})
+    # cluster by the partition column first: one file per stock, not per task and stock
+    b.repartition("Stock").write.mode("overwrite").partitionBy("Stock").parquet(path)
+    dim = fx.category_dim(spark, sf_dir).select(F.col("Stock").cast("string").alias("Stock"), "Category")
+    return landed.read_landed_bars(spark, path, "1995-01-01", "2002-01-01", dim)
+
+
+@query("landed_events", sql=f"""
+WITH {EVENTS}
+SELECT event_id, {r4('AvgTone')} AS AvgTone, SOURCEURL, Day FROM events_in
+WHERE Day BETWEEN 19980101 AND 19980115""")
+def q_landed_events(spark, sf_dir):
+    """Event feed landed per day; a day range reads only its partitions."""
+    from ..sources import landed
+
+    path = scratch_path(spark, "landed_events")
+    ev = rounded(fx.events_in(spark, sf_dir)).select("event_id", "AvgTone", "SOURCEURL", "Day")
+    ev.repartition("Day").write.mode("overwrite").partitionBy("Day").parquet(path)
+    return landed.read_landed_events(spark, path, 19980101, 19980115)
+
+
+@query("landed_news", sql=f"WITH {NEWS} SELECT * FROM news")
+def q_landed_news(spark, sf_dir):
+    """Headline dump landed as JSON lines, read back with the declared schema."""
+    from ..sources import landed
+
+    path = scratch_path(spark, "landed_news")
+    fx.news(spark, sf_dir).write.mode("overwrite").json(path)
+    return landed.read_landed_news(spark, path, "json")

@@ -62,6 +62,9 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
 
 
 def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite") -> None:
+    if partition_by:
+        # one file per partition value instead of one per task and value
+        df = df.repartition(*([partition_by] if isinstance(partition_by, str) else partition_by))
     w = df.write.mode(mode)
     if partition_by:
         # dynamic: only the partitions present in df are replaced
