@@ -53,14 +53,19 @@ def minmax_per_key(df: DataFrame, cols, key="Stock", suffix: str = "_scaled") ->
     return out
 
 
-def minmax_range(df: DataFrame, cols, a: float, b: float, suffix: str = "_scaled") -> DataFrame:
-    """Scale each column into [a, b] with global min/max (sklearn feature_range)."""
+def minmax_range(df: DataFrame, cols, a: float, b: float, suffix: str = "_scaled",
+                 bounds: dict | None = None) -> DataFrame:
+    """Scale each column into [a, b] with global min/max (sklearn feature_range).
+
+    Pass ``bounds`` from :func:`global_bounds` to share one aggregation between
+    several scalings (and their inverse)."""
     cols = [cols] if isinstance(cols, str) else list(cols)
-    bounds = global_bounds(df, cols)
+    bounds = bounds or global_bounds(df, cols)
     return df.withColumns({f"{c}{suffix}": scale_to(c, *bounds[c], a, b) for c in cols})
 
 
-def unscale_range(df: DataFrame, col: str, ref_col: str, a: float, b: float, out: str) -> DataFrame:
+def unscale_range(df: DataFrame, col: str, ref_col: str, a: float, b: float, out: str,
+                  bounds: dict | None = None) -> DataFrame:
     """Inverse transform of :func:`minmax_range` using ``ref_col``'s min/max."""
-    lo, hi = global_bounds(df, [ref_col])[ref_col]
+    lo, hi = (bounds or global_bounds(df, [ref_col]))[ref_col]
     return df.withColumn(out, unscale_from(col, lo, hi, a, b))

@@ -99,22 +99,25 @@ def lexicon_frame(spark, lexicon: dict | None = None) -> DataFrame:
 
 
 def score_docs(df: DataFrame, lexicon_df: DataFrame, keys=("doc_id",), text_col="headline_description",
-               max_lexicon_rows: int = 1_000_000) -> DataFrame:
+               max_lexicon_rows: int = 1_000_000, id_col: str = "doc_id") -> DataFrame:
     """Per-document ``sentiment`` / ``subjectivity`` with the lexicon as a table.
 
-    Tokens are exploded next to the document keys (the text itself is never
-    shuffled), LEFT-joined to the broadcast lexicon (checked row bound) and
-    averaged per document with partial aggregation; a document without any
-    lexicon word scores 0.0. Generate, broadcast hash join and hash aggregate
-    all run inside whole-stage codegen.
+    Tokens are exploded next to the document id only (the text is never
+    shuffled), inner-joined to the broadcast lexicon (checked row bound) so
+    non-lexicon tokens drop out before any aggregation, and averaged per
+    document with partial aggregation. The document keys are joined back on
+    the id; a document without any lexicon word scores 0.0. Generate, the
+    broadcast hash join and the hash aggregate run in whole-stage codegen.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    toks = df.select(*keys, F.explode_outer(F.split(F.lower(text_col), SENTIMENT_TOKEN_SPLIT)).alias("word"))
+    if id_col not in keys:
+        raise ValueError(f"{id_col!r} must be one of the keys {keys}")
+    toks = df.select(id_col, F.explode(F.split(F.lower(text_col), SENTIMENT_TOKEN_SPLIT)).alias("word"))
     lex = bounded_broadcast(lexicon_df.select("word", "polarity", "subjectivity"), max_lexicon_rows)
-    return toks.join(lex, "word", "left").groupBy(*keys).agg(
-        F.coalesce(F.avg("polarity"), F.lit(0.0)).alias("sentiment"),
-        F.coalesce(F.avg("subjectivity"), F.lit(0.0)).alias("subjectivity"),
-    )
+    hits = toks.join(lex, "word").groupBy(id_col).agg(
+        F.avg("polarity").alias("sentiment"), F.avg("subjectivity").alias("subjectivity"))
+    out = df.select(*keys).join(hits, id_col, "left")
+    return out.select(*keys, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ("sentiment", "subjectivity")])
 
 
 def score_text_join(df: DataFrame, lexicon_df: DataFrame, key="doc_id", text_col="headline_description",

@@ -20,14 +20,14 @@ def daily_sentiment(spark, sf_dir) -> DataFrame:
     return st.daily_sentiment(st.news_scored(fx.news(spark, sf_dir)))
 
 
-def sentiment_price(spark, sf_dir, year: int | None = 1998) -> DataFrame:
+def sentiment_price(spark, sf_dir, year: int | None = 1998, keep_category: bool = False) -> DataFrame:
     """Daily sentiment ⋈ sector Open/Close on (date, lower(category)), then the
     year and either-nonzero filters and ``open_close_diff`` (the regression input)."""
     sent = daily_sentiment(spark, sf_dir).withColumn("date", F.to_date("date"))
     px = sector_ohlc(fx.bars(spark, sf_dir)).select(
         F.col("Date").alias("date"), F.lower("Category").alias("category"), "Open", "Close")
     j = sent.join(px, ["date", "category"], "inner").select(
-        "date", "avg_sentiment", "avg_subjectivity", "Open", "Close")
+        "date", *(["category"] if keep_category else []), "avg_sentiment", "avg_subjectivity", "Open", "Close")
     if year is not None:
         j = j.where(in_year("date", year))
     j = j.where((F.col("avg_sentiment") != 0) | (F.col("avg_subjectivity") != 0))

@@ -16,6 +16,8 @@ from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import cut_lineage
+
 
 def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction", by=()) -> DataFrame:
     """n, mse, rmse, mae, r2 (= 1 - SSE / (n * var_pop(label)), the evaluator's r2)."""
@@ -40,6 +42,9 @@ def auc(df: DataFrame, label: str, score: str, by=(), buckets: int = 64) -> Data
     hist = (df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
             .groupBy(*by, F.col(score).alias("__s"))
             .agg(F.sum(pos).alias("__p"), F.sum(neg).alias("__n")))
+    # the fit and the ranking below both read the histogram: materialise it
+    # once in the shared checkpoint folder instead of replaying the input plan
+    hist = cut_lineage(hist)
     # range buckets over the distinct scores (a small fit: numBuckets-1 split points)
     disc = QuantileDiscretizer(numBuckets=buckets, inputCol="__s", outputCol="__b",
                                relativeError=1e-3, handleInvalid="keep")

@@ -36,14 +36,18 @@ def _c(a, b):
     return f"c_{a}__{b}"
 
 
-def stat_exprs(features: list[str], label: str) -> dict[str, str]:
-    """Aggregate SQL (name -> expression) of the sufficient statistics."""
-    q = lambda c: f'"{c}"'
-    out = {_m(f): f"avg({q(f)})" for f in features + [label]}
+def stat_exprs(features: list[str], label: str, where: str | None = None, prefix: str = "") -> dict[str, str]:
+    """Aggregate SQL (name -> expression) of the sufficient statistics: means and
+    population covariances, optionally over the rows where ``where`` holds."""
+    if where is None:
+        q = lambda c: f'"{c}"'
+    else:
+        q = lambda c: f'CASE WHEN {where} THEN "{c}" END'
+    out = {prefix + _m(f): f"avg({q(f)})" for f in features + [label]}
     cols = features + [label]
-    for i, a in enumerate(features):
+    for i, a in enumerate(features + [label]):
         for b in cols[i:]:
-            out[_c(a, b)] = f"covar_pop({q(a)}, {q(b)})"
+            out[prefix + _c(a, b)] = f"covar_pop({q(a)}, {q(b)})"
     return out
 
 
@@ -83,6 +87,53 @@ def coef_exprs(features: list[str], label: str) -> dict[str, str]:
     return out
 
 
+def coef_layers(features: list[str], label: str) -> list[dict[str, str]]:
+    """The same closed form as :func:`coef_exprs`, as two projection layers
+    (determinant/adjugate columns, then coefficients). Each expensive term is
+    a column referenced several times, so Catalyst keeps the layers apart and
+    the generated code stays small; the arithmetic is identical."""
+    nested = coef_exprs(features, label)
+    k = len(features)
+    f, y = features, label
+    C = lambda i, j: _c(f[i], f[j])
+    c = lambda i: _c(f[i], y)
+    if k == 1:
+        return [{}, nested]
+    if k == 2:
+        first = {"__det": f"({C(0, 0)} * {C(1, 1)} - {C(0, 1)} * {C(0, 1)})",
+                 "__scale": f"abs({C(0, 0)} * {C(1, 1)})"}
+        adj = [[C(1, 1), f"(-{C(0, 1)})"], [f"(-{C(0, 1)})", C(0, 0)]]
+    else:
+        a, b, cc, d, e, ff = C(0, 0), C(0, 1), C(0, 2), C(1, 1), C(1, 2), C(2, 2)
+        first = {
+            "__A11": f"({d} * {ff} - {e} * {e})", "__A12": f"({cc} * {e} - {b} * {ff})",
+            "__A13": f"({b} * {e} - {cc} * {d})", "__A22": f"({a} * {ff} - {cc} * {cc})",
+            "__A23": f"({b} * {cc} - {a} * {e})", "__A33": f"({a} * {d} - {b} * {b})",
+            "__scale": f"abs({a} * {d} * {ff})",
+        }
+        adj = [["__A11", "__A12", "__A13"], ["__A12", "__A22", "__A23"], ["__A13", "__A23", "__A33"]]
+    second = {}
+    if k == 3:
+        second["__det"] = f"({C(0, 0)} * __A11 + {C(0, 1)} * __A12 + {C(0, 2)} * __A13)"
+    ok = f"abs(__det) > {SINGULAR_TOL} * __scale AND __scale > 0"
+    third = {}
+    for i in range(k):
+        num = " + ".join(f"{adj[i][j]} * {c(j)}" for j in range(k))
+        third[f"b_{i + 1}"] = f"CASE WHEN {ok} THEN ({num}) / __det END"
+    layers = [first]
+    if second:
+        layers.append(second)
+    layers.append(third)
+    return layers
+
+
+def _apply_layers(df: DataFrame, layers: list[dict[str, str]]) -> DataFrame:
+    for layer in layers:
+        if layer:
+            df = df.withColumns({n: F.expr(e) for n, e in layer.items()})
+    return df
+
+
 def intercept_expr(features: list[str], label: str) -> str:
     terms = " - ".join(f"b_{i + 1} * {_m(f)}" for i, f in enumerate(features))
     return f"{_m(label)} - {terms}"
@@ -92,13 +143,57 @@ def prediction_expr(features: list[str]) -> str:
     return "b_0 + " + " + ".join(f'b_{i + 1} * "{f}"' for i, f in enumerate(features))
 
 
+def test_mse_expr(features: list[str], label: str, test_prefix: str = "t_") -> str:
+    """Test-set MSE of the fitted b_0..b_k from test-set moments only:
+    var(y) - 2 b.cov(x, y) + b'cov(x)b + (mean y - b_0 - b.mean x)^2."""
+    k = len(features)
+    t = lambda name: test_prefix + name
+    parts = [t(_c(label, label))]
+    parts += [f"- 2 * b_{i + 1} * {t(_c(features[i], label))}" for i in range(k)]
+    parts += [f"+ b_{i + 1} * b_{j + 1} * {t(_c(features[i], features[j]))}" for i in range(k) for j in range(k)]
+    bias = f"({t(_m(label))} - b_0 - " + " - ".join(f"b_{i + 1} * {t(_m(f))}" for i, f in enumerate(features)) + ")"
+    return "(" + " ".join(parts) + f" + {bias} * {bias})"
+
+
+def fit_evaluate_closed_form(df: DataFrame, features: list[str], label: str, train_flag: str, by=()) -> DataFrame:
+    """Fit on rows where ``train_flag`` is true, score the others, in ONE grouped
+    aggregate: per group n_train, n_test, b_0..b_k, mse, rmse, r2 (test set).
+
+    The test metrics follow exactly from the test rows' means and covariances,
+    so no join of coefficients back to the rows is needed.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    sq = lambda s: s.replace('"', "`")
+    plain = stat_exprs(features, label)
+    # level 1: moments per (group, side); clustered like the group, so no new shuffle
+    per_side = df.groupBy(*by, train_flag).agg(
+        F.count(F.lit(1)).alias("__n"), *[F.expr(sq(e)).alias(n) for n, e in plain.items()])
+    # level 2: the two sides of a group next to each other (cheap max of at most one value)
+    side = lambda flag, c: F.max(F.when(F.col(train_flag) == flag, F.col(c)))
+    stats = per_side.groupBy(*by).agg(
+        F.coalesce(side(True, "__n"), F.lit(0)).alias("n_train"),
+        F.coalesce(side(False, "__n"), F.lit(0)).alias("n_test"),
+        *[side(True, n).alias(n) for n in plain],
+        *[side(False, n).alias("t_" + n) for n in plain],
+    )
+    coefs = _apply_layers(stats, coef_layers(features, label))
+    coefs = coefs.withColumn("b_0", F.expr(intercept_expr(features, label)))
+    mse = F.expr(test_mse_expr(features, label))
+    var_y = F.col("t_" + _c(label, label))
+    out = coefs.withColumn("mse", F.when(F.col("n_test") > 0, mse))
+    out = out.withColumn("rmse", F.sqrt("mse")).withColumn(
+        "r2", F.lit(1.0) - F.try_divide(F.col("mse"), var_y))
+    return out.select(*by, "n_train", "n_test", "b_0", *[f"b_{i + 1}" for i in range(len(features))],
+                      "mse", "rmse", "r2")
+
+
 def fit_closed_form(train: DataFrame, features: list[str], label: str, by=()) -> DataFrame:
     """One row per group: b_0..b_k (null when the covariance matrix is singular)."""
     by = [by] if isinstance(by, str) else list(by)
     sq = lambda s: s.replace('"', "`")  # noqa: E731  (Spark quotes identifiers with backticks)
     stats = train.groupBy(*by).agg(*[F.expr(sq(e)).alias(n) for n, e in stat_exprs(features, label).items()],
                                    F.count(F.lit(1)).alias("n_train"))
-    coefs = stats.select("*", *[F.expr(e).alias(n) for n, e in coef_exprs(features, label).items()])
+    coefs = _apply_layers(stats, coef_layers(features, label))
     coefs = coefs.select(*by, "n_train", *[f"b_{i + 1}" for i in range(len(features))],
                          *[_m(f) for f in features + [label]])
     coefs = coefs.withColumn("b_0", F.expr(intercept_expr(features, label)))
@@ -125,26 +220,36 @@ SWEEP_SCHEMA = T.StructType([
 ])
 
 
-def _minmax_fit_apply(train: np.ndarray, test: np.ndarray):
-    lo, hi = train.min(axis=0), train.max(axis=0)
-    rng = hi - lo
-    safe = np.where(rng == 0, 1.0, rng)
-    f = lambda x: np.where(rng == 0, 0.5, (x - lo) / safe)  # noqa: E731  (MinMaxScaler: constant -> 0.5)
-    return f(train), f(test)
+def _solve(A: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Least squares: Cholesky on the normal equations, ``lstsq`` (minimum norm)
+    when the Gram matrix is not numerically positive definite."""
+    G = A.T @ A
+    try:
+        L = np.linalg.cholesky(G)
+        d = np.diag(L)
+        if d.min() > 1e-7 * d.max():
+            z = np.linalg.solve(L, A.T @ y)
+            return np.linalg.solve(L.T, z)
+    except np.linalg.LinAlgError:
+        pass
+    return np.linalg.lstsq(A, y, rcond=None)[0]
 
 
 def sweep_one_stock(pdf: pd.DataFrame, base: list[str], label: str, lags: list[int], frac: float) -> pd.DataFrame:
     pdf = pdf.sort_values("Date", kind="mergesort")
     stock = pdf["Stock"].iloc[0]
     y_all = pdf[label].to_numpy(dtype="float64")
-    xb_all = pdf[base].to_numpy(dtype="float64")
+    n = len(y_all)
+    max_lag = max(lags)
+    # all lag columns once: column i-1 holds y[t - i]
+    lagged = np.full((n, max_lag), np.nan)
+    for i in range(1, min(max_lag, n - 1) + 1):
+        lagged[i:, i - 1] = y_all[:-i]
+    X_all = np.hstack([pdf[base].to_numpy(dtype="float64"), lagged])
+    nb = len(base)
     rows = []
     for L in lags:
-        n = len(pdf)
-        # lag i of row t is y[t - i]; rows with any missing value are dropped
-        cols = [xb_all] + [np.concatenate([np.full(i, np.nan), y_all[:-i]])[:, None] if i < n
-                           else np.full((n, 1), np.nan) for i in range(1, L + 1)]
-        X = np.hstack(cols)
+        X = X_all[:, : nb + L]
         keep = ~np.isnan(X).any(axis=1) & ~np.isnan(y_all)
         X, y = X[keep], y_all[keep]
         m = len(y)
@@ -152,11 +257,15 @@ def sweep_one_stock(pdf: pd.DataFrame, base: list[str], label: str, lags: list[i
         n_test = m - n_train
         mse = r2 = None
         if n_train >= 1 and n_test >= 1:
-            Xtr, Xte = _minmax_fit_apply(X[:n_train], X[n_train:])
-            A = np.hstack([np.ones((n_train, 1)), Xtr])
-            beta, *_ = np.linalg.lstsq(A, y[:n_train], rcond=None)
-            pred = np.hstack([np.ones((n_test, 1)), Xte]) @ beta
-            err = y[n_train:] - pred
+            lo, hi = X[:n_train].min(axis=0), X[:n_train].max(axis=0)
+            # MinMaxScaler fitted on train; a train-constant column scales to 0.5
+            # everywhere, collinear with the intercept: dropping it leaves the
+            # minimum-norm predictions unchanged
+            var = hi > lo
+            Xs = (X[:, var] - lo[var]) / (hi[var] - lo[var])
+            A = np.hstack([np.ones((m, 1)), Xs])
+            beta = _solve(A[:n_train], y[:n_train])
+            err = y[n_train:] - A[n_train:] @ beta
             mse = float(np.mean(err ** 2))
             sst = float(np.sum((y[n_train:] - y[n_train:].mean()) ** 2))
             r2 = 1.0 - float(np.sum(err ** 2)) / sst if n_test >= 2 and sst > 0 else None

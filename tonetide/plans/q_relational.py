@@ -238,25 +238,27 @@ SELECT date, {r4('avg_sentiment_scaled')} AS avg_sentiment_scaled, {r4('avg_subj
 FROM sc""")
 def q_minmax_range(spark, sf_dir):
     sp = flows.sentiment_price(spark, sf_dir)
-    s = normalize.minmax_range(sp, ["avg_sentiment", "avg_subjectivity"], -1.0, 1.0)
-    s = normalize.minmax_range(s, ["open_close_diff"], 0.0, 100.0)
+    bounds = normalize.global_bounds(sp, ["avg_sentiment", "avg_subjectivity", "open_close_diff"])
+    s = normalize.minmax_range(sp, ["avg_sentiment", "avg_subjectivity"], -1.0, 1.0, bounds=bounds)
+    s = normalize.minmax_range(s, ["open_close_diff"], 0.0, 100.0, bounds=bounds)
     s = normalize.unscale_range(s, "open_close_diff_scaled", "open_close_diff", 0.0, 100.0,
-                                "open_close_diff_restored")
+                                "open_close_diff_restored", bounds=bounds)
     return rounded(s.select("date", "avg_sentiment_scaled", "avg_subjectivity_scaled",
                             "open_close_diff_scaled", "open_close_diff_restored"))
 
 
 @query("sequence_features", sql=f"""
-WITH {SENT_PRICE_SQL}
-SELECT date, list([{r4('avg_sentiment')}, {r4('avg_subjectivity')}, {r4('Open')}, {r4('Close')}])
-         OVER (ORDER BY date ROWS BETWEEN CURRENT ROW AND CURRENT ROW) AS sequence
+WITH {SENT_PRICE_SQL.replace("SELECT CAST(d.date AS DATE) AS date, d.avg_sentiment", "SELECT CAST(d.date AS DATE) AS date, d.category, d.avg_sentiment")}
+SELECT date, category,
+       list([{r4('avg_sentiment')}, {r4('avg_subjectivity')}, {r4('Open')}, {r4('Close')}])
+         OVER (PARTITION BY category ORDER BY date ROWS BETWEEN CURRENT ROW AND CURRENT ROW) AS sequence
 FROM sp""")
 def q_sequence_features(spark, sf_dir):
-    sp = rounded(flows.sentiment_price(spark, sf_dir))
-    sp = sp.withColumn("__k", F.lit(1))
+    """(steps x k) feature windows per sector series; steps = 1 as in the reference."""
+    sp = rounded(flows.sentiment_price(spark, sf_dir, keep_category=True))
     s = signal.sequence_features(sp, ["avg_sentiment", "avg_subjectivity", "Open", "Close"], steps=1,
-                                 key="__k", order="date")
-    return s.select("date", "sequence")
+                                 key="category", order="date")
+    return s.select("date", "category", "sequence")
 
 
 @query("parse_dates", sql=f"""
