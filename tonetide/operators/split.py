@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,8 +66,17 @@ def hash_split(df: DataFrame, key: Column | str, frac: float = 0.8, out="is_trai
 
 
 def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
-    """SQL EXCEPT (the reference's ``except``): duplicates collapse."""
-    return a.subtract(b)
+    """SQL EXCEPT (the reference's ``except``): duplicates collapse.
+
+    Both sides are de-duplicated first (partial aggregation collapses a hot
+    row map-side), then a null-safe anti join removes the rows of ``b``; the
+    join sees each distinct row once, so a heavy duplicate cannot skew it.
+    """
+    cols = a.columns
+    da, db = a.distinct().alias("__l"), b.select(*cols).distinct().alias("__r")
+    cond = reduce(lambda x, y: x & y,
+                  [F.col(f"__l.`{c}`").eqNullSafe(F.col(f"__r.`{c}`")) for c in cols])
+    return da.join(db, cond, "left_anti").select(*[F.col(f"__l.`{c}`").alias(c) for c in cols])
 
 
 def except_all(a: DataFrame, b: DataFrame) -> DataFrame:
