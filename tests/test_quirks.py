@@ -115,3 +115,43 @@ def test_conform_pads_and_orders(spark):
     assert out.columns == [f.name for f in schemas.BAR_FACTORS.fields]
     r = out.collect()[0]
     assert r.Close == 1.0 and r.Open is None and r.Stock == "X"
+
+
+def test_lag_array_matches_lag_columns(spark):
+    rows = [(1, d("2020-01-%02d" % i), float(i) if i != 3 else None) for i in range(1, 7)]
+    df = spark.createDataFrame(rows, "Stock int, Date date, x double")
+    cols = signal.lag_features(df, "x", 3).orderBy("Date").collect()
+    arr = signal.lag_array(df, "x", 3).orderBy("Date").collect()
+    for c, a in zip(cols, arr):
+        assert list(a.lags) == [c["x_Lag_1"], c["x_Lag_2"], c["x_Lag_3"]]
+
+
+def test_sorted_csv_export_and_error_mode(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from tonetide.sources import files
+
+    df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "k int, v string")
+    path = str(tmp_path / "out")
+    files.write_csv(df.repartition(3), path, order_by="k")
+    back = files.read_csv(spark, path, df.schema)
+    assert [r.k for r in back.collect()] == [1, 2, 3]
+    with pytest.raises(AnalysisException):
+        files.write_csv(df, path, mode="errorifexists")
+
+
+def test_random_split_is_seeded(spark):
+    df = spark.range(200)
+    a1, b1 = split.random_split(df, 0.8, seed=7)
+    a2, b2 = split.random_split(df, 0.8, seed=7)
+    assert sorted(r.id for r in a1.collect()) == sorted(r.id for r in a2.collect())
+    assert a1.count() + b1.count() == 200
+
+
+def test_ticker_dim_is_110_rows_in_11_sectors(spark):
+    from tonetide.sources import dims
+
+    t = dims.ticker_dim(spark)
+    assert t.count() == 110
+    assert t.select("Category").distinct().count() == 11

@@ -65,6 +65,12 @@ def hash_split(df: DataFrame, key: Column | str, frac: float = 0.8, out="is_trai
     return df.withColumn(out, hash_bucket(key) < F.lit(int(round(frac * 100))))
 
 
+def random_split(df: DataFrame, frac: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Seeded ``randomSplit`` (the reference's split, made reproducible)."""
+    train, test = df.randomSplit([frac, 1.0 - frac], seed=seed)
+    return train, test
+
+
 def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
     """SQL EXCEPT (the reference's ``except``): duplicates collapse.
 

@@ -82,6 +82,14 @@ def month_spine(df: DataFrame, date_col="Date") -> DataFrame:
     )
 
 
+def months_between_spine(df: DataFrame, date_col="Date", out="month") -> DataFrame:
+    """Month spine: every month (yyyyMM int) from the data's first to last month."""
+    bounds = df.agg(F.trunc(F.min(date_col), "month").alias("lo"), F.trunc(F.max(date_col), "month").alias("hi"))
+    months = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("__m"))
+    return months.select(F.date_format("__m", "yyyyMM").cast("int").alias(out),
+                         F.dayofmonth(F.last_day("__m")).alias("days_in_month"))
+
+
 def gap_fill(daily: DataFrame, spine: DataFrame, date_col="Date", fill: float = 0.0) -> DataFrame:
     """Spine LEFT JOIN daily; a day without data becomes a row of zeros."""
     vals = [c for c in daily.columns if c != date_col]

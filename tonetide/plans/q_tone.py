@@ -122,6 +122,17 @@ def q_date_spine(spark, sf_dir):
                      days_in_month("Date").alias("days_in_month"))
 
 
+@query("month_spine", sql="""
+WITH b AS (SELECT date_trunc('month', min(l_shipdate)) AS lo, date_trunc('month', max(l_shipdate)) AS hi FROM lineitem),
+m AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS mo FROM b)
+SELECT CAST(strftime(mo, '%Y%m') AS INTEGER) AS month, CAST(dayofmonth(last_day(CAST(mo AS DATE))) AS INTEGER) AS days_in_month
+FROM m""")
+def q_month_spine(spark, sf_dir):
+    """Every month between the first and last ship date, with its length."""
+    li = fx.table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("Date"))
+    return tone.months_between_spine(li)
+
+
 @query("days_in_month", sql="""
 WITH m AS (SELECT DISTINCT year(l_shipdate) AS y, month(l_shipdate) AS m FROM lineitem)
 SELECT CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month,

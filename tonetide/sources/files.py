@@ -52,8 +52,13 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite",
-              single_file: bool = False, partition_by=None) -> None:
-    out = df.coalesce(1) if single_file else df
+              single_file: bool = False, partition_by=None, order_by=None) -> None:
+    """CSV export. ``order_by`` sorts globally at the sink (range-partitioned,
+    part files in key order); ``mode="errorifexists"`` refuses to overwrite."""
+    out = df
+    if order_by:
+        out = out.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
+    out = out.coalesce(1) if single_file else out
     w = (out.write.mode(mode).option("header", header).option("escape", '"')
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if partition_by:
