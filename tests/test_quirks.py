@@ -155,3 +155,15 @@ def test_ticker_dim_is_110_rows_in_11_sectors(spark):
     t = dims.ticker_dim(spark)
     assert t.count() == 110
     assert t.select("Category").distinct().count() == 11
+
+
+def test_bounded_broadcast_raises_beyond_bound(spark):
+    import pytest
+
+    from tonetide.config import bounded_broadcast
+
+    small = spark.range(5).withColumnRenamed("id", "k")
+    big = spark.range(100).withColumnRenamed("id", "k")
+    assert big.join(bounded_broadcast(small, 10), "k").count() == 5
+    with pytest.raises(Exception):
+        big.join(bounded_broadcast(big, 10), "k").count()

@@ -99,11 +99,12 @@ def lexicon_frame(spark, lexicon: dict | None = None) -> DataFrame:
 
 
 def score_docs(df: DataFrame, lexicon_df: DataFrame, keys=("doc_id",), text_col="headline_description",
-               max_lexicon_rows: int = 1_000_000, id_col: str = "doc_id") -> DataFrame:
+               max_lexicon_rows: int | None = None, id_col: str = "doc_id") -> DataFrame:
     """Per-document ``sentiment`` / ``subjectivity`` with the lexicon as a table.
 
     Tokens are exploded next to the document id only (the text is never
-    shuffled), inner-joined to the broadcast lexicon (checked row bound) so
+    shuffled), inner-joined to the lexicon -- broadcast by Spark's size check,
+    or forced with a verified row bound when ``max_lexicon_rows`` is given -- so
     non-lexicon tokens drop out before any aggregation, and averaged per
     document with partial aggregation. The document keys are joined back on
     the id; a document without any lexicon word scores 0.0. Generate, the
@@ -113,7 +114,9 @@ def score_docs(df: DataFrame, lexicon_df: DataFrame, keys=("doc_id",), text_col=
     if id_col not in keys:
         raise ValueError(f"{id_col!r} must be one of the keys {keys}")
     toks = df.select(id_col, F.explode(F.split(F.lower(text_col), SENTIMENT_TOKEN_SPLIT)).alias("word"))
-    lex = bounded_broadcast(lexicon_df.select("word", "polarity", "subjectivity"), max_lexicon_rows)
+    lex = lexicon_df.select("word", "polarity", "subjectivity")
+    if max_lexicon_rows:
+        lex = bounded_broadcast(lex, max_lexicon_rows)
     hits = toks.join(lex, "word").groupBy(id_col).agg(
         F.avg("polarity").alias("sentiment"), F.avg("subjectivity").alias("subjectivity"))
     out = df.select(*keys).join(hits, id_col, "left")
@@ -121,7 +124,7 @@ def score_docs(df: DataFrame, lexicon_df: DataFrame, keys=("doc_id",), text_col=
 
 
 def score_text_join(df: DataFrame, lexicon_df: DataFrame, key="doc_id", text_col="headline_description",
-                    max_lexicon_rows: int = 1_000_000) -> DataFrame:
+                    max_lexicon_rows: int | None = 1_000_000) -> DataFrame:
     """All columns of ``df`` except the text, plus the two scores."""
     keys = [c for c in df.columns if c not in (text_col, "headline", "short_description")]
     return score_docs(df, lexicon_df, keys, text_col, max_lexicon_rows)

@@ -11,9 +11,11 @@ Scale notes
   dimension. The aggregation is partial (map-side combine), so a hot supplier
   or day collapses to one row per map task before any shuffle; the later join
   sees at most one row per stock and day, so it cannot be skewed.
-* nation (25 rows) and region (5 rows) are fixed-size TPC-H dimensions and are
-  broadcast behind a checked bound. supplier grows with the data and is never
-  force-broadcast; AQE broadcasts it only when its runtime size is small.
+* No join is force-broadcast. Spark broadcasts a side only when its size
+  (file statistics, re-checked by AQE on runtime sizes) is under
+  ``spark.sql.autoBroadcastJoinThreshold`` and falls back to a sort-merge
+  join beyond it: nation/region (25/5 rows) always qualify; supplier, which
+  grows with the data, qualifies only while it is small.
 """
 
 from __future__ import annotations
@@ -21,9 +23,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import bounded_broadcast
-
-DIM_BOUND = 10_000  # nation/region are 25/5 rows by spec; generous guard
 EVENT_SHIFT_MONTHS = 312  # 26 years: 2024-01 -> 1998-01
 
 
@@ -35,7 +34,7 @@ def region_of_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(n_nationkey, r_regionkey, r_name): 25 rows."""
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return n.join(bounded_broadcast(r, DIM_BOUND), n.n_regionkey == r.r_regionkey).select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
         "n_nationkey", "r_regionkey", "r_name"
     )
 
@@ -46,11 +45,26 @@ def category_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").alias("Stock"), "s_nationkey"
     )
     nr = region_of_nation(spark, sf_dir)
-    return s.join(bounded_broadcast(nr, DIM_BOUND), s.s_nationkey == nr.n_nationkey).select(
+    return s.join(nr, s.s_nationkey == nr.n_nationkey).select(
         "Stock", F.col("r_name").alias("Category")
     )
 
 
+def attach_category(df: DataFrame, spark: SparkSession, sf_dir: str, key: str = "Stock") -> DataFrame:
+    """Add ``Category`` (region name) to a frame keyed by supplier.
+
+    The raw dimension scans are joined one at a time so that every build side
+    carries exact file statistics: without CBO Spark estimates a join's size
+    as the product of its inputs, and a pre-joined dimension would look larger
+    than the fact side it should be joined into.
+    """
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias(key), "s_nationkey")
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
+    r = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"),
+                                              F.col("r_name").alias("Category"))
+    return df.join(s, key).join(n, "s_nationkey").join(r, "n_regionkey").drop("s_nationkey", "n_regionkey")
+
+
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per trade: Date, Stock, Category, Price, Quantity + tie-break keys."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -61,7 +75,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("Price"),
         F.col("l_quantity").alias("Quantity"),
     )
-    return li.join(category_dim(spark, sf_dir), "Stock").select(
+    return attach_category(li, spark, sf_dir).select(
         "Date", "Stock", "Category", "Price", "Quantity", "l_orderkey", "l_linenumber"
     )
 
@@ -99,7 +113,7 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("q").alias("Volume"),
         F.try_divide(F.sum("pq"), F.sum("q")).alias("VWAP"),
     )
-    return daily.join(category_dim(spark, sf_dir), "Stock").select(
+    return attach_category(daily, spark, sf_dir).select(
         "Date", "Stock", "Category", "Open", "High", "Low", "Close", "Volume", "VWAP"
     )
 
@@ -115,7 +129,7 @@ def daily_vwap(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     daily = li.groupBy("Date", "Stock").agg(
         F.try_divide(F.sum(F.col("p") * F.col("q")), F.sum("q")).alias("VWAP"))
-    return daily.join(category_dim(spark, sf_dir), "Stock").select("Date", "Stock", "Category", "VWAP")
+    return attach_category(daily, spark, sf_dir).select("Date", "Stock", "Category", "VWAP")
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +154,7 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
         headline.alias("headline"),
         F.expr("substring(text, length(split(text, '\\n', 2)[0]) + 2)").alias("short_description"),
     )
-    return withkey.join(bounded_broadcast(r, DIM_BOUND), withkey.rk == r.r_regionkey, "left").select(
+    return withkey.join(r, withkey.rk == r.r_regionkey, "left").select(
         "doc_id", "date", F.initcap("r_name").alias("category"), "source", "headline",
         "short_description"
     )

@@ -22,7 +22,7 @@ PROVIDER_ONLY = ("Dividends", "Stock Splits")
 
 
 def read_landed_bars(spark: SparkSession, path: str, start: str, end: str, dim: DataFrame,
-                     schema: T.StructType | None = None, dim_bound: int = 1_000_000) -> DataFrame:
+                     schema: T.StructType | None = None, dim_bound: int | None = None) -> DataFrame:
     """Bars landed as ``path/Stock=<ticker>/*.parquet``; [start, end) date window."""
     r = spark.read.option("basePath", path)
     if schema is not None:
@@ -32,7 +32,8 @@ def read_landed_bars(spark: SparkSession, path: str, start: str, end: str, dim:
     raw = raw.where((F.col("Date") >= F.lit(start).cast("date")) & (F.col("Date") < F.lit(end).cast("date")))
     if "Category" in raw.columns:
         raw = raw.drop("Category")
-    joined = raw.join(bounded_broadcast(dim.select("Stock", "Category"), dim_bound), "Stock", "left")
+    d = dim.select("Stock", "Category")
+    joined = raw.join(bounded_broadcast(d, dim_bound) if dim_bound else d, "Stock", "left")
     out_schema = T.StructType([f for f in BAR_FACTORS.fields if f.name != "Dividends"])
     return conform(joined, out_schema)
 
