@@ -21,9 +21,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        # core config: cannot be set at runtime; register it with the context
         path = tempfile.mkdtemp(prefix="tonetide-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
+        path = spark.sparkContext.getCheckpointDir() or path
     return path.rstrip("/")
 
 
