@@ -63,3 +63,65 @@ LEXICON = T.StructType([
     T.StructField("polarity", T.DoubleType()),
     T.StructField("subjectivity", T.DoubleType()),
 ])
+
+# ---- input shapes of the reference's CSV dumps (header row, declared types) ----
+
+MERGED_BARS = T.StructType([
+    T.StructField("Date", T.DateType()),
+    T.StructField("Stock", T.StringType()),
+    T.StructField("Category", T.StringType()),
+    T.StructField("Open", T.DoubleType()),
+    T.StructField("High", T.DoubleType()),
+    T.StructField("Low", T.DoubleType()),
+    T.StructField("Close", T.DoubleType()),
+    T.StructField("Volume", T.DoubleType()),
+])
+
+SECTOR_INDEX = T.StructType([
+    T.StructField("Date", T.DateType()),
+    T.StructField("Category", T.StringType()),
+    T.StructField("sectorIndex", T.DoubleType()),
+])
+
+DAILY_SENTIMENT_IN = T.StructType([
+    T.StructField("Date", T.DateType()),
+    T.StructField("Category", T.StringType()),
+    T.StructField("avg_sentiment", T.DoubleType()),
+    T.StructField("avg_subjectivity", T.DoubleType()),
+    T.StructField("articles_count", T.DoubleType()),
+])
+
+STOCK_FEATURES = T.StructType([
+    T.StructField("Date", T.DateType()),
+    T.StructField("Stock", T.StringType()),
+    T.StructField("avg_articles_count", T.DoubleType()),
+    T.StructField("avg_subjectivity", T.DoubleType()),
+    T.StructField("Momentum", T.DoubleType()),
+    T.StructField("Close-Open", T.DoubleType()),
+])
+
+BUYSELL_IN = T.StructType([
+    T.StructField("Date", T.DateType()),
+    T.StructField("Category", T.StringType()),
+    T.StructField("avg_sentiment", T.DoubleType()),
+    T.StructField("avg_subjectivity", T.DoubleType()),
+    T.StructField("avg_articles_count", T.DoubleType()),
+    T.StructField("BuySell", T.DoubleType()),
+])
+
+EVENT_FEED = T.StructType([
+    T.StructField("DATEADDED", T.IntegerType()),
+    T.StructField("CAMEOCodeDescription", T.StringType()),
+    T.StructField("AvgTone", T.DoubleType()),
+    T.StructField("SOURCEURL", T.StringType()),
+    T.StructField("ActionGeo_CountryCode", T.StringType()),
+])
+
+NEWS_DUMP = T.StructType([
+    T.StructField("date", T.StringType()),
+    T.StructField("category", T.StringType()),
+    T.StructField("headline", T.StringType()),
+    T.StructField("short_description", T.StringType()),
+    T.StructField("link", T.StringType()),
+    T.StructField("authors", T.StringType()),
+])
