@@ -83,6 +83,29 @@ def with_clean_text(df: DataFrame, src="headline_description", out="cleaned_text
     return df.withColumn(out, clean_text(src, lemmas))
 
 
+def lemma_frame(spark, lemmas: dict | None = None) -> DataFrame:
+    rows = list((lemmas or LEMMAS).items())
+    return spark.createDataFrame(rows, "form string, lemma string")
+
+
+def lemmatize_join(df: DataFrame, lemma_df: DataFrame, text_col: str, id_col: str = "doc_id",
+                   out: str = "cleaned_text") -> DataFrame:
+    """Lemmatise an already cleaned text with a lemma *table* (form, lemma).
+
+    Tokens are exploded with their position, LEFT-joined to the lemma table
+    (broadcast by the planner's size check; unmatched tokens are kept) and
+    reassembled per document in position order. A document's tokens form one
+    group, bounded by the document's length.
+    """
+    toks = df.select(id_col, F.posexplode(F.split(F.col(text_col), " ")).alias("pos", "form"))
+    joined = toks.join(lemma_df.select("form", "lemma"), "form", "left")
+    word = F.coalesce(F.col("lemma"), F.col("form"))
+    rebuilt = joined.groupBy(id_col).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("pos"), word.alias("w")))),
+                                 lambda x: x["w"]), " ").alias(out))
+    return df.drop(out).join(rebuilt, id_col, "left")
+
+
 def score_text(df: DataFrame, text_col="headline_description", lexicon: dict | None = None) -> DataFrame:
     """Add ``sentiment`` and ``subjectivity``: means over lexicon hits (0.0 if none)."""
     toks = sentiment_tokens(text_col)

@@ -85,6 +85,17 @@ def q_lemmatize(spark, sf_dir):
     return df.select("doc_id", "cleaned_text")
 
 
+@query("lemmatize_join", sql=f"""
+WITH {NEWS}
+SELECT doc_id, {clean_sql("concat_ws(' ', headline, short_description)", st.LEMMAS)} AS cleaned_text
+FROM news""")
+def q_lemmatize_join(spark, sf_dir):
+    """Lemma table joined to the position-exploded tokens, text rebuilt in order."""
+    df = st.with_clean_text(st.with_text(fx.news(spark, sf_dir)))
+    out = st.lemmatize_join(df.select("doc_id", "cleaned_text"), st.lemma_frame(spark), "cleaned_text")
+    return out.select("doc_id", "cleaned_text")
+
+
 @query("tokenize", sql=f"""
 WITH {NEWS},
 t AS (SELECT doc_id, string_split_regex(regexp_replace(concat_ws(' ', headline, short_description),
