@@ -57,3 +57,12 @@ def test_no_single_partition_window_over_rows(spark):
     # the reference's unpartitioned windows are gone from the per-row queries
     for name in ("chrono_split", "rank_rows", "moving_avg", "lag_features", "minmax_per_stock"):
         assert "SinglePartition" not in plan(spark, name), name
+
+
+@pytest.mark.parametrize("name", ["bars_source", "dedup_url", "tone_daily_std", "sector_vwap", "daily_sentiment"])
+def test_aggregates_combine_map_side_before_shuffle(spark, name):
+    # a key holding a large share of the rows must collapse before the exchange
+    p = plan(spark, name)
+    assert "partial_" in p
+    first_exchange = p.find("Exchange")
+    assert first_exchange > 0 and "partial_" in p[first_exchange:]

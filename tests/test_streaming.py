@@ -16,9 +16,9 @@ def test_stream_matches_batch(spark):
     root = tempfile.mkdtemp(prefix="tonetide-stream-")
     src, sink = os.path.join(root, "landing"), os.path.join(root, "daily")
     ev = fx.events_in(spark, SF_SMALL)
-    # land the feed as two arrivals: first half of the month, then the rest
-    ev.where(F.col("Day") % 100 <= 15).write.parquet(os.path.join(src, "a"))
-    ev.where(F.col("Day") % 100 > 15).write.parquet(os.path.join(src, "b"))
+    # land the whole feed as two arrivals: first half of the month, then the rest
+    ev.where(F.dayofmonth(F.to_date(F.col("Day").cast("string"), "yyyyMMdd")) <= 15).write.parquet(os.path.join(src, "a"))
+    ev.where(F.dayofmonth(F.to_date(F.col("Day").cast("string"), "yyyyMMdd")) > 15).write.parquet(os.path.join(src, "b"))
     q = tone_stream.start_daily_tone(spark, src + "/*", sink, checkpoint=os.path.join(root, "ckpt"),
                                      output_mode="update", available_now=True, watermark="400 days")
     q.awaitTermination(300)

@@ -157,8 +157,8 @@ def q_tone_stream(spark, sf_dir):
 
     root = scratch_path(spark, "tone_stream")
     ev = fx.events_in(spark, sf_dir)
-    ev.where(F.col("Day") % 100 <= 15).write.parquet(f"{root}/landing/a")
-    ev.where(F.col("Day") % 100 > 15).write.parquet(f"{root}/landing/b")
+    ev.where(F.dayofmonth(F.to_date(F.col("Day").cast("string"), "yyyyMMdd")) <= 15).write.parquet(f"{root}/landing/a")
+    ev.where(F.dayofmonth(F.to_date(F.col("Day").cast("string"), "yyyyMMdd")) > 15).write.parquet(f"{root}/landing/b")
     q = tone_stream.start_daily_tone(spark, f"{root}/landing/*", f"{root}/daily", checkpoint=f"{root}/ckpt",
                                      output_mode="update", available_now=True, watermark="400 days")
     q.awaitTermination()
