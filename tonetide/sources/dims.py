@@ -4,23 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The reference's 110 tickers in 11 sectors, in its order.
+# The reference's 110 tickers and their sectors, in its order.
 TICKER_CATEGORIES = {
-    "Tech": ["AAPL", "MSFT", "GOOGL", "FB", "IBM", "NVDA", "INTC", "AMD", "ORCL", "SAP"],
-    "Pharmaceutical": ["PFE", "JNJ", "MRK", "GSK", "NVS", "ABBV", "BMY", "AMGN", "SNY", "LLY"],
-    "Financial": ["JPM", "BAC", "WFC", "C", "GS", "MS", "AXP", "BRK.B", "TFC", "SPGI"],
-    "Oil": ["XOM", "CVX", "RDS.A", "BP", "TOT", "PBR", "ENB", "E", "SLB", "COP"],
-    "Retail": ["AMZN", "WMT", "HD", "COST", "TGT", "LOW", "JD", "EBAY", "ORLY", "BBY"],
-    "Automotive": ["TSLA", "GM", "F", "HMC", "TM", "VWAGY", "DAI.DE", "RACE", "TTM", "STLA"],
-    "Telecommunications": ["T", "VZ", "NOK", "ERIC", "CHT", "CHA", "TLK", "TELIA.ST", "BCE", "S"],
-    "Aerospace": ["BA", "LMT", "RTX", "NOC", "GD", "AIR.PA", "BAE.L", "HEI", "COL", "SAFRY"],
-    "Real Estate": ["SPG", "AMT", "PLD", "CCI", "EQIX", "DLR", "WELL", "AVB", "O", "GPT"],
-    "Entertainment": ["DIS", "NFLX", "CMCSA", "CHTR", "LBRDK", "VIAC", "LYV", "FOXA", "DISH", "ROKU"],
-    "Apparel": ["NKE", "UAA", "LULU", "PVH", "VFC", "RL", "DECK", "CROX", "GIL", "SKX"],
+    "AAPL": "Tech", "MSFT": "Tech", "GOOGL": "Tech", "FB": "Tech", "IBM": "Tech",
+    "NVDA": "Tech", "INTC": "Tech", "AMD": "Tech", "ORCL": "Tech", "SAP": "Tech",
+
+    "PFE": "Pharmaceutical", "JNJ": "Pharmaceutical", "MRK": "Pharmaceutical", "GSK": "Pharmaceutical", "NVS": "Pharmaceutical",
+    "ABBV": "Pharmaceutical", "BMY": "Pharmaceutical", "AMGN": "Pharmaceutical", "SNY": "Pharmaceutical", "LLY": "Pharmaceutical",
+
+    "JPM": "Financial", "BAC": "Financial", "WFC": "Financial", "C": "Financial", "GS": "Financial",
+    "MS": "Financial", "AXP": "Financial", "BRK.B": "Financial", "TFC": "Financial", "SPGI": "Financial",
+
+    "XOM": "Oil", "CVX": "Oil", "RDS.A": "Oil", "BP": "Oil", "TOT": "Oil",
+    "PBR": "Oil", "ENB": "Oil", "E": "Oil", "SLB": "Oil", "COP": "Oil",
+
+    "AMZN": "Retail", "WMT": "Retail", "HD": "Retail", "COST": "Retail", "TGT": "Retail",
+    "LOW": "Retail", "JD": "Retail", "EBAY": "Retail", "ORLY": "Retail", "BBY": "Retail",
+
+    "TSLA": "Automotive", "GM": "Automotive", "F": "Automotive", "HMC": "Automotive", "TM": "Automotive",
+    "VWAGY": "Automotive", "DAI.DE": "Automotive", "RACE": "Automotive", "TTM": "Automotive", "STLA": "Automotive",
+
+    "T": "Telecommunications", "VZ": "Telecommunications", "NOK": "Telecommunications", "ERIC": "Telecommunications", "CHT": "Telecommunications",
+    "CHA": "Telecommunications", "TLK": "Telecommunications", "TELIA.ST": "Telecommunications", "BCE": "Telecommunications", "S": "Telecommunications",
+
+    "BA": "Aerospace", "LMT": "Aerospace", "RTX": "Aerospace", "NOC": "Aerospace", "GD": "Aerospace",
+    "AIR.PA": "Aerospace", "BAE.L": "Aerospace", "HEI": "Aerospace", "COL": "Aerospace", "SAFRY": "Aerospace",
+
+    "SPG": "Real Estate", "AMT": "Real Estate", "PLD": "Real Estate", "CCI": "Real Estate", "EQIX": "Real Estate",
+    "DLR": "Real Estate", "WELL": "Real Estate", "AVB": "Real Estate", "O": "Real Estate", "GPT": "Real Estate",
+
+    "DIS": "Entertainment", "NFLX": "Entertainment", "CMCSA": "Entertainment", "CHTR": "Entertainment", "LBRDK": "Entertainment",
+    "VIAC": "Entertainment", "LYV": "Entertainment", "FOXA": "Entertainment", "DISH": "Entertainment", "ROKU": "Entertainment",
+
+    "NKE": "Apparel", "UAA": "Apparel", "LULU": "Apparel", "PVH": "Apparel", "VFC": "Apparel",
+    "RL": "Apparel", "DECK": "Apparel", "CROX": "Apparel", "GIL": "Apparel", "SKX": "Apparel",
 }
 
 
 def ticker_dim(spark: SparkSession) -> DataFrame:
     """(Stock, Category) for the literal ticker list: 110 rows, a bounded dimension."""
-    rows = [(t, cat) for cat, tickers in TICKER_CATEGORIES.items() for t in tickers]
-    return spark.createDataFrame(rows, "Stock string, Category string")
+    return spark.createDataFrame(list(TICKER_CATEGORIES.items()), "Stock string, Category string")
