@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .scalar import col_
 
+# Fixed value: the shape a valid date text must have.
+ISO_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
+
 
 def days_in_month(d) -> Column:
     """Days in the month of ``d`` (Gregorian leap rule via last_day)."""
@@ -44,7 +47,7 @@ def compact_int(c) -> Column:
 
 def valid_iso_date(c) -> Column:
     """Regex shape check ^\\d{4}-\\d{2}-\\d{2}$ (the reference's validity test)."""
-    return col_(c).rlike(r"^\d{4}-\d{2}-\d{2}$")
+    return col_(c).rlike(ISO_DATE_PATTERN)
 
 
 def in_year(d, year: int) -> Column:

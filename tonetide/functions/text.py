@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from .scalar import col_
 
-# Whole-token contraction expansions, matched before lower-casing.
+# Fixed values of the cleaning chain: whole-token contraction expansions (matched
+# before lower-casing), the URL pattern removed first, the characters kept.
 CONTRACTIONS = {"can't": "cannot", "won't": "will not"}
-
 URL_PATTERN = r"http\S+"
 KEEP_PATTERN = r"[^a-zA-Z' ]"
+
+# This library's tokeniser for lexicon scoring: runs of ASCII letters and apostrophes.
 SENTIMENT_TOKEN_SPLIT = r"[^a-z']+"
 
 
