@@ -167,3 +167,12 @@ def test_bounded_broadcast_raises_beyond_bound(spark):
     assert big.join(bounded_broadcast(small, 10), "k").count() == 5
     with pytest.raises(Exception):
         big.join(bounded_broadcast(big, 10), "k").count()
+
+
+def test_minmax_per_key_fit_on_train_only(spark):
+    rows = [(1, d("2020-01-0%d" % i), float(i), i <= 3) for i in range(1, 6)]
+    df = spark.createDataFrame(rows, "Stock int, Date date, x double, is_train boolean")
+    leak = {r.Date.day: r.x_scaled for r in normalize.minmax_per_key(df, ["x"]).collect()}
+    fit = {r.Date.day: r.x_scaled for r in normalize.minmax_per_key(df, ["x"], fit_on="is_train").collect()}
+    assert leak[5] == 1.0 and leak[1] == 0.0
+    assert fit[1] == 0.0 and fit[3] == 1.0 and fit[5] == 2.0  # test row beyond the train range

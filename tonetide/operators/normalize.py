@@ -38,14 +38,20 @@ def normalize_column(df: DataFrame, col: str, out: str) -> DataFrame:
     return df.withColumn(out, minmax_scale(col, lo, hi))
 
 
-def minmax_per_key(df: DataFrame, cols, key="Stock", suffix: str = "_scaled") -> DataFrame:
-    """MinMaxScaler semantics per key, on all rows of the key: range [0, 1],
-    constant column -> 0.5 (as spark.ml's MinMaxScaler)."""
+def minmax_per_key(df: DataFrame, cols, key="Stock", suffix: str = "_scaled", fit_on: str | None = None) -> DataFrame:
+    """MinMaxScaler semantics per key: range [0, 1], constant column -> 0.5.
+
+    ``fit_on=None`` fits on all rows of the key (the reference's behaviour,
+    which leaks test rows into the scaling); ``fit_on="<boolean column>"``
+    fits on the rows where it is true (train) and applies to all rows, so
+    test values may fall outside [0, 1] as with a fitted scaler.
+    """
     cols = [cols] if isinstance(cols, str) else list(cols)
     w = Window.partitionBy(key)
     out = df
     for c in cols:
-        lo, hi = F.min(c).over(w), F.max(c).over(w)
+        x = F.col(c) if fit_on is None else F.when(F.col(fit_on), F.col(c))
+        lo, hi = F.min(x).over(w), F.max(x).over(w)
         out = out.withColumn(
             f"{c}{suffix}",
             F.when(hi == lo, F.lit(0.5)).otherwise((F.col(c) - lo) / (hi - lo)),
