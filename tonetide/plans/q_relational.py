@@ -14,7 +14,7 @@ from .catalog import query, rounded
 from .q_market import sector_signal_df
 from .q_text import DAILY_SQL
 from .q_tone import TONE_DAILY_FILLED
-from .sqlviews import BARS, EVENTS, NEWS, TICKS, r4
+from .sqlviews import BARS, EVENTS, NEWS, r4
 
 SENT_PRICE_SQL = f"""{BARS},{DAILY_SQL},
 px AS (SELECT Date AS date, lower(Category) AS category, avg(Open) AS Open, avg(Close) AS Close

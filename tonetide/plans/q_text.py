@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import CONTRACTIONS, SENTIMENT_TOKEN_SPLIT, clean_text, whitespace_tokens
+from ..functions.text import CONTRACTIONS, SENTIMENT_TOKEN_SPLIT, whitespace_tokens
 from ..operators import market, sentiment as st
 from ..sources import fixtures as fx
 from .catalog import query, rounded
