@@ -176,3 +176,27 @@ def test_minmax_per_key_fit_on_train_only(spark):
     fit = {r.Date.day: r.x_scaled for r in normalize.minmax_per_key(df, ["x"], fit_on="is_train").collect()}
     assert leak[5] == 1.0 and leak[1] == 0.0
     assert fit[1] == 0.0 and fit[3] == 1.0 and fit[5] == 2.0  # test row beyond the train range
+
+
+def test_q11_label_must_exist(spark):
+    import pytest
+
+    from tonetide.plans import models
+
+    df = spark.createDataFrame([(1.0, 0.0)], "buySell double, x double")
+    with pytest.raises(ValueError):
+        models.linear_probability(df, df, label="buysell_typo")
+
+
+def test_empty_frames_stay_empty(spark):
+    from tonetide.plans import metrics
+
+    bars = spark.createDataFrame([], "Date date, Stock long, Category string, VWAP double, Open double, "
+                                     "High double, Low double, Close double, Volume double")
+    assert market.sector_vwap(bars).count() == 0
+    assert market.moving_avg(market.sector_vwap(bars)).count() == 0
+    assert signal.buysell_signal(market.sector_index(bars, "VWAP", "sectorIndex")).count() == 0
+    ev = spark.createDataFrame([], "event_id long, Day int, SOURCEURL string, AvgTone double")
+    assert tone.tone_daily_stats(tone.dedup_url(ev)).count() == 0
+    scored = spark.createDataFrame([], "y int, s double")
+    assert metrics.regression_metrics(scored.selectExpr("cast(y as double) y", "s"), "y", "s").collect()[0].n == 0

@@ -182,3 +182,19 @@ def q_classifier_auc(spark, sf_dir):
     for o in outs[1:]:
         res = res.unionByName(o)
     return res
+
+
+@query("ols_one_feature", sql=f"""
+WITH {STOCK_FEATURES_SQL},
+clean AS (SELECT * FROM sf WHERE Momentum IS NOT NULL)
+SELECT Stock, count(*) AS n, {r4('regr_intercept("Close-Open", Momentum)')} AS b_0,
+       {r4('regr_slope("Close-Open", Momentum)')} AS b_1, {r4('regr_r2("Close-Open", Momentum)')} AS r2
+FROM clean GROUP BY Stock""")
+def q_ols_one_feature(spark, sf_dir):
+    """Per-stock simple regression of Close-Open on Momentum over all days: the
+    closed form against the SQL engine's own regr_* aggregates."""
+    feats = flows.stock_features(spark, sf_dir).na.drop("any", subset=["Momentum", STOCK_Y])
+    coefs = ols.fit_closed_form(feats, ["Momentum"], STOCK_Y, by="Stock")
+    fitted = ols.predict_closed_form(feats, coefs, ["Momentum"], by="Stock")
+    m = metrics.regression_metrics(fitted, STOCK_Y, "prediction", by=["Stock", "b_0", "b_1"])
+    return rounded(m.select("Stock", "n", "b_0", "b_1", "r2"))
