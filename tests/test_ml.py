@@ -119,3 +119,8 @@ def test_lag_sweep_short_stock_has_null_metrics(spark):
     df = spark.createDataFrame(rows, "Date date, Stock long, f double, label double")
     r = ols.lag_sweep_per_stock(df, ["f"], "label", lags=[5]).collect()[0]
     assert r.mse is None and r.r2 is None and r.n_test == 0
+
+
+def test_auc_of_empty_input_is_empty(spark):
+    df = spark.createDataFrame([], "g string, y int, s double")
+    assert metrics.auc(df, "y", "s", by="g").count() == 0

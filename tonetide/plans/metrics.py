@@ -45,6 +45,9 @@ def auc(df: DataFrame, label: str, score: str, by=(), buckets: int = 64) -> Data
     # the fit and the ranking below both read the histogram: materialise it
     # once in the shared checkpoint folder instead of replaying the input plan
     hist = cut_lineage(hist)
+    if hist.isEmpty():  # cheap: the histogram is already materialised
+        return hist.groupBy(*by).agg(F.lit(None).cast("double").alias("auc"), F.sum("__p").alias("n_pos"),
+                                     F.sum("__n").alias("n_neg"))
     # range buckets over the distinct scores (a small fit: numBuckets-1 split points)
     disc = QuantileDiscretizer(numBuckets=buckets, inputCol="__s", outputCol="__b",
                                relativeError=1e-3, handleInvalid="keep")

@@ -17,8 +17,12 @@ NULL_SENTINEL = "\u0000"
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, header: bool = True,
              infer: bool = False, multiline: bool = False, escape: str | None = None,
-             keep_rejects: bool = False, empty_is_null: bool = True) -> DataFrame:
+             keep_rejects: bool = False, empty_is_null: bool = True,
+             ignore_corrupt_files: bool = False) -> DataFrame:
     r = spark.read.option("header", header).option("mode", "PERMISSIVE")
+    if ignore_corrupt_files:
+        # an unreadable file is skipped (the reference skipped a failing source)
+        r = r.option("ignoreCorruptFiles", True)
     if not empty_is_null:
         # a quoted "" stays an empty string; only a field with no content is null
         r = r.option("nullValue", NULL_SENTINEL)
