@@ -373,14 +373,13 @@ SELECT Date, {r4('Open')} AS Open, {r4('High')} AS High, {r4('Low')} AS Low, {r4
        {r4('Volume')} AS Volume, CAST(Stock AS VARCHAR) AS Stock, Category
 FROM bars WHERE Date >= DATE '1995-01-01' AND Date < DATE '2002-01-01'""")
 def q_landed_bars(spark, sf_dir):
-    """Bars landed per stock with provider-only columns, read back in one scan."""
+    """Bars landed by month (clustered by stock) with provider-only columns, read back in one scan."""
     from ..sources import landed
 
     path = scratch_path(spark, "landed_bars")
     b = rounded(fx.bars(spark, sf_dir)).drop("VWAP", "Category")
     b = b.withColumns({"Dividends": F.lit(0.0), "Stock Splits": F.lit(0.0)})
-    # cluster by the partition column first: one file per stock, not per task and stock
-    b.repartition("Stock").write.mode("overwrite").partitionBy("Stock").parquet(path)
+    landed.land_bars(b.withColumn("Stock", F.col("Stock").cast("string")), path)
     dim = fx.category_dim(spark, sf_dir).select(F.col("Stock").cast("string").alias("Stock"), "Category")
     return landed.read_landed_bars(spark, path, "1995-01-01", "2002-01-01", dim)
 

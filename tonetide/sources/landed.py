@@ -1,9 +1,11 @@
 """Readers for landed dumps that replace the reference's network fetches.
 
-* bars: one scan over files partitioned by ``Stock`` (instead of one fetch and
-  one local DataFrame per ticker, unioned in a loop); provider-only columns
-  dropped, date window applied as a pushed-down filter, sector attached by a
-  join to the (bounded, checked) ticker dimension, then conformed.
+* bars: one scan over files partitioned by ``Month`` (yyyy-MM) and clustered by
+  stock inside the files (instead of one fetch and one local DataFrame per
+  ticker, unioned in a loop). Partitioning by month keeps the directory count
+  bounded by the calendar, not by the number of tickers; the date window prunes
+  month directories and pushes down to the row groups. Provider-only columns
+  are dropped, the sector is attached by a join to the dimension, then conformed.
 * events: files partitioned by ``Day``; a day range prunes partitions.
 * news: a dump read with a declared schema (json, parquet or csv).
 """
@@ -21,14 +23,23 @@ from ..schemas import BAR_FACTORS, NEWS
 PROVIDER_ONLY = ("Dividends", "Stock Splits")
 
 
+def land_bars(bars: DataFrame, path: str) -> None:
+    """Write bars as ``path/Month=<yyyy-MM>/``, one file per month, sorted by stock and date."""
+    out = bars.withColumn("Month", F.date_format("Date", "yyyy-MM"))
+    out = out.repartition("Month").sortWithinPartitions("Stock", "Date")
+    out.write.mode("overwrite").partitionBy("Month").parquet(path)
+
+
 def read_landed_bars(spark: SparkSession, path: str, start: str, end: str, dim: DataFrame,
                      schema: T.StructType | None = None, dim_bound: int | None = None) -> DataFrame:
-    """Bars landed as ``path/Stock=<ticker>/*.parquet``; [start, end) date window."""
+    """Bars landed by :func:`land_bars`; [start, end) date window (prunes months)."""
     r = spark.read.option("basePath", path)
     if schema is not None:
         r = r.schema(schema)
     raw = r.parquet(path)
     raw = raw.drop(*[c for c in PROVIDER_ONLY if c in raw.columns])
+    if "Month" in raw.columns:
+        raw = raw.where((F.col("Month") >= F.lit(start[:7])) & (F.col("Month") <= F.lit(end[:7]))).drop("Month")
     raw = raw.where((F.col("Date") >= F.lit(start).cast("date")) & (F.col("Date") < F.lit(end).cast("date")))
     if "Category" in raw.columns:
         raw = raw.drop("Category")
