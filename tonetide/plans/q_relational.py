@@ -394,7 +394,7 @@ def q_landed_events(spark, sf_dir):
 
     path = scratch_path(spark, "landed_events")
     ev = rounded(fx.events_in(spark, sf_dir)).select("event_id", "AvgTone", "SOURCEURL", "Day")
-    ev.repartition("Day").write.mode("overwrite").partitionBy("Day").parquet(path)
+    files.rebalance(ev, "Day").write.mode("overwrite").partitionBy("Day").parquet(path)
     return landed.read_landed_events(spark, path, 19980101, 19980115)
 
 

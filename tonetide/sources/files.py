@@ -70,10 +70,21 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
     w.csv(path)
 
 
+def rebalance(df: DataFrame, cols) -> DataFrame:
+    """Cluster rows by the output partition columns before a partitioned write.
+
+    The REBALANCE hint (not ``repartition``) lets AQE size the output
+    partitions: values are clustered so each writes few files, and a skewed
+    value (a day holding a large share of the rows) is split over several
+    tasks instead of being written by one.
+    """
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    return df.hint("rebalance", *cols)
+
+
 def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite") -> None:
     if partition_by:
-        # one file per partition value instead of one per task and value
-        df = df.repartition(*([partition_by] if isinstance(partition_by, str) else partition_by))
+        df = rebalance(df, partition_by)
     w = df.write.mode(mode)
     if partition_by:
         # dynamic: only the partitions present in df are replaced

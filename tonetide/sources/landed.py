@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..config import bounded_broadcast
 from ..operators.profile import conform
+from .files import rebalance
 from ..schemas import BAR_FACTORS, NEWS
 
 PROVIDER_ONLY = ("Dividends", "Stock Splits")
@@ -26,7 +27,7 @@ PROVIDER_ONLY = ("Dividends", "Stock Splits")
 def land_bars(bars: DataFrame, path: str) -> None:
     """Write bars as ``path/Month=<yyyy-MM>/``, one file per month, sorted by stock and date."""
     out = bars.withColumn("Month", F.date_format("Date", "yyyy-MM"))
-    out = out.repartition("Month").sortWithinPartitions("Stock", "Date")
+    out = rebalance(out, "Month").sortWithinPartitions("Stock", "Date")
     out.write.mode("overwrite").partitionBy("Month").parquet(path)
 
 
