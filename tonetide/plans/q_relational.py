@@ -406,3 +406,25 @@ def q_landed_news(spark, sf_dir):
     path = scratch_path(spark, "landed_news")
     fx.news(spark, sf_dir).write.mode("overwrite").json(path)
     return landed.read_landed_news(spark, path, "json")
+
+
+@query("tone_normalized", sql=f"""
+WITH {TONE_DAILY_FILLED}
+SELECT Date, num,
+       {r4('(avg_tone - (SELECT min(avg_tone) FROM tg)) / ((SELECT max(avg_tone) FROM tg) - (SELECT min(avg_tone) FROM tg))')} AS normalized_avg_tone,
+       {r4('(std_tone - (SELECT min(std_tone) FROM tg)) / ((SELECT max(std_tone) FROM tg) - (SELECT min(std_tone) FROM tg))')} AS normalized_std_tone,
+       {r4('(median_tone - (SELECT min(median_tone) FROM tg)) / ((SELECT max(median_tone) FROM tg) - (SELECT min(median_tone) FROM tg))')} AS normalized_median_tone
+FROM tg""")
+def q_tone_normalized(spark, sf_dir):
+    """Daily tone with each statistic min-max normalised and the original dropped."""
+    return rounded(flows.tone_features(spark, sf_dir))
+
+
+@query("buysell_features", sql=f"""
+WITH {BUYSELL_IN_SQL}
+SELECT Date, Category, {r4('avg_sentiment')} AS avg_sentiment, {r4('avg_subjectivity')} AS avg_subjectivity,
+       {r4('avg_articles_count')} AS avg_articles_count, buySell
+FROM bi""")
+def q_buysell_features(spark, sf_dir):
+    """Classifier input: per (Date, Category) sentiment features and the next-day signal."""
+    return rounded(flows.buysell_in(spark, sf_dir))
