@@ -60,8 +60,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     guarded = df.withColumn(
         "__tt_n", F.count(F.lit(1)).over(_whole())
     )
-    # A window over the whole (small) dimension; cheap because the table is
-    # a dictionary. raise_error fires only if the bound is broken.
+    # A count over the whole side in one window partition: a broadcast gathers
+    # every row of this side into the driver and every executor anyway, so
+    # gathering it into one task to count it adds no new bottleneck, and the
+    # side is not computed twice. raise_error fires only if the bound is broken.
     guarded = guarded.where(
         F.when(F.col("__tt_n") > F.lit(max_rows),
                F.raise_error(F.lit(f"broadcast side exceeds {max_rows} rows")))
