@@ -428,3 +428,12 @@ FROM bi""")
 def q_buysell_features(spark, sf_dir):
     """Classifier input: per (Date, Category) sentiment features and the next-day signal."""
     return rounded(flows.buysell_in(spark, sf_dir))
+
+
+@query("sector_ohlc", sql=f"""
+WITH {BARS}
+SELECT Date, Category, {r4('avg(Open)')} AS Open, {r4('avg(Close)')} AS Close FROM bars GROUP BY 1, 2""")
+def q_sector_ohlc(spark, sf_dir):
+    """Sector-level daily Open/Close (mean over the sector's stocks): the price side of
+    the sentiment-price join."""
+    return rounded(flows.sector_ohlc(fx.bars(spark, sf_dir)))
