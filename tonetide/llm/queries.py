@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import byte_shards
+from . import byte_shards, token_planes
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -17,3 +17,12 @@ def op4(spark, sf_dir):
     placed = byte_shards.byte_shards(table(spark, sf_dir, "documents"), shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op2_token_byte_planes")
+def op2(spark, sf_dir):
+    import public_tokenizers
+
+    written = token_planes.write_tokens(table(spark, sf_dir, "documents"),
+                                        public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_planes.read_token_digests(written).select("doc_id", "start", "n_tokens", "ids_crc32")
