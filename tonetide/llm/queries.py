@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import byte_shards, token_planes
+from . import byte_shards, token_planes, warc_writer
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -26,3 +26,10 @@ def op2(spark, sf_dir):
     written = token_planes.write_tokens(table(spark, sf_dir, "documents"),
                                         public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return token_planes.read_token_digests(written).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op7_warc_dictionary_writer")
+def op7(spark, sf_dir):
+    written = warc_writer.write_warc(table(spark, sf_dir, "pages"))
+    return warc_writer.read_warc(written).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -225,6 +225,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int | None = 2, folde
         path = stream = writer = None
         first = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             if writer is None:
                 path, stream = files.open_output(folder, "tokens", ".planes")
                 writer = PlaneWriter(stream, mode)
