@@ -16,7 +16,7 @@ def open_output(folder: str, stem: str, suffix: str):
     uri = f"{folder}/{stem}-{uuid.uuid4().hex}{suffix}"
     store, path = fs.FileSystem.from_uri(uri)
     store.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    return uri, store.open_output_stream(path)
+    return uri, store.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str):
