@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import byte_shards, token_planes, warc_writer
+from . import byte_shards, robust_outliers, token_planes, warc_writer
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -33,3 +33,10 @@ def op7(spark, sf_dir):
     written = warc_writer.write_warc(table(spark, sf_dir, "pages"))
     return warc_writer.read_warc(written).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op3_robust_outliers")
+def op3(spark, sf_dir):
+    report = robust_outliers.quality_report(table(spark, sf_dir, "documents"))
+    return report.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", "distance")
