@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import byte_shards, robust_outliers, token_planes, warc_writer
+from . import byte_shards, decontaminate, robust_outliers, token_planes, warc_writer
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -40,3 +40,36 @@ def op3(spark, sf_dir):
     report = robust_outliers.quality_report(table(spark, sf_dir, "documents"))
     return report.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept", "distance")
+
+
+# Occurrences in DuckDB: the position of each window's words in the document's words, by joining every
+# run of a window's length with the windows.
+OP5_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+v AS (
+  SELECT DISTINCT item_id, len(w[s : s + 9]) AS n, array_to_string(w[s : s + 9], ' ') AS key
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0)),
+runs AS (
+  SELECT doc_id, s, n, array_to_string(w[s : s + n - 1], ' ') AS key
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM v) WHERE len(w) >= n)),
+m AS (SELECT doc_id, item_id, s, n FROM runs JOIN v USING (n, key)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM m) GROUP BY doc_id),
+its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+  string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM m GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+
+@query("op5_prefix_decontamination", OP5_SQL)
+def op5(spark, sf_dir):
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
