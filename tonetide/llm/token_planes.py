@@ -27,6 +27,7 @@ Defined results:
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from itertools import batched
@@ -56,6 +57,10 @@ def byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
+# A run of lower-case Latin-1 letters, then a run of ASCII marks other than the apostrophe.
+PLAIN_WORD = re.compile(r"([a-zß-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+
+
 class WordCodes(dict):
     """word -> code; a missing word is encoded and gets the next code. ``ids_of`` expands codes."""
 
@@ -68,15 +73,23 @@ class WordCodes(dict):
         self.flat, self.start, self.length = array("I"), array("q"), array("q")
 
     def encode(self, word: str) -> list[int]:
-        # One run of Latin-1 letters is one pre-token of the model; anything else takes the whole way.
-        if word.isalpha() and max(word) < "Ā" and word == word.lower():
-            return [t.id for t in self.model.tokenize("".join(self.symbols[b] for b in word.encode()))]
-        if word[-1:] in (".", ",") and word[:-1].isalpha():
-            return self.encode(word[:-1]) + self.tokenizer.encode(word[-1], add_special_tokens=False).ids
+        parts = PLAIN_WORD.fullmatch(word)
+        if not parts:
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        letters, marks = parts.groups()
+        if letters and marks:  # two pre-tokens: each is encoded once
+            return [*self.known(letters), *self.known(marks)]
+        if letters:  # one pre-token, which normalisation leaves as it is
+            return [t.id for t in self.model.tokenize("".join(map(self.symbols.__getitem__, word.encode())))]
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
+    def known(self, word: str) -> array:
+        code = self[word]
+        return self.flat[self.start[code]: self.start[code] + self.length[code]]
+
     def __missing__(self, word: str) -> int:
-        ids, code = self.encode(word), len(self.start)
+        ids = self.encode(word)  # may add codes of the word's parts
+        code = len(self.start)
         self.start.append(len(self.flat))
         self.length.append(len(ids))
         self.flat.extend(ids)
