@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import byte_shards, decontaminate, robust_outliers, token_planes, warc_writer
+from . import byte_shards, decontaminate, ngram_join, robust_outliers, token_planes, warc_writer
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -73,3 +73,9 @@ def op5(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op8_grouped_prefix_join")
+def op8(spark, sf_dir):
+    members, _ = ngram_join.near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=75)
+    return members.select("doc_id", "n_shingles", "component_id")
