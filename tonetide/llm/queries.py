@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import byte_shards, decontaminate, ngram_join, robust_outliers, token_planes, warc_writer
+from . import (byte_shards, decontaminate, license_lookup, ngram_join, pfair_mix, robust_outliers, token_planes,
+               url_tree, warc_writer)
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -79,3 +80,59 @@ def op5(spark, sf_dir):
 def op8(spark, sf_dir):
     members, _ = ngram_join.near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=75)
     return members.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op6_pfair_mix")
+def op6(spark, sf_dir):
+    placed = pfair_mix.mix_positions(table(spark, sf_dir, "documents"), power=0.5)
+    return placed.select(F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"),
+                         F.expr("CASE WHEN _source = 'null' THEN NULL ELSE substring(_source, 2) END").alias("source"),
+                         "block", "slot", "position")
+
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+             ("block", "com/de/")]
+
+
+@query("op9_path_template_tree")
+def op9(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    # The number in a page's path is the document that it shows; labels are on documents.
+    shown = F.regexp_extract(url_tree.path_of("url"), r"([0-9]+)[^0-9]*$", 1).try_cast("long")
+    labels = (pages.select("page_id", shown.alias("doc_id"))
+              .join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+              .select("page_id", F.when(F.col("quality") == 0, 1).otherwise(0).alias("bad")))
+    return url_tree.url_filter(pages, labels, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+OP10_SQL = r"""
+WITH known AS (SELECT * FROM (VALUES {notices}) AS t(license_id, text)),
+spell AS (SELECT MAP {{{spellings}}} AS m),
+units AS (SELECT CAST(doc_id AS VARCHAR) AS id, 0 AS known, text FROM documents
+  UNION ALL SELECT license_id, 1, text FROM known),
+lines AS (
+  SELECT id, known, text, list_filter(list_transform(
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: NOT regexp_matches(l, '^\s*(?i:copyright|\(c\)|©)')),
+    lambda l: array_to_string(list_transform(
+      string_split(trim(regexp_replace(lower(l), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' '),
+      lambda w: coalesce(m[w], w)), ' ')), lambda l: l <> '') AS ls FROM units, spell),
+k AS (SELECT DISTINCT id AS license_id, sha256(array_to_string(ls, ' ')) AS digest FROM lines WHERE known = 1 AND len(ls) > 0),
+d AS (SELECT CAST(id AS BIGINT) AS doc_id, ls FROM lines WHERE known = 0),
+u AS (
+  SELECT doc_id, 0 AS pos, sha256(array_to_string(ls, ' ')) AS digest FROM d
+  UNION ALL SELECT doc_id, pos, sha256(ls[pos]) FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS pos FROM d)),
+f AS (
+  SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) FILTER (WHERE pos = 0) AS whole,
+    string_agg(DISTINCT license_id, ',' ORDER BY license_id) FILTER (WHERE pos > 0) AS notices,
+    count(DISTINCT pos) FILTER (WHERE pos > 0) AS n_notices
+  FROM u JOIN k USING (digest) GROUP BY doc_id)
+SELECT doc_id, coalesce(whole, '') AS whole, coalesce(notices, '') AS notices, coalesce(n_notices, 0) AS n_notices
+FROM d LEFT JOIN f USING (doc_id)
+""".format(notices=", ".join("('{}', '{}')".format(*n) for n in license_lookup.NOTICES),
+           spellings=", ".join(f"'{a}': '{b}'" for a, b in license_lookup.EQUIVALENT.items()))
+
+
+@query("op10_license_digests", OP10_SQL)
+def op10(spark, sf_dir):
+    found = license_lookup.license_scan(table(spark, sf_dir, "documents"), license_lookup.known_notices(spark))
+    return found.select("doc_id", F.array_join("whole", ",").alias("whole"), F.array_join("notices", ",").alias("notices"), "n_notices")
