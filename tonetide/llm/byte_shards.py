@@ -59,17 +59,25 @@ def with_global_prefix(df: DataFrame, order: list[str], size: str) -> DataFrame:
             .drop("_pid", "_bytes_before", "_rows_before", "_row", "_upto"))
 
 
+def written_order(docs: DataFrame) -> list[Column]:
+    """The order of files (by name) and rows in which a table read from Parquet was written."""
+    return [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+
+
 def byte_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text",
-                overhead: int = ROW_OVERHEAD) -> DataFrame:
+                overhead: int = ROW_OVERHEAD, order: list[Column] | None = None) -> DataFrame:
     """(id, size, text_crc32, start, row, shard, slot) of every row; law: bytes.
 
     A row goes to the shard whose equal target holds the middle of its bytes, so shards are contiguous
-    in the id and each differs from the target by at most one row at either end. ``slot`` counts from
-    0 inside a shard.
+    in the ``order`` (by default the id) and each differs from the target by at most one row at either
+    end. ``slot`` counts from 0 inside a shard.
     """
-    narrow = docs.select(F.col(id_col).alias("_id"), (text_bytes(F.col(text_col)) + F.lit(overhead)).alias("size"),
+    order = [F.col(id_col)] if order is None else order
+    names = [f"_o{i}" for i in range(len(order))]
+    narrow = docs.select(*[c.alias(n) for c, n in zip(order, names, strict=True)], F.col(id_col).alias("_id"),
+                         (text_bytes(F.col(text_col)) + F.lit(overhead)).alias("size"),
                          F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_crc32"))
-    placed = cut_lineage(with_global_prefix(narrow, ["_id", "size", "text_crc32"], "size"))
+    placed = cut_lineage(with_global_prefix(narrow, [*names, "size", "text_crc32"], "size"))
     total = placed.agg(F.sum("size").cast("decimal(38,0)").alias("t")).scalar()
     middle = (2 * F.col("start") + F.col("size")).cast("decimal(26,0)") * F.lit(shards).cast("decimal(8,0)")
     cut = F.least(F.floor(middle / (2 * total)).cast("int"), F.lit(shards - 1))

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import (byte_shards, decontaminate, license_lookup, ngram_join, pfair_mix, robust_outliers, token_planes,
                url_tree, warc_writer)
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
@@ -136,3 +138,6 @@ FROM d LEFT JOIN f USING (doc_id)
 def op10(spark, sf_dir):
     found = license_lookup.license_scan(table(spark, sf_dir, "documents"), license_lookup.known_notices(spark))
     return found.select("doc_id", F.array_join("whole", ",").alias("whole"), F.array_join("notices", ",").alias("notices"), "n_notices")
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import cut_lineage
+from .sizes import counted_side
 from .spans import word_windows
 
 SYMBOLS = b"#*$%&|<>"
@@ -149,6 +150,7 @@ def start_of(cells: pd.DataFrame) -> pd.DataFrame:
 
 
 HISTOGRAM_STEP = 0.01
+BROADCAST_CELLS = 20_000  # estimates are some 400 bytes each
 
 
 def start(rows: DataFrame) -> DataFrame:
@@ -161,7 +163,7 @@ def next_estimate(rows: DataFrame, est: DataFrame, share: float | None) -> DataF
     """One concentration step over the nearest ``share`` of each cell; None: the re-weighting step."""
     x = [F.col("_x")[i] for i in range(DIM)]
     d2 = squared_distance(x)
-    binned = rows.join(est, "_cell").select(
+    binned = rows.join(counted_side(est, BROADCAST_CELLS), "_cell").select(
         "_cell", "_x", F.floor(F.log2(F.greatest(d2, F.lit(1e-6))) * BINS_PER_OCTAVE).alias("bin"))
     sums = binned.groupBy("_cell", "bin").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(x[i]).alias(f"s{i}") for i in range(DIM)],
@@ -215,13 +217,13 @@ def fit(stats: DataFrame, lang: str = "lang", source: str = "source", share: flo
     fitted = cut_lineage(stats.where(~base_failed()).select(
         coarse.alias("_coarse"), fine.alias("_fine"), F.array(*vector()).alias("_x")))
     cells = cut_lineage(cells_of(fitted, min_rows))
-    rows = fitted.join(cells, "_fine").select("_cell", "_x")
+    rows = fitted.join(counted_side(cells, BROADCAST_CELLS), "_fine").select("_cell", "_x")
     est = cut_lineage(start(rows))
     for _ in range(steps):
         est = cut_lineage(next_estimate(rows, est, share))
     est = cut_lineage(next_estimate(rows, est, None))
     sizes = rows.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 5 * DIM)
-    return cells.join(est, "_cell").join(sizes, "_cell").select("_fine", "_m", "_l")
+    return cut_lineage(cells.join(est, "_cell").join(sizes, "_cell").select("_fine", "_m", "_l"))
 
 
 def judged(stats: DataFrame, est: DataFrame, lang: str = "lang", source: str = "source", quantile: float = 0.9999) -> DataFrame:
@@ -229,7 +231,7 @@ def judged(stats: DataFrame, est: DataFrame, lang: str = "lang", source: str = "
     _, fine = cell_names(lang, source)
     far = squared_distance([F.col("_x")[i] for i in range(DIM)])
     return (stats.withColumns({"_fine": fine, "_x": F.array(*vector())})
-            .join(est, "_fine", "left")
+            .join(counted_side(est, BROADCAST_CELLS), "_fine", "left")
             .withColumn("_q_failed", base_failed())
             .withColumn("_q_distance", far)
             .withColumn("_q_kept", ~F.col("_q_failed") & F.coalesce(
@@ -251,5 +253,5 @@ def keep_good(docs: DataFrame, lang: str = "lang", source: str = "source") -> Da
 
     The texts are read twice (statistics, then verdicts) rather than shuffled or stored.
     """
-    est = cut_lineage(fit(with_stats(docs, keep=[lang, source]), lang, source))
+    est = fit(with_stats(docs, keep=[lang, source]), lang, source)
     return judged(with_stats(docs), est, lang, source).where("_q_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
