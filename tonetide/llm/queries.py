@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import (byte_shards, decontaminate, license_lookup, ngram_join, pfair_mix, robust_outliers, token_planes,
-               url_tree, warc_writer)
+from . import (byte_shards, decontaminate, license_lookup, ngram_join, pfair_mix, robust_outliers, suffix_dedup,
+               token_planes, url_tree, warc_writer)
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -22,6 +22,12 @@ def op4(spark, sf_dir):
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op1_suffix_array_dedup")
+def op1(spark, sf_dir):
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op2_token_byte_planes")
 def op2(spark, sf_dir):
     import public_tokenizers
