@@ -6,10 +6,10 @@ level, so a host that holds a third of all pages is a few rows once its variable
 generalised:
 
 1. generalise: below a (host, prefix), segments become ``*`` when they are many and mostly rare;
-2. merge: siblings (same host, same other segments) whose labelled rates don't differ from the rest
-   of the siblings' by more than ``z`` standard errors become one ``*`` branch, deepest level first;
-3. judge: a template's rate of bad labels is smoothed towards its host's, and a host's towards that of
-   all pages; templates whose purity falls below ``least_purity`` are rejected.
+2. merge: siblings (same host, same other segments) are put in order of their labelled rates;
+   neighbours that don't differ by more than ``z`` standard errors become one branch, deepest level first;
+3. judge: a template's rate of bad labels is smoothed towards its host's, a host's towards that of all
+   pages, and that towards ``prior``; templates whose purity falls below ``least_purity`` are rejected.
 
 A listed rule ``host/path`` fits its host and all subdomains when the url's path starts with its path; the
 longest fitting rule decides, and templates judge only urls that no rule fits.
@@ -70,41 +70,49 @@ def generalised(tree: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("children"), F.sum("n").alias("pages"))
         variable = nodes.where((F.col("children") >= MANY_CHILDREN) & (F.col("children") >= RARE_SHARE * F.col("pages")))
         tree = (tree.withColumn("prefix", prefix).join(variable.select("host", "prefix", F.lit(True).alias("v")), ["host", "prefix"], "left")
-                .withColumn("template", F.when(F.coalesce("v", F.lit(False)) & (F.size("template") > level), F.concat(
-                    F.slice("template", 1, level), F.array(F.lit("*")),
-                    F.slice("template", level + 2, F.greatest(F.size("template") - level - 1, F.lit(0)))))
-                    .otherwise(F.col("template")))
+                .withColumn("template", F.when(F.coalesce("v", F.lit(False)) & (F.size("template") > level), replaced(level, F.lit("*")))
+                            .otherwise(F.col("template")))
                 .drop("prefix", "v"))
         if level % 4 == 0:
             tree = cut_lineage(tree)
     return tree
 
 
-def replaced(level: int) -> Column:
-    return F.concat(F.slice("template", 1, level), F.array(F.lit("*")),
+def replaced(level: int, name: Column) -> Column:
+    """The template with its segment at ``level`` replaced."""
+    return F.concat(F.slice("template", 1, level), F.array(name),
                     F.slice("template", level + 2, F.greatest(F.size("template") - level - 1, F.lit(0))))
 
 
 def merged(tree: DataFrame, z: float) -> DataFrame:
-    """Merge siblings of like labelled rates, deepest level first."""
+    """Merge siblings of like labelled rates, deepest level first.
+
+    Siblings are put in order of their rates; one that differs from the one before it starts a new
+    class. A class of several becomes ``*`` (the class of the lowest rate) or ``*~k``.
+    """
     for level in range(MAX_DEPTH, 0, -1):
-        deep = F.size("template") > level
-        branches = (tree.where(deep).select("host", "template", replaced(level).alias("family"), "labelled", "bad")
-                    .groupBy("host", "family", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")))
-        family = Window.partitionBy("host", "family")
-        rest_n, rest_bad = F.sum("labelled").over(family) - F.col("labelled"), F.sum("bad").over(family) - F.col("bad")
-        pooled = F.try_divide(rest_bad + F.col("bad"), rest_n + F.col("labelled"))
-        error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), rest_n) + F.try_divide(F.lit(1.0), F.col("labelled"))))
-        differs = F.abs(F.try_divide(F.col("bad"), F.col("labelled")) - F.try_divide(rest_bad, rest_n)) > z * error
-        alike = branches.withColumn("differs", F.coalesce(differs, F.lit(False))).where("not differs").select("host", "template", "family")
-        tree = (tree.join(alike, ["host", "template"], "left")
-                .withColumn("template", F.coalesce("family", "template")).drop("family"))
+        branches = (tree.where(F.size("template") > level)
+                    .select("host", "template", replaced(level, F.lit("*")).alias("family"), "labelled", "bad")
+                    .groupBy("host", "family", "template").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")))
+        by_rate = Window.partitionBy("host", "family").orderBy(F.col("rate").asc_nulls_first(), "template")
+        n0, b0 = F.lag("n").over(by_rate), F.lag("b").over(by_rate)
+        pooled = F.try_divide(F.col("b") + b0, F.col("n") + n0)
+        error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), n0) + F.try_divide(F.lit(1.0), F.col("n"))))
+        differs = F.coalesce(F.col("rate") - F.try_divide(b0, n0) > z * error, F.lit(False))
+        classes = (branches.withColumn("rate", F.try_divide("b", "n")).withColumn("differs", differs.cast("int"))
+                   .withColumn("class", F.sum("differs").over(by_rate))
+                   .withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("host", "family", "class")))
+                   .where("members > 1").select("host", "template", F.when(F.col("class") == 0, F.lit("*")).otherwise(
+                       F.concat(F.lit("*~"), F.col("class").cast("string"))).alias("name")))
+        tree = (tree.join(classes, ["host", "template"], "left")
+                .withColumn("template", F.when(F.col("name").isNotNull(), replaced(level, F.col("name"))).otherwise(F.col("template")))
+                .drop("name"))
         if level % 4 == 1:
             tree = cut_lineage(tree)
     return tree
 
 
-def template_tree(pages: DataFrame, z: float = 1.96, smoothing: float = 20.0, least_purity: float = 0.5) -> DataFrame:
+def template_tree(pages: DataFrame, z: float = 1.96, smoothing: float = 20.0, least_purity: float = 0.5, prior: float = 0.1) -> DataFrame:
     """(host, lexical, template, labelled, purity, rejected) of every lexical template.
 
     ``pages`` has host, path and bad (1, 0, or null where a page has no label).
@@ -113,7 +121,7 @@ def template_tree(pages: DataFrame, z: float = 1.96, smoothing: float = 20.0, le
         F.count(F.lit(1)).alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     tree = cut_lineage(counts.withColumn("template", F.col("lexical")))
     tree = merged(generalised(tree), z)
-    total = tree.agg(F.coalesce(F.sum("bad") / F.sum("labelled"), F.lit(0.0)).alias("r")).scalar()
+    total = tree.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + smoothing * prior) / (F.coalesce(F.sum("labelled"), F.lit(0)) + smoothing)).alias("r")).scalar()
     hosts = tree.groupBy("host").agg(((F.sum("bad") + smoothing * total) / (F.sum("labelled") + smoothing)).alias("host_rate"))
     judged = (tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")).join(hosts, "host")
               .withColumn("purity", 1 - (F.col("bad") + smoothing * F.col("host_rate")) / (F.col("labelled") + smoothing))
