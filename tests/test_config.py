@@ -31,3 +31,26 @@ def test_session_setting_is_used(spark):
 
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert shared_dir(spark) == configured.rstrip("/")
+
+
+def test_scratch_is_cleaned(spark):
+    from tonetide.config import clean_scratch, scratch_path
+
+    path = scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file://").removeprefix("file:")
+    assert os.path.isdir(local) and clean_scratch(spark) >= 1 and not os.path.exists(local)
+    assert clean_scratch(spark) == 0
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from tonetide.config import shared_dir
+
+    nothing = SimpleNamespace(get=lambda *a: None)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError):
+        shared_dir(SimpleNamespace(conf=nothing, sparkContext=context))

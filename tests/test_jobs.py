@@ -1,6 +1,7 @@
 """Jobs over the reference's input shapes, fed with dumps written from the fixture views."""
 
 import os
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,10 +55,22 @@ def test_sentiment_job_matches_query(spark, dumps):
     assert sorted(map(key, out.collect())) == sorted(map(key, want.collect()))
 
 
-def test_daily_tone_job_matches_query(spark, dumps):
+def test_daily_tone_job_keeps_one_row_of_a_url_by_content(spark, dumps):
     out = rounded(jobs.daily_tone(spark, dumps("events.csv"), dumps("o_tone")))
-    want = Q["tone_gapfill"](spark, SF_SMALL)
-    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.select(*out.columns).collect()))
+    seen = {}  # (url, day) -> the smallest row by content
+    cols = ["DATEADDED", "CAMEOCodeDescription", "AvgTone", "SOURCEURL", "ActionGeo_CountryCode"]
+    for r in fx.events_in(spark, SF_SMALL).where("ActionGeo_CountryCode = 'US'").select(*cols).collect():
+        key = (r.SOURCEURL, r.DATEADDED)
+        seen[key] = min(seen.get(key, tuple(r)), tuple(r))
+    by_day = {}
+    for row in seen.values():
+        by_day.setdefault(str(row[0]), []).append(row[2])
+    got = {r.Date.strftime("%Y%m%d"): r for r in out.collect() if r.num}
+    assert got.keys() == by_day.keys()
+    for day, tones in by_day.items():
+        assert got[day].num == len(tones)
+        assert got[day].median_tone == pytest.approx(statistics.median(tones), abs=1e-4)
+        assert got[day].std_tone == pytest.approx(statistics.stdev(tones), abs=1e-4)
 
 
 def test_per_stock_regression_job_matches_query(spark, dumps):
@@ -83,6 +96,36 @@ def test_model_jobs(spark, dumps):
     assert jobs.lag_sweep(spark, dumps("features.csv"), dumps("o_lag")).count() == 32
     aucs = jobs.classifiers(spark, dumps("new_data.csv"), dumps("o_clf")).collect()
     assert {r.model for r in aucs} == {"logistic", "random_forest", "poly_logistic"}
+    lpm = jobs.linear_probability(spark, dumps("new_data.csv"), dumps("o_lpm")).collect()
+    assert len(lpm) == 5 and all(r.n > 0 and r.r2 is not None for r in lpm)
+
+
+def test_sentiment_to_regression(spark, dumps):
+    """The headline flow from files: scores, prices of a year, regression."""
+    jobs.sentiment(spark, dumps("news.json"), dumps("daily"))
+    joined = jobs.sentiment_price(spark, dumps("daily"), dumps("merged.csv"), dumps("aa"), year="1998")
+    want = flows.sentiment_price(spark, SF_SMALL)
+    assert joined.columns == want.columns
+    near = lambda df: sorted((r.date, round(r.avg_sentiment, 6), round(r.open_close_diff, 4)) for r in df.collect())
+    assert near(joined) == near(want)
+    pred = jobs.sentiment_regression(spark, dumps("aa"), dumps("pred")).collect()
+    assert pred and all(r.prediction is not None for r in pred)
+
+
+def test_three_way_and_dump(spark, dumps):
+    jobs.sentiment(spark, dumps("news.json"), dumps("daily3"))
+    jobs.daily_tone(spark, dumps("events.csv"), dumps("tone3"))
+    tone3 = spark.read.option("header", True).csv(dumps("tone3")).select("Date", "num", "avg_tone", "std_tone", "median_tone")
+    files.write_csv(tone3, dumps("tone3b"))
+    jobs.sector_index(spark, dumps("merged.csv"), dumps("idx3"))
+    idx = spark.read.option("header", True).csv(dumps("idx3")).select("Date", "Category", "Normalized_Sector_VWAP")
+    files.write_csv(idx, dumps("idx3b"))
+    out = jobs.three_way(spark, dumps("daily3"), dumps("tone3b"), dumps("idx3b"), dumps("o_three"))
+    want = flows.three_way(spark, SF_SMALL)
+    assert sorted(out.columns) == sorted(want.columns)
+    assert sorted((r.date, r.category) for r in out.collect()) == sorted((r.date, r.category) for r in want.collect())
+    dump = jobs.stock_dump(spark, dumps("merged.csv"), dumps("o_dump"))
+    assert "Custom_Metric" in dump.columns and spark.read.parquet(dumps("o_dump")).count() == dump.count()
 
 
 def test_ingest_events_job(spark, dumps):

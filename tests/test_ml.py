@@ -22,7 +22,7 @@ def test_auc_matches_brute_force_with_ties(spark, seed):
     rnd = random.Random(seed)
     rows = [(rnd.choice("ab"), rnd.randint(0, 1), float(rnd.randint(0, 25))) for _ in range(400)]
     df = spark.createDataFrame(rows, "g string, y int, s double")
-    got = {r.g: r.auc for r in metrics.auc(df, "y", "s", by="g", buckets=8).collect()}
+    got = {r.g: r.auc for r in metrics.auc(df, "y", "s", by="g", rows_per_bucket=7).collect()}
     for g in "ab":
         ys = [y for gg, y, _ in rows if gg == g]
         ss = [s for gg, _, s in rows if gg == g]
@@ -74,11 +74,48 @@ def test_closed_form_ols_matches_lstsq(spark, k):
         assert coefs[g].n_train == 60
 
 
-def test_closed_form_singular_gives_null(spark):
-    rows = [(1, 2.0, float(i)) for i in range(10)]
-    df = spark.createDataFrame(rows, "g int, x double, y double")
-    r = ols.fit_closed_form(df, ["x"], "y", by="g").collect()[0]
-    assert r.b_1 is None
+def test_constant_feature_gets_no_weight(spark):
+    rows = [(1, 2.0, float(i % 4), 3.0 + 2.0 * (i % 4)) for i in range(10)]
+    df = spark.createDataFrame(rows, "g int, x double, z double, y double")
+    r = ols.fit_closed_form(df, ["x", "z"], "y", by="g").collect()[0]
+    assert (r.b_1, r.b_2, r.b_0) == pytest.approx((0.0, 2.0, 3.0))
+    flagged = df.withColumn("t", F.col("z") < 3)
+    m = ols.fit_evaluate_closed_form(flagged, ["x", "z"], "y", "t", by="g").collect()[0]
+    assert m.mse == pytest.approx(0.0, abs=1e-12) and m.rmse is not None and m.n_test == 2
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_exact_fits_have_no_negative_error(spark, seed):
+    rnd = np.random.default_rng(seed)
+    rows = [(g, bool(i < 20), float(x[0]), float(x[1]), float(1e3 * g + x[0] - 5 * x[1]))
+            for g in range(10) for i, x in enumerate(rnd.normal(size=(30, 2)) * 100)]
+    df = spark.createDataFrame(rows, "g int, t boolean, a double, b double, y double")
+    for m in ols.fit_evaluate_closed_form(df, ["a", "b"], "y", "t", by="g").collect():
+        assert 0 <= m.mse < 1e-6 and m.rmse >= 0
+
+
+def test_lag_sweep_takes_tickers(spark):
+    rows = [(dt.date(2020, 1, 1) + dt.timedelta(days=i), "AAPL", float(i % 7), float((i * 5) % 11)) for i in range(40)]
+    df = spark.createDataFrame(rows, "Date date, Stock string, f double, label double")
+    assert [r.Stock for r in ols.lag_sweep_per_stock(df, ["f"], "label", lags=[1]).collect()] == ["AAPL"]
+
+
+def test_null_labels_take_no_part(spark):
+    rows = [(dt.date(2020, 1, 1 + i), "AB"[i % 2], float(i), None if i == 3 else float(i % 2)) for i in range(20)]
+    df = spark.createDataFrame(rows, "Date date, Category string, x double, buySell double")
+    for fit in (models.linear_probability, models.logistic, models.random_forest, models.poly_logistic):
+        assert fit(df, df).count() == 20
+    pred = df.withColumn("prediction", F.col("x") / 20)
+    one = metrics.regression_metrics(pred, "buySell").first()
+    both = metrics.regression_metrics(pred.where("buySell IS NOT NULL"), "buySell").first()
+    assert one == both and one.n == 19
+
+
+def test_prediction_without_groups_needs_no_join(spark):
+    df = spark.createDataFrame([(1.0, 3.0), (2.0, 5.0), (3.0, 7.0)], "x double, y double")
+    out = ols.predict_closed_form(df, ols.fit_closed_form(df, ["x"], "y"), ["x"])
+    assert "CartesianProduct" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [r.prediction for r in out.orderBy("x").collect()] == pytest.approx([3.0, 5.0, 7.0])
 
 
 def test_linear_regression_matches_closed_form(spark):

@@ -7,8 +7,9 @@ from tools.oracle_check import duck, rows_of
 
 from conftest import SF_ORACLE
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+# the training-data queries are tested in tests/llm
+QUERIES = {k: v for k, v in E.queries().items() if k != "pipeline" and not k.startswith("op")}
+ORACLES = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -36,8 +37,8 @@ def test_query_matches_oracle(spark, con, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_rows_only_query_runs(spark, name):
     df = QUERIES[name](spark, SF_ORACLE)
-    assert df.count() >= 0
-    assert len(df.columns) > 0
+    rows = df.collect()
+    assert rows and all(any(v is not None for v in r) for r in rows)
 
 
 def test_entry_smoke(spark):

@@ -26,10 +26,18 @@ def test_flagship_prunes_columns_and_broadcasts_dimensions_not_facts(spark):
     assert "SortAggregate" not in p
 
 
-def test_bars_use_hash_aggregates(spark):
+def test_bars_are_one_hash_aggregate(spark):
     p = plan(spark, "bars_source")
     assert "SortAggregate" not in p
-    assert p.count("HashAggregate") >= 4  # two partial + final pairs
+    assert p.count("HashAggregate") == 2  # partial and final
+    assert p.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(Date" in p
+
+
+@pytest.mark.parametrize("name, columns", [("distinct_keys", "l_suppkey:bigint"), ("hash_split", "l_suppkey:bigint,l_shipdate:timestamp_ntz"),
+                                           ("chrono_split", "l_suppkey:bigint,l_shipdate:timestamp_ntz")])
+def test_keys_are_read_alone(spark, name, columns):
+    p = plan(spark, name)
+    assert f"ReadSchema: struct<{columns}>" in p and p.count("FileScan") == 1
 
 
 @pytest.mark.parametrize("name", ["lexicon_sentiment", "daily_sentiment", "clean_text", "lemmatize",
@@ -39,8 +47,15 @@ def test_no_python_udf_in_hot_path(spark, name):
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
-def test_lexicon_is_joined_by_broadcast(spark):
-    assert "BroadcastHashJoin" in plan(spark, "lexicon_sentiment")
+@pytest.mark.parametrize("name", ["lexicon_sentiment", "daily_sentiment", "minmax_range", "lexicon_sentiment_join"])
+def test_tokens_are_never_shuffled_by_word(spark, name):
+    p = plan(spark, name)
+    assert "hashpartitioning(word" not in p and "BroadcastHashJoin [word" in p
+
+
+def test_documents_are_read_once_for_scores(spark):
+    p = plan(spark, "lexicon_sentiment")
+    assert p.count("text:string") == 1
 
 
 def test_per_stock_ols_is_one_pass(spark):
@@ -77,12 +92,12 @@ def test_unpartitioned_window_detector(spark):
 
 
 def test_no_single_partition_window_over_rows(spark):
-    # the reference's unpartitioned windows are gone from the per-row queries; the only
-    # unpartitioned window allowed is the row-bound guard of a broadcast dimension
+    # the reference's unpartitioned windows are gone from the per-row queries
     for name in ("chrono_split", "rank_rows", "moving_avg", "lag_features", "minmax_per_stock",
                  "lr_per_stock", "buysell_signal"):
-        bad = [w for w in _unpartitioned_windows(plan(spark, name)) if "__tt_n" not in w]
-        assert not bad, (name, bad)
+        p = plan(spark, name)
+        assert not _unpartitioned_windows(p), (name, _unpartitioned_windows(p))
+        assert "SinglePartition" not in p, name
 
 
 @pytest.mark.parametrize("name", ["bars_source", "dedup_url", "tone_daily_std", "sector_vwap", "daily_sentiment"])

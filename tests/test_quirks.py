@@ -83,12 +83,35 @@ def test_gap_days_become_zero_rows(spark):
     assert by_day[27] == (3, 1.5)
 
 
-def test_days_in_month_rule_matches_calendar(spark):
+def test_days_in_month_matches_calendar(spark):
+    import calendar as cal
+
     rows = [(y, m) for y in (1900, 2000, 2023, 2024) for m in range(1, 13)]
     df = spark.createDataFrame(rows, "y int, m int")
-    out = df.select(calendar.days_in_month_rule("y", "m").alias("a"),
-                    calendar.days_in_month(F.make_date("y", "m", F.lit(1))).alias("b")).collect()
-    assert all(r.a == r.b for r in out)
+    out = df.select("y", "m", calendar.days_in_month(F.make_date("y", "m", F.lit(1))).alias("n")).collect()
+    assert all(r.n == cal.monthrange(r.y, r.m)[1] for r in out)
+
+
+def test_blanks_are_unicode(spark):
+    rows = [("see http://x.y/z\u00a0next a\u00a0b",), ("can't\u2003do",), ("\u00a0 \u3000",), (" one\u2028two ",)]
+    df = spark.createDataFrame(rows, "t string")
+    assert [r[0] for r in df.select(text.clean_text("t")).collect()] == ["see next a b", "cannot do", "", "one two"]
+    assert [r[0] for r in df.select(text.whitespace_tokens("t")).collect()][2:] == [[], ["one", "two"]]
+
+
+def test_letters_of_any_script_hold_a_word_together(spark):
+    from tonetide.operators import sentiment as st
+
+    rows = [(1, "modèle"), (2, "le modèle"), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id int, headline_description string")
+    got = {r.doc_id: r.sentiment for r in st.score_docs(df, st.lexicon_frame(spark)).collect()}
+    assert got == {1: 0.0, 2: 0.35, 3: 0.0, 4: 0.0}
+    assert {r.doc_id: r.sentiment for r in st.score_text(df).collect()} == got
+
+
+def test_dates_that_do_not_exist_are_not_valid(spark):
+    df = spark.createDataFrame([("2016-02-30",), ("2016-02-29",), ("n/a",), (None,)], "d string")
+    assert [r[0] for r in df.where(calendar.valid_iso_date("d")).collect()] == ["2016-02-29"]
 
 
 def test_clean_text_chain(spark):
@@ -157,18 +180,6 @@ def test_ticker_dim_is_110_rows_in_11_sectors(spark):
     assert t.select("Category").distinct().count() == 11
 
 
-def test_bounded_broadcast_raises_beyond_bound(spark):
-    import pytest
-
-    from tonetide.config import bounded_broadcast
-
-    small = spark.range(5).withColumnRenamed("id", "k")
-    big = spark.range(100).withColumnRenamed("id", "k")
-    assert big.join(bounded_broadcast(small, 10), "k").count() == 5
-    with pytest.raises(Exception):
-        big.join(bounded_broadcast(big, 10), "k").count()
-
-
 def test_minmax_per_key_fit_on_train_only(spark):
     rows = [(1, d("2020-01-0%d" % i), float(i), i <= 3) for i in range(1, 6)]
     df = spark.createDataFrame(rows, "Stock int, Date date, x double, is_train boolean")
@@ -200,3 +211,48 @@ def test_empty_frames_stay_empty(spark):
     assert tone.tone_daily_stats(tone.dedup_url(ev)).count() == 0
     scored = spark.createDataFrame([], "y int, s double")
     assert metrics.regression_metrics(scored.selectExpr("cast(y as double) y", "s"), "y", "s").collect()[0].n == 0
+
+
+def test_describe_of_text_columns(spark):
+    df = spark.createDataFrame([("b", "1"), ("a", "x"), (None, None)], "t string, v string")
+    got = {r["column"]: tuple(r)[1:] for r in profile.summary_text(df, ["t", "v"]).collect()}
+    assert got == {"t": (2, "a", "b"), "v": (2, "1", "x")}
+    one = profile.summary_long(df, ["v"]).first()  # text that is no number counts as null
+    assert (one["count"], one["mean"]) == (1, 1.0)
+
+
+def test_skipped_files_are_listed(spark, tmp_path):
+    from tonetide.sources import files
+
+    spark.createDataFrame([(1,), (2,)], "k int").coalesce(1).write.option("header", True).option("compression", "gzip").csv(str(tmp_path / "in"))
+    (tmp_path / "in" / "bad.csv.gz").write_bytes(b"no gzip at all")
+    rows = files.read_csv(spark, str(tmp_path / "in"), "k int", ignore_corrupt_files=True)
+    assert sorted(r.k for r in rows.collect()) == [1, 2]
+    listed = [r.path for r in files.skipped_files(spark, str(tmp_path / "in"), rows).collect()]
+    assert any(p.endswith("bad.csv.gz") for p in listed) and not any("part-" in p for p in listed)
+
+
+def test_exact_median_by_bins(spark, monkeypatch):
+    import random
+    import statistics
+
+    monkeypatch.setattr(tone, "MEDIAN_BINS", 4)
+    rnd = random.Random(1)
+    rows = [(k % 5, round(rnd.expovariate(1) ** 3, 2)) for k in range(400)] + [(7, 1.0), (8, 2.0), (8, 3.0), (9, 5.0), (9, 5.0), (9, 5.0), (None, 4.0)]
+    df = spark.createDataFrame(rows, "k int, v double").groupBy("k", "v").count()
+    got = {r.k: r.median for r in tone.exact_median(df, "k", "v", "count").collect()}
+    want = {k: statistics.median(v for a, v in rows if a == k) for k in {r[0] for r in rows}}
+    assert got == want
+
+
+def test_null_keys_stay_in_the_row_level_vwap(spark):
+    ticks = spark.createDataFrame([(None, 1, 5.0, 2.0), (d("2020-01-01"), None, 4.0, 1.0), (None, 1, 9.0, 2.0)],
+                                  "Date date, Stock int, Price double, Quantity double")
+    assert sorted((r.Price, r.VWAP) for r in market.vwap_window(ticks).collect()) == [(4.0, 4.0), (5.0, 7.0), (9.0, 7.0)]
+
+
+def test_fractions_of_a_percent_are_kept(spark):
+    df = spark.range(20000)
+    n = split.hash_split(df, "id", 0.005).where("is_train").count()
+    assert 60 <= n <= 140
+    assert split.hash_split(df, "id", 0.0).where("is_train").count() == 0

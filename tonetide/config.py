@@ -1,26 +1,27 @@
-"""Session-derived settings: the shared scratch folder and checked broadcasts."""
+"""Session-derived settings: the shared scratch folder and lineage cuts."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    On a cluster this is the shared folder the cluster names. Only when the
-    session has none (a bare local test session) a local one is created and
-    registered, so later ``checkpoint()`` calls work too.
+    On a cluster this is the shared folder the cluster names; without one this raises. Only a local
+    session (tests) that has none gets a folder of this machine, registered so that later
+    ``checkpoint()`` calls work too.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         # core config: cannot be set at runtime; register it with the context
         path = tempfile.mkdtemp(prefix="tonetide-ckpt-")
         spark.sparkContext.setCheckpointDir(path)
@@ -28,9 +29,27 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_SCRATCH: list[str] = []  # written by this process and not cleaned yet
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder for one write."""
-    return f"{shared_dir(spark)}/tonetide/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(f"{shared_dir(spark)}/tonetide/{name}-{uuid.uuid4().hex[:12]}")
+    return _SCRATCH[-1]
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete what this process wrote under ``scratch_path``; call it when the results are read.
+
+    Checkpoints are Spark's own: ``spark.cleaner.referenceTracking.cleanCheckpoints`` removes them.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        path = hadoop(_SCRATCH.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -43,43 +62,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-class BroadcastTooLarge(ValueError):
-    pass
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint for a dimension whose size bound is checked, not assumed.
-
-    The bound is verified lazily inside the plan: a row beyond ``max_rows``
-    raises at execution time instead of silently shipping a growing table to
-    every executor. Use only for dictionaries/dimensions (lexicon, lemma
-    table, region/nation) whose size does not grow with the fact data.
-    """
-    guarded = df.withColumn(
-        "__tt_n", F.count(F.lit(1)).over(_whole())
-    )
-    # A count over the whole side in one window partition: a broadcast gathers
-    # every row of this side into the driver and every executor anyway, so
-    # gathering it into one task to count it adds no new bottleneck, and the
-    # side is not computed twice. raise_error fires only if the bound is broken.
-    guarded = guarded.where(
-        F.when(F.col("__tt_n") > F.lit(max_rows),
-               F.raise_error(F.lit(f"broadcast side exceeds {max_rows} rows")))
-        .otherwise(F.lit(True))
-    ).drop("__tt_n")
-    return F.broadcast(guarded)
-
-
-def _whole():
-    from pyspark.sql import Window
-
-    return Window.partitionBy()
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -16,17 +16,6 @@ def days_in_month(d) -> Column:
     return F.dayofmonth(F.last_day(col_(d)))
 
 
-def days_in_month_rule(year, month) -> Column:
-    """Same number from year/month integers with the explicit leap rule."""
-    y, m = col_(year), col_(month)
-    leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
-    return (
-        F.when(m.isin(4, 6, 9, 11), F.lit(30))
-        .when(m == 2, F.when(leap, F.lit(29)).otherwise(F.lit(28)))
-        .otherwise(F.lit(31))
-    )
-
-
 def parse_iso_date(c) -> Column:
     """'yyyy-MM-dd' text -> date; invalid text -> null (ANSI-safe)."""
     return F.try_to_date(col_(c), "yyyy-MM-dd")
@@ -46,8 +35,8 @@ def compact_int(c) -> Column:
 
 
 def valid_iso_date(c) -> Column:
-    """Regex shape check ^\\d{4}-\\d{2}-\\d{2}$ (the reference's validity test)."""
-    return col_(c).rlike(ISO_DATE_PATTERN)
+    """The shape of ISO_DATE_PATTERN (the reference's validity test) and a date that exists."""
+    return col_(c).rlike(ISO_DATE_PATTERN) & parse_iso_date(c).isNotNull()
 
 
 def in_year(d, year: int) -> Column:

@@ -17,11 +17,15 @@ from .scalar import col_
 # Fixed values of the cleaning chain: whole-token contraction expansions (matched
 # before lower-casing), the URL pattern removed first, the characters kept.
 CONTRACTIONS = {"can't": "cannot", "won't": "will not"}
-URL_PATTERN = r"http\S+"
+# Blanks are Unicode's, as in the reference's patterns; the escapes mean the same in Java and RE2.
+BLANK = r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+BLANKS = f"[{BLANK}]+"
+EDGE_BLANKS = f"^{BLANKS}|{BLANKS}$"
+URL_PATTERN = f"http[^{BLANK}]+"
 KEEP_PATTERN = r"[^a-zA-Z' ]"
 
-# This library's tokeniser for lexicon scoring: runs of ASCII letters and apostrophes.
-SENTIMENT_TOKEN_SPLIT = r"[^a-z']+"
+# This library's tokeniser for lexicon scoring: runs of letters (of any script) and apostrophes.
+SENTIMENT_TOKEN_SPLIT = r"[^\p{L}']+"
 
 
 def map_literal(d: dict) -> Column:
@@ -41,8 +45,8 @@ def headline_description(headline="headline", description="short_description") -
 
 def whitespace_tokens(c) -> Column:
     """Python ``str.split()``: split on whitespace runs, no empty edge tokens."""
-    stripped = F.regexp_replace(col_(c), r"^\s+|\s+$", "")
-    return F.split(stripped, r"\s+")
+    stripped = F.regexp_replace(col_(c), EDGE_BLANKS, "")
+    return F.filter(F.split(stripped, BLANKS), lambda t: t != F.lit(""))
 
 
 def clean_text(c, lemmas: dict | None = None, contractions: dict | None = None) -> Column:
@@ -53,14 +57,14 @@ def clean_text(c, lemmas: dict | None = None, contractions: dict | None = None)
     t = F.array_join(lookup_or_keep(whitespace_tokens(t), contractions), " ")
     t = F.regexp_replace(t, KEEP_PATTERN, "")
     t = F.lower(t)
-    t = F.trim(F.regexp_replace(t, r"\s+", " "))
+    t = F.trim(F.regexp_replace(t, BLANKS, " "))
     if lemmas:
         t = F.array_join(lookup_or_keep(F.split(t, " "), lemmas), " ")
     return t
 
 
 def sentiment_tokens(c) -> Column:
-    """Lower-cased ASCII word tokens of the raw text (empty tokens removed)."""
+    """Lower-cased word tokens of the raw text (empty tokens removed)."""
     toks = F.split(F.lower(col_(c)), SENTIMENT_TOKEN_SPLIT)
     return F.filter(toks, lambda t: t != F.lit(""))
 

@@ -47,16 +47,17 @@ def vwap_by_stock_day(ticks: DataFrame, price="Price", qty="Quantity") -> DataFr
 
 
 def vwap_window(ticks: DataFrame, price="Price", qty="Quantity") -> DataFrame:
-    """Row-level VWAP column: every trade row gets its (Date, Stock) VWAP.
+    """Row-level VWAP column: every trade row gets its (Date, Stock) VWAP; null keys are keys too.
 
     Implemented as aggregate + equi-join back rather than an unordered window,
     so a hot key is pre-aggregated and the join-back can be split by AQE's
     skew-join handling instead of sorting one huge window partition.
     """
-    per_key = ticks.groupBy("Date", "Stock").agg(
+    per_key = ticks.groupBy(F.col("Date").alias("__d"), F.col("Stock").alias("__s")).agg(
         F.try_divide(F.sum(F.col(price) * F.col(qty)), F.sum(qty)).alias("VWAP")
     )
-    return ticks.join(per_key, ["Date", "Stock"])
+    same = F.col("Date").eqNullSafe(F.col("__d")) & F.col("Stock").eqNullSafe(F.col("__s"))
+    return ticks.join(per_key, same).drop("__d", "__s")
 
 
 def sector_index(bars: DataFrame, metric: str = "VWAP", out: str = "Sector_VWAP") -> DataFrame:

@@ -33,7 +33,7 @@ def summary_long(df: DataFrame, cols) -> DataFrame:
     cols = list(cols)
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = F.expr(f"try_cast(`{c}` AS double)")  # text that is no number counts as null
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__stddev"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
@@ -44,3 +44,12 @@ def summary_long(df: DataFrame, cols) -> DataFrame:
     return wide.selectExpr(
         f"stack({len(cols)}, {rows}) AS (column, count, mean, stddev, min, max)"
     )
+
+
+def summary_text(df: DataFrame, cols) -> DataFrame:
+    """count/min/max per column as text in one pass: ``describe()`` of columns that aren't numbers."""
+    cols = list(cols)
+    wide = df.agg(*[f(F.col(c).cast("string")).alias(f"{c}__{n}") for c in cols
+                    for n, f in (("count", F.count), ("min", F.min), ("max", F.max))])
+    rows = ", ".join(f"'{c}', `{c}__count`, `{c}__min`, `{c}__max`" for c in cols)
+    return wide.selectExpr(f"stack({len(cols)}, {rows}) AS (column, count, min, max)")

@@ -4,9 +4,10 @@ The lexicon and lemma tables are inputs of this library (the reference used
 a third-party library's built-in ones). Two forms:
 
 * a small fixed dictionary -> MAP literal lookups inside the row (no join);
-* a lexicon DataFrame -> tokens exploded and joined to the lexicon broadcast
-  behind a checked row bound, re-aggregated per document with partial
-  aggregation (shuffle volume ~ one row per document and map task).
+* a lexicon DataFrame -> tokens exploded next to the document's keys and
+  left-joined to the lexicon (a table of known size, so Spark plans a broadcast
+  while it is small), averaged per document with partial aggregation (shuffle
+  volume ~ one row per document and map task).
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import bounded_broadcast
 from ..functions.calendar import valid_iso_date
 from ..functions.text import (SENTIMENT_TOKEN_SPLIT, clean_text, headline_description, lexicon_mean,
                               sentiment_tokens)
@@ -83,27 +83,31 @@ def with_clean_text(df: DataFrame, src="headline_description", out="cleaned_text
     return df.withColumn(out, clean_text(src, lemmas))
 
 
+def _sql_text(v) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else f"{v}D"
+
+
+def values_frame(spark, rows, columns: str) -> DataFrame:
+    """A small fixed table as SQL VALUES, whose size the planner knows."""
+    listed = ", ".join("(" + ", ".join(map(_sql_text, r)) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {listed} AS t({columns})")
+
+
 def lemma_frame(spark, lemmas: dict | None = None) -> DataFrame:
-    rows = list((lemmas or LEMMAS).items())
-    return spark.createDataFrame(rows, "form string, lemma string")
+    return values_frame(spark, (lemmas or LEMMAS).items(), "form, lemma")
 
 
 def lemmatize_join(df: DataFrame, lemma_df: DataFrame, text_col: str, id_col: str = "doc_id",
                    out: str = "cleaned_text") -> DataFrame:
-    """Lemmatise an already cleaned text with a lemma *table* (form, lemma).
+    """Lemmatise an already cleaned text with a (small) lemma *table* (form, lemma).
 
-    Tokens are exploded with their position, LEFT-joined to the lemma table
-    (broadcast by the planner's size check; unmatched tokens are kept) and
-    reassembled per document in position order. A document's tokens form one
-    group, bounded by the document's length.
+    The table becomes one map value (a scalar subquery), looked up inside each row: nothing is
+    exploded or shuffled. Unmatched tokens are kept; of several lemmas of a form the smallest counts.
     """
-    toks = df.select(id_col, F.posexplode(F.split(F.col(text_col), " ")).alias("pos", "form"))
-    joined = toks.join(lemma_df.select("form", "lemma"), "form", "left")
-    word = F.coalesce(F.col("lemma"), F.col("form"))
-    rebuilt = joined.groupBy(id_col).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("pos"), word.alias("w")))),
-                                 lambda x: x["w"]), " ").alias(out))
-    return df.drop(out).join(rebuilt, id_col, "left")
+    one = lemma_df.where(F.col("form").isNotNull()).groupBy("form").agg(F.min("lemma").alias("lemma"))
+    table = one.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("form", "lemma")))).alias("m")).scalar()
+    tokens = F.transform(F.split(F.col(text_col), " "), lambda t: F.coalesce(F.try_element_at(F.col("__lemmas"), t), t))
+    return df.withColumn("__lemmas", table).withColumn(out, F.array_join(tokens, " ")).drop("__lemmas")
 
 
 def score_text(df: DataFrame, text_col="headline_description", lexicon: dict | None = None) -> DataFrame:
@@ -118,39 +122,31 @@ def score_text(df: DataFrame, text_col="headline_description", lexicon: dict | N
 def lexicon_frame(spark, lexicon: dict | None = None) -> DataFrame:
     """The fixed lexicon as a small DataFrame (word, polarity, subjectivity)."""
     rows = [(w, float(p), float(s)) for w, (p, s) in (lexicon or LEXICON).items()]
-    return spark.createDataFrame(rows, "word string, polarity double, subjectivity double")
+    return values_frame(spark, rows, "word, polarity, subjectivity")
 
 
 def score_docs(df: DataFrame, lexicon_df: DataFrame, keys=("doc_id",), text_col="headline_description",
-               max_lexicon_rows: int | None = None, id_col: str = "doc_id") -> DataFrame:
+               id_col: str = "doc_id") -> DataFrame:
     """Per-document ``sentiment`` / ``subjectivity`` with the lexicon as a table.
 
-    Tokens are exploded next to the document id only (the text is never
-    shuffled), inner-joined to the lexicon -- broadcast by Spark's size check,
-    or forced with a verified row bound when ``max_lexicon_rows`` is given -- so
-    non-lexicon tokens drop out before any aggregation, and averaged per
-    document with partial aggregation. The document keys are joined back on
-    the id; a document without any lexicon word scores 0.0. Generate, the
-    broadcast hash join and the hash aggregate run in whole-stage codegen.
+    One scan: the keys travel with the exploded tokens through one left join and
+    one aggregate (partial first), so a document without any lexicon word stays
+    and scores 0.0. The text itself is never shuffled.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if id_col not in keys:
         raise ValueError(f"{id_col!r} must be one of the keys {keys}")
-    toks = df.select(id_col, F.explode(F.split(F.lower(text_col), SENTIMENT_TOKEN_SPLIT)).alias("word"))
+    toks = df.select(*keys, F.explode_outer(F.split(F.lower(text_col), SENTIMENT_TOKEN_SPLIT)).alias("word"))
     lex = lexicon_df.select("word", "polarity", "subjectivity")
-    if max_lexicon_rows:
-        lex = bounded_broadcast(lex, max_lexicon_rows)
-    hits = toks.join(lex, "word").groupBy(id_col).agg(
+    means = toks.join(lex, "word", "left").groupBy(*keys).agg(
         F.avg("polarity").alias("sentiment"), F.avg("subjectivity").alias("subjectivity"))
-    out = df.select(*keys).join(hits, id_col, "left")
-    return out.select(*keys, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ("sentiment", "subjectivity")])
+    return means.select(*keys, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ("sentiment", "subjectivity")])
 
 
-def score_text_join(df: DataFrame, lexicon_df: DataFrame, key="doc_id", text_col="headline_description",
-                    max_lexicon_rows: int | None = 1_000_000) -> DataFrame:
+def score_text_join(df: DataFrame, lexicon_df: DataFrame, key="doc_id", text_col="headline_description") -> DataFrame:
     """All columns of ``df`` except the text, plus the two scores."""
     keys = [c for c in df.columns if c not in (text_col, "headline", "short_description")]
-    return score_docs(df, lexicon_df, keys, text_col, max_lexicon_rows)
+    return score_docs(df, lexicon_df, keys, text_col, key)
 
 
 def daily_sentiment(scored: DataFrame, date="date", category="category") -> DataFrame:

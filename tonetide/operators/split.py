@@ -12,8 +12,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,14 +53,20 @@ def chrono_split_global(df: DataFrame, order="Date", tiebreak=("Stock",), frac:
     return easy.unionByName(edge).drop("__cnt", "__before", "__cut")
 
 
-def hash_bucket(key: Column | str, buckets: int = 100) -> Column:
-    """Stable bucket in [0, buckets) from the first 24 bits of md5(key)."""
-    h = F.conv(F.substring(F.md5(col_(key).cast("string")), 1, 6), 16, 10).cast("long")
-    return h % F.lit(buckets)
+HASH_RANGE = 1 << 24  # values of the hash that a split is made of
+
+
+def hash_value(key: Column | str) -> Column:
+    """The first 24 bits of md5(key)."""
+    return F.conv(F.substring(F.md5(col_(key).cast("string")), 1, 6), 16, 10).cast("long")
 
 
 def hash_split(df: DataFrame, key: Column | str, frac: float = 0.8, out="is_train") -> DataFrame:
-    return df.withColumn(out, hash_bucket(key) < F.lit(int(round(frac * 100))))
+    """Reproducible split by a key's hash modulo 100 for whole percents, else by its share of the range."""
+    percent = frac * 100
+    if abs(percent - round(percent)) < 1e-9:
+        return df.withColumn(out, hash_value(key) % 100 < F.lit(int(round(percent))))
+    return df.withColumn(out, hash_value(key) < F.lit(frac * HASH_RANGE))
 
 
 def random_split(df: DataFrame, frac: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -74,15 +78,9 @@ def random_split(df: DataFrame, frac: float = 0.8, seed: int = 42) -> tuple[Data
 def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
     """SQL EXCEPT (the reference's ``except``): duplicates collapse.
 
-    Both sides are de-duplicated first (partial aggregation collapses a hot
-    row map-side), then a null-safe anti join removes the rows of ``b``; the
-    join sees each distinct row once, so a heavy duplicate cannot skew it.
+    Both sides are made distinct first, so a heavy duplicate row is combined map-side.
     """
-    cols = a.columns
-    da, db = a.distinct().alias("__l"), b.select(*cols).distinct().alias("__r")
-    cond = reduce(lambda x, y: x & y,
-                  [F.col(f"__l.`{c}`").eqNullSafe(F.col(f"__r.`{c}`")) for c in cols])
-    return da.join(db, cond, "left_anti").select(*[F.col(f"__l.`{c}`").alias(c) for c in cols])
+    return a.distinct().subtract(b.select(*a.columns).distinct())
 
 
 def except_all(a: DataFrame, b: DataFrame) -> DataFrame:

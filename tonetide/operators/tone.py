@@ -5,18 +5,19 @@ Scale notes
 -----------
 * Dedup is an aggregate (``min_by`` on the tie-break key), not a
   ``row_number`` window: partial aggregation collapses a hot URL map-side.
-* The exact ``median`` is Spark's Percentile aggregate, whose buffer is a
-  value -> count map merged across partial aggregates; its memory is bounded
-  by the number of distinct tone values of a day, not by its row count.
+* The exact median never gathers a day: rows are collapsed to (day, value)
+  counts, a day's range is cut into equal bins, and only the bins that hold the
+  middle ranks are looked at value by value.
 * The day spine is generated from the data's own min/max: one row per
   calendar day, bounded by the date range.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import cut_lineage
 from ..functions.calendar import parse_compact_date
 
 
@@ -60,15 +61,50 @@ def tone_daily_stats(events: DataFrame, tone="AvgTone", day="Day", count_nulls:
     ``count_nulls=False`` counts non-null tones (Spark path of the reference);
     ``True`` counts rows, nulls included (its pandas ``len`` path).
     """
-    t = F.col(tone).cast("double")
-    num = F.count(F.lit(1)) if count_nulls else F.count(t)
-    return events.groupBy(parse_compact_date(day).alias("Date")).agg(
-        num.alias("num"),
-        F.avg(t).alias("avg_tone"),
-        F.var_samp(t).alias("var_tone"),
-        F.stddev_samp(t).alias("std_tone"),
-        F.median(t).alias("median_tone"),
-    )
+    rows = events.select(parse_compact_date(day).alias("Date"), F.col(tone).cast("double").alias("t"))
+    # (day, tone) counts: all statistics follow from them, and the input is read once
+    values = cut_lineage(rows.groupBy("Date", "t").agg(F.count(F.lit(1)).alias("c")))
+    known = F.when(F.col("t").isNotNull(), F.col("c"))
+    n, mean = F.sum(known), F.try_divide(F.sum(F.col("t") * F.col("c")), F.sum(known))
+    means = values.groupBy("Date").agg(F.coalesce(F.sum("c") if count_nulls else n, F.lit(0)).alias("num"), n.alias("n"),
+                                       mean.alias("avg_tone"))
+    same = F.col("Date").eqNullSafe(F.col("d"))
+    squares = (values.join(means.select(F.col("Date").alias("d"), "avg_tone"), same)
+               .groupBy("Date").agg(F.sum((F.col("t") - F.col("avg_tone")) ** 2 * F.col("c")).alias("ss")))
+    medians = exact_median(values.where("t IS NOT NULL"), "Date", "t", "c")
+    var = F.when(F.col("n") > 1, F.col("ss") / (F.col("n") - 1))
+    return (means.join(squares.select(F.col("Date").alias("d"), "ss"), same).drop("d")
+            .join(medians.select(F.col("Date").alias("d"), "median"), same, "left").drop("d")
+            .select("Date", "num", "avg_tone", var.alias("var_tone"), F.sqrt(var).alias("std_tone"),
+                    F.col("median").alias("median_tone")))
+
+
+MEDIAN_BINS = 1024
+
+
+def exact_median(values: DataFrame, key: str, value: str, count: str) -> DataFrame:
+    """(key, median): the exact median of each key from its (value, count) rows.
+
+    The values between a key's least and largest are cut into MEDIAN_BINS equal bins. Counts per bin tell
+    in which bins the one or two middle ranks lie; only these bins are ranked by value.
+    """
+    span = values.groupBy(F.col(key).alias("__k")).agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.sum(count).alias("n"))
+    place = F.floor((F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo")) * MEDIAN_BINS)
+    binned = values.join(span, F.col(key).eqNullSafe(F.col("__k"))).select(
+        "__k", F.col(value).alias("v"), F.col(count).alias("c"), "n",
+        F.when(F.col("hi") > F.col("lo"), F.least(place, F.lit(MEDIAN_BINS - 1))).otherwise(F.lit(0)).alias("b"))
+    bins = binned.groupBy("__k", "n", "b").agg(F.sum("c").alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("__k").orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
+    low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    holds = lambda rank, start, end: (start <= rank) & (rank < end)
+    middle = (bins.withColumn("before", upto - F.col("c"))
+              .where(holds(low, F.col("before"), F.col("before") + F.col("c")) | holds(high, F.col("before"), F.col("before") + F.col("c")))
+              .select(F.col("__k").alias("k"), F.col("b").alias("mb"), "before"))
+    inside = F.sum("c").over(Window.partitionBy("__k", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = (binned.join(middle, F.col("__k").eqNullSafe(F.col("k")) & (F.col("b") == F.col("mb")))
+              .withColumn("end", F.col("before") + inside).withColumn("start", F.col("end") - F.col("c")))
+    at = lambda rank: F.max(F.when(holds(rank, F.col("start"), F.col("end")), F.col("v")))
+    return ranked.groupBy(F.col("__k").alias(key)).agg(((at(low) + at(high)) / 2).alias("median"))
 
 
 def month_spine(df: DataFrame, date_col="Date") -> DataFrame:
@@ -91,9 +127,11 @@ def months_between_spine(df: DataFrame, date_col="Date", out="month") -> DataFra
 
 
 def gap_fill(daily: DataFrame, spine: DataFrame, date_col="Date", fill: float = 0.0) -> DataFrame:
-    """Spine LEFT JOIN daily; a day without data becomes a row of zeros."""
+    """Spine LEFT JOIN daily; a day without data becomes a row of zeros. Data whose day couldn't be
+    read (a null day) stays as the row it is."""
     vals = [c for c in daily.columns if c != date_col]
     joined = spine.join(daily, date_col, "left")
-    return joined.select(
+    filled = joined.select(
         date_col, *[F.coalesce(F.col(c), F.lit(fill).cast(daily.schema[c].dataType)).alias(c) for c in vals]
     )
+    return filled.union(daily.where(F.col(date_col).isNull()).select(date_col, *vals))

@@ -5,17 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import bounded_broadcast
 from ..functions.calendar import in_year
 from ..functions.scalar import close_open, open_close_diff
 from ..operators import market, normalize, sentiment as st, signal, tone
 from ..sources import fixtures as fx
 
 
-# (day, sector) frames: 100 years of days x 1,000 sectors is far above any real input
-DAY_SECTOR_BOUND = 36_600 * 1_000
-
-
 def sector_ohlc(bars: DataFrame) -> DataFrame:
     """Sector-level daily Open/Close: mean over the sector's stocks."""
     return bars.groupBy("Date", "Category").agg(F.avg("Open").alias("Open"), F.avg("Close").alias("Close"))
@@ -31,6 +26,11 @@ def sentiment_price(spark, sf_dir, year: int | None = 1998, keep_category: bool
     sent = daily_sentiment(spark, sf_dir).withColumn("date", F.to_date("date"))
     px = sector_ohlc(fx.bars(spark, sf_dir)).select(
         F.col("Date").alias("date"), F.lower("Category").alias("category"), "Open", "Close")
+    return sentiment_with_prices(sent, px, year, keep_category)
+
+
+def sentiment_with_prices(sent: DataFrame, px: DataFrame, year: int | None, keep_category: bool = False) -> DataFrame:
+    """Join on (date, category), keep a year and rows with a non-zero score, add ``open_close_diff``."""
     j = sent.join(px, ["date", "category"], "inner").select(
         "date", *(["category"] if keep_category else []), "avg_sentiment", "avg_subjectivity", "Open", "Close")
     if year is not None:
@@ -46,9 +46,8 @@ def stock_features(spark, sf_dir, momentum_k: int = 5) -> DataFrame:
     sent = daily_sentiment(spark, sf_dir).select(
         F.to_date("date").alias("__d"), F.col("category").alias("__c"),
         F.col("articles_count").cast("double").alias("avg_articles_count"), "avg_subjectivity")
-    # one row per (day, sector): bounded by the calendar times the sector count, so it
-    # is broadcast (bound verified in the plan) instead of shuffling every bar to it
-    sent = bounded_broadcast(sent, DAY_SECTOR_BOUND)
+    # one row per (day, sector); Spark broadcasts it while it is small (adaptive execution
+    # knows its size) and splits hot keys of a sort-merge join otherwise
     j = bars.join(sent, (F.col("__d") == bars.Date) & (F.col("__c") == F.lower(bars.Category)), "left")
     j = signal.momentum(j, "Close", momentum_k)
     return j.select(

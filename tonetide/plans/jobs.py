@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..config import cut_lineage
+from ..config import clean_scratch, cut_lineage
 from ..functions.scalar import row_vwap
 from ..operators import market, normalize, sentiment as st, signal, split, tone
 from ..sources import files
-from . import metrics, models, ols
+from . import flows, metrics, models, ols
 
 
 def _write(df: DataFrame, output: str, fmt: str = "csv", single_file: bool = False, partition_by=None):
@@ -40,6 +40,14 @@ def sector_index(spark: SparkSession, input: str, output: str, fmt: str = "csv")
     return out
 
 
+def stock_dump(spark: SparkSession, input: str, output: str, fmt: str = "parquet") -> DataFrame:
+    """Bars -> weighted/rounded bars with Custom_Metric: the full per-stock dump, by month."""
+    bars = market.scale_and_round_bars(files.read_csv(spark, input, schemas.MERGED_BARS))
+    out = bars.withColumn("Month", F.date_format("Date", "yyyy-MM"))
+    _write(out, output, fmt, partition_by="Month")
+    return out
+
+
 def moving_average(spark: SparkSession, input: str, output: str, preceding: int = 5, fmt: str = "csv") -> DataFrame:
     """Bars -> VWAP per (Date, Stock) -> sector mean -> trailing moving average."""
     bars = files.read_csv(spark, input, schemas.MERGED_BARS)
@@ -80,19 +88,23 @@ def sentiment(spark: SparkSession, input: str, output: str, input_format: str =
               fmt: str = "csv") -> DataFrame:
     """Headline dump -> valid dates -> lexicon scores -> daily sentiment by (date, category)."""
     news = spark.read.schema(schemas.NEWS_DUMP).format(input_format).load(input)
-    news = news.drop("link", "authors").withColumn("doc_id", F.xxhash64("date", "headline", "short_description"))
-    docs = st.with_text(st.valid_dates(news)).select("doc_id", "date", "category", "headline_description")
-    scored = st.score_docs(docs, st.lexicon_frame(spark), ("doc_id", "date", "category"))
-    out = st.daily_sentiment(scored)
+    # scored inside each row, so equal articles need no id to stay apart
+    docs = st.with_text(st.valid_dates(news.drop("link", "authors"))).select("date", "category", "headline_description")
+    out = st.daily_sentiment(st.score_text(docs))
     _write(out, output, fmt)
     return out
 
 
+def _by_content(feed: DataFrame) -> DataFrame:
+    """``event_id`` for feeds that have none: the row's own content, so the row that a dedup keeps
+    doesn't depend on files, their order or the cluster."""
+    return feed.withColumn("event_id", F.struct(*[F.col(f"`{c}`") for c in feed.columns]))
+
+
 def ingest_events(spark: SparkSession, input: str, output: str) -> DataFrame:
     """Event CSV (quoted newlines) -> URL dedup per day -> (Date, Tone, Type, Url) Parquet by Date."""
     raw = files.read_csv(spark, input, schemas.EVENT_FEED, multiline=True, escape='"')
-    raw = raw.withColumn("event_id", F.monotonically_increasing_id())
-    out = tone.ingest_events(raw)
+    out = tone.ingest_events(_by_content(raw))
     _write(out, output, "parquet", partition_by="Date")
     return out
 
@@ -100,8 +112,7 @@ def ingest_events(spark: SparkSession, input: str, output: str) -> DataFrame:
 def daily_tone(spark: SparkSession, input: str, output: str, country: str = "US", fmt: str = "csv") -> DataFrame:
     """Event CSV -> country filter -> URL dedup -> daily tone stats -> gap-filled months."""
     raw = files.read_csv(spark, input, schemas.EVENT_FEED, multiline=True, escape='"')
-    raw = raw.withColumn("event_id", F.monotonically_increasing_id()).withColumnRenamed("DATEADDED", "Day")
-    ev = tone.dedup_url(tone.country(raw, country))
+    ev = tone.dedup_url(tone.country(_by_content(raw).withColumnRenamed("DATEADDED", "Day"), country))
     daily = tone.tone_daily_stats(ev, count_nulls=True)
     out = tone.gap_fill(daily, tone.month_spine(daily))
     _write(out, output, fmt)
@@ -130,6 +141,48 @@ def lag_sweep(spark: SparkSession, input: str, output: str, fmt: str = "csv") ->
     return out
 
 
+def sentiment_price(spark: SparkSession, sentiment: str, prices: str, output: str, year: str = "2016", fmt: str = "csv") -> DataFrame:
+    """Daily sentiment x sector Open/Close of a year, either score non-zero, with ``open_close_diff``."""
+    s = files.read_csv(spark, sentiment, schemas.DAILY_SENTIMENT_OUT)
+    bars = files.read_csv(spark, prices, schemas.MERGED_BARS)
+    px = flows.sector_ohlc(bars).select(F.col("Date").alias("date"), F.lower("Category").alias("category"), "Open", "Close")
+    out = flows.sentiment_with_prices(s, px, int(year)).orderBy("date")
+    _write(out, output, fmt)
+    return out
+
+
+def sentiment_regression(spark: SparkSession, input: str, output: str, fmt: str = "csv") -> DataFrame:
+    """The ``sentiment_price`` table -> 70/30 split -> linear regression -> actual and predicted."""
+    df = files.read_csv(spark, input, schemas.REGRESSION_IN)
+    s = cut_lineage(split.hash_split(df, F.concat_ws("|", *df.columns), 0.7))
+    pred = models.linear(s.where("is_train"), s.where("NOT is_train"), ["avg_sentiment", "avg_subjectivity"], "open_close_diff")
+    out = pred.select("date", "open_close_diff", "prediction")
+    _write(out, output, fmt)
+    return out
+
+
+def three_way(spark: SparkSession, sentiment: str, tone_daily: str, index: str, output: str, fmt: str = "csv") -> DataFrame:
+    """Daily sentiment x daily tone (both statistics normalised) x normalised sector index."""
+    s = files.read_csv(spark, sentiment, schemas.DAILY_SENTIMENT_OUT)
+    t = files.read_csv(spark, tone_daily, schemas.TONE_DAILY)
+    i = files.read_csv(spark, index, schemas.SECTOR_INDEX_NORMALIZED)
+    t = normalize.minmax_normalize(t, ["avg_tone", "std_tone", "median_tone"]).withColumnRenamed("Date", "date")
+    i = i.select(F.col("Date").alias("date"), F.lower("Category").alias("category"), "Normalized_Sector_VWAP")
+    out = s.join(t, "date").join(i, ["date", "category"]).orderBy("date", "category")
+    _write(out, output, fmt)
+    return out
+
+
+def linear_probability(spark: SparkSession, input: str, output: str, fmt: str = "csv") -> DataFrame:
+    """Buy/sell features -> chronological 80/20 split -> linear probability model -> r2 per category."""
+    df = files.read_csv(spark, input, schemas.BUYSELL_IN).withColumnRenamed("BuySell", "buySell")
+    s = cut_lineage(split.chrono_split_global(cut_lineage(df), "Date", ("Category",), 0.8))
+    pred = models.linear_probability(s.where("is_train").drop("is_train"), s.where("NOT is_train").drop("is_train"))
+    out = metrics.regression_metrics(pred, "buySell", "prediction", by="Category")
+    _write(out, output, fmt)
+    return out
+
+
 def classifiers(spark: SparkSession, input: str, output: str, fmt: str = "csv") -> DataFrame:
     """Buy/sell features -> chronological 80/20 split -> logistic, forest, polynomial
     logistic -> exact test AUC per model."""
@@ -142,7 +195,7 @@ def classifiers(spark: SparkSession, input: str, output: str, fmt: str = "csv")
         pred = models.drop_null_scores(fit(tr, te)).withColumn("model", F.lit(name))
         outs.append(metrics.auc(pred, "buySell", "score", by="model"))
     out = outs[0].unionByName(outs[1]).unionByName(outs[2])
-    _write(out, output, fmt, single_file=True)
+    _write(out, output, fmt)
     return out
 
 
@@ -158,6 +211,11 @@ JOBS = {
     "per_stock_regression": per_stock_regression,
     "lag_sweep": lag_sweep,
     "classifiers": classifiers,
+    "stock_dump": stock_dump,
+    "sentiment_price": sentiment_price,
+    "sentiment_regression": sentiment_regression,
+    "three_way": three_way,
+    "linear_probability": linear_probability,
 }
 
 
@@ -169,6 +227,7 @@ def main(argv=None):
     kwargs = dict(a.split("=", 1) for a in argv[1:])
     spark = SparkSession.builder.appName(f"tonetide-{argv[0]}").getOrCreate()
     JOBS[argv[0]](spark, **kwargs)
+    clean_scratch(spark)
     return 0
 
 

@@ -20,22 +20,29 @@ from ..config import cut_lineage
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction", by=()) -> DataFrame:
-    """n, mse, rmse, mae, r2 (= 1 - SSE / (n * var_pop(label)), the evaluator's r2)."""
+    """n, mse, rmse, mae, r2 (= 1 - SSE / (n * var_pop(label)), the evaluator's r2) over the
+    rows that have both a label and a prediction; a group without any has n = 0 and nulls."""
     by = [by] if isinstance(by, str) else list(by)
-    err = F.col(label) - F.col(prediction)
+    both = F.col(label).isNotNull() & F.col(prediction).isNotNull()
+    y = F.when(both, F.col(label))
+    err = y - F.col(prediction)
     sse = F.sum(err * err)
-    n = F.count(F.lit(1))
+    n = F.count(err)
     return df.groupBy(*by).agg(
         n.alias("n"),
         F.avg(err * err).alias("mse"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
-        (F.lit(1.0) - F.try_divide(sse, F.var_pop(label) * n)).alias("r2"),
+        (F.lit(1.0) - F.try_divide(sse, F.var_pop(y) * n)).alias("r2"),
     )
 
 
-def auc(df: DataFrame, label: str, score: str, by=(), buckets: int = 64) -> DataFrame:
-    """Exact area under the ROC curve per group: columns ``by + [auc, n_pos, n_neg]``."""
+def auc(df: DataFrame, label: str, score: str, by=(), rows_per_bucket: int = 10_000) -> DataFrame:
+    """Exact area under the ROC curve per group: columns ``by + [auc, n_pos, n_neg]``.
+
+    ``rows_per_bucket`` distinct scores share a bucket, so buckets grow in number with the scores,
+    not in size.
+    """
     by = [by] if isinstance(by, str) else list(by)
     pos = (F.col(label) == 1).cast("long")
     neg = (F.col(label) == 0).cast("long")
@@ -45,13 +52,18 @@ def auc(df: DataFrame, label: str, score: str, by=(), buckets: int = 64) -> Data
     # the fit and the ranking below both read the histogram: materialise it
     # once in the shared checkpoint folder instead of replaying the input plan
     hist = cut_lineage(hist)
-    if hist.isEmpty():  # cheap: the histogram is already materialised
+    scores = hist.count()  # cheap: the histogram is already materialised
+    if not scores:
         return hist.groupBy(*by).agg(F.lit(None).cast("double").alias("auc"), F.sum("__p").alias("n_pos"),
                                      F.sum("__n").alias("n_neg"))
-    # range buckets over the distinct scores (a small fit: numBuckets-1 split points)
-    disc = QuantileDiscretizer(numBuckets=buckets, inputCol="__s", outputCol="__b",
-                               relativeError=1e-3, handleInvalid="keep")
-    hist = disc.fit(hist).transform(hist)
+    # range buckets over the distinct scores (a fit of one split point for each bucket)
+    buckets = -(-scores // rows_per_bucket)
+    if buckets > 1:
+        disc = QuantileDiscretizer(numBuckets=buckets, inputCol="__s", outputCol="__b",
+                                   relativeError=min(1e-3, 0.1 / buckets), handleInvalid="keep")
+        hist = disc.fit(hist).transform(hist)
+    else:
+        hist = hist.withColumn("__b", F.lit(0.0))
     per_bucket = hist.groupBy(*by, "__b").agg(F.sum("__n").alias("__bn"))
     per_bucket = per_bucket.withColumn(
         "__nb",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import MinMaxScaler, PolynomialExpansion, RFormula, VectorAssembler
+from pyspark.ml.feature import PolynomialExpansion, RFormula, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -29,28 +29,24 @@ def _check_label(df: DataFrame, label: str):
         raise ValueError(f"label {label!r} not in {df.columns}")
 
 
+def labelled(train: DataFrame, label: str) -> DataFrame:
+    """The rows a model can be fitted on: a null label is no label."""
+    _check_label(train, label)
+    return train.where(F.col(label).isNotNull())
+
+
 def linear(train: DataFrame, test: DataFrame, features, label: str) -> DataFrame:
     """VectorAssembler + LinearRegression (normal equations for small k)."""
-    _check_label(train, label)
+    train = labelled(train, label)
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
     lr = LinearRegression(featuresCol="features", labelCol=label)
     model = Pipeline(stages=[asm, lr]).fit(train)
     return model.transform(test).drop("features")
 
 
-def linear_scaled(train: DataFrame, test: DataFrame, features, label: str) -> DataFrame:
-    """Assembler + MinMaxScaler (fitted on train only) + LinearRegression."""
-    _check_label(train, label)
-    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    sc = MinMaxScaler(inputCol="features", outputCol="scaledFeatures")
-    lr = LinearRegression(featuresCol="scaledFeatures", labelCol=label)
-    model = Pipeline(stages=[asm, sc, lr]).fit(train)
-    return model.transform(test).drop("features", "scaledFeatures")
-
-
 def linear_probability(train: DataFrame, test: DataFrame, label="buySell") -> DataFrame:
     """RFormula + LinearRegression on the 0/1 label (linear probability model)."""
-    _check_label(train, label)
+    train = labelled(train, label)
     model = Pipeline(stages=[rformula(label), LinearRegression(featuresCol="features", labelCol=label)]).fit(train)
     return model.transform(test).drop("features")
 
@@ -63,14 +59,14 @@ def _with_score(pred: DataFrame) -> DataFrame:
 
 def logistic(train: DataFrame, test: DataFrame, label="buySell", max_iter=10, reg=0.3,
              elastic=0.8) -> DataFrame:
-    _check_label(train, label)
+    train = labelled(train, label)
     lr = LogisticRegression(labelCol=label, featuresCol="features", maxIter=max_iter, regParam=reg,
                             elasticNetParam=elastic)
     return _with_score(Pipeline(stages=[rformula(label), lr]).fit(train).transform(test))
 
 
 def random_forest(train: DataFrame, test: DataFrame, label="buySell", seed: int = 42) -> DataFrame:
-    _check_label(train, label)
+    train = labelled(train, label)
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", seed=seed)
     return _with_score(Pipeline(stages=[rformula(label), rf]).fit(train).transform(test))
 
@@ -79,7 +75,7 @@ def poly_logistic(train: DataFrame, test: DataFrame, label="buySell", degree: in
                   reg=0.3, elastic=0.8) -> DataFrame:
     """Degree-2 expansion of the formula features, then logistic regression
     (the pipeline that is actually fitted here is the polynomial one)."""
-    _check_label(train, label)
+    train = labelled(train, label)
     poly = PolynomialExpansion(inputCol="features", outputCol="polyFeatures", degree=degree)
     lr = LogisticRegression(labelCol=label, featuresCol="polyFeatures", maxIter=max_iter, regParam=reg,
                             elasticNetParam=elastic)

@@ -1,9 +1,9 @@
 """Grouped ordinary least squares.
 
-Small models (up to three features) are solved in closed form from grouped
-sufficient statistics -- means and population covariances, all partial
-aggregates -- with the adjugate of the covariance matrix. The same SQL
-expression text runs in Spark and in the DuckDB oracle.
+Small models are solved from grouped sufficient statistics -- means and
+population covariances, all partial aggregates. numpy solves the one row of
+moments of each group, with the minimum norm where features are constant or
+collinear.
 
 The lag sweep needs up to 123 features; it groups one stock's *daily*
 series (at most one row per calendar day, whatever the data volume) into
@@ -51,110 +51,49 @@ def stat_exprs(features: list[str], label: str, where: str | None = None, prefix
     return out
 
 
-def coef_exprs(features: list[str], label: str) -> dict[str, str]:
-    """Closed-form coefficients b_1..b_k and intercept b_0 over the stats columns."""
+def _column(pdf: pd.DataFrame, name: str) -> np.ndarray:
+    return pdf[name].to_numpy(dtype="float64", na_value=np.nan)
+
+
+def solve_moments(pdf: pd.DataFrame, features: list[str], label: str) -> np.ndarray:
+    """(rows, 1 + k): intercept and coefficients from the moments of each row.
+
+    Minimum norm on the standardised features, so a feature without variance (constant) gets 0. NaN
+    where a group has no rows to fit on.
+    """
     k = len(features)
-    f = features
-    y = label
-    C = lambda i, j: _c(f[i], f[j])
-    c = lambda i: _c(f[i], y)
-    if k == 1:
-        det = C(0, 0)
-        adj = [["1"]]
-        scale = f"abs({C(0, 0)})"
-    elif k == 2:
-        det = f"({C(0, 0)} * {C(1, 1)} - {C(0, 1)} * {C(0, 1)})"
-        adj = [[C(1, 1), f"(-{C(0, 1)})"], [f"(-{C(0, 1)})", C(0, 0)]]
-        scale = f"abs({C(0, 0)} * {C(1, 1)})"
-    elif k == 3:
-        a, b, cc, d, e, ff = C(0, 0), C(0, 1), C(0, 2), C(1, 1), C(1, 2), C(2, 2)
-        A11 = f"({d} * {ff} - {e} * {e})"
-        A12 = f"({cc} * {e} - {b} * {ff})"
-        A13 = f"({b} * {e} - {cc} * {d})"
-        A22 = f"({a} * {ff} - {cc} * {cc})"
-        A23 = f"({b} * {cc} - {a} * {e})"
-        A33 = f"({a} * {d} - {b} * {b})"
-        det = f"({a} * {A11} + {b} * {A12} + {cc} * {A13})"
-        adj = [[A11, A12, A13], [A12, A22, A23], [A13, A23, A33]]
-        scale = f"abs({a} * {d} * {ff})"
-    else:
-        raise ValueError("closed form supports 1 to 3 features")
-    ok = f"abs({det}) > {SINGULAR_TOL} * {scale} AND {scale} > 0"
-    out = {}
-    for i in range(k):
-        num = " + ".join(f"{adj[i][j]} * {c(j)}" for j in range(k)) if k > 1 else c(0)
-        out[f"b_{i + 1}"] = f"CASE WHEN {ok} THEN ({num}) / {det} END"
+    cov = np.stack([np.stack([_column(pdf, _c(f, g)) for g in features], 1) for f in features], 1)
+    with_y = np.stack([_column(pdf, _c(f, label)) for f in features], 1)
+    out = np.full((len(pdf), 1 + k), np.nan)
+    ok = np.isfinite(cov).all(axis=(1, 2)) & np.isfinite(with_y).all(axis=1)
+    if ok.any():
+        sd = np.sqrt(np.maximum(np.einsum("nii->ni", cov[ok]), 0))
+        unit = np.where(sd > 0, sd, 1.0)
+        corr = cov[ok] / unit[:, :, None] / unit[:, None, :]
+        b = np.einsum("nij,nj->ni", np.linalg.pinv(corr, rcond=SINGULAR_TOL, hermitian=True), with_y[ok] / unit) / unit
+        out[ok, 1:] = np.where(sd > 0, b, 0.0)
+        means = np.stack([_column(pdf, _m(f)) for f in features], 1)
+        out[ok, 0] = _column(pdf, _m(label))[ok] - (out[ok, 1:] * means[ok]).sum(axis=1)
     return out
 
 
-def coef_layers(features: list[str], label: str) -> list[dict[str, str]]:
-    """The same closed form as :func:`coef_exprs`, as two projection layers
-    (determinant/adjugate columns, then coefficients). Each expensive term is
-    a column referenced several times, so Catalyst keeps the layers apart and
-    the generated code stays small; the arithmetic is identical."""
-    nested = coef_exprs(features, label)
-    k = len(features)
-    f, y = features, label
-    C = lambda i, j: _c(f[i], f[j])
-    c = lambda i: _c(f[i], y)
-    if k == 1:
-        return [{}, nested]
-    if k == 2:
-        first = {"__det": f"({C(0, 0)} * {C(1, 1)} - {C(0, 1)} * {C(0, 1)})",
-                 "__scale": f"abs({C(0, 0)} * {C(1, 1)})"}
-        adj = [[C(1, 1), f"(-{C(0, 1)})"], [f"(-{C(0, 1)})", C(0, 0)]]
-    else:
-        a, b, cc, d, e, ff = C(0, 0), C(0, 1), C(0, 2), C(1, 1), C(1, 2), C(2, 2)
-        first = {
-            "__A11": f"({d} * {ff} - {e} * {e})", "__A12": f"({cc} * {e} - {b} * {ff})",
-            "__A13": f"({b} * {e} - {cc} * {d})", "__A22": f"({a} * {ff} - {cc} * {cc})",
-            "__A23": f"({b} * {cc} - {a} * {e})", "__A33": f"({a} * {d} - {b} * {b})",
-            "__scale": f"abs({a} * {d} * {ff})",
-        }
-        adj = [["__A11", "__A12", "__A13"], ["__A12", "__A22", "__A23"], ["__A13", "__A23", "__A33"]]
-    second = {}
-    if k == 3:
-        second["__det"] = f"({C(0, 0)} * __A11 + {C(0, 1)} * __A12 + {C(0, 2)} * __A13)"
-    ok = f"abs(__det) > {SINGULAR_TOL} * __scale AND __scale > 0"
-    third = {}
-    for i in range(k):
-        num = " + ".join(f"{adj[i][j]} * {c(j)}" for j in range(k))
-        third[f"b_{i + 1}"] = f"CASE WHEN {ok} THEN ({num}) / __det END"
-    layers = [first]
-    if second:
-        layers.append(second)
-    layers.append(third)
-    return layers
-
-
-def _apply_layers(df: DataFrame, layers: list[dict[str, str]]) -> DataFrame:
-    for layer in layers:
-        if layer:
-            df = df.withColumns({n: F.expr(e) for n, e in layer.items()})
-    return df
-
-
-def intercept_expr(features: list[str], label: str) -> str:
-    terms = " - ".join(f"b_{i + 1} * {_m(f)}" for i, f in enumerate(features))
-    return f"{_m(label)} - {terms}"
+def moments_mse(pdf: pd.DataFrame, coefs: np.ndarray, features: list[str], label: str, prefix: str = "t_") -> np.ndarray:
+    """Test-set MSE of the coefficients from test-set moments only:
+    var(y) - 2 b.cov(x, y) + b'cov(x)b + (mean y - b_0 - b.mean x)^2, never below 0."""
+    t = lambda name: _column(pdf, prefix + name)
+    b = coefs[:, 1:]
+    cov = np.stack([np.stack([t(_c(f, g)) for g in features], 1) for f in features], 1)
+    with_y = np.stack([t(_c(f, label)) for f in features], 1)
+    means = np.stack([t(_m(f)) for f in features], 1)
+    bias = t(_m(label)) - coefs[:, 0] - (b * means).sum(axis=1)
+    mse = t(_c(label, label)) - 2 * (b * with_y).sum(axis=1) + np.einsum("ni,nij,nj->n", b, cov, b) + bias * bias
+    return np.maximum(mse, 0.0)
 
 
 def prediction_expr(features: list[str]) -> str:
     return "b_0 + " + " + ".join(f'b_{i + 1} * "{f}"' for i, f in enumerate(features))
 
 
-def test_mse_expr(features: list[str], label: str, test_prefix: str = "t_") -> str:
-    """Test-set MSE of the fitted b_0..b_k from test-set moments only:
-    var(y) - 2 b.cov(x, y) + b'cov(x)b + (mean y - b_0 - b.mean x)^2."""
-    k = len(features)
-    t = lambda name: test_prefix + name
-    parts = [t(_c(label, label))]
-    parts += [f"- 2 * b_{i + 1} * {t(_c(features[i], label))}" for i in range(k)]
-    parts += [f"+ b_{i + 1} * b_{j + 1} * {t(_c(features[i], features[j]))}" for i in range(k) for j in range(k)]
-    bias = f"({t(_m(label))} - b_0 - " + " - ".join(f"b_{i + 1} * {t(_m(f))}" for i, f in enumerate(features)) + ")"
-    return "(" + " ".join(parts) + f" + {bias} * {bias})"
-
-
 def fit_evaluate_closed_form(df: DataFrame, features: list[str], label: str, train_flag: str, by=()) -> DataFrame:
     """Fit on rows where ``train_flag`` is true, score the others, in ONE grouped
     aggregate: per group n_train, n_test, b_0..b_k, mse, rmse, r2 (test set).
@@ -176,33 +115,48 @@ def fit_evaluate_closed_form(df: DataFrame, features: list[str], label: str, tra
         *[side(True, n).alias(n) for n in plain],
         *[side(False, n).alias("t_" + n) for n in plain],
     )
-    coefs = _apply_layers(stats, coef_layers(features, label))
-    coefs = coefs.withColumn("b_0", F.expr(intercept_expr(features, label)))
-    mse = F.expr(test_mse_expr(features, label))
-    var_y = F.col("t_" + _c(label, label))
-    out = coefs.withColumn("mse", F.when(F.col("n_test") > 0, mse))
-    out = out.withColumn("rmse", F.sqrt("mse")).withColumn(
-        "r2", F.lit(1.0) - F.try_divide(F.col("mse"), var_y))
-    return out.select(*by, "n_train", "n_test", "b_0", *[f"b_{i + 1}" for i in range(len(features))],
-                      "mse", "rmse", "r2")
+    names = [f"b_{i}" for i in range(len(features) + 1)]
+
+    def solve(batches):
+        for pdf in batches:
+            coefs = solve_moments(pdf, features, label)
+            mse = np.where(pdf["n_test"].to_numpy() > 0, moments_mse(pdf, coefs, features, label), np.nan)
+            var_y = _column(pdf, "t_" + _c(label, label))
+            r2 = np.where(var_y > 0, 1.0 - mse / np.where(var_y > 0, var_y, 1.0), np.nan)
+            yield pd.concat([pdf[[*by, "n_train", "n_test"]], pd.DataFrame(coefs, columns=names, index=pdf.index),
+                             pd.DataFrame({"mse": mse, "rmse": np.sqrt(mse), "r2": r2}, index=pdf.index)], axis=1)
+
+    schema = T.StructType([df.schema[c] for c in by] + [T.StructField(c, T.LongType()) for c in ("n_train", "n_test")]
+                          + [T.StructField(c, T.DoubleType()) for c in (*names, "mse", "rmse", "r2")])
+    return stats.mapInPandas(solve, schema)
 
 
 def fit_closed_form(train: DataFrame, features: list[str], label: str, by=()) -> DataFrame:
-    """One row per group: b_0..b_k (null when the covariance matrix is singular)."""
+    """One row per group: n_train, b_0..b_k (0 for a feature without variance of its own)."""
     by = [by] if isinstance(by, str) else list(by)
     sq = lambda s: s.replace('"', "`")  # noqa: E731  (Spark quotes identifiers with backticks)
     stats = train.groupBy(*by).agg(*[F.expr(sq(e)).alias(n) for n, e in stat_exprs(features, label).items()],
                                    F.count(F.lit(1)).alias("n_train"))
-    coefs = _apply_layers(stats, coef_layers(features, label))
-    coefs = coefs.select(*by, "n_train", *[f"b_{i + 1}" for i in range(len(features))],
-                         *[_m(f) for f in features + [label]])
-    coefs = coefs.withColumn("b_0", F.expr(intercept_expr(features, label)))
-    return coefs.select(*by, "n_train", "b_0", *[f"b_{i + 1}" for i in range(len(features))])
+    names = [f"b_{i}" for i in range(len(features) + 1)]
+
+    def solve(batches):
+        for pdf in batches:
+            coefs = pd.DataFrame(solve_moments(pdf, features, label), columns=names, index=pdf.index)
+            yield pd.concat([pdf[[*by, "n_train"]], coefs], axis=1)
+
+    schema = T.StructType([train.schema[c] for c in by] + [T.StructField("n_train", T.LongType())]
+                          + [T.StructField(c, T.DoubleType()) for c in names])
+    return stats.mapInPandas(solve, schema)
 
 
 def predict_closed_form(df: DataFrame, coefs: DataFrame, features: list[str], by=(), out="prediction") -> DataFrame:
     by = [by] if isinstance(by, str) else list(by)
-    j = df.join(coefs, by) if by else df.join(coefs)
+    names = [f"b_{i}" for i in range(len(features) + 1)]
+    if by:
+        j = df.join(coefs, by)
+    else:  # one row of coefficients: a scalar subquery
+        one = coefs.select(F.struct(*names).alias("b")).scalar()
+        j = df.withColumns({n: one.getField(n) for n in names})
     return j.withColumn(out, F.expr(prediction_expr(features).replace('"', "`")))
 
 
@@ -210,14 +164,13 @@ def predict_closed_form(df: DataFrame, coefs: DataFrame, features: list[str], by
 
 LAG_VALUES = list(range(1, 31)) + [30, 90, 120]  # fixed values: the reference's sweep (30 twice)
 
-SWEEP_SCHEMA = T.StructType([
-    T.StructField("Stock", T.LongType()),
+SWEEP_FIELDS = [
     T.StructField("lag", T.IntegerType()),
     T.StructField("n_train", T.IntegerType()),
     T.StructField("n_test", T.IntegerType()),
     T.StructField("mse", T.DoubleType()),
     T.StructField("r2", T.DoubleType()),
-])
+]
 
 
 def _solve(A: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -270,7 +223,7 @@ def sweep_one_stock(pdf: pd.DataFrame, base: list[str], label: str, lags: list[i
             sst = float(np.sum((y[n_train:] - y[n_train:].mean()) ** 2))
             r2 = 1.0 - float(np.sum(err ** 2)) / sst if n_test >= 2 and sst > 0 else None
         rows.append((stock, L, n_train, n_test, mse, r2))
-    return pd.DataFrame(rows, columns=[f.name for f in SWEEP_SCHEMA.fields])
+    return pd.DataFrame(rows, columns=["Stock", *[f.name for f in SWEEP_FIELDS]])
 
 
 def lag_sweep_per_stock(features: DataFrame, base: list[str], label: str, lags=None,
@@ -288,7 +241,8 @@ def lag_sweep_per_stock(features: DataFrame, base: list[str], label: str, lags=N
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         return sweep_one_stock(pdf, base, label, lags, frac)
 
-    return data.groupBy("Stock").applyInPandas(fn, SWEEP_SCHEMA)
+    schema = T.StructType([features.schema["Stock"], *SWEEP_FIELDS])  # a key or a ticker
+    return data.groupBy("Stock").applyInPandas(fn, schema)
 
 
 def lag_sweep_summary(per_stock: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from ..operators import market, split
 from ..sources import fixtures as fx
 from . import flows, metrics, models, ols
 from .catalog import query, rounded
-from .q_relational import BUYSELL_IN_SQL, SENT_PRICE_SQL, STOCK_FEATURES_SQL
+from .ols_sql import ols_ctes
+from .q_relational import BUYSELL_IN_SQL, SENT_PRICE_SQL, STOCK_FEATURES_SQL, THREE_WAY_SQL
 from .sqlviews import BARS, r4, sig
 
 STOCK_X = ["avg_articles_count", "avg_subjectivity", "Momentum"]
@@ -61,36 +62,32 @@ def _sent_split(spark, sf_dir):
     return split.hash_split(sp, iso_text("date"), 0.7)
 
 
+_SENT_OLS, _ = ols_ctes("s", SENT_X, SENT_Y, "is_train", [])
+
+
 @query("lr_sentiment", sql=f"""
 WITH {SENT_PRICE_SQL},
 s AS (SELECT *, CAST(('0x' || substr(md5(strftime(date, '%Y-%m-%d')), 1, 6)) AS BIGINT) % 100 < 70 AS is_train FROM sp),
-st AS (SELECT {", ".join(f"{e} AS {n}" for n, e in ols.stat_exprs(SENT_X, SENT_Y).items())} FROM s WHERE is_train),
-co AS (SELECT *, {", ".join(f"{e} AS {n}" for n, e in ols.coef_exprs(SENT_X, SENT_Y).items())} FROM st),
-co2 AS (SELECT {ols.intercept_expr(SENT_X, SENT_Y)} AS b_0, b_1, b_2 FROM co)
-SELECT date, {r4('open_close_diff')} AS open_close_diff, {r4(ols.prediction_expr(SENT_X))} AS prediction
-FROM s, co2 WHERE NOT is_train""")
+{_SENT_OLS}
+SELECT date, {r4('open_close_diff')} AS open_close_diff, {r4('prediction')} AS prediction FROM ls WHERE NOT is_train""")
 def q_lr_sentiment(spark, sf_dir):
     """Global linear regression of the daily price change on the two sentiment
     features (spark.ml LinearRegression); actual vs predicted on the test rows."""
-    s = _sent_split(spark, sf_dir)
+    s = cut_lineage(_sent_split(spark, sf_dir))  # the fit and the scoring read it once each
     pred = models.linear(s.where("is_train"), s.where("NOT is_train"), SENT_X, SENT_Y)
     return rounded(pred.select("date", "open_close_diff", "prediction"))
 
 
+_STOCK_OLS, _ = ols_ctes("spl", STOCK_X, STOCK_Y, "(idx <= floor(n * 0.8))", ["Stock"])
 LR_STOCK_SQL = f"""{STOCK_FEATURES_SQL},
 clean AS (SELECT * FROM sf WHERE Momentum IS NOT NULL),
 spl AS (SELECT *, row_number() OVER (PARTITION BY Stock ORDER BY Date) AS idx,
                count(*) OVER (PARTITION BY Stock) AS n FROM clean),
-st AS (SELECT Stock, count(*) AS n_train,
-              {", ".join(f"{e} AS {n}" for n, e in ols.stat_exprs(STOCK_X, STOCK_Y).items())}
-       FROM spl WHERE idx <= floor(n * 0.8) GROUP BY Stock),
-co AS (SELECT *, {", ".join(f"{e} AS {n}" for n, e in ols.coef_exprs(STOCK_X, STOCK_Y).items())} FROM st),
-co2 AS (SELECT Stock, n_train, {ols.intercept_expr(STOCK_X, STOCK_Y)} AS b_0, b_1, b_2, b_3 FROM co),
-pr AS (SELECT t.Stock, c.n_train, t."Close-Open" AS y, {ols.prediction_expr(STOCK_X)} AS p
-       FROM spl t JOIN co2 c ON t.Stock = c.Stock WHERE t.idx > floor(t.n * 0.8)),
+{_STOCK_OLS},
+pr AS (SELECT Stock, CAST(floor(n * 0.8) AS BIGINT) AS n_train, "Close-Open" AS y, prediction AS p FROM ls WHERE idx > floor(n * 0.8)),
 m AS (SELECT Stock, any_value(n_train) AS n_train, count(*) AS n_test,
              avg((y - p) * (y - p)) AS mse, sqrt(avg((y - p) * (y - p))) AS rmse,
-             1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2
+             1.0 - sum((y - p) * (y - p)) / nullif(var_pop(y) * count(*), 0) AS r2
       FROM pr GROUP BY Stock)"""
 
 
@@ -130,6 +127,36 @@ def q_lag_sweep(spark, sf_dir):
     return ols.lag_sweep_summary(per_stock)
 
 
+def _lag_sql(lags: int) -> str:
+    """Metrics per stock with Momentum and ``lags`` lags of the label."""
+    cols = ", ".join(f'lag("{STOCK_Y}", {i}) OVER (PARTITION BY Stock ORDER BY Date) AS lag{i}' for i in range(1, lags + 1))
+    names = ["Momentum", *[f"lag{i}" for i in range(1, lags + 1)]]
+    ctes, last = ols_ctes(f"k{lags}", names, STOCK_Y, "(idx <= floor(n * 0.8))", ["Stock"], prefix=f"g{lags}")
+    full = " AND ".join(f'"{c}" IS NOT NULL' for c in [*names, STOCK_Y])
+    return f"""l{lags} AS (SELECT Stock, Date, "{STOCK_Y}", Momentum, {cols} FROM sf),
+k{lags} AS (SELECT *, row_number() OVER (PARTITION BY Stock ORDER BY Date) AS idx, count(*) OVER (PARTITION BY Stock) AS n
+            FROM l{lags} WHERE {full}),
+{ctes},
+t{lags} AS (SELECT Stock, {lags} AS lag, any_value(CAST(floor(n * 0.8) AS INTEGER)) AS n_train,
+                   CAST(count(*) AS INTEGER) AS n_test, avg(("{STOCK_Y}" - prediction) * ("{STOCK_Y}" - prediction)) AS mse,
+                   CASE WHEN count(*) >= 2 THEN 1.0 - sum(("{STOCK_Y}" - prediction) * ("{STOCK_Y}" - prediction))
+                     / nullif(var_pop("{STOCK_Y}") * count(*), 0) END AS r2
+            FROM {last} WHERE idx > floor(n * 0.8) GROUP BY Stock)"""
+
+
+@query("lag_sweep_pair", sql=f"""
+WITH {STOCK_FEATURES_SQL},
+{_lag_sql(1)},
+{_lag_sql(2)}
+SELECT Stock, lag, n_train, n_test, {sig('mse')} AS mse, {r4('r2')} AS r2
+FROM (SELECT * FROM t1 UNION ALL SELECT * FROM t2)""")
+def q_lag_sweep_pair(spark, sf_dir):
+    """The sweep's per-stock metrics for lags 1 and 2 over one base feature."""
+    feats = flows.stock_features(spark, sf_dir)
+    per_stock = ols.lag_sweep_per_stock(feats, ["Momentum"], STOCK_Y, lags=[1, 2])
+    return rounded(per_stock.where((F.col("n_train") > 0) & (F.col("n_test") > 0)), significant=("mse",))
+
+
 def _buysell_split(spark, sf_dir):
     """Chronological 80/20 split of the buy/sell features, materialised once in
     the shared checkpoint folder so iterative fits do not replay the lineage."""
@@ -138,23 +165,53 @@ def _buysell_split(spark, sf_dir):
     return s.where("is_train").drop("is_train"), s.where("NOT is_train").drop("is_train")
 
 
-@query("lpm_buysell")
+BUYSELL_X = ["avg_sentiment", "avg_subjectivity", "avg_articles_count"]
+# Category enters as dummies, that is as an intercept of its own for each category.
+_LPM_OLS, _ = ols_ctes("bs", BUYSELL_X, "buySell", "is_train", [], ["Category"])
+BUYSELL_SPLIT_SQL = f"""{BUYSELL_IN_SQL},
+bs AS (SELECT *, row_number() OVER (ORDER BY Date, Category) <= floor((SELECT count(*) FROM bi) * 0.8) AS is_train FROM bi)"""
+
+
+@query("lpm_buysell", sql=f"""
+WITH {BUYSELL_SPLIT_SQL},
+{_LPM_OLS}
+SELECT Date, Category, buySell, {r4('prediction')} AS prediction FROM ls WHERE NOT is_train""")
 def q_lpm_buysell(spark, sf_dir):
     tr, te = _buysell_split(spark, sf_dir)
-    return models.linear_probability(tr, te).select("Date", "Category", "buySell", "prediction")
+    return rounded(models.linear_probability(tr, te).select("Date", "Category", "buySell", "prediction"))
 
 
-@query("r2_per_category")
+@query("r2_per_category", sql=f"""
+WITH {BUYSELL_SPLIT_SQL},
+{_LPM_OLS},
+e AS (SELECT Category, buySell AS y, prediction AS p FROM ls WHERE NOT is_train AND buySell IS NOT NULL)
+SELECT Category, count(*) AS n, {r4('avg((y - p) * (y - p))')} AS mse, {r4('sqrt(avg((y - p) * (y - p)))')} AS rmse,
+       {r4('avg(abs(y - p))')} AS mae, {r4('1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))')} AS r2
+FROM e GROUP BY Category""")
 def q_r2_per_category(spark, sf_dir):
     tr, te = _buysell_split(spark, sf_dir)
     pred = models.linear_probability(tr, te)
-    return metrics.regression_metrics(pred, "buySell", "prediction", by="Category")
+    return rounded(metrics.regression_metrics(pred, "buySell", "prediction", by="Category"))
+
+
+# The reference's penalty zeroes every coefficient, so the score is the train rate of buys.
+CONSTANT_SCORE_SQL = f"""
+WITH {BUYSELL_SPLIT_SQL},
+m AS (SELECT avg(buySell) AS p FROM bs WHERE is_train)
+SELECT Date, Category, buySell, CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END AS prediction, {r4('p')} AS score FROM bs, m WHERE NOT is_train"""
 
 
-@query("logit_buysell")
+@query("logit_buysell", sql=CONSTANT_SCORE_SQL)
 def q_logit_buysell(spark, sf_dir):
     tr, te = _buysell_split(spark, sf_dir)
-    return models.logistic(tr, te).select("Date", "Category", "buySell", "prediction", "score")
+    return rounded(models.logistic(tr, te).select("Date", "Category", "buySell", "prediction", "score"))
+
+
+@query("logit_weak_penalty")
+def q_logit_weak_penalty(spark, sf_dir):
+    """The logistic model with a penalty small enough to keep coefficients: scores that rank."""
+    tr, te = _buysell_split(spark, sf_dir)
+    return models.logistic(tr, te, max_iter=100, reg=1e-3, elastic=0.0).select("Date", "Category", "buySell", "prediction", "score")
 
 
 @query("rf_buysell")
@@ -163,19 +220,20 @@ def q_rf_buysell(spark, sf_dir):
     return models.random_forest(tr, te).select("Date", "Category", "buySell", "prediction", "score")
 
 
-@query("poly_logit")
+@query("poly_logit", sql=CONSTANT_SCORE_SQL)
 def q_poly_logit(spark, sf_dir):
     tr, te = _buysell_split(spark, sf_dir)
-    return models.poly_logistic(tr, te).select("Date", "Category", "buySell", "prediction", "score")
+    return rounded(models.poly_logistic(tr, te).select("Date", "Category", "buySell", "prediction", "score"))
 
 
 @query("classifier_auc")
 def q_classifier_auc(spark, sf_dir):
-    """Exact test AUC of the three classifiers, one row per model."""
+    """Exact test AUC of the classifiers, one row per model."""
     tr, te = _buysell_split(spark, sf_dir)
     outs = []
-    for name, fit in (("logistic", models.logistic), ("random_forest", models.random_forest),
-                      ("poly_logistic", models.poly_logistic)):
+    weak = lambda a, b: models.logistic(a, b, max_iter=100, reg=1e-3, elastic=0.0)
+    for name, fit in (("logistic", models.logistic), ("logistic_weak_penalty", weak),
+                      ("random_forest", models.random_forest), ("poly_logistic", models.poly_logistic)):
         pred = models.drop_null_scores(fit(tr, te))
         outs.append(metrics.auc(pred.withColumn("model", F.lit(name)), "buySell", "score", by="model"))
     res = outs[0]
@@ -194,7 +252,28 @@ def q_ols_one_feature(spark, sf_dir):
     """Per-stock simple regression of Close-Open on Momentum over all days: the
     closed form against the SQL engine's own regr_* aggregates."""
     feats = flows.stock_features(spark, sf_dir).na.drop("any", subset=["Momentum", STOCK_Y])
-    coefs = ols.fit_closed_form(feats, ["Momentum"], STOCK_Y, by="Stock")
-    fitted = ols.predict_closed_form(feats, coefs, ["Momentum"], by="Stock")
-    m = metrics.regression_metrics(fitted, STOCK_Y, "prediction", by=["Stock", "b_0", "b_1"])
-    return rounded(m.select("Stock", "n", "b_0", "b_1", "r2"))
+    # every row is a train row: r2 follows from the same moments as the coefficients
+    both = feats.withColumn("side", F.explode(F.array(F.lit(True), F.lit(False))))
+    m = ols.fit_evaluate_closed_form(both, ["Momentum"], STOCK_Y, "side", by="Stock")
+    slope = F.when(F.col("flat"), None)
+    flat = feats.groupBy("Stock").agg((F.min("Momentum") == F.max("Momentum")).alias("flat"))
+    m = m.join(flat, "Stock")
+    return rounded(m.select("Stock", F.col("n_train").alias("n"), *[slope.otherwise(F.col(c)).alias(c) for c in ("b_0", "b_1", "r2")]))
+
+
+THREE_WAY_X = ["avg_sentiment", "avg_subjectivity", "normalized_avg_tone", "normalized_std_tone", "normalized_median_tone"]
+THREE_WAY_Y = "Normalized_Sector_VWAP"
+_THREE_OLS, _ = ols_ctes("ts", THREE_WAY_X, THREE_WAY_Y, "is_train", [])
+
+
+@query("lr_three_way", sql=f"""
+WITH {THREE_WAY_SQL},
+ts AS (SELECT *, CAST(('0x' || substr(md5(strftime(date, '%Y-%m-%d') || '|' || category), 1, 6)) AS BIGINT) % 100 < 70 AS is_train FROM tw),
+{_THREE_OLS}
+SELECT date, category, {r4(THREE_WAY_Y)} AS "{THREE_WAY_Y}", {r4('prediction')} AS prediction FROM ls WHERE NOT is_train""")
+def q_lr_three_way(spark, sf_dir):
+    """Linear regression of the normalised sector index on sentiment and tone (the three-way frame)."""
+    tw = flows.three_way(spark, sf_dir)
+    s = cut_lineage(split.hash_split(tw, F.concat_ws("|", iso_text("date"), "category"), 0.7))
+    pred = models.linear(s.where("is_train"), s.where("NOT is_train"), THREE_WAY_X, THREE_WAY_Y)
+    return rounded(pred.select("date", "category", THREE_WAY_Y, "prediction"))

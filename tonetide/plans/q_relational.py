@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..config import scratch_path
+from ..config import cut_lineage, scratch_path
 from ..functions.calendar import in_year, iso_text, parse_iso_date
 from ..operators import market, normalize, profile, signal, split
 from ..sources import files, fixtures as fx
@@ -72,8 +73,7 @@ def q_filter_nonzero(spark, sf_dir):
     return rounded(d.select("date", "category", "avg_sentiment", "avg_subjectivity"))
 
 
-@query("join_three_way", sql=f"""
-WITH {BARS},{DAILY_SQL},{TONE_DAILY_FILLED},
+THREE_WAY_SQL = f"""{BARS},{DAILY_SQL},{TONE_DAILY_FILLED},
 tn AS (SELECT Date AS date, num,
               (avg_tone - (SELECT min(avg_tone) FROM tg)) / ((SELECT max(avg_tone) FROM tg) - (SELECT min(avg_tone) FROM tg)) AS normalized_avg_tone,
               (std_tone - (SELECT min(std_tone) FROM tg)) / ((SELECT max(std_tone) FROM tg) - (SELECT min(std_tone) FROM tg)) AS normalized_std_tone,
@@ -82,21 +82,26 @@ tn AS (SELECT Date AS date, num,
 sec AS (SELECT Date, Category, avg(VWAP) AS v FROM bars GROUP BY 1, 2),
 secn AS (SELECT Date AS date, lower(Category) AS category,
                 (v - (SELECT min(v) FROM sec)) / ((SELECT max(v) FROM sec) - (SELECT min(v) FROM sec)) AS Normalized_Sector_VWAP
-         FROM sec)
-SELECT CAST(d.date AS DATE) AS date, d.category, {r4('d.avg_sentiment')} AS avg_sentiment,
-       {r4('d.avg_subjectivity')} AS avg_subjectivity, d.articles_count, tn.num,
-       {r4('normalized_avg_tone')} AS normalized_avg_tone, {r4('normalized_std_tone')} AS normalized_std_tone,
-       {r4('normalized_median_tone')} AS normalized_median_tone,
-       {r4('Normalized_Sector_VWAP')} AS Normalized_Sector_VWAP
-FROM daily d JOIN tn ON CAST(d.date AS DATE) = tn.date
-JOIN secn s ON CAST(d.date AS DATE) = s.date AND d.category = s.category""")
+         FROM sec),
+tw AS (SELECT CAST(d.date AS DATE) AS date, d.category, d.avg_sentiment, d.avg_subjectivity, d.articles_count, tn.num,
+              normalized_avg_tone, normalized_std_tone, normalized_median_tone, Normalized_Sector_VWAP
+       FROM daily d JOIN tn ON CAST(d.date AS DATE) = tn.date
+       JOIN secn s ON CAST(d.date AS DATE) = s.date AND d.category = s.category)"""
+
+
+@query("join_three_way", sql=f"""
+WITH {THREE_WAY_SQL}
+SELECT date, category, articles_count, num, {", ".join(f"{r4(c)} AS {c}" for c in (
+    'avg_sentiment', 'avg_subjectivity', 'normalized_avg_tone', 'normalized_std_tone', 'normalized_median_tone',
+    'Normalized_Sector_VWAP'))}
+FROM tw""")
 def q_join_three_way(spark, sf_dir):
     return rounded(flows.three_way(spark, sf_dir))
 
 
 @query("distinct_keys", sql=f"WITH {BARS} SELECT DISTINCT Stock FROM bars")
 def q_distinct_keys(spark, sf_dir):
-    return fx.bars(spark, sf_dir).select("Stock").distinct()
+    return fx.stocks(spark, sf_dir)
 
 
 @query("union_by_name", sql=f"""
@@ -104,7 +109,7 @@ WITH {BARS},
 a AS (SELECT Date, Stock, Category, Open, Close, Volume, CAST(NULL AS DOUBLE) AS VWAP, CAST(NULL AS BIGINT) AS n_ticks FROM bars),
 t AS (SELECT CAST(l_shipdate AS DATE) AS Date, l_suppkey AS Stock, c.Category,
              sum(l_extendedprice * l_quantity) / sum(l_quantity) AS VWAP, sum(l_quantity) AS Volume, count(*) AS n_ticks
-      FROM lineitem JOIN cat c ON l_suppkey = c.Stock GROUP BY 1, 2, 3),
+      FROM lineitem LEFT JOIN cat c ON l_suppkey = c.Stock GROUP BY 1, 2, 3),
 u AS (SELECT * FROM a UNION ALL
       SELECT Date, Stock, Category, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), Volume, VWAP, n_ticks FROM t)
 SELECT Date, Stock, Category, {r4('Open')} AS Open, {r4('Close')} AS Close, {r4('Volume')} AS Volume,
@@ -140,7 +145,7 @@ SELECT Date, Stock, CAST(row_number() OVER (PARTITION BY Stock ORDER BY Date) AS
        row_number() OVER (PARTITION BY Stock ORDER BY Date) <= floor(count(*) OVER (PARTITION BY Stock) * 0.8) AS is_train
 FROM sf""")
 def q_chrono_split(spark, sf_dir):
-    s = split.chrono_split(flows.stock_features(spark, sf_dir), "Stock", "Date", 0.8)
+    s = split.chrono_split(fx.stock_days(spark, sf_dir), "Stock", "Date", 0.8)
     return s.select("Date", "Stock", "idx", "is_train")
 
 
@@ -149,7 +154,8 @@ WITH {BUYSELL_IN_SQL}
 SELECT Date, Category, row_number() OVER (ORDER BY Date, Category) <= floor((SELECT count(*) FROM bi) * 0.8) AS is_train
 FROM bi""")
 def q_chrono_split_global(spark, sf_dir):
-    s = split.chrono_split_global(flows.buysell_in(spark, sf_dir), "Date", ("Category",), 0.8)
+    bi = cut_lineage(flows.buysell_in(spark, sf_dir))  # counted per day and then marked
+    s = split.chrono_split_global(bi, "Date", ("Category",), 0.8)
     return s.select("Date", "Category", "is_train")
 
 
@@ -159,7 +165,7 @@ SELECT Date, Stock,
        CAST(('0x' || substr(md5(CAST(Stock AS VARCHAR) || '|' || strftime(Date, '%Y-%m-%d')), 1, 6)) AS BIGINT) % 100 < 80 AS is_train
 FROM bars""")
 def q_hash_split(spark, sf_dir):
-    b = fx.bars(spark, sf_dir)
+    b = fx.stock_days(spark, sf_dir)
     key = F.concat_ws("|", F.col("Stock").cast("string"), iso_text("Date"))
     return split.hash_split(b, key, 0.8).select("Date", "Stock", "is_train")
 
@@ -173,7 +179,7 @@ train AS (SELECT Category, yr FROM ranked WHERE is_train)"""
 
 
 def _exc_frames(spark, sf_dir):
-    s = split.chrono_split_global(flows.buysell_in(spark, sf_dir), "Date", ("Category",), 0.8)
+    s = cut_lineage(split.chrono_split_global(cut_lineage(flows.buysell_in(spark, sf_dir)), "Date", ("Category",), 0.8))
     allr = s.select("Category", F.year("Date").alias("yr"))
     train = s.where("is_train").select("Category", F.year("Date").alias("yr"))
     return allr, train
@@ -191,16 +197,17 @@ def q_except_all(spark, sf_dir):
     return split.except_all(a, t)
 
 
+LAGS = (1, 2, 3, 30, 60, 90, 120)  # of the 120 that are made
+
+
 @query("lag_features", sql=f"""
 WITH {STOCK_FEATURES_SQL}
 SELECT Date, Stock, {r4('"Close-Open"')} AS "Close-Open",
-       {r4('lag("Close-Open", 1) OVER (PARTITION BY Stock ORDER BY Date)')} AS "Close-Open_Lag_1",
-       {r4('lag("Close-Open", 2) OVER (PARTITION BY Stock ORDER BY Date)')} AS "Close-Open_Lag_2",
-       {r4('lag("Close-Open", 3) OVER (PARTITION BY Stock ORDER BY Date)')} AS "Close-Open_Lag_3"
+       {", ".join(f'{r4(f'lag("Close-Open", {i}) OVER (PARTITION BY Stock ORDER BY Date)')} AS "Close-Open_Lag_{i}"' for i in LAGS)}
 FROM sf""")
 def q_lag_features(spark, sf_dir):
-    s = signal.lag_features(flows.stock_features(spark, sf_dir), "Close-Open", 3)
-    return rounded(s.select("Date", "Stock", "Close-Open", *[f"Close-Open_Lag_{i}" for i in (1, 2, 3)]))
+    s = signal.lag_features(flows.stock_features(spark, sf_dir), "Close-Open", 120)
+    return rounded(s.select("Date", "Stock", "Close-Open", *[f"Close-Open_Lag_{i}" for i in LAGS]))
 
 
 @query("stock_features", sql=f"""
@@ -437,3 +444,44 @@ def q_sector_ohlc(spark, sf_dir):
     """Sector-level daily Open/Close (mean over the sector's stocks): the price side of
     the sentiment-price join."""
     return rounded(flows.sector_ohlc(fx.bars(spark, sf_dir)))
+
+
+@query("describe_news", sql=f"""
+WITH {NEWS}
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, min(CAST({c} AS VARCHAR)) AS min, max(CAST({c} AS VARCHAR)) AS max FROM news"
+    for c in ("date", "category", "source")))
+def q_describe_news(spark, sf_dir):
+    return profile.summary_text(fx.news(spark, sf_dir), ["date", "category", "source"])
+
+
+@query("sink_csv_headerless", sql=SIGNAL_SQL)
+def q_sink_csv_headerless(spark, sf_dir):
+    path = scratch_path(spark, "signal_csv_headerless")
+    files.write_csv(rounded(sector_signal_df(spark, sf_dir)), path, header=False)
+    return files.read_csv(spark, path, schemas.SECTOR_SIGNAL, header=False)
+
+
+@query("sink_csv_sorted", sql=f"""
+SELECT CAST(row_number() OVER (PARTITION BY Category ORDER BY Date) AS INTEGER) AS place, * FROM ({SIGNAL_SQL})""")
+def q_sink_csv_sorted(spark, sf_dir):
+    """Rows sorted at the sink: the place of each row in its sector, by file and position in the file."""
+    path = scratch_path(spark, "signal_csv_sorted")
+    files.write_csv(rounded(sector_signal_df(spark, sf_dir)), path, order_by=["Date", "Category"])
+    back = files.read_csv(spark, path, schemas.SECTOR_SIGNAL).withColumns(
+        {"f": F.col("_metadata.file_name"), "i": F.monotonically_increasing_id()})
+    w = Window.partitionBy("Category").orderBy("f", "i")
+    return back.withColumn("place", F.row_number().over(w)).drop("f", "i")
+
+
+@query("minmax_train_fit", sql=f"""
+WITH {STOCK_FEATURES_SQL},
+spl AS (SELECT *, row_number() OVER (PARTITION BY Stock ORDER BY Date) <= floor(count(*) OVER (PARTITION BY Stock) * 0.8) AS is_train FROM sf),
+b AS (SELECT Stock, min(Momentum) FILTER (WHERE is_train) AS lo, max(Momentum) FILTER (WHERE is_train) AS hi FROM spl GROUP BY Stock)
+SELECT Date, Stock, is_train, {r4('CASE WHEN hi = lo THEN 0.5 ELSE (Momentum - lo) / (hi - lo) END')} AS "Momentum_scaled"
+FROM spl JOIN b USING (Stock)""")
+def q_minmax_train_fit(spark, sf_dir):
+    """Per-stock scaling fitted on the train days only."""
+    s = split.chrono_split(flows.stock_features(spark, sf_dir), "Stock", "Date", 0.8)
+    s = normalize.minmax_per_key(s, ["Momentum"], "Stock", fit_on="is_train")
+    return rounded(s.select("Date", "Stock", "is_train", "Momentum_scaled"))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import CONTRACTIONS, SENTIMENT_TOKEN_SPLIT, whitespace_tokens
+from ..functions.calendar import ISO_DATE_PATTERN
+from ..functions.text import (BLANKS, CONTRACTIONS, EDGE_BLANKS, KEEP_PATTERN, SENTIMENT_TOKEN_SPLIT, URL_PATTERN,
+                              whitespace_tokens)
 from ..operators import market, sentiment as st
 from ..sources import fixtures as fx
 from .catalog import query, rounded
@@ -25,19 +27,19 @@ LEX_SQL = "lex AS (SELECT word, CAST(p AS DOUBLE) AS polarity, CAST(s AS DOUBLE)
 
 
 def clean_sql(x: str, lemmas: dict | None = None) -> str:
-    t = f"regexp_replace({x}, 'http\\S+', '', 'g')"
-    t = f"regexp_replace({t}, '^\\s+|\\s+$', '', 'g')"
-    t = (f"array_to_string(list_transform(string_split_regex({t}, '\\s+'), "
+    t = f"regexp_replace({x}, {_q(URL_PATTERN)}, '', 'g')"
+    t = f"regexp_replace({t}, {_q(EDGE_BLANKS)}, '', 'g')"
+    t = (f"array_to_string(list_transform(list_filter(string_split_regex({t}, {_q(BLANKS)}), lambda w: w <> ''), "
          f"lambda w: {_case('w', CONTRACTIONS)}), ' ')")
-    t = f"regexp_replace({t}, '[^a-zA-Z'' ]', '', 'g')"
+    t = f"regexp_replace({t}, {_q(KEEP_PATTERN)}, '', 'g')"
     t = f"lower({t})"
-    t = f"trim(regexp_replace({t}, '\\s+', ' ', 'g'))"
+    t = f"trim(regexp_replace({t}, {_q(BLANKS)}, ' ', 'g'))"
     if lemmas:
         t = f"array_to_string(list_transform(string_split({t}, ' '), lambda w: {_case('w', lemmas)}), ' ')"
     return t
 
 
-VALID = "regexp_matches(date, '^\\d{4}-\\d{2}-\\d{2}$')"
+VALID = f"regexp_matches(date, {_q(ISO_DATE_PATTERN)}) AND try_strptime(date, '%Y-%m-%d') IS NOT NULL"
 BASE_SQL = f"""{NEWS},
 base AS (SELECT *, concat_ws(' ', headline, short_description) AS hd FROM news WHERE {VALID}),
 {LEX_SQL},
@@ -98,8 +100,8 @@ def q_lemmatize_join(spark, sf_dir):
 
 @query("tokenize", sql=f"""
 WITH {NEWS},
-t AS (SELECT doc_id, string_split_regex(regexp_replace(concat_ws(' ', headline, short_description),
-                                                       '^\\s+|\\s+$', '', 'g'), '\\s+') AS toks FROM news)
+t AS (SELECT doc_id, list_filter(string_split_regex(regexp_replace(concat_ws(' ', headline, short_description),
+                                                       {_q(EDGE_BLANKS)}, '', 'g'), {_q(BLANKS)}), lambda w: w <> '') AS toks FROM news)
 SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, toks[i] AS token
 FROM t, LATERAL (SELECT unnest(generate_series(1, len(toks))) AS i)""")
 def q_tokenize(spark, sf_dir):

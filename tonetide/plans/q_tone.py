@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.calendar import days_in_month, days_in_month_rule
+from ..functions.calendar import days_in_month
 from ..operators import tone
 from ..sources import fixtures as fx
 from .catalog import query, rounded
@@ -138,28 +138,9 @@ WITH m AS (SELECT DISTINCT year(l_shipdate) AS y, month(l_shipdate) AS m FROM li
 SELECT CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month,
        CAST(CASE WHEN m IN (4, 6, 9, 11) THEN 30
                  WHEN m = 2 THEN CASE WHEN (y % 4 = 0 AND y % 100 <> 0) OR y % 400 = 0 THEN 29 ELSE 28 END
-                 ELSE 31 END AS INTEGER) AS days_rule,
-       CAST(dayofmonth(last_day(make_date(CAST(y AS INTEGER), CAST(m AS INTEGER), 1))) AS INTEGER) AS days_calendar
+                 ELSE 31 END AS INTEGER) AS days
 FROM m""")
 def q_days_in_month(spark, sf_dir):
     li = fx.table(spark, sf_dir, "lineitem")
     m = li.select(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")).distinct()
-    return m.select("year", "month", days_in_month_rule("year", "month").alias("days_rule"),
-                    days_in_month(F.make_date("year", "month", F.lit(1))).alias("days_calendar"))
-
-
-@query("tone_stream")
-def q_tone_stream(spark, sf_dir):
-    """Structured Streaming daily tone: the event feed is landed as files in the
-    shared folder, consumed with an availableNow trigger, read back from the sink."""
-    from ..config import scratch_path
-    from ..streaming import tone_stream
-
-    root = scratch_path(spark, "tone_stream")
-    ev = fx.events_in(spark, sf_dir)
-    ev.where(F.dayofmonth(F.to_date(F.col("Day").cast("string"), "yyyyMMdd")) <= 15).write.parquet(f"{root}/landing/a")
-    ev.where(F.dayofmonth(F.to_date(F.col("Day").cast("string"), "yyyyMMdd")) > 15).write.parquet(f"{root}/landing/b")
-    q = tone_stream.start_daily_tone(spark, f"{root}/landing/*", f"{root}/daily", checkpoint=f"{root}/ckpt",
-                                     output_mode="update", available_now=True, watermark="400 days")
-    q.awaitTermination()
-    return rounded(spark.read.parquet(f"{root}/daily"))
+    return m.select("year", "month", days_in_month(F.make_date("year", "month", F.lit(1))).alias("days"))

@@ -22,13 +22,13 @@ bars AS (
                sum(l_quantity) AS Volume,
                sum(l_extendedprice * l_quantity) / sum(l_quantity) AS VWAP
         FROM lineitem GROUP BY 1, 2) d
-  JOIN cat c ON d.Stock = c.Stock)"""
+  LEFT JOIN cat c ON d.Stock = c.Stock)"""
 
 TICKS = CAT + """,
 ticks AS (
   SELECT CAST(l_shipdate AS DATE) AS Date, l_suppkey AS Stock, c.Category,
          l_extendedprice AS Price, l_quantity AS Quantity, l_orderkey, l_linenumber
-  FROM lineitem JOIN cat c ON l_suppkey = c.Stock)"""
+  FROM lineitem LEFT JOIN cat c ON l_suppkey = c.Stock)"""
 
 NEWS = """
 news AS (

@@ -125,3 +125,34 @@ NEWS_DUMP = T.StructType([
     T.StructField("link", T.StringType()),
     T.StructField("authors", T.StringType()),
 ])
+
+DAILY_SENTIMENT_OUT = T.StructType([
+    T.StructField("date", T.DateType()),
+    T.StructField("category", T.StringType()),
+    T.StructField("avg_sentiment", T.DoubleType()),
+    T.StructField("avg_subjectivity", T.DoubleType()),
+    T.StructField("articles_count", T.LongType()),
+])
+
+REGRESSION_IN = T.StructType([
+    T.StructField("date", T.DateType()),
+    T.StructField("avg_sentiment", T.DoubleType()),
+    T.StructField("avg_subjectivity", T.DoubleType()),
+    T.StructField("Open", T.DoubleType()),
+    T.StructField("Close", T.DoubleType()),
+    T.StructField("open_close_diff", T.DoubleType()),
+])
+
+TONE_DAILY = T.StructType([
+    T.StructField("Date", T.DateType()),
+    T.StructField("num", T.LongType()),
+    T.StructField("avg_tone", T.DoubleType()),
+    T.StructField("std_tone", T.DoubleType()),
+    T.StructField("median_tone", T.DoubleType()),
+])
+
+SECTOR_INDEX_NORMALIZED = T.StructType([
+    T.StructField("Date", T.DateType()),
+    T.StructField("Category", T.StringType()),
+    T.StructField("Normalized_Sector_VWAP", T.DoubleType()),
+])

@@ -49,10 +49,11 @@ def read_csv_strings(spark: SparkSession, path: str, casts: dict[str, str]) -> D
     ])
 
 
-def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected rows) of a PERMISSIVE read with a corrupt-record column."""
-    bad = F.col(CORRUPT).isNotNull()
-    return df.where(~bad).drop(CORRUPT), df.where(bad)
+def skipped_files(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """(path): the files under ``path`` that gave ``rows`` (a read with ``ignore_corrupt_files``) no row."""
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    read = rows.select(F.col("_metadata.file_path").alias("path")).distinct()
+    return there.join(read, "path", "left_anti")
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite",

@@ -51,7 +51,7 @@ def category_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attach_category(df: DataFrame, spark: SparkSession, sf_dir: str, key: str = "Stock") -> DataFrame:
-    """Add ``Category`` (region name) to a frame keyed by supplier.
+    """Add ``Category`` (region name) to a frame keyed by supplier; null for an unknown supplier.
 
     The raw dimension scans are joined one at a time so that every build side
     carries exact file statistics: without CBO Spark estimates a join's size
@@ -62,7 +62,8 @@ def attach_category(df: DataFrame, spark: SparkSession, sf_dir: str, key: str =
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
     r = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"),
                                               F.col("r_name").alias("Category"))
-    return df.join(s, key).join(n, "s_nationkey").join(r, "n_regionkey").drop("s_nationkey", "n_regionkey")
+    return (df.join(s, key, "left").join(n, "s_nationkey", "left").join(r, "n_regionkey", "left")
+            .drop("s_nationkey", "n_regionkey"))
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,44 +81,57 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Cents of a price that take part in the order of trades with one key; dearer trades tie.
+CENTS = 999_999_999
+
+
+def trade_order(order="l_orderkey", line="l_linenumber", price="l_extendedprice"):
+    """(orderkey, linenumber, price) as one decimal: 19, 10 and 9 digits."""
+    cents = F.greatest(F.lit(0), F.least(F.round(F.col(price) * 100), F.lit(CENTS))).cast("decimal(9,0)")
+    head = F.col(order).cast("decimal(19,0)") * F.lit(10**10).cast("decimal(11,0)") + F.col(line).cast("decimal(10,0)")
+    return (head.cast("decimal(29,0)") * F.lit(10**9).cast("decimal(10,0)") + cents).cast("decimal(38,0)")
+
+
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily OHLCV bar per stock, with per-bar VWAP.
+    """Daily OHLCV bar per stock, with per-bar VWAP: one hash aggregate on (Date, Stock).
 
     Open/Close are the first/last trade of the day in (orderkey, linenumber,
     price) order -- the price joins the order because (orderkey, linenumber)
-    repeats in the test data. Two hash aggregates with primitive buffers
-    (a struct ordering would force an interpreted sort aggregate):
-    1. per (Date, Stock, trade key): price extremes, volume and notional;
-       rows sharing a trade key collapse, so the key is unique afterwards;
-    2. per (Date, Stock): ``min_by``/``max_by`` on the long trade key.
-    Both are partial (map-side) aggregates, so a hot stock or day is combined
-    before any shuffle.
+    repeats in the test data. The order is one fixed-width decimal, which a
+    hash aggregate updates in place (a struct would force an interpreted sort
+    aggregate). The aggregate is partial first, so a hot stock or day is
+    combined before the one shuffle.
     """
     li = table(spark, sf_dir, "lineitem").select(
         F.col("l_shipdate").cast("date").alias("Date"),
         F.col("l_suppkey").alias("Stock"),
-        # trade key: orderkey * 8 + linenumber (linenumber is 1..7 in TPC-H)
-        (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("k"),
+        trade_order().alias("k"),
         F.col("l_extendedprice").alias("p"),
         F.col("l_quantity").alias("q"),
     )
-    per_trade = li.groupBy("Date", "Stock", "k").agg(
-        F.min("p").alias("p_lo"), F.max("p").alias("p_hi"),
-        F.sum("q").alias("q"), F.sum(F.col("p") * F.col("q")).alias("pq"),
-    )
-    daily = per_trade.groupBy("Date", "Stock").agg(
-        F.min_by("p_lo", "k").alias("Open"),
-        F.max("p_hi").alias("High"),
-        F.min("p_lo").alias("Low"),
-        F.max_by("p_hi", "k").alias("Close"),
+    daily = li.groupBy("Date", "Stock").agg(
+        F.min_by("p", "k").alias("Open"),
+        F.max("p").alias("High"),
+        F.min("p").alias("Low"),
+        F.max_by("p", "k").alias("Close"),
         F.sum("q").alias("Volume"),
-        F.try_divide(F.sum("pq"), F.sum("q")).alias("VWAP"),
+        F.try_divide(F.sum(F.col("p") * F.col("q")), F.sum("q")).alias("VWAP"),
     )
     return attach_category(daily, spark, sf_dir).select(
         "Date", "Stock", "Category", "Open", "High", "Low", "Close", "Volume", "VWAP"
     )
 
 
+def stock_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(Date, Stock) of every bar, from those two columns alone."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").cast("date").alias("Date"), F.col("l_suppkey").alias("Stock")).distinct()
+
+
+def stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("Stock")).distinct()
+
+
 def daily_vwap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(Date, Stock, Category, VWAP): the per-bar VWAP without Open/Close, one
     partial aggregate -- what the sector-index chain needs."""

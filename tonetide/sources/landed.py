@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import bounded_broadcast
 from ..operators.profile import conform
 from .files import rebalance
 from ..schemas import BAR_FACTORS, NEWS
@@ -32,7 +31,7 @@ def land_bars(bars: DataFrame, path: str) -> None:
 
 
 def read_landed_bars(spark: SparkSession, path: str, start: str, end: str, dim: DataFrame,
-                     schema: T.StructType | None = None, dim_bound: int | None = None) -> DataFrame:
+                     schema: T.StructType | None = None) -> DataFrame:
     """Bars landed by :func:`land_bars`; [start, end) date window (prunes months)."""
     r = spark.read.option("basePath", path)
     if schema is not None:
@@ -45,7 +44,7 @@ def read_landed_bars(spark: SparkSession, path: str, start: str, end: str, dim:
     if "Category" in raw.columns:
         raw = raw.drop("Category")
     d = dim.select("Stock", "Category")
-    joined = raw.join(bounded_broadcast(d, dim_bound) if dim_bound else d, "Stock", "left")
+    joined = raw.join(d, "Stock", "left")
     out_schema = T.StructType([f for f in BAR_FACTORS.fields if f.name != "Dividends"])
     return conform(joined, out_schema)
 
