@@ -10,19 +10,19 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import (byte_shards, decontaminate, license_lookup, ngram_join, pfair_mix, robust_outliers, suffix_dedup,
+from . import (byte_shards, decontaminate, license_lookup, ngram_join, oracles, pfair_mix, robust_outliers, suffix_dedup,
                token_planes, url_tree, warc_writer)
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
-@query("op4_byte_prefix_shards")
+@query("op4_byte_prefix_shards", oracles.OP4_SQL)
 def op4(spark, sf_dir):
     placed = byte_shards.byte_shards(table(spark, sf_dir, "documents"), shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-@query("op1_suffix_array_dedup")
+@query("op1_suffix_array_dedup", oracles.OP1_SQL)
 def op1(spark, sf_dir):
     cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=100)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -37,7 +37,7 @@ def op2(spark, sf_dir):
     return token_planes.read_token_digests(written).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-@query("op7_warc_dictionary_writer")
+@query("op7_warc_dictionary_writer", oracles.OP7_SQL)
 def op7(spark, sf_dir):
     written = warc_writer.write_warc(table(spark, sf_dir, "pages"))
     return warc_writer.read_warc(written).select(
@@ -51,32 +51,7 @@ def op3(spark, sf_dir):
                          "base_failed", "kept", "distance")
 
 
-# Occurrences in DuckDB: the position of each window's words in the document's words, by joining every
-# run of a window's length with the windows.
-OP5_SQL = r"""
-WITH d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
-b AS (
-  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
-v AS (
-  SELECT DISTINCT item_id, len(w[s : s + 9]) AS n, array_to_string(w[s : s + 9], ' ') AS key
-  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0)),
-runs AS (
-  SELECT doc_id, s, n, array_to_string(w[s : s + n - 1], ' ') AS key
-  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM v) WHERE len(w) >= n)),
-m AS (SELECT doc_id, item_id, s, n FROM runs JOIN v USING (n, key)),
-hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM m) GROUP BY doc_id),
-its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
-  string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM m GROUP BY doc_id)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN its USING (doc_id)
-"""
-
-
-@query("op5_prefix_decontamination", OP5_SQL)
+@query("op5_prefix_decontamination", oracles.OP5_SQL)
 def op5(spark, sf_dir):
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -84,7 +59,7 @@ def op5(spark, sf_dir):
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-@query("op8_grouped_prefix_join")
+@query("op8_grouped_prefix_join", oracles.OP8_SQL)
 def op8(spark, sf_dir):
     members, _ = ngram_join.near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=75)
     return members.select("doc_id", "n_shingles", "component_id")
@@ -113,34 +88,7 @@ def op9(spark, sf_dir):
     return url_tree.url_filter(pages, labels, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
 
 
-OP10_SQL = r"""
-WITH known AS (SELECT * FROM (VALUES {notices}) AS t(license_id, text)),
-spell AS (SELECT MAP {{{spellings}}} AS m),
-units AS (SELECT CAST(doc_id AS VARCHAR) AS id, 0 AS known, text FROM documents
-  UNION ALL SELECT license_id, 1, text FROM known),
-lines AS (
-  SELECT id, known, text, list_filter(list_transform(
-    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: NOT regexp_matches(l, '^\s*(?i:copyright|\(c\)|©)')),
-    lambda l: array_to_string(list_transform(
-      string_split(trim(regexp_replace(lower(l), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' '),
-      lambda w: coalesce(m[w], w)), ' ')), lambda l: l <> '') AS ls FROM units, spell),
-k AS (SELECT DISTINCT id AS license_id, sha256(array_to_string(ls, ' ')) AS digest FROM lines WHERE known = 1 AND len(ls) > 0),
-d AS (SELECT CAST(id AS BIGINT) AS doc_id, ls FROM lines WHERE known = 0),
-u AS (
-  SELECT doc_id, 0 AS pos, sha256(array_to_string(ls, ' ')) AS digest FROM d
-  UNION ALL SELECT doc_id, pos, sha256(ls[pos]) FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS pos FROM d)),
-f AS (
-  SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) FILTER (WHERE pos = 0) AS whole,
-    string_agg(DISTINCT license_id, ',' ORDER BY license_id) FILTER (WHERE pos > 0) AS notices,
-    count(DISTINCT pos) FILTER (WHERE pos > 0) AS n_notices
-  FROM u JOIN k USING (digest) GROUP BY doc_id)
-SELECT doc_id, coalesce(whole, '') AS whole, coalesce(notices, '') AS notices, coalesce(n_notices, 0) AS n_notices
-FROM d LEFT JOIN f USING (doc_id)
-""".format(notices=", ".join("('{}', '{}')".format(*n) for n in license_lookup.NOTICES),
-           spellings=", ".join(f"'{a}': '{b}'" for a, b in license_lookup.EQUIVALENT.items()))
-
-
-@query("op10_license_digests", OP10_SQL)
+@query("op10_license_digests", oracles.OP10_SQL)
 def op10(spark, sf_dir):
     found = license_lookup.license_scan(table(spark, sf_dir, "documents"), license_lookup.known_notices(spark))
     return found.select("doc_id", F.array_join("whole", ",").alias("whole"), F.array_join("notices", ",").alias("notices"), "n_notices")
