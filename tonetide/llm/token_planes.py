@@ -16,7 +16,8 @@ bounded cache of encoded words.
 
 Encoding goes through the tokenizers library word by word. It is exact for vocabularies whose
 pre-tokeniser never joins text over white space (``word_local=True``, true of word_bpe_49k.json);
-for others pass ``word_local=False``, and whole texts are encoded.
+for others pass ``word_local=False``, and whole texts are encoded. Letters and closing marks of a
+word are encoded once each and kept, so a word costs a lookup wherever it recurs.
 
 Defined results:
 * null or empty text: the end id alone; null id: before all other ids;
