@@ -3,7 +3,7 @@
 A byte goes when it lies in a string of ``length`` bytes that also starts earlier (in a smaller document,
 or further left in the same one). Strings are judged on the input.
 
-Texts are first staged in files of one Arrow batch each, so later steps find a document by (file, number)
+Texts are first staged in files of up to STAGE_BYTES each, so later steps find a document by (file, number)
 and only small rows are shuffled. Equal texts are grouped by digest: all but the first lose every byte
 (if they are as long as ``length``) and take no further part.
 
@@ -39,12 +39,15 @@ from pyspark.sql import functions as F
 
 from ..config import cut_lineage, scratch_path
 from . import files
+from .sizes import counted_side
 from .spans import span_hashes
 from .suffix_array import common_prefixes, suffix_array
 
 LENGTH = 100
 ANCHOR = 24
 HOT_ANCHOR = 8192
+BROADCAST_GROUPS = 200_000  # groups of equal texts, some 150 bytes each
+STAGE_BYTES = 1 << 24  # of text in a staged file, or one document
 PIECE = 1 << 23  # longer texts are searched for anchors in overlapping pieces
 PLACE_BITS = 24
 
@@ -52,14 +55,23 @@ PLACE_BITS = 24
 # ---- staged texts ---------------------------------------------------------------------------
 
 def stage(docs: DataFrame, folder: str) -> DataFrame:
-    """Write the texts, a file for each batch in (id, digest) order; returns (file, at, id, n_bytes, digest)."""
-    def write(batches):
+    """Write the texts, each file in (id, digest) order; returns (file, at, id, n_bytes, digest)."""
+    def pieces(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
+            ids, texts, held = [], [], 0
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids.append(i)
+                texts.append((t or "").encode())
+                held += len(texts[-1])
+                if held >= STAGE_BYTES:
+                    yield ids, texts
+                    ids, texts, held = [], [], 0
+            if ids:
+                yield ids, texts
+
+    def write(batches):
+        for ids, texts in pieces(batches):
             digests = [hashlib.blake2b(t, digest_size=16).digest() for t in texts]
-            ids = batch.column(0).to_pylist()
             order = sorted(range(len(texts)), key=lambda i: (ids[i] is not None, ids[i] or 0, digests[i]))
             cols = [pa.array([ids[i] for i in order], pa.int64()), pa.array([digests[i] for i in order], pa.binary()),
                     pa.array([texts[i] for i in order], pa.large_binary())]
@@ -87,9 +99,9 @@ def read_stage(uri: str) -> tuple[list, list[bytes], list[bytes]]:
 def headers(rows: DataFrame, length: int) -> DataFrame:
     """(file, skip): the numbers of documents whose text occurs before."""
     place = F.struct("id", "file", "at")
-    groups = (rows.where(F.col("n_bytes") >= length).groupBy("digest")
-              .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
-    copies = (rows.join(groups, "digest").where(~place.eqNullSafe(F.col("first")))
+    groups = cut_lineage(rows.where(F.col("n_bytes") >= length).groupBy("digest")
+                         .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    copies = (rows.join(counted_side(groups, BROADCAST_GROUPS), "digest").where(~place.eqNullSafe(F.col("first")))
               .groupBy("file").agg(F.collect_list("at").alias("skip")))
     return rows.select("file").distinct().join(copies, "file", "left").select(
         "file", F.coalesce("skip", F.array().cast("array<long>")).alias("skip"))
@@ -351,15 +363,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = stage(narrow, scratch_path(spark, "texts"))
     heads = cut_lineage(headers(rows, length))
+    # Much work stands behind the few bytes of a file's row: as many partitions as files.
+    n_files = max(1, heads.count())
+    heads = heads.repartition(n_files, "file")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = 4 * buckets
     judged = count_anchors(heads, length, buckets).groupBy("bucket").applyInArrow(judge_anchors, "file string, bucket int, data binary")
     marks = heads.mapInArrow(skip_lists, "file string, bucket int, data binary")
-    found = judged.union(marks).groupBy("file").applyInArrow(
+    found = judged.union(marks).repartition(n_files, "file").groupBy("file").applyInArrow(
         segments_of(length, buckets, shards), "shard int, kind int, file string, data binary")
     covered = found.groupBy("shard").applyInArrow(search_shard(length), "file string, data binary")
     per_file = covered.select("file", F.lit(0).alias("kind"), "data").union(marks.select("file", F.col("bucket").alias("kind"), "data"))
-    return per_file.groupBy("file").applyInArrow(cut_texts(length, with_text), RESULT)
+    return per_file.repartition(n_files, "file").groupBy("file").applyInArrow(cut_texts(length, with_text), RESULT)
 
 
 def skip_lists(batches):
