@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..config import cut_lineage, scratch_path
 from . import files
+from .sizes import counted_side
 
 # Fixed values of the public formats.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -38,6 +39,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 SAMPLE_BYTES = 4_000_000
 DICTIONARY_BYTES = 64 * 1024
+BROADCAST_GROUPS = 200_000  # groups of equal payloads, some 60 bytes each
 RECORD_IDS = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the public URL namespace
 
 
@@ -139,9 +141,9 @@ def with_first_of_equals(pages: DataFrame, id_col: str, html_col: str, url_col:
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     digest = F.sha1(F.col("html").cast("binary"))
-    groups = (rows.select("id", digest.alias("digest")).groupBy("digest")
-              .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
-    return rows.withColumn("digest", digest).join(groups, "digest", "left").drop("digest")
+    groups = cut_lineage(rows.select("id", digest.alias("digest")).groupBy("digest")
+                         .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    return rows.withColumn("digest", digest).join(counted_side(groups, BROADCAST_GROUPS), "digest", "left").drop("digest")
 
 
 def write_warc(pages: DataFrame, folder: str | None = None, date: str = "2024-01-01T00:00:00Z", id_col: str = "page_id",
