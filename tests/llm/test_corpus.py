@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,6 +158,40 @@ def test_every_block_is_in_its_window_and_less_than_one_block_off():
     assert done == weights
 
 
+@pytest.mark.parametrize("n", [5, 10, 50, 200])
+def test_no_source_drifts_from_its_exact_target(n):
+    targets = {"a": 0.5, "tiny": 0.0002} | {k: 0.4998 / (n - 2) for k in map(str, range(n - 2))}
+    total = sum(map(Fraction, targets.values()))
+    exact = {s: Fraction(v) / total for s, v in targets.items()}
+    length = 20_000
+    weights = pfair_mix.whole_weights(targets, pfair_mix.EXACT)
+    done, placed = Counter(), pfair_mix.slots(weights, dict.fromkeys(targets, length))
+    for at, (source, block, slot) in zip(range(length), placed):
+        assert slot == at and block == done[source]
+        done[source] += 1
+        assert abs(done[source] - (slot + 1) * exact[source]) < 1
+        if at % 997 == 0 or at == length - 1:
+            assert all(abs(done[s] - (slot + 1) * exact[s]) < 1 for s in targets)
+
+
+def test_weights_are_the_targets_and_small_ones_end_soon():
+    assert pfair_mix.whole_weights({"a": 0.5, "b": 0.3, "c": 0.15, "d": 0.04, "e": 0.01}) == {"a": 500, "b": 300, "c": 150, "d": 40, "e": 10}
+    weights = pfair_mix.whole_weights({"a": 1.0, "b": 1e-9, "c": 1e-9}, pfair_mix.EXACT)
+    total, placed = sum(weights.values()), list(pfair_mix.slots(weights, {"a": 5, "b": 300, "c": 300}))
+    assert len(placed) == 605 and len({slot for _, _, slot in placed}) == 605
+    assert all(k * total // weights[s] <= slot < -(-(k + 1) * total // weights[s]) for s, k, slot in placed)
+
+
+def test_mixed_slots_keep_the_exact_targets(spark):
+    rows = [(k, "x" * 84, "en", "a" if k < 1500 else f"s{k % 50}") for k in range(3000)]
+    targets = {"a": 0.5} | {f"s{k}": 0.01 for k in range(50)}
+    got = pfair_mix.mix_positions(documents(spark, rows), targets=targets, block_bytes=100).collect()
+    assert len(got) == 3000
+    for r in got:  # one document for each block: 1 of 2 slots is of a, 1 of 100 of each other source
+        every = 2 if r._source == "=a" else 100
+        assert r.block * every <= r.slot < (r.block + 1) * every
+
+
 def test_positions_follow_the_schedule(spark):
     rows = [(k, prose(k, 30 + k % 50), "en", None if k % 17 == 0 else "abcd"[min(3, k % 7)]) for k in range(400)]
     targets = {"a": 0.5, "b": 0.3, "d": 0.1, None: 0.1}

@@ -6,10 +6,11 @@ in every slot the released block of the earliest deadline goes next. One slot ho
 the weights sum to 1, so every block keeps its window and each source is at all times less than one
 block away from its share.
 
-Weights are whole numbers that sum to ``resolution``, so the schedule repeats after ``resolution`` slots
-with every source at its weight. Only that cycle is simulated, on the table of sources (one row for
-each); block k's slot then follows from k by arithmetic, for all blocks at once. Once a source has
-run out its slots stay empty and the others go on in proportion. Every document is placed once.
+Weights are the targets themselves, as whole numbers that sum to ``resolution`` (10^15, so rounding moves
+a source by one block in 10^15 slots at most). No short cycle repeats: the slots of all blocks are
+simulated, in one task that reads the table of sources (one row for each) and streams one row for each
+block, in memory of the size of that table. Once a source has run out its slots stay empty and the
+others go on in proportion. Every document is placed once.
 
 Blocks, not documents, carry the promise: a document is in the block where its first byte falls.
 Positions come from prefix sums over range partitions, so a source that holds a third of all rows is
@@ -25,8 +26,12 @@ Defined results:
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import islice
+from math import gcd
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -35,38 +40,70 @@ from ..config import cut_lineage
 from .byte_shards import ROW_OVERHEAD, text_bytes, with_global_prefix
 
 BLOCK_BYTES = 1 << 16
-RESOLUTION = 1000
+RESOLUTION = 1000  # of a cycle that is written out
+EXACT = 10 ** 15  # of the weights that documents are mixed by
+RUNNING_SHARE = 8  # sources with less than 1/8 of the weight left: empty slots are skipped, not stepped through
+LAST = 1 << 62
 
 
 def whole_weights(shares: dict, resolution: int = RESOLUTION) -> dict:
-    """Whole numbers, at least 1 each, that sum to the resolution (largest remainders get the rest)."""
-    shares = {s: v for s, v in shares.items() if v > 0}
+    """Whole numbers, at least 1 each, that sum to the resolution (largest remainders get the rest).
+
+    Shares are taken as written in decimal, so 0.3 of 1000 is 300. Only a share under 1 is raised, at
+    the cost of the largest.
+    """
+    shares = {s: Fraction(repr(v)) for s, v in shares.items() if v > 0}
     resolution = max(resolution, 4 * len(shares))
     total = sum(shares.values())
-    spare = resolution - len(shares)
-    exact = {s: v / total * spare for s, v in shares.items()}
-    out = {s: 1 + int(v) for s, v in exact.items()}
-    by_rest = sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))
-    for s in by_rest[: resolution - sum(out.values())]:
+    exact = {s: v / total * resolution for s, v in shares.items()}
+    out = {s: max(1, int(v)) for s, v in exact.items()}
+    by_rest = sorted(exact, key=lambda s: (out[s] - exact[s], s))
+    for s in by_rest[: max(0, resolution - sum(out.values()))]:
         out[s] += 1
+    while sum(out.values()) > resolution:
+        out[max(out, key=lambda s: (out[s], s))] -= 1
     return out
 
 
-def cycle(weights: dict) -> list[tuple[object, int, int]]:
-    """(source, j, slot): the slot of each source's j-th block in one cycle, earliest deadline first."""
+def slots(weights: dict, blocks: dict) -> Iterator[tuple[object, int, int]]:
+    """(source, block, slot) of the first ``blocks`` blocks of each source, earliest deadline first.
+
+    A source that has run out keeps its slots until those that still run have less than
+    1/RUNNING_SHARE of the weight: the steps are a multiple of the blocks, however small a weight is.
+    """
+    shared = gcd(*weights.values())
+    weights = {s: w // shared for s, w in weights.items()}
     total = sum(weights.values())
-    waiting = [(0, s, 0) for s in weights]  # (release, source, j)
+    running = {s: w for s, w in weights.items() if blocks[s] > 0}
+    rest = sum(running.values())
+    waiting = [(0, s, 0) for s in weights]  # (release, source, block)
     heapq.heapify(waiting)
-    ready, out = [], []
-    for slot in range(total):
+    ready, slot, ended = [], 0, True
+    while running:
+        if ended and RUNNING_SHARE * rest < total:
+            waiting, ready = ([x for x in heap if x[1] in running] for heap in (waiting, ready))
+            heapq.heapify(waiting)
+            heapq.heapify(ready)
+        ended = False
         while waiting and waiting[0][0] <= slot:
             _, s, j = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(j + 1) * total // weights[s]), s, j))
+        if not ready:
+            slot = waiting[0][0]
+            continue
         _, s, j = heapq.heappop(ready)
-        out.append((s, j, slot))
-        if j + 1 < weights[s]:
-            heapq.heappush(waiting, ((j + 1) * total // weights[s], s, j + 1))
-    return out
+        if s in running:
+            yield s, j, slot
+            if j + 1 == blocks[s]:
+                rest -= running.pop(s)
+                ended = True
+        heapq.heappush(waiting, ((j + 1) * total // weights[s], s, j + 1))
+        slot += 1
+
+
+def cycle(weights: dict) -> list[tuple[object, int, int]]:
+    """(source, j, slot): the slot of each source's j-th block in one cycle of as many slots as the weights' sum."""
+    return list(slots(weights, weights))
 
 
 def source_name(source: str) -> Column:
@@ -74,26 +111,29 @@ def source_name(source: str) -> Column:
 
 
 def schedule(sources: DataFrame, power: float, targets: dict | None, resolution: int) -> DataFrame:
-    """(_source, weight, j, slot, length) of one cycle from (_source, bytes): a row for each block of it.
+    """(_source, block, slot) of every block of the sources with a weight, from (_source, bytes, blocks).
 
-    The whole table of sources is one group; it has one row for each source.
+    One task has the whole table of sources, one row for each, and sends the blocks on as it places them.
     """
-    def run(table: pd.DataFrame) -> pd.DataFrame:
-        table = table.sort_values("_source")
+    def run(batches):
+        table = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
         if targets is None:
-            shares = {s: float(b) ** power for s, b in zip(table["_source"], table["bytes"])}
+            shares = {s: float(size) ** power for s, size, _ in table}
         else:
             known = {"null" if k is None else f"={k}": v for k, v in targets.items()}
-            shares = {s: known.get(s, 0.0) for s in table["_source"]}
+            shares = {s: known.get(s, 0.0) for s, _, _ in table}
         weights = whole_weights(shares, resolution)
-        rows = [(s, weights[s], j, slot, sum(weights.values())) for s, j, slot in cycle(weights)] if weights else []
-        return pd.DataFrame(rows, columns=["_source", "weight", "j", "slot", "length"])
+        placed = slots(weights, {s: n for s, _, n in table}) if weights else iter(())
+        while rows := list(islice(placed, 1 << 16)):
+            s, block, slot = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(s, pa.string()), pa.array(block, pa.int64()),
+                                              pa.array([min(at, LAST - 1) for at in slot], pa.int64())], ["_source", "block", "slot"])
 
-    return sources.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(run, "_source string, weight long, j long, slot long, length long")
+    return sources.select("_source", "bytes", "blocks").repartition(1).mapInArrow(run, "_source string, block long, slot long")
 
 
 def mix_positions(docs: DataFrame, power: float = 0.5, targets: dict | None = None, block_bytes: int = BLOCK_BYTES,
-                  resolution: int = RESOLUTION, id_col: str = "doc_id", source_col: str = "source",
+                  resolution: int = EXACT, id_col: str = "doc_id", source_col: str = "source",
                   text_col: str = "text", overhead: int = ROW_OVERHEAD) -> DataFrame:
     """(id, size, crc, source, block, slot, position) of every document in mixture order.
 
@@ -103,16 +143,14 @@ def mix_positions(docs: DataFrame, power: float = 0.5, targets: dict | None = No
                          (text_bytes(F.col(text_col)) + F.lit(overhead)).alias("size"),
                          F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("crc"))
     laid = cut_lineage(with_global_prefix(narrow, ["_source", "id", "size", "crc"], "size"))
-    sources = laid.groupBy("_source").agg(F.min("start").alias("first"), F.sum("size").alias("bytes"))
-    plan = cut_lineage(schedule(sources.select("_source", "bytes"), power, targets, resolution))
-    weights = plan.select("_source", "weight", "length").distinct()
+    sources = laid.groupBy("_source").agg(F.min("start").alias("first"), F.max("start").alias("last"), F.sum("size").alias("bytes"))
     block = F.floor((F.col("start") - F.col("first")) / F.lit(block_bytes)).cast("long")
-    blocks = (laid.join(sources.select("_source", "first"), "_source").join(weights, "_source", "left")
-              .withColumn("block", block)
-              .withColumn("j", F.expr("block % weight")))
-    placed = (blocks.join(plan.select("_source", "j", F.col("slot").alias("at")), ["_source", "j"], "left")
+    counted = sources.withColumn("blocks", F.floor((F.col("last") - F.col("first")) / F.lit(block_bytes)).cast("long") + 1)
+    plan = cut_lineage(schedule(counted, power, targets, resolution))
+    blocks = laid.join(sources.select("_source", "first"), "_source").withColumn("block", block)
+    placed = (blocks.join(plan, ["_source", "block"], "left")
               # A source without weight follows after everything else.
-              .withColumn("slot", F.coalesce(F.expr("(block div weight) * length + at"), F.lit((1 << 62))))
+              .withColumn("slot", F.coalesce("slot", F.lit(LAST)))
               .select("id", "_source", "size", "crc", "block", "slot", F.col("start").alias("laid")))
     ordered = with_global_prefix(placed, ["slot", "_source", "laid"], "size")
     return ordered.select("id", "size", "crc", "_source", "block", "slot", F.col("row").alias("position"))
