@@ -316,6 +316,40 @@ def test_bad_templates_go_and_like_branches_merge(spark):
     assert all(got[2000 + k].verdict == "allow" for k in range(30))  # another host without labels
 
 
+def filtered(spark, rows):
+    """Results by page of (url, bad or None) rows without rules."""
+    pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(k, b) for k, (_, b) in enumerate(rows) if b is not None], "page_id long, bad int")
+    return {r.page_id: r for r in url_tree.url_filter(pages, labels, []).collect()}
+
+
+def names(n):
+    return [f"{a}{b}" for a in "abcdefgh" for b in "klmnopqr"][:n]
+
+
+@pytest.mark.parametrize("depth", [0, 11])
+def test_a_heavy_bad_branch_among_many_rare_ones_goes(spark, depth):
+    """60 bad pages in one branch, 90 clean ones in 29 small branches; also below the former eight levels."""
+    below = "".join(f"/{d}" for d in "abcdefghijk"[:depth])
+    rows = [(f"http://h.net{below}/spam/{k}", 1) for k in range(60)]
+    rows += [(f"http://h.net{below}/{names(29)[k % 29]}/{k}", 0) for k in range(90)]
+    got = filtered(spark, rows)
+    assert {got[k].verdict for k in range(60)} == {"block"} and {got[k].template for k in range(60)} == {f"{below}/spam/*"}
+    assert {got[k].verdict for k in range(60, 150)} == {"allow"} and {got[k].template for k in range(60, 150)} == {f"{below}/*~0/*"}
+
+
+def test_a_very_deep_path_is_one_template(spark):
+    deep = "http://h.net" + "/x" * 500
+    got = filtered(spark, [(deep, 0)] + [(f"http://h.net{'/y' * 12}/{name}", 0) for name in names(40)])
+    assert got[0].template == "/x" * 500 and {got[k].template for k in range(1, 41)} == {"/y" * 12 + "/*~0"}
+
+
+def test_a_heavy_bad_branch_of_numbers_is_not_mixed_with_rare_ones(spark):
+    rows = [(f"http://h.net/{k}/x", 1) for k in range(60)] + [(f"http://h.net/{names(29)[k % 29]}/x", 0) for k in range(90)]
+    got = filtered(spark, rows)
+    assert {got[k].verdict for k in range(60)} == {"block"} and {got[k].verdict for k in range(60, 150)} == {"allow"}
+
+
 def test_urls_of_nothing(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert url_tree.url_filter(none, spark.createDataFrame([], "page_id long, bad int"), RULES).count() == 0

@@ -5,7 +5,8 @@ segment with its digit runs replaced by ``*``. From then on only those counts ar
 level, so a host that holds a third of all pages is a few rows once its variable segments are
 generalised:
 
-1. generalise: below a (host, prefix), segments become ``*`` when they are many and mostly rare;
+1. generalise: below a (host, prefix), rare segments become ``*~0`` when they are many. A segment with
+   more pages than that (``*``, the numbers, is one) stays a branch with its own labels, for the merge;
 2. merge: siblings (same host, same other segments) are put in order of their labelled rates;
    neighbours that don't differ by more than ``z`` standard errors become one branch, deepest level first;
 3. judge: a template's rate of bad labels is smoothed towards its host's, a host's towards that of all
@@ -30,9 +31,9 @@ from pyspark.sql import Window
 
 from ..config import cut_lineage
 
-MAX_DEPTH = 8  # levels that are generalised and merged; deeper segments stay as they are
-MANY_CHILDREN = 20
-RARE_SHARE = 0.2  # children per page from which a level counts as variable
+MANY_CHILDREN = 20  # rare children from which a level counts as variable
+RARE_SHARE = 0.2  # children per page: a child of up to 1 / RARE_SHARE pages is rare
+RARE = "*~0"  # no segment is written so: digits are replaced
 
 
 def host_of(url: str) -> Column:
@@ -60,22 +61,31 @@ def segments() -> Column:
     return F.transform(F.split(F.col("path"), "/"), lambda s: F.regexp_replace(s, "[0-9]+", "*"))
 
 
+def open_levels(tree: DataFrame, least: int, *alike: str) -> list[int]:
+    """Levels at which a host (and ``alike``) has ``least`` different segments, however deep the paths are.
+
+    No (host, prefix) or family has more than its host, so the other levels can't change.
+    """
+    parts = tree.select("host", F.size("template").alias("depth"), F.posexplode("template").alias("level", "segment"))
+    found = parts.where("level > 0").groupBy("host", *alike, "level").agg(F.count_distinct("segment").alias("c")).where(F.col("c") >= least)
+    return sorted(r.level for r in found.select("level").distinct().collect())
+
+
 def generalised(tree: DataFrame) -> DataFrame:
-    """Replace the children of variable (host, prefix) nodes by ``*``, from the root down."""
-    for level in range(1, MAX_DEPTH + 1):  # segment 0 is the empty one before the first slash
-        prefix = F.slice("template", 1, level)
-        here = tree.where(F.size("template") > level).select(
-            "host", prefix.alias("prefix"), F.col("template")[level].alias("child"), "n")
-        nodes = here.groupBy("host", "prefix", "child").agg(F.sum("n").alias("n")).groupBy("host", "prefix").agg(
-            F.count(F.lit(1)).alias("children"), F.sum("n").alias("pages"))
-        variable = nodes.where((F.col("children") >= MANY_CHILDREN) & (F.col("children") >= RARE_SHARE * F.col("pages")))
-        tree = (tree.withColumn("prefix", prefix).join(variable.select("host", "prefix", F.lit(True).alias("v")), ["host", "prefix"], "left")
-                .withColumn("template", F.when(F.coalesce("v", F.lit(False)) & (F.size("template") > level), replaced(level, F.lit("*")))
-                            .otherwise(F.col("template")))
-                .drop("prefix", "v"))
-        if level % 4 == 0:
+    """Replace the rare children of variable (host, prefix) nodes by ``RARE``, from the root down."""
+    for i, level in enumerate(open_levels(tree, MANY_CHILDREN), 1):  # segment 0 is the empty one before the first slash
+        here = (tree.where(F.size("template") > level)
+                .groupBy("host", F.slice("template", 1, level).alias("prefix"), F.col("template")[level].alias("child"))
+                .agg(F.sum("n").alias("pages")).where(F.col("pages") * RARE_SHARE <= 1))
+        variable = here.groupBy("host", "prefix").agg(F.count(F.lit(1)).alias("children")).where(F.col("children") >= MANY_CHILDREN)
+        rare = here.join(variable, ["host", "prefix"]).select("host", "prefix", "child", F.lit(True).alias("v"))
+        tree = (tree.withColumn("prefix", F.slice("template", 1, level)).withColumn("child", F.get("template", F.lit(level)))
+                .join(rare, ["host", "prefix", "child"], "left")
+                .withColumn("template", F.when(F.coalesce("v", F.lit(False)), replaced(level, F.lit(RARE))).otherwise(F.col("template")))
+                .drop("prefix", "child", "v"))
+        if i % 4 == 0:
             tree = cut_lineage(tree)
-    return tree
+    return cut_lineage(tree)
 
 
 def replaced(level: int, name: Column) -> Column:
@@ -90,7 +100,7 @@ def merged(tree: DataFrame, z: float) -> DataFrame:
     Siblings are put in order of their rates; one that differs from the one before it starts a new
     class. A class of several becomes ``*`` (the class of the lowest rate) or ``*~k``.
     """
-    for level in range(MAX_DEPTH, 0, -1):
+    for i, level in enumerate(reversed(open_levels(tree, 2, "depth")), 1):
         branches = (tree.where(F.size("template") > level)
                     .select("host", "template", replaced(level, F.lit("*")).alias("family"), "labelled", "bad")
                     .groupBy("host", "family", "template").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")))
@@ -107,9 +117,9 @@ def merged(tree: DataFrame, z: float) -> DataFrame:
         tree = (tree.join(classes, ["host", "template"], "left")
                 .withColumn("template", F.when(F.col("name").isNotNull(), replaced(level, F.col("name"))).otherwise(F.col("template")))
                 .drop("name"))
-        if level % 4 == 1:
+        if i % 4 == 0:
             tree = cut_lineage(tree)
-    return tree
+    return cut_lineage(tree)
 
 
 def template_tree(pages: DataFrame, z: float = 1.96, smoothing: float = 20.0, least_purity: float = 0.5, prior: float = 0.1) -> DataFrame:
