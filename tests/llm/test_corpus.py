@@ -350,6 +350,22 @@ def test_a_heavy_bad_branch_of_numbers_is_not_mixed_with_rare_ones(spark):
     assert {got[k].verdict for k in range(60)} == {"block"} and {got[k].verdict for k in range(60, 150)} == {"allow"}
 
 
+def test_small_siblings_dont_bridge_unlike_large_ones(spark):
+    """Bad of labelled: 50/1000, 1/4, 1/2, 900/1000."""
+    rows = [(f"http://h.net/{s}/{k}", int(k < bad)) for s, bad, n in (("a", 50, 1000), ("b", 1, 4), ("c", 1, 2), ("d", 900, 1000)) for k in range(n)]
+    got = filtered(spark, rows)
+    by = {s: {(r.template, r.verdict) for k, r in got.items() if f"h.net/{s}/" in rows[k][0]} for s in "abcd"}
+    assert by["a"] == by["b"] == {("/*/*", "allow")} and by["c"] == by["d"] == {("/*~2/*", "block")}
+
+
+def test_a_class_takes_no_name_of_a_sibling(spark):
+    """Numbers are bad, two words are clean: the class of the words is not the branch of the numbers."""
+    rows = [(f"http://h.net/{k}/x", 1) for k in range(200)] + [(f"http://h.net/{'ab'[k % 2]}/x", 0) for k in range(200)]
+    got = filtered(spark, rows)
+    assert {(got[k].template, got[k].verdict) for k in range(200)} == {("/*/x", "block")}
+    assert {(got[k].template, got[k].verdict) for k in range(200, 400)} == {("/*~1/x", "allow")}
+
+
 def test_urls_of_nothing(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert url_tree.url_filter(none, spark.createDataFrame([], "page_id long, bad int"), RULES).count() == 0

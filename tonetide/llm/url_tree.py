@@ -7,8 +7,9 @@ generalised:
 
 1. generalise: below a (host, prefix), rare segments become ``*~0`` when they are many. A segment with
    more pages than that (``*``, the numbers, is one) stays a branch with its own labels, for the merge;
-2. merge: siblings (same host, same other segments) are put in order of their labelled rates;
-   neighbours that don't differ by more than ``z`` standard errors become one branch, deepest level first;
+2. merge: siblings (same host, same other segments) are put in order of their labelled rates; one that
+   doesn't differ by more than ``z`` standard errors from the pooled rate of the class built so far joins
+   that class, which becomes one branch, deepest level first;
 3. judge: a template's rate of bad labels is smoothed towards its host's, a host's towards that of all
    pages, and that towards ``prior``; templates whose purity falls below ``least_purity`` are rejected.
 
@@ -25,6 +26,9 @@ Defined results:
 
 from __future__ import annotations
 
+from math import sqrt
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -94,26 +98,55 @@ def replaced(level: int, name: Column) -> Column:
                     F.slice("template", level + 2, F.greatest(F.size("template") - level - 1, F.lit(0))))
 
 
+def differs(b: int, n: int, pooled_b: int, pooled_n: int, z: float) -> bool:
+    """Whether b of n is a higher rate than the pooled one by more than ``z`` standard errors."""
+    if not n or not pooled_n:
+        return False
+    rate = (b + pooled_b) / (n + pooled_n)
+    return b / n - pooled_b / pooled_n > z * sqrt(rate * (1 - rate) * (1 / n + 1 / pooled_n))
+
+
+def classed(branches: DataFrame, z: float) -> DataFrame:
+    """(host, family, template, class) of siblings with ``n`` labels, ``b`` of them bad.
+
+    A task reads its families in order of rate and holds one class at a time, as its two sums.
+    """
+    def run(batches):
+        of, number, pooled_b, pooled_n = None, 0, 0, 0
+        for batch in batches:
+            out = []
+            for host, family, n, b in zip(*(batch.column(c).to_pylist() for c in ("host", "family", "n", "b"))):
+                if (host, family) != of:
+                    of, number, pooled_b, pooled_n = (host, family), 0, 0, 0
+                elif differs(b, n, pooled_b, pooled_n, z):
+                    number, pooled_b, pooled_n = number + 1, 0, 0
+                pooled_b, pooled_n = pooled_b + b, pooled_n + n
+                out.append(number)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("host", "family", "template")), pa.array(out, pa.int64())],
+                                             ["host", "family", "template", "class"])
+
+    ordered = branches.repartition("host", "family").sortWithinPartitions("host", "family", F.try_divide("b", "n").asc_nulls_first(), "template")
+    return ordered.mapInArrow(run, "host string, family array<string>, template array<string>, class long")
+
+
 def merged(tree: DataFrame, z: float) -> DataFrame:
     """Merge siblings of like labelled rates, deepest level first.
 
-    Siblings are put in order of their rates; one that differs from the one before it starts a new
-    class. A class of several becomes ``*`` (the class of the lowest rate) or ``*~k``.
+    Siblings are put in order of their rates; one that differs from the class so far starts a new
+    class. A class of several becomes ``*`` (the class of the lowest rate, if no other class has that
+    segment) or ``*~k``.
     """
     for i, level in enumerate(reversed(open_levels(tree, 2, "depth")), 1):
         branches = (tree.where(F.size("template") > level)
                     .select("host", "template", replaced(level, F.lit("*")).alias("family"), "labelled", "bad")
                     .groupBy("host", "family", "template").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")))
-        by_rate = Window.partitionBy("host", "family").orderBy(F.col("rate").asc_nulls_first(), "template")
-        n0, b0 = F.lag("n").over(by_rate), F.lag("b").over(by_rate)
-        pooled = F.try_divide(F.col("b") + b0, F.col("n") + n0)
-        error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), n0) + F.try_divide(F.lit(1.0), F.col("n"))))
-        differs = F.coalesce(F.col("rate") - F.try_divide(b0, n0) > z * error, F.lit(False))
-        classes = (branches.withColumn("rate", F.try_divide("b", "n")).withColumn("differs", differs.cast("int"))
-                   .withColumn("class", F.sum("differs").over(by_rate))
+        family = Window.partitionBy("host", "family")
+        own = F.max((F.col("template")[level] == "*") & (F.col("class") > 0)).over(family)
+        classes = (classed(branches, z)
                    .withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("host", "family", "class")))
-                   .where("members > 1").select("host", "template", F.when(F.col("class") == 0, F.lit("*")).otherwise(
-                       F.concat(F.lit("*~"), F.col("class").cast("string"))).alias("name")))
+                   .withColumn("own", own).where("members > 1")
+                   .select("host", "template", F.when((F.col("class") == 0) & ~F.col("own"), F.lit("*")).otherwise(
+                       F.concat(F.lit("*~"), (F.col("class") + 1).cast("string"))).alias("name")))
         tree = (tree.join(classes, ["host", "template"], "left")
                 .withColumn("template", F.when(F.col("name").isNotNull(), replaced(level, F.col("name"))).otherwise(F.col("template")))
                 .drop("name"))
