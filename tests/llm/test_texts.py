@@ -3,6 +3,7 @@
 import hashlib
 import os
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -239,5 +240,33 @@ def test_licences_of_whole_texts_and_lines(spark):
                             reserved, reserved, (7, [], [], 0), (None, ["MIT"], ["MIT"], 1)], key=repr)
 
 
+def test_whole_licences_wrapped_embedded_and_headers_are_found(spark):
+    known = license_lookup.known_texts(spark)
+    texts = {p.stem: p.read_text() for p in license_lookup.TEXTS.glob("*.txt")}
+    ids = sorted(set(texts) - {"BSD-3-Clause.regents"})
+    assert {"MIT", "Apache-2.0", "GPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Unlicense", "CC0-1.0", "MPL-2.0", "LGPL-3.0", "EPL-2.0"} <= set(ids)
+    rows = [(k, texts[i], None, None) for k, i in enumerate(ids)]
+    rows += [(100 + k, f"{prose(k, 40)}\nCopyright 2020 Some One\n" + textwrap.fill(" ".join(texts[i].split()), 33) + " " + prose(k, 30), None, None)
+             for k, i in enumerate(("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause"))]
+    headers = {200: ("MIT", "We say: released under\n  the MIT licence, as before."),
+               201: ("Apache-2.0", '# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not'),
+               202: ("MPL-2.0", " * This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy"),
+               203: ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public "
+                                 "License as\npublished by the Free Software Foundation, either version 3 of the\nLicense, or (at your option) any later version."),
+               204: ("EPL-2.0", "are made available under the terms of the\nEclipse Public License 2.0 which"), 205: ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 X\n\n" + texts["MIT"]),
+               206: ("LGPL-2.1", "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as "
+                                 "published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.")}
+    rows += [(k, text, None, None) for k, (_, text) in headers.items()]
+    got = {r.doc_id: r for r in license_lookup.license_scan(documents(spark, rows), known).collect()}
+    for k, i in enumerate(ids):
+        assert got[k].whole == [i] and i in got[k].notices, i
+    for k, i in enumerate(("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause")):
+        assert got[100 + k].whole == [] and i in got[100 + k].notices, i
+    for k, (i, _) in headers.items():
+        assert got[k].notices == [i], (k, i)
+    assert got[205].whole == ["MIT"] and got[200].n_notices == 1
+    assert got[ids.index("GPL-3.0")].n_notices == 1  # its closing example of a header is inside it
+
+
 def test_licences_of_nothing(spark):
     assert license_lookup.license_scan(empty(spark), license_lookup.known_notices(spark)).count() == 0

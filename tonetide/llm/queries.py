@@ -90,7 +90,7 @@ def op9(spark, sf_dir):
 
 @query("op10_license_digests", oracles.OP10_SQL)
 def op10(spark, sf_dir):
-    found = license_lookup.license_scan(table(spark, sf_dir, "documents"), license_lookup.known_notices(spark))
+    found = license_lookup.license_scan(table(spark, sf_dir, "documents"), license_lookup.known_texts(spark))
     return found.select("doc_id", F.array_join("whole", ",").alias("whole"), F.array_join("notices", ",").alias("notices"), "n_notices")
 
 
