@@ -132,6 +132,17 @@ def test_classes_match_brute_force(spark, rows, hot, monkeypatch):
         assert 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
 
 
+def test_links_span_the_classes(spark):
+    rows = near_copies(5)
+    _, pairs = ngram_join.near_duplicates(documents(spark, rows).repartition(4))
+    first = {}  # smallest id of each set
+    for i, tokens in sorted(sets_by_hand(rows).items()):
+        first.setdefault(frozenset(tokens), i)
+    label = {r.vertex: r.label for r in components.components(pairs).collect()}
+    want = {i: c for i, _, c in classes_by_hand(rows)}
+    assert {i: label.get(i, i) for i in first.values()} == {i: want[i] for i in first.values()}
+
+
 def test_near_copies_of_nothing(spark):
     got, pairs = ngram_join.near_duplicates(empty(spark))
     assert got.count() == 0 and pairs.count() == 0

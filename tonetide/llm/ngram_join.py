@@ -305,6 +305,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     """(documents: doc_id, n_shingles, component_id; links: pairs a, b of class representatives).
 
     A link's ends are the smallest ids of documents of equal sets; ``documents`` has the membership.
+    Links are no full join: every one is true and they span each class, but further links between sets
+    that already share a class are not formed.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = facts(texts, size)
