@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(queries.ORACLES) <= set(entry.oracle_sql())
 
 

@@ -119,3 +119,78 @@ SELECT doc_id, coalesce(whole, '') AS whole, coalesce(notices, '') AS notices, c
 FROM d LEFT JOIN f USING (doc_id)
 """.format(notices=", ".join("('{}', '{}')".format(*n) for n in license_lookup.NOTICES),
            spellings=", ".join(f"'{a}': '{b}'" for a, b in license_lookup.EQUIVALENT.items()))
+
+# The cheapest edits by a table over (row, state) that keeps the least (cost, audit) of each.
+OP12_SQL = r"""
+WITH RECURSIVE t AS (SELECT list_transform(range(0, 16), lambda n: list_reduce([CAST(n AS BIGINT), 0, 0, 0, 0], lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS t),
+h AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        string_split(hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))), '') AS h FROM conversations),
+c AS (SELECT conv_id, turn, role, text,
+        xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(0, len(h)), lambda i:
+            CAST(instr('0123456789ABCDEF', h[i + 2 - 2 * (i % 2)]) - 1 AS BIGINT))),
+          lambda x, v: xor(x >> 4, t.t[1 + (xor(x, v) & 15)])), 4294967295) % 20 AS k FROM h, t),
+r AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE WHEN k = 0 THEN [] WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM c),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM r),
+f AS (SELECT conv_id, turn, role, text, i, left(role, 1) AS x, right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS z,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM n),
+g AS (SELECT *, z = '' AS blank, z <> '' AND again AS dup, z <> '' AND NOT again AND z NOT IN ('.', '!', '?') AS cut FROM f),
+e AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, {'c': 0, 'a': ''} AS b FROM g
+  UNION ALL
+  SELECT conv_id, i, q, min(b) FROM (
+    SELECT conv_id, i, o.q AS q, {'c': b.c + o.c, 'a': b.a || o.a} AS b FROM (
+      SELECT conv_id, g.i, b, unnest(
+        CASE WHEN blank OR dup THEN [] ELSE [{'q': CASE WHEN p = 2 THEN 3 ELSE 2 END, 'c': k + 1 + 5 * CAST(cut AS INT), 'a': ins || 'R'}] END
+        || CASE WHEN NOT blank AND NOT dup AND x = CASE WHEN p = 2 THEN 'a' ELSE 'u' END
+             THEN [{'q': CASE WHEN p = 2 THEN 3 ELSE 2 END, 'c': k + 5 * CAST(cut AS INT), 'a': ins || 'K'}] ELSE [] END
+        || CASE WHEN NOT blank AND NOT dup AND x = 's' AND p = 0 THEN [{'q': 1, 'c': k + 5 * CAST(cut AS INT), 'a': ins || 'K'}] ELSE [] END
+        || [{'q': p, 'c': k + 2, 'a': ins || 'D'}]) AS o
+      FROM (SELECT conv_id, e.i, b, CASE WHEN m = 0 THEN q WHEN (q = 2) = (m = 1) THEN 3 ELSE 2 END AS p, 5 * m AS k, repeat('I', CAST(m AS BIGINT)) AS ins
+            FROM e, (SELECT unnest([0, 1, 2]) AS m)) AS s
+      JOIN g USING (conv_id) WHERE g.i = s.i + 1))
+  GROUP BY conv_id, i, q),
+z AS (SELECT conv_id, min({'c': b.c + 5 * m, 'a': b.a || repeat('I', CAST(m AS BIGINT))}) AS b
+      FROM (SELECT *, CASE q WHEN 2 THEN 1 WHEN 1 THEN 2 ELSE 0 END AS m FROM e) JOIN (SELECT conv_id, max(i) AS i FROM g GROUP BY conv_id) USING (conv_id, i) GROUP BY conv_id),
+l AS (SELECT conv_id, unnest(string_split(b.a, '')) AS l, unnest(range(1, len(b.a) + 1)) AS j FROM z),
+w AS (SELECT conv_id, l, j, count(*) FILTER (l <> 'I') OVER o AS i, count(*) FILTER (l <> 'D') OVER o AS m FROM l
+      WINDOW o AS (PARTITION BY conv_id ORDER BY j)),
+y AS (SELECT w.*, role, text, bool_or(m = 1 AND l = 'K' AND x = 's') OVER (PARTITION BY w.conv_id) AS s
+      FROM w LEFT JOIN g ON w.conv_id = g.conv_id AND w.i = g.i AND w.l <> 'I'),
+u AS (SELECT conv_id, sha256(coalesce(string_agg(
+        CASE WHEN l = 'K' THEN role WHEN (m - CAST(s AS INT)) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN l = 'I' THEN '' ELSE text END,
+        chr(10) ORDER BY j) FILTER (l <> 'D'), '')) AS sha FROM y GROUP BY conv_id),
+a AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+        count(*) FILTER (dup) AS duplicate, count(*) FILTER (cut) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY conv_id)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(b.c, 0) AS BIGINT) AS cost, coalesce(b.a, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN a USING (conv_id) LEFT JOIN z USING (conv_id) LEFT JOIN u USING (conv_id)
+"""
+
+
+def _op13_round(k: int) -> str:
+    """Distances of all parts to all entries of the codebook ck, the nearest, and their floored means."""
+    return f"""
+n{k} AS MATERIALIZED (SELECT v, p, x, min({{'d': list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))), 'e': e}}) AS b
+  FROM part JOIN c{k} USING (p) GROUP BY v, p, x),
+m{k} AS (SELECT p, e, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS x FROM (
+  SELECT p, e, i, sum(x) AS s, count(*) AS n FROM (SELECT p, b.e AS e, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS x FROM n{k}) GROUP BY p, e, i)),
+c{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(f, c) AS c FROM c{k} LEFT JOIN (SELECT p, e, list(x ORDER BY i) AS f FROM m{k} GROUP BY p, e) USING (p, e)),"""
+
+
+OP13_SQL = r"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS v, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS MATERIALIZED (SELECT v, vec_id, p, w[p * (len(w) // 16) + 1 : (p + 1) * (len(w) // 16)] AS x FROM kept, (SELECT unnest(range(0, 16)) AS p)),
+c0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c
+  FROM part WHERE vec_id IN (SELECT DISTINCT vec_id FROM kept ORDER BY vec_id LIMIT 64)),""" + _op13_round(0) + _op13_round(1) + r"""
+n2 AS (SELECT v, p, min({'d': list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))), 'e': e}) AS b
+  FROM part JOIN c2 USING (p) GROUP BY v, p),
+r AS (SELECT v, string_agg(printf('%02x', b.e), '' ORDER BY p) AS code, CAST(sum(b.d) AS BIGINT) AS error FROM n2 GROUP BY v)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, i)) FROM (SELECT p, e, unnest(c) AS x, unnest(range(0, len(c))) AS i FROM c2)) AS codebooks_sha256
+FROM r JOIN kept USING (v)
+"""

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import (byte_shards, decontaminate, license_lookup, ngram_join, oracles, pfair_mix, robust_outliers, suffix_dedup,
-               token_planes, url_tree, warc_writer)
+from ..config import cut_lineage, scratch_path
+from . import (byte_shards, cell_codes, decontaminate, license_lookup, ngram_join, oracles, pfair_mix, robust_outliers, suffix_dedup,
+               token_planes, toxicity, turn_repair, url_tree, warc_writer)
 from .registry import ORACLES, QUERIES, query, table  # noqa: F401
+from .sizes import counted_side
 
 
 @query("op4_byte_prefix_shards", oracles.OP4_SQL)
@@ -94,4 +96,33 @@ def op10(spark, sf_dir):
     return found.select("doc_id", F.array_join("whole", ",").alias("whole"), F.array_join("notices", ",").alias("notices"), "n_notices")
 
 
+@query("op11_noisy_or_toxicity")
+def op11(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out), train_rows=20_000)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("sentences").alias("n_sentences"))
+
+
+@query("op12_block_table_repair", oracles.OP12_SQL)
+def op12(spark, sf_dir):
+    return turn_repair.repair(table(spark, sf_dir, "conversations"), damaged=True).withColumnRenamed("conv", "conv_id")
+
+
+@query("op13_memoised_cell_codes", oracles.OP13_SQL)
+def op13(spark, sf_dir):
+    kept = cell_codes.kept_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    books = cell_codes.fit_codebooks(kept, parts=16, entries=64, rounds=2)
+    path = scratch_path(spark, "cell-codes")
+    cell_codes.encode(kept, books).write.parquet(path)
+    coded = spark.read.parquet(path)
+    sums = coded.groupBy("label").agg(F.sum(F.col("error").cast("decimal(19,0)")).cast("long").alias("label_error"))
+    sums = counted_side(cut_lineage(sums.withColumnRenamed("label", "of")), 200_000)
+    return coded.join(sums, F.col("label").eqNullSafe(F.col("of")), "left").select(
+        "vec_id", F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "").alias("code"),
+        "error", "label_error", F.lit(books.sha256() if books else None).alias("codebooks_sha256"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
