@@ -33,6 +33,7 @@ MAX_WORDS = 64
 SLICE = 200_000  # words whose features are held at a time
 PREFIXES = range(3, 9)
 SUFFIXES = range(3, 7)
+TOP = np.uint64(64 - 20)  # shift that leaves a hash's top bits
 STEPS = 300
 REPORT = 0.5  # sentences of at least this probability are located
 
@@ -99,23 +100,34 @@ def word_features(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return out
 
 
-def known_words(raw: np.ndarray, features: np.ndarray):
-    """(sentence, word hash, places in ``features``, counts) of the distinct words of each sentence that have any.
+def top_bits(features: np.ndarray) -> np.ndarray:
+    """Which values of the top bits any of the features has."""
+    out = np.zeros(1 << 64 - int(TOP), bool)
+    out[features >> TOP] = True
+    return out
+
+
+def known_words(raw: np.ndarray, features: np.ndarray, filled: np.ndarray | None = None):
+    """Arrays (sentence, place in ``features``), a pair for each known feature of each distinct word of a sentence.
 
-    Returns arrays (sentence, feature place), one pair for each known feature of such a word, sorted by sentence,
-    and the words' (start, end, sentence).
+    Sorted by sentence; with them the (start, end, sentence) of all words.
     """
     starts, ends, sentence = words_of(raw)
     found = []
-    for lo in range(0, len(starts), SLICE):
+    if filled is None:
+        filled = top_bits(features)
+    for lo in range(0, len(starts) if len(features) else 0, SLICE):
         hashes = word_features(raw, starts[lo:lo + SLICE], ends[lo:lo + SLICE])
-        at = np.minimum(np.searchsorted(features, hashes), max(len(features) - 1, 0))
-        hit = (features[at] == hashes) & (hashes != 0) if len(features) else np.zeros(hashes.shape, bool)
-        word = np.flatnonzero(hit.any(axis=1))
-        found.append((sentence[lo + word], hashes[word, 0], at[word], hit[word]))
+        word = np.flatnonzero(filled[hashes >> TOP].any(axis=1))  # most words stop here
+        hashes = hashes[word]
+        at = np.minimum(np.searchsorted(features, hashes), len(features) - 1)
+        hit = (features[at] == hashes) & (hashes != 0)
+        found.append((sentence[lo + word], hashes[:, 0], at, hit))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), (starts, ends, sentence)
     of, word, at, hit = (np.concatenate([f[i] for f in found]) for i in range(4))
+    some = hit.any(axis=1)
+    of, word, at, hit = of[some], word[some], at[some], hit[some]
     order = np.lexsort((word, of))
     of, word, at, hit = of[order], word[order], at[order], hit[order]
     new = np.ones(len(of), bool)
@@ -132,9 +144,9 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def sentences(self, data: bytes) -> list[tuple[int, int, float]]:
+    def sentences(self, data: bytes, filled: np.ndarray | None = None) -> list[tuple[int, int, float]]:
         """(start byte, end byte, probability) of the sentences with evidence."""
-        of, at, (starts, ends, sentence) = known_words(lowered(data), self.features)
+        of, at, (starts, ends, sentence) = known_words(lowered(data), self.features, filled)
         if not len(of):
             return []
         ids, first = np.unique(of, return_index=True)
@@ -159,10 +171,10 @@ def train(bags: list[tuple[int, np.ndarray, np.ndarray]], size: int, l2: float =
         return np.zeros(size), -4.0
     label = np.array([b[0] for b in bags], float)
     feature = np.concatenate([b[2] for b in bags])
-    key = np.concatenate([b[1] + (i << 40) for i, b in enumerate(bags)])
+    key = np.concatenate([b[1].astype(np.int64) + (i << 32) for i, b in enumerate(bags)])
     cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     of = np.repeat(np.arange(len(cut)), np.diff(np.append(cut, len(key))))  # sentence of each pair
-    bag = key[cut] >> 40
+    bag = key[cut] >> 32
     first = np.flatnonzero(np.concatenate(([True], bag[1:] != bag[:-1])))
     w = np.zeros(size + 1)
     w[-1] = -4.0
@@ -224,17 +236,18 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 20_000, max_featur
         return none
 
     def examples(batches):
+        filled = top_bits(features)
         for batch in batches:
             for doc_id, y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                of, at, _ = known_words(lowered((text.as_py() or "").encode()), features)
+                of, at, _ = known_words(lowered((text.as_py() or "").encode()), features, filled)
                 if len(of):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([doc_id], pa.int64()), pa.array([y], pa.int32()),
-                         pa.array([of.astype("<i8").tobytes()], pa.binary()), pa.array([at.astype("<i8").tobytes()], pa.binary())],
+                         pa.array([of.astype("<i4").tobytes()], pa.binary()), pa.array([at.astype("<i4").tobytes()], pa.binary())],
                         ["doc_id", "y", "sentence", "feature"])
 
     got = sorted(bags.mapInArrow(examples, "doc_id long, y int, sentence binary, feature binary").collect(), key=lambda r: r.doc_id)
-    weights, bias = train([(r.y, np.frombuffer(r.sentence, "<i8"), np.frombuffer(r.feature, "<i8")) for r in got], len(features))
+    weights, bias = train([(r.y, np.frombuffer(r.sentence, "<i4"), np.frombuffer(r.feature, "<i4")) for r in got], len(features))
     return Model(features, weights, bias)
 
 
@@ -247,10 +260,11 @@ def score(docs: DataFrame, model: Model, report: float = REPORT, id_col: str = "
     sent = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
     def read(batches):
+        filled = top_bits(model.features)
         for batch in batches:
             scores, spans = [], []
             for text in batch.column(1):
-                found = model.sentences((text.as_py() or "").encode())
+                found = model.sentences((text.as_py() or "").encode(), filled)
                 scores.append(noisy_or([p for *_, p in found]) if found else 0.0)
                 spans.append([{"start": a, "end": b, "score": p} for a, b, p in found if p >= report])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(spans, sent)],
