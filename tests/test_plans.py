@@ -107,3 +107,13 @@ def test_aggregates_combine_map_side_before_shuffle(spark, name):
     assert "partial_" in p
     first_exchange = p.find("Exchange")
     assert first_exchange > 0 and "partial_" in p[first_exchange:]
+
+
+@pytest.mark.parametrize("name, most", [("tone_gapfill", 6), ("tone_daily_std", 6), ("join_three_way", 40)])
+def test_shared_results_are_planned_once(spark, name, most):
+    assert plan(spark, name).count("Exchange") <= most
+
+
+@pytest.mark.parametrize("name", ["dedup_url", "tone_source", "tone_daily_std"])
+def test_dedup_sorts_no_rows_to_aggregate(spark, name):
+    assert "SortAggregate" not in plan(spark, name)

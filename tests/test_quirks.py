@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tonetide.functions import calendar, scalar, text
@@ -232,19 +234,51 @@ def test_skipped_files_are_listed(spark, tmp_path):
     assert any(p.endswith("bad.csv.gz") for p in listed) and not any("part-" in p for p in listed)
 
 
-def test_exact_median_by_bins(spark, monkeypatch):
+@pytest.mark.parametrize("ranked, cuts", [(3, 4), (10, 8), (100_000, 256)])
+def test_exact_median_by_rounds(spark, monkeypatch, ranked, cuts):
+    """A far value, heavy ties, even and odd counts; the last round ranks at most ``ranked`` values."""
     import random
     import statistics
 
-    monkeypatch.setattr(tone, "MEDIAN_BINS", 4)
+    monkeypatch.setattr(tone, "RANKED", ranked)
+    monkeypatch.setattr(tone, "CUTS", cuts)
     rnd = random.Random(1)
     rows = [(k % 5, round(rnd.expovariate(1) ** 3, 2)) for k in range(400)] + [(7, 1.0), (8, 2.0), (8, 3.0), (9, 5.0), (9, 5.0), (9, 5.0), (None, 4.0)]
+    rows += [(10, 1e9), (10, -1e300), *[(10, rnd.uniform(-10, 10)) for _ in range(200)], *[(11, float(k)) for k in range(40)], *[(11, 19.0)] * 300]
     df = spark.createDataFrame(rows, "k int, v double").groupBy("k", "v").count()
     got = {r.k: r.median for r in tone.exact_median(df, "k", "v", "count").collect()}
     want = {k: statistics.median(v for a, v in rows if a == k) for k in {r[0] for r in rows}}
     assert got == want
 
 
+@pytest.mark.parametrize("ranked", [5, 100_000])
+def test_daily_statistics_with_far_values(spark, monkeypatch, ranked):
+    import random
+    import statistics
+
+    monkeypatch.setattr(tone, "RANKED", ranked)
+    monkeypatch.setattr(tone, "CUTS", 4)
+    rnd = random.Random(2)
+    rows = [(20200101, rnd.uniform(90, 110)) for _ in range(60)] + [(20200102, 1e9)] + [(20200102, rnd.gauss(0, 1)) for _ in range(30)]
+    rows += [(20200103, 4.0), (20200104, None), (20200104, 2.0), (20200104, 3.0), (None, 7.0), (20200105, None)]
+    got = {r.Date and r.Date.day: r for r in tone.tone_daily_stats(spark.createDataFrame(rows, "Day int, AvgTone double")).collect()}
+    assert set(got) == {1, 2, 3, 4, 5, None}
+    for day, r in got.items():
+        own = [t for d_, t in rows if (d_ and d_ % 100) == day and t is not None]
+        assert r.num == len(own) and r.median_tone == (statistics.median(own) if own else None)
+        assert r.avg_tone == (pytest.approx(statistics.mean(own)) if own else None)
+        assert r.var_tone == (pytest.approx(statistics.variance(own), rel=1e-9) if len(own) > 1 else None)
+
+
+def test_dedup_of_ties(spark):
+    rows = [("u", 1, 5, "b"), ("u", 1, 5, "a"), ("u", 1, 5, "a"), ("u", 1, None, "c"), ("v", 1, None, "d"), ("v", 1, None, "d"), (None, 2, 1, "e"),
+            (None, 2, 3, "f"), ("w", None, -4, "g"), ("w", None, -3, "h")]
+    df = spark.createDataFrame(rows, "url string, day int, event_id long, x string")
+    got = sorted((tuple(r) for r in tone.dedup_on(df, ["url", "day"], "event_id").collect()), key=repr)
+    assert [r for r in got if r[0] != "u"] == sorted([("v", 1, None, "d"), (None, 2, 1, "e"), ("w", None, -4, "g")], key=repr)
+    assert [r[2] for r in got if r[0] == "u"] == [5] and len(got) == 4
+
+
 def test_null_keys_stay_in_the_row_level_vwap(spark):
     ticks = spark.createDataFrame([(None, 1, 5.0, 2.0), (d("2020-01-01"), None, 4.0, 1.0), (None, 1, 9.0, 2.0)],
                                   "Date date, Stock int, Price double, Quantity double")

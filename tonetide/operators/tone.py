@@ -3,18 +3,22 @@
 
 Scale notes
 -----------
-* Dedup is an aggregate (``min_by`` on the tie-break key), not a
-  ``row_number`` window: partial aggregation collapses a hot URL map-side.
-* The exact median never gathers a day: rows are collapsed to (day, value)
-  counts, a day's range is cut into equal bins, and only the bins that hold the
-  middle ranks are looked at value by value.
+* Dedup finds each key's smallest tie-break by a hash aggregate of fixed-width values
+  (combined map-side, so a hot URL collapses), then keeps the rows that meet it.
+* Daily statistics come from one table of (day, value) counts. The exact median is a
+  distributed selection: while some day has more than ``RANKED`` values left, its middle
+  ranks are looked for in the next bits of the values' order (counts per prefix,
+  combined map-side), and only values under these prefixes stay. No task ranks more.
 * The day spine is generated from the data's own min/max: one row per
-  calendar day, bounded by the date range.
+  calendar day, bounded by the date range. ``daily`` is materialised once for the
+  spine, the fill and the days that couldn't be read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import cut_lineage
@@ -22,14 +26,23 @@ from ..functions.calendar import parse_compact_date
 
 
 def dedup_on(df: DataFrame, keys, tiebreak: str) -> DataFrame:
-    """Keep one row per ``keys``: the one with the smallest ``tiebreak``.
+    """Keep one row per ``keys``: the one with the smallest ``tiebreak`` (an integer; null comes last).
 
-    Deterministic version of ``dropDuplicates(keys)``.
+    Deterministic version of ``dropDuplicates(keys)``: of rows that tie, one of the least hash stays.
+    The tie-break and the hash of the other columns are one decimal of fixed width, so each key's
+    least is a hash aggregate; the rows themselves only meet it in a semi-join.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(tiebreak)).alias("__row"))
-    return picked.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*df.columns)
+    order = F.coalesce(F.col(tiebreak).cast("decimal(19,0)"), F.lit(Decimal(10**19 - 1)))
+    digits = F.pmod(F.xxhash64(*rest), F.lit(10**18)).cast("decimal(18,0)")
+    rows = df.withColumn("__o", (order * F.lit(Decimal(10**18)) + digits).cast("decimal(38,0)"))
+    least = rows.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.min("__o").alias("__least"))
+    # Equal keys as one condition that is no join key: rows are dealt by the order value alone, which hardly
+    # repeats, and rows that are equal throughout lie together for ``distinct``.
+    same = F.struct(*keys).eqNullSafe(F.struct(*[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)]))
+    met = rows.join(least, (F.col("__o") == F.col("__least")) & (same | F.lit(None).cast("boolean")), "left_semi")
+    return met.distinct().select(*df.columns)
 
 
 def dedup_url(events: DataFrame, url="SOURCEURL", day="Day", tiebreak="event_id") -> DataFrame:
@@ -55,6 +68,10 @@ def ingest_events(events: DataFrame, dedup: bool = True) -> DataFrame:
     return out.na.drop("any")
 
 
+RANKED = 100_000  # values of a day that a task ranks at most
+CUTS = 256  # cuts of a round of the selection
+
+
 def tone_daily_stats(events: DataFrame, tone="AvgTone", day="Day", count_nulls: bool = False) -> DataFrame:
     """Per day: num, avg_tone, var_tone (sample), std_tone (sample), median_tone (exact).
 
@@ -65,46 +82,60 @@ def tone_daily_stats(events: DataFrame, tone="AvgTone", day="Day", count_nulls:
     # (day, tone) counts: all statistics follow from them, and the input is read once
     values = cut_lineage(rows.groupBy("Date", "t").agg(F.count(F.lit(1)).alias("c")))
     known = F.when(F.col("t").isNotNull(), F.col("c"))
-    n, mean = F.sum(known), F.try_divide(F.sum(F.col("t") * F.col("c")), F.sum(known))
-    means = values.groupBy("Date").agg(F.coalesce(F.sum("c") if count_nulls else n, F.lit(0)).alias("num"), n.alias("n"),
-                                       mean.alias("avg_tone"))
-    same = F.col("Date").eqNullSafe(F.col("d"))
-    squares = (values.join(means.select(F.col("Date").alias("d"), "avg_tone"), same)
-               .groupBy("Date").agg(F.sum((F.col("t") - F.col("avg_tone")) ** 2 * F.col("c")).alias("ss")))
+    num = F.coalesce(F.sum("c") if count_nulls else F.sum(known), F.lit(0)).alias("num")
+    shift = values.agg(F.percentile_approx("t", 0.5, 100)).scalar()  # near the values, so that the squares keep their digits
+    x = F.col("t") - F.col("shift")
+    sums = values.withColumn("shift", shift).groupBy("Date").agg(
+        num, F.sum(known).alias("n"), F.max("shift").alias("shift"), F.sum(x * F.col("c")).alias("s"), F.sum(x * x * F.col("c")).alias("q"))
     medians = exact_median(values.where("t IS NOT NULL"), "Date", "t", "c")
+    mean = F.try_divide(F.col("s"), F.col("n"))
+    daily = sums.join(medians.select(F.col("Date").alias("d"), "median"), F.col("Date").eqNullSafe(F.col("d")), "left").select(
+        "Date", "num", "n", (F.col("shift") + mean).alias("avg_tone"),
+        F.greatest(F.col("q") - F.col("s") * mean, F.lit(0.0)).alias("ss"), F.col("median").alias("median_tone"))
     var = F.when(F.col("n") > 1, F.col("ss") / (F.col("n") - 1))
-    return (means.join(squares.select(F.col("Date").alias("d"), "ss"), same).drop("d")
-            .join(medians.select(F.col("Date").alias("d"), "median"), same, "left").drop("d")
-            .select("Date", "num", "avg_tone", var.alias("var_tone"), F.sqrt(var).alias("std_tone"),
-                    F.col("median").alias("median_tone")))
+    return daily.select("Date", "num", "avg_tone", var.alias("var_tone"), F.sqrt(var).alias("std_tone"), "median_tone")
+
+
+def most_values(values: DataFrame, key: str, value: str) -> int:
+    """The largest number of (distinct) values of a key."""
+    return values.groupBy(key).agg(F.count(value).alias("d")).agg(F.max("d").alias("d")).collect()[0].d or 0
 
 
-MEDIAN_BINS = 1024
+def middle(value: str) -> Column:
+    """The median of a group whose rows cover the ranks from ``start`` to ``end`` of ``n``."""
+    at = lambda rank: F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col(value)))
+    return (at(F.floor((F.col("n") - 1) / 2)) + at(F.floor(F.col("n") / 2))) / 2
 
 
 def exact_median(values: DataFrame, key: str, value: str, count: str) -> DataFrame:
-    """(key, median): the exact median of each key from its (value, count) rows.
+    """(key, median): the exact median of each key from its (value, count) rows, one row for each value.
 
-    The values between a key's least and largest are cut into MEDIAN_BINS equal bins. Counts per bin tell
-    in which bins the one or two middle ranks lie; only these bins are ranked by value.
+    While a key has more than RANKED values, a sketch of its values gives CUTS cuts; counts between the cuts
+    (combined map-side) tell which one or two intervals hold the middle ranks, and only these go on. The sketch
+    is of ranks, so far values don't widen an interval: a round leaves about one value in CUTS.
     """
-    span = values.groupBy(F.col(key).alias("__k")).agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.sum(count).alias("n"))
-    place = F.floor((F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo")) * MEDIAN_BINS)
-    binned = values.join(span, F.col(key).eqNullSafe(F.col("__k"))).select(
-        "__k", F.col(value).alias("v"), F.col(count).alias("c"), "n",
-        F.when(F.col("hi") > F.col("lo"), F.least(place, F.lit(MEDIAN_BINS - 1))).otherwise(F.lit(0)).alias("b"))
-    bins = binned.groupBy("__k", "n", "b").agg(F.sum("c").alias("c"))
-    upto = F.sum("c").over(Window.partitionBy("__k").orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
-    low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
-    holds = lambda rank, start, end: (start <= rank) & (rank < end)
-    middle = (bins.withColumn("before", upto - F.col("c"))
-              .where(holds(low, F.col("before"), F.col("before") + F.col("c")) | holds(high, F.col("before"), F.col("before") + F.col("c")))
-              .select(F.col("__k").alias("k"), F.col("b").alias("mb"), "before"))
-    inside = F.sum("c").over(Window.partitionBy("__k", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = (binned.join(middle, F.col("__k").eqNullSafe(F.col("k")) & (F.col("b") == F.col("mb")))
-              .withColumn("end", F.col("before") + inside).withColumn("start", F.col("end") - F.col("c")))
-    at = lambda rank: F.max(F.when(holds(rank, F.col("start"), F.col("end")), F.col("v")))
-    return ranked.groupBy(F.col("__k").alias(key)).agg(((at(low) + at(high)) / 2).alias("median"))
+    left = values.select(F.col(key).alias("k"), F.col(value).alias("v"), F.col(count).alias("c"), F.lit(0).cast("long").alias("before"))
+    total = F.sum("c").over(Window.partitionBy("k"))
+    if most_values(left, "k", "v") > RANKED:
+        counts = values.groupBy(F.col(key).alias("k2")).agg(F.sum(count).alias("n"))
+        left = cut_lineage(left.join(counts, F.col("k").eqNullSafe(F.col("k2"))).drop("k2"))
+        total = F.col("n")
+    while most_values(left, "k", "v") > RANKED:
+        shares = [i / CUTS for i in range(1, CUTS)]
+        cuts = left.groupBy(F.col("k").alias("k2")).agg(F.percentile_approx("v", shares, 20 * CUTS).alias("cuts"))
+        placed = cut_lineage(left.join(cuts, F.col("k").eqNullSafe(F.col("k2"))).select(
+            "k", "v", "c", "n", "before", F.size(F.filter("cuts", lambda x: x <= F.col("v"))).alias("b")))
+        bins = placed.groupBy("k", "n", "before", "b").agg(F.sum("c").alias("c"))
+        upto = F.sum("c").over(Window.partitionBy("k").orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
+        bins = bins.withColumn("end", F.col("before") + upto).withColumn("start", F.col("end") - F.col("c"))
+        holds = lambda rank: (F.col("start") <= rank) & (rank < F.col("end"))
+        middles = bins.where(holds(F.floor((F.col("n") - 1) / 2)) | holds(F.floor(F.col("n") / 2)))
+        kept = middles.groupBy(F.col("k").alias("k2")).agg(F.min("start").alias("below"), F.min("b").alias("lo"), F.max("b").alias("hi"))
+        left = cut_lineage(placed.join(kept, F.col("k").eqNullSafe(F.col("k2")) & F.col("b").isin(F.col("lo"), F.col("hi"))).select(
+            "k", "v", "c", F.col("below").alias("before"), "n"))
+    so_far = F.sum("c").over(Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = left.withColumn("n", total).withColumn("end", F.col("before") + so_far).withColumn("start", F.col("end") - F.col("c"))
+    return ranked.groupBy(F.col("k").alias(key)).agg(middle("v").alias("median"))
 
 
 def month_spine(df: DataFrame, date_col="Date") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import cut_lineage
 from ..functions.calendar import in_year
 from ..functions.scalar import close_open, open_close_diff
 from ..operators import market, normalize, sentiment as st, signal, tone
@@ -77,8 +78,9 @@ def buysell_in(spark, sf_dir) -> DataFrame:
 def tone_features(spark, sf_dir) -> DataFrame:
     """US daily tone, URL-deduped, gap-filled, min-max normalised (num kept)."""
     ev = tone.dedup_url(tone.country(fx.events_in(spark, sf_dir), "US"))
-    daily = tone.tone_daily_stats(ev, count_nulls=True).drop("var_tone")
-    filled = tone.gap_fill(daily, tone.month_spine(daily))
+    # A row for each day, materialised before the spine and the fill read it, and again before the bounds do.
+    daily = cut_lineage(tone.tone_daily_stats(ev, count_nulls=True).drop("var_tone"))
+    filled = cut_lineage(tone.gap_fill(daily, tone.month_spine(daily)))
     return normalize.minmax_normalize(filled, ["avg_tone", "std_tone", "median_tone"])
 
 
@@ -86,7 +88,8 @@ def three_way(spark, sf_dir) -> DataFrame:
     """sentiment ⋈ tone (date) ⋈ normalised sector index (date, category)."""
     sent = daily_sentiment(spark, sf_dir).withColumn("date", F.to_date("date"))
     tn = tone_features(spark, sf_dir).withColumnRenamed("Date", "date")
-    sec = normalize.normalize_column(market.sector_vwap(fx.daily_vwap(spark, sf_dir)), "Sector_VWAP",
+    # A row for each day and sector; its bounds and its rows are read from one result.
+    sec = normalize.normalize_column(cut_lineage(market.sector_vwap(fx.daily_vwap(spark, sf_dir))), "Sector_VWAP",
                                      "Normalized_Sector_VWAP")
     sec = sec.select(F.col("Date").alias("date"), F.lower("Category").alias("category"),
                      "Normalized_Sector_VWAP")

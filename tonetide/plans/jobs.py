@@ -96,9 +96,9 @@ def sentiment(spark: SparkSession, input: str, output: str, input_format: str =
 
 
 def _by_content(feed: DataFrame) -> DataFrame:
-    """``event_id`` for feeds that have none: the row's own content, so the row that a dedup keeps
-    doesn't depend on files, their order or the cluster."""
-    return feed.withColumn("event_id", F.struct(*[F.col(f"`{c}`") for c in feed.columns]))
+    """``event_id`` for feeds that have none: a hash of the row's own content, so the row that a dedup
+    keeps doesn't depend on files, their order or the cluster."""
+    return feed.withColumn("event_id", F.xxhash64(*[F.col(f"`{c}`") for c in feed.columns]))
 
 
 def ingest_events(spark: SparkSession, input: str, output: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import cut_lineage
 from ..functions.calendar import days_in_month
 from ..operators import tone
 from ..sources import fixtures as fx
@@ -99,7 +100,7 @@ FROM tg"""
 
 def tone_gapfill_df(spark, sf_dir):
     ev = tone.dedup_url(tone.country(fx.events_in(spark, sf_dir), "US"))
-    daily = tone.tone_daily_stats(ev, count_nulls=True)
+    daily = cut_lineage(tone.tone_daily_stats(ev, count_nulls=True))  # a row for each day: read by the spine and the fill
     return tone.gap_fill(daily, tone.month_spine(daily))
 
 
