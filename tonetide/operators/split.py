@@ -3,10 +3,8 @@
 * ``chrono_split``: per key, first ``floor(frac*n)`` rows by date are train.
   Window per key over daily rows: at most one row per day per key.
 * ``chrono_split_global``: the first ``floor(frac*N)`` rows of the whole
-  frame by (date, tie-break). No single-partition window: rows are counted
-  per date (partial aggregation), the cumulative count is taken over the
-  small per-date frame (one row per calendar day), and only the one date
-  straddling the boundary is ranked internally.
+  frame by (date, tie-break), numbered by totals over range partitions
+  (:mod:`.ranks`): a date may hold any number of rows.
 * ``hash_split``: reproducible pseudo-random split from an md5 of a key.
 """
 
@@ -16,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import col_
+from .ranks import with_totals_before
 
 
 def chrono_split(df: DataFrame, key="Stock", order="Date", frac: float = 0.8,
@@ -33,27 +32,9 @@ def chrono_split(df: DataFrame, key="Stock", order="Date", frac: float = 0.8,
 def chrono_split_global(df: DataFrame, order="Date", tiebreak=("Stock",), frac: float = 0.8,
                         out="is_train") -> DataFrame:
     tiebreak = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
-    per_day = df.groupBy(order).agg(F.count(F.lit(1)).alias("__cnt"))
-    # one row per distinct date: bounded by the calendar, not by the data volume
-    cum = per_day.withColumn(
-        "__before",
-        F.coalesce(F.sum("__cnt").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)),
-    )
-    total = per_day.select(F.sum("__cnt")).scalar()
-    cut = F.floor(total * F.lit(frac))
-    cum = cum.withColumn("__cut", cut)
-    joined = df.join(cum, order)
-    whole_train = F.col("__before") + F.col("__cnt") <= F.col("__cut")
-    whole_test = F.col("__before") >= F.col("__cut")
-    easy = joined.where(whole_train | whole_test).withColumn(out, whole_train)
-    edge = joined.where(~(whole_train | whole_test))
-    within = F.row_number().over(Window.partitionBy(order).orderBy(*tiebreak))
-    edge = edge.withColumn(out, F.col("__before") + within <= F.col("__cut"))
-    return easy.unionByName(edge).drop("__cnt", "__before", "__cut")
-
-
-HASH_RANGE = 1 << 24  # values of the hash that a split is made of
+    numbered = with_totals_before(df, [order, *tiebreak], {"__before": F.lit(1)})
+    cut = F.floor(F.col("__before_all") * F.lit(frac))
+    return numbered.withColumn(out, F.col("__before") < cut).drop("__before", "__before_all")
 
 
 def hash_value(key: Column | str) -> Column:
@@ -62,11 +43,14 @@ def hash_value(key: Column | str) -> Column:
 
 
 def hash_split(df: DataFrame, key: Column | str, frac: float = 0.8, out="is_train") -> DataFrame:
-    """Reproducible split by a key's hash modulo 100 for whole percents, else by its share of the range."""
-    percent = frac * 100
-    if abs(percent - round(percent)) < 1e-9:
-        return df.withColumn(out, hash_value(key) % 100 < F.lit(int(round(percent))))
-    return df.withColumn(out, hash_value(key) < F.lit(frac * HASH_RANGE))
+    """Reproducible split by a key's hash.
+
+    The hash modulo 100 is the whole percent; the next three bytes of the md5 are its fraction. So a split
+    by whole percents looks at the first 24 bits only, and a share a little larger keeps all its rows.
+    """
+    finer = F.conv(F.substring(F.md5(col_(key).cast("string")), 7, 6), 16, 10).cast("long")
+    place = (hash_value(key) % 100) * F.lit(1 << 24) + finer  # of 100 * 2**24
+    return df.withColumn(out, place < F.lit(round(frac * 100 * (1 << 24))))
 
 
 def random_split(df: DataFrame, frac: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:

@@ -4,19 +4,16 @@
   evaluation is a ``groupBy``, not a driver loop of evaluator jobs.
 * AUC is exact (Mann-Whitney with tie-averaged ranks) and distributed:
   rows are first collapsed to distinct scores (partial aggregation, so a
-  score shared by a third of the rows is one row), the distinct scores are
-  range-bucketed by approximate quantiles, cumulative negative counts are
-  taken over the (few) buckets and then within each bucket. The bucket
-  boundaries only balance the work; the result does not depend on them.
+  score shared by a third of the rows is one row), and the negatives below
+  each distinct score are totals over range partitions of the scores.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import QuantileDiscretizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import cut_lineage
+from ..operators.ranks import with_totals_before
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction", by=()) -> DataFrame:
@@ -37,11 +34,10 @@ def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction"
     )
 
 
-def auc(df: DataFrame, label: str, score: str, by=(), rows_per_bucket: int = 10_000) -> DataFrame:
+def auc(df: DataFrame, label: str, score: str, by=(), rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Exact area under the ROC curve per group: columns ``by + [auc, n_pos, n_neg]``.
 
-    ``rows_per_bucket`` distinct scores share a bucket, so buckets grow in number with the scores,
-    not in size.
+    A range partition has about ``rows_per_bucket`` distinct scores.
     """
     by = [by] if isinstance(by, str) else list(by)
     pos = (F.col(label) == 1).cast("long")
@@ -49,31 +45,7 @@ def auc(df: DataFrame, label: str, score: str, by=(), rows_per_bucket: int = 10_
     hist = (df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
             .groupBy(*by, F.col(score).alias("__s"))
             .agg(F.sum(pos).alias("__p"), F.sum(neg).alias("__n")))
-    # the fit and the ranking below both read the histogram: materialise it
-    # once in the shared checkpoint folder instead of replaying the input plan
-    hist = cut_lineage(hist)
-    scores = hist.count()  # cheap: the histogram is already materialised
-    if not scores:
-        return hist.groupBy(*by).agg(F.lit(None).cast("double").alias("auc"), F.sum("__p").alias("n_pos"),
-                                     F.sum("__n").alias("n_neg"))
-    # range buckets over the distinct scores (a fit of one split point for each bucket)
-    buckets = -(-scores // rows_per_bucket)
-    if buckets > 1:
-        disc = QuantileDiscretizer(numBuckets=buckets, inputCol="__s", outputCol="__b",
-                                   relativeError=min(1e-3, 0.1 / buckets), handleInvalid="keep")
-        hist = disc.fit(hist).transform(hist)
-    else:
-        hist = hist.withColumn("__b", F.lit(0.0))
-    per_bucket = hist.groupBy(*by, "__b").agg(F.sum("__n").alias("__bn"))
-    per_bucket = per_bucket.withColumn(
-        "__nb",
-        F.coalesce(F.sum("__bn").over(Window.partitionBy(*by).orderBy("__b")
-                                      .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).drop("__bn")
-    within = F.coalesce(
-        F.sum("__n").over(Window.partitionBy(*by, "__b").orderBy("__s")
-                          .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = hist.join(per_bucket, [*by, "__b"]).withColumn("__below", F.col("__nb") + within)
+    ranked = with_totals_before(hist, ["__s"], {"__below": F.col("__n")}, by, rows_per_bucket)
     u = F.sum(F.col("__p") * (F.col("__below") + F.col("__n") * F.lit(0.5)))
     out = ranked.groupBy(*by).agg(u.alias("__u"), F.sum("__p").alias("n_pos"), F.sum("__n").alias("n_neg"))
     return out.select(*by, F.try_divide(F.col("__u"), F.col("n_pos") * F.col("n_neg")).alias("auc"),

@@ -154,8 +154,7 @@ WITH {BUYSELL_IN_SQL}
 SELECT Date, Category, row_number() OVER (ORDER BY Date, Category) <= floor((SELECT count(*) FROM bi) * 0.8) AS is_train
 FROM bi""")
 def q_chrono_split_global(spark, sf_dir):
-    bi = cut_lineage(flows.buysell_in(spark, sf_dir))  # counted per day and then marked
-    s = split.chrono_split_global(bi, "Date", ("Category",), 0.8)
+    s = split.chrono_split_global(flows.buysell_in(spark, sf_dir), "Date", ("Category",), 0.8)
     return s.select("Date", "Category", "is_train")
 
 
@@ -179,7 +178,7 @@ train AS (SELECT Category, yr FROM ranked WHERE is_train)"""
 
 
 def _exc_frames(spark, sf_dir):
-    s = cut_lineage(split.chrono_split_global(cut_lineage(flows.buysell_in(spark, sf_dir)), "Date", ("Category",), 0.8))
+    s = cut_lineage(split.chrono_split_global(flows.buysell_in(spark, sf_dir), "Date", ("Category",), 0.8))
     allr = s.select("Category", F.year("Date").alias("yr"))
     train = s.where("is_train").select("Category", F.year("Date").alias("yr"))
     return allr, train
