@@ -78,9 +78,11 @@ def q_lr_sentiment(spark, sf_dir):
     return rounded(pred.select("date", "open_close_diff", "prediction"))
 
 
+# Models of news features are fitted and tested on the days from the first to the last news.
+IN_NEWS_SPAN = "Date BETWEEN (SELECT min(CAST(date AS DATE)) FROM daily) AND (SELECT max(CAST(date AS DATE)) FROM daily)"
 _STOCK_OLS, _ = ols_ctes("spl", STOCK_X, STOCK_Y, "(idx <= floor(n * 0.8))", ["Stock"])
 LR_STOCK_SQL = f"""{STOCK_FEATURES_SQL},
-clean AS (SELECT * FROM sf WHERE Momentum IS NOT NULL),
+clean AS (SELECT * FROM sf WHERE Momentum IS NOT NULL AND {IN_NEWS_SPAN}),
 spl AS (SELECT *, row_number() OVER (PARTITION BY Stock ORDER BY Date) AS idx,
                count(*) OVER (PARTITION BY Stock) AS n FROM clean),
 {_STOCK_OLS},
@@ -94,7 +96,7 @@ m AS (SELECT Stock, any_value(n_train) AS n_train, count(*) AS n_test,
 def lr_per_stock_df(spark, sf_dir):
     """Per-stock OLS of Close-Open on articles, subjectivity and momentum: closed
     form from grouped covariances on the first 80 % of each stock's days."""
-    feats = flows.stock_features(spark, sf_dir).na.drop("any", subset=STOCK_X + [STOCK_Y])
+    feats = flows.in_news_span(flows.stock_features(spark, sf_dir), spark, sf_dir).na.drop("any", subset=STOCK_X + [STOCK_Y])
     s = split.chrono_split(feats, "Stock", "Date", 0.8)
     m = ols.fit_evaluate_closed_form(s, STOCK_X, STOCK_Y, "is_train", by="Stock")
     # stocks whose split leaves no test row have no metrics row, as in the join form
@@ -144,6 +146,20 @@ t{lags} AS (SELECT Stock, {lags} AS lag, any_value(CAST(floor(n * 0.8) AS INTEGE
             FROM {last} WHERE idx > floor(n * 0.8) GROUP BY Stock)"""
 
 
+@query("lag_sweep_means", sql=f"""
+WITH {STOCK_FEATURES_SQL},
+{_lag_sql(1)},
+{_lag_sql(2)},
+{_lag_sql(3)},
+t AS (SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3)
+SELECT lag, {sig('avg(mse)')} AS avg_mse, {r4('avg(r2)')} AS avg_r2, count(mse) AS n_stocks FROM t GROUP BY lag""")
+def q_lag_sweep_means(spark, sf_dir):
+    """The lag-vs-metric table (means over stocks) for lags 1 to 3 over one base feature."""
+    feats = flows.stock_features(spark, sf_dir)
+    per_stock = ols.lag_sweep_per_stock(feats, ["Momentum"], STOCK_Y, lags=[1, 2, 3])
+    return rounded(ols.lag_sweep_summary(per_stock), significant=("avg_mse",))
+
+
 @query("lag_sweep_pair", sql=f"""
 WITH {STOCK_FEATURES_SQL},
 {_lag_sql(1)},
@@ -160,7 +176,7 @@ def q_lag_sweep_pair(spark, sf_dir):
 def _buysell_split(spark, sf_dir):
     """Chronological 80/20 split of the buy/sell features, materialised once in
     the shared checkpoint folder so iterative fits do not replay the lineage."""
-    bi = flows.buysell_in(spark, sf_dir)
+    bi = flows.in_news_span(flows.buysell_in(spark, sf_dir), spark, sf_dir)
     s = cut_lineage(split.chrono_split_global(bi, "Date", ("Category",), 0.8))
     return s.where("is_train").drop("is_train"), s.where("NOT is_train").drop("is_train")
 
@@ -169,7 +185,8 @@ BUYSELL_X = ["avg_sentiment", "avg_subjectivity", "avg_articles_count"]
 # Category enters as dummies, that is as an intercept of its own for each category.
 _LPM_OLS, _ = ols_ctes("bs", BUYSELL_X, "buySell", "is_train", [], ["Category"])
 BUYSELL_SPLIT_SQL = f"""{BUYSELL_IN_SQL},
-bs AS (SELECT *, row_number() OVER (ORDER BY Date, Category) <= floor((SELECT count(*) FROM bi) * 0.8) AS is_train FROM bi)"""
+bn AS (SELECT * FROM bi WHERE {IN_NEWS_SPAN}),
+bs AS (SELECT *, row_number() OVER (ORDER BY Date, Category) <= floor((SELECT count(*) FROM bn) * 0.8) AS is_train FROM bn)"""
 
 
 @query("lpm_buysell", sql=f"""
@@ -214,6 +231,43 @@ def q_logit_weak_penalty(spark, sf_dir):
     return models.logistic(tr, te, max_iter=100, reg=1e-3, elastic=0.0).select("Date", "Category", "buySell", "prediction", "score")
 
 
+# The features of the formula, long: the sector's dummies (the rarest, then last, has none) and the three features.
+FORMULA_SQL = f"""{BUYSELL_SPLIT_SQL},
+tr AS (SELECT * FROM bs WHERE is_train AND buySell IS NOT NULL),
+k AS (SELECT Category, row_number() OVER (ORDER BY count(*) DESC, Category) AS k, count(*) OVER () AS of FROM tr GROUP BY Category),
+x AS (SELECT 'Category_' || k.Category AS f, k, CASE WHEN tr.Category = k.Category THEN 1.0 ELSE 0.0 END AS x, buySell AS y FROM tr, k WHERE k < of
+      UNION ALL SELECT 'avg_sentiment', 101, avg_sentiment, buySell FROM tr
+      UNION ALL SELECT 'avg_subjectivity', 102, avg_subjectivity, buySell FROM tr
+      UNION ALL SELECT 'avg_articles_count', 103, avg_articles_count, buySell FROM tr)"""
+
+
+@query("logit_score_equations", sql=f"""
+WITH {FORMULA_SQL}
+SELECT f AS coefficient, count(*) AS n, {r4('sum(x)')} AS sum_x, CAST(0 AS DOUBLE) AS residual FROM x GROUP BY f
+UNION ALL SELECT 'intercept', count(*), CAST(count(*) AS DOUBLE), CAST(0 AS DOUBLE) FROM tr""")
+def q_logit_score_equations(spark, sf_dir):
+    """The weakly penalised logistic model is at its optimum: nothing is left of any score equation."""
+    tr, _ = _buysell_split(spark, sf_dir)
+    return rounded(models.score_equations(tr).withColumn("residual", F.abs("residual")))
+
+
+@query("rf_stump", sql=f"""
+WITH {FORMULA_SQL},
+v AS (SELECT f, k, x, count(*) AS c, sum(y) AS p FROM x GROUP BY f, k, x),
+s AS (SELECT f, k, x, lead(x) OVER w AS after, sum(c) OVER w AS nl, sum(p) OVER w AS pl, sum(c) OVER (PARTITION BY f) AS n, sum(p) OVER (PARTITION BY f) AS p
+      FROM v WINDOW w AS (PARTITION BY f ORDER BY x ROWS UNBOUNDED PRECEDING)),
+g AS (SELECT f, k, (x + after) / 2 AS threshold, nl, pl, n, p,
+             2 * (p / n) * (1 - p / n) - nl / n * 2 * (pl / nl) * (1 - pl / nl) - (n - nl) / n * 2 * ((p - pl) / (n - nl)) * (1 - (p - pl) / (n - nl)) AS gain
+      FROM s WHERE after IS NOT NULL),
+b AS (SELECT * FROM g ORDER BY gain DESC, k, threshold LIMIT 1)
+SELECT f AS feature, {r4('threshold')} AS threshold, 'left' AS side, CAST(nl AS BIGINT) AS n, {r4('pl / nl')} AS rate FROM b
+UNION ALL SELECT f, {r4('threshold')}, 'right', CAST(n - nl AS BIGINT), {r4('(p - pl) / (n - nl)')} FROM b""")
+def q_rf_stump(spark, sf_dir):
+    """The best single split of the buy/sell features, against an exhaustive search in SQL."""
+    tr, _ = _buysell_split(spark, sf_dir)
+    return rounded(models.stump(tr))
+
+
 @query("rf_buysell")
 def q_rf_buysell(spark, sf_dir):
     tr, te = _buysell_split(spark, sf_dir)
