@@ -161,3 +161,56 @@ def test_lag_sweep_short_stock_has_null_metrics(spark):
 def test_auc_of_empty_input_is_empty(spark):
     df = spark.createDataFrame([], "g string, y int, s double")
     assert metrics.auc(df, "y", "s", by="g").count() == 0
+
+
+def plain_sweep(days, base, y, L, frac=0.8):
+    """(n_train, n_test, mse, r2) of lag count L by lstsq on the rows themselves."""
+    n = len(y)
+    lagged = np.full((n, L), np.nan)
+    for i in range(1, min(L, n - 1) + 1):
+        lagged[i:, i - 1] = y[:-i]
+    X = np.hstack([base, lagged])
+    keep = ~np.isnan(X).any(axis=1) & ~np.isnan(y)
+    X, y = X[keep], y[keep]
+    cut = int(np.floor(len(y) * frac))
+    if cut < 1 or len(y) - cut < 1:
+        return cut, len(y) - cut, None, None
+    spread = X[:cut].std(axis=0)
+    A = np.hstack([np.ones((len(y), 1)), (X - X[:cut].mean(axis=0))[:, spread > 1e-12] / spread[spread > 1e-12]])
+    err = y[cut:] - A[cut:] @ np.linalg.lstsq(A[:cut], y[:cut], rcond=None)[0]
+    sst = np.sum((y[cut:] - y[cut:].mean()) ** 2)
+    return cut, len(y) - cut, np.mean(err ** 2), 1 - np.sum(err ** 2) / sst if len(y) - cut >= 2 and sst > 0 else None
+
+
+@pytest.mark.parametrize("shape", ["walk", "holes in front", "holes inside", "constant feature", "copied feature", "short", "far level"])
+def test_all_lags_against_plain_least_squares(spark, shape):
+    rnd = np.random.default_rng(3)
+    n = 100 if shape == "short" else 420
+    base = rnd.normal(size=(n, 3)) * [1.0, 50.0, 1e-3]
+    y = np.convolve(rnd.normal(size=n + 6), np.ones(7) / 7, mode="valid") + 0.3 * base[:, 0]
+    if shape == "holes in front":
+        base[:6, 1] = np.nan
+    if shape == "holes inside":
+        base[50:53, 2] = np.nan
+        y[200] = np.nan
+    if shape == "constant feature":
+        base[:, 2] = 4.0
+        base[: n - 30, 1] = 0.0  # varies in the test rows only
+    if shape == "copied feature":
+        base[:, 2] = 2 * base[:, 1] + 1
+    if shape == "far level":
+        y += 1e6
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(n)]
+    none = lambda x: None if np.isnan(x) else float(x)
+    rows = [(days[i], 1, *map(none, base[i]), none(y[i])) for i in range(n)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame([(*r[:1], int(r[1]), *r[2:]) for r in map(list, rows)], "Date date, Stock long, a double, b double, c double, label double")
+    got = {r.lag: r for r in ols.lag_sweep_per_stock(df, ["a", "b", "c"], "label").collect()}
+    assert sorted(got) == sorted(set(ols.LAG_VALUES)) and len(got) == 32
+    for L, r in got.items():
+        n_train, n_test, mse, r2 = plain_sweep(days, base, y, L)
+        assert (r.n_train, r.n_test) == (n_train, n_test)
+        if n_train <= 4 + L:  # as many columns as rows: least squares of minimum norm depends on the scaling
+            continue
+        assert r.mse == (None if mse is None else pytest.approx(mse, rel=1e-6, abs=1e-14))
+        assert r.r2 == (None if r2 is None else pytest.approx(r2, rel=1e-6, abs=1e-6))

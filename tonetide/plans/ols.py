@@ -188,41 +188,113 @@ def _solve(A: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.linalg.lstsq(A, y, rcond=None)[0]
 
 
+def _one_lag(X: np.ndarray, y: np.ndarray, n_train: int) -> np.ndarray:
+    """Test errors of least squares fitted on the first ``n_train`` rows (minimum norm if need be)."""
+    lo, hi = X[:n_train].min(axis=0), X[:n_train].max(axis=0)
+    # MinMaxScaler fitted on train; a train-constant column scales to 0.5
+    # everywhere, collinear with the intercept: dropping it leaves the
+    # minimum-norm predictions unchanged
+    var = hi > lo
+    A = np.hstack([np.ones((len(y), 1)), (X[:, var] - lo[var]) / (hi[var] - lo[var])])
+    return y[n_train:] - A[n_train:] @ _solve(A[:n_train], y[:n_train])
+
+
+def _metrics_row(stock, lag: int, n_train: int, err: np.ndarray | None, y: np.ndarray) -> tuple:
+    """(stock, lag, n_train, n_test, mse, r2); ``y`` holds the test labels."""
+    if err is None:
+        return stock, lag, n_train, len(y), None, None
+    sst = float(np.sum((y - y.mean()) ** 2))
+    r2 = 1.0 - float(np.sum(err ** 2)) / sst if len(y) >= 2 and sst > 0 else None
+    return stock, lag, n_train, len(y), float(np.mean(err ** 2)), r2
+
+
+class NestedGram:
+    """Normal equations of all lag counts from one Gram matrix.
+
+    Columns: 1, the base features, lag 1, lag 2, ..., and the label. A model of L lags uses the leading block, on rows
+    from max(L, first whole row) on; its train rows are a range, and both ends only move forward as L grows. So the
+    next model's matrix is this one less the rows that it loses (one for each lag) plus those it gains. Columns are
+    centred and scaled once, which leaves predictions as they are.
+    """
+
+    def __init__(self, base: np.ndarray, y: np.ndarray, max_lag: int, begin: int):
+        self.begin, self.n = begin, len(y)
+        whole = base[begin:]
+        self.scale = float(y.std()) or 1.0
+        z = (y - y.mean()) / self.scale
+        spread = whole.std(axis=0)
+        scaled = np.where(np.isnan(base), 0.0, (base - whole.mean(axis=0)) / np.where(spread > 0, spread, 1.0))
+        lagged = np.zeros((self.n, max_lag))
+        for i in range(1, min(max_lag, self.n - 1) + 1):
+            lagged[i:, i - 1] = z[:-i]
+        self.nb, self.z = base.shape[1], np.hstack([np.ones((self.n, 1)), scaled, lagged, z[:, None]])
+        self.lo = self.hi = 0
+        self.gram = np.zeros((self.z.shape[1],) * 2)
+
+    def move(self, lo: int, hi: int) -> None:
+        """Make the matrix that of the rows from ``lo`` to ``hi``."""
+        if lo >= self.hi:
+            self.gram, gone, come = np.zeros_like(self.gram), self.z[:0], self.z[lo:hi]
+        else:
+            gone, come = self.z[self.lo:lo], self.z[self.hi:hi]
+        self.gram += come.T @ come - gone.T @ gone
+        self.lo, self.hi = lo, hi
+
+    def errors(self, lag: int, start: int, n_train: int) -> np.ndarray | None:
+        """Test errors of the model of ``lag`` lags; None if its normal equations are too near to singular."""
+        self.move(start, start + n_train)
+        k = 1 + self.nb + lag
+        G, r = self.gram[:k, :k], self.gram[:k, -1]
+        varies = np.diag(G) - G[0] ** 2 / n_train > 1e-9 * n_train
+        varies[0] = True
+        own = np.flatnonzero(varies)
+        try:
+            L = np.linalg.cholesky(G[np.ix_(own, own)])
+        except np.linalg.LinAlgError:
+            return None
+        d = np.diag(L)
+        if d.min() <= 1e-5 * d.max():
+            return None
+        beta = np.linalg.solve(L.T, np.linalg.solve(L, r[own]))
+        test = self.z[start + n_train:]
+        return (test[:, -1] - test[:, own] @ beta) * self.scale
+
+
 def sweep_one_stock(pdf: pd.DataFrame, base: list[str], label: str, lags: list[int], frac: float) -> pd.DataFrame:
     pdf = pdf.sort_values("Date", kind="mergesort")
     stock = pdf["Stock"].iloc[0]
     y_all = pdf[label].to_numpy(dtype="float64")
-    n = len(y_all)
-    max_lag = max(lags)
-    # all lag columns once: column i-1 holds y[t - i]
-    lagged = np.full((n, max_lag), np.nan)
-    for i in range(1, min(max_lag, n - 1) + 1):
-        lagged[i:, i - 1] = y_all[:-i]
-    X_all = np.hstack([pdf[base].to_numpy(dtype="float64"), lagged])
-    nb = len(base)
+    X_base = pdf[base].to_numpy(dtype="float64")
+    n, max_lag = len(y_all), max(lags)
+    holes = np.isnan(X_base).any(axis=1)
+    begin = int(np.argmin(holes)) if not holes.all() else n
+    nested = NestedGram(X_base, y_all, max_lag, begin) if begin < n and not holes[begin:].any() and not np.isnan(y_all).any() else None
     rows = []
     for L in lags:
-        X = X_all[:, : nb + L]
-        keep = ~np.isnan(X).any(axis=1) & ~np.isnan(y_all)
-        X, y = X[keep], y_all[keep]
-        m = len(y)
+        if nested is not None:  # whole rows are a range
+            start = max(L, begin)
+            m = max(0, n - start)
+        else:
+            lagged = np.full((n, L), np.nan)
+            for i in range(1, min(L, n - 1) + 1):
+                lagged[i:, i - 1] = y_all[:-i]
+            X = np.hstack([X_base, lagged])
+            keep = ~np.isnan(X).any(axis=1) & ~np.isnan(y_all)
+            X, y = X[keep], y_all[keep]
+            m = len(y)
         n_train = int(np.floor(m * frac))
-        n_test = m - n_train
-        mse = r2 = None
-        if n_train >= 1 and n_test >= 1:
-            lo, hi = X[:n_train].min(axis=0), X[:n_train].max(axis=0)
-            # MinMaxScaler fitted on train; a train-constant column scales to 0.5
-            # everywhere, collinear with the intercept: dropping it leaves the
-            # minimum-norm predictions unchanged
-            var = hi > lo
-            Xs = (X[:, var] - lo[var]) / (hi[var] - lo[var])
-            A = np.hstack([np.ones((m, 1)), Xs])
-            beta = _solve(A[:n_train], y[:n_train])
-            err = y[n_train:] - A[n_train:] @ beta
-            mse = float(np.mean(err ** 2))
-            sst = float(np.sum((y[n_train:] - y[n_train:].mean()) ** 2))
-            r2 = 1.0 - float(np.sum(err ** 2)) / sst if n_test >= 2 and sst > 0 else None
-        rows.append((stock, L, n_train, n_test, mse, r2))
+        if n_train < 1 or m - n_train < 1:
+            rows.append((stock, L, n_train, m - n_train, None, None))
+            continue
+        if nested is not None:
+            y = y_all[start:]
+            err = nested.errors(L, start, n_train)
+            if err is None:  # collinear or more columns than rows: minimum norm over the rows themselves
+                X = np.hstack([X_base[start:], np.stack([y_all[start - i: n - i] for i in range(1, L + 1)], axis=1)])
+                err = _one_lag(X, y, n_train)
+        else:
+            err = _one_lag(X, y, n_train)
+        rows.append(_metrics_row(stock, L, n_train, err, y[n_train:]))
     return pd.DataFrame(rows, columns=["Stock", *[f.name for f in SWEEP_FIELDS]])
 
 
