@@ -2,13 +2,13 @@
 
 A document is the set of its word shingles, as 64-bit hashes. Documents of equal sets are one node.
 
-1. Read the texts: (document, set size, set name), and in each Arrow batch the shingles that a share
-   of 1/HOT_SHARE of its sets hold. Summed, these give the hot shingles of the corpus: at most
-   HOT_SHARE times the mean set size of them, whatever the number of documents.
-2. Read the texts again: each batch sends its other shingles to buckets by hash, as packed arrays of
-   (set in the batch, shingle). A bucket counts its shingles and sends those that at least two sets
-   hold back to their batch. A batch then knows, for each set, all shingles that any other set
-   shares, with their frequency. All other shingles are unique to the set.
+1. Read the texts in slices of ``SLICE_BYTES``: (document, set size, set name), and the shingles that a
+   share of 1/HOT_SHARE of a slice's sets hold. Summed, these give the hot shingles of the corpus: at
+   most HOT_SHARE times the mean set size of them, whatever the number of documents.
+2. Read the texts again: each slice sends its other shingles to buckets by hash (as many as the counted
+   shingles ask for), as packed arrays of (set in the slice, shingle). A bucket counts its shingles and
+   sends those that at least two sets hold back to their slice. A slice then knows, for each set, all
+   shingles that any other set shares, with their frequency. All others are unique to the set.
 3. Global order: rarest first, ties by hash. A set of n shingles has a prefix of n - ceil(0.75 n) + 1;
    unique shingles come first in it and can't match. Sets without a shared shingle in their prefix
    have no partner and leave here.
@@ -16,10 +16,12 @@ A document is the set of its word shingles, as 64-bit hashes. Documents of equal
    are paired with the most central group of its list (the one whose shingles are most frequent), and
    members with the first of their group; pairs pass the length and the positional bound and are
    verified. Their links give preliminary classes.
-5. Lists whose members are all in one class are done. In the others every pair of members of
-   different classes is formed (members outside the list's largest class against all), passes the
-   bounds, and is verified. No link between different classes is lost, and pairs inside a class,
-   which can't change the result, are never formed.
+5. Lists whose members are all in one class are done. In the others the pairs of members of different
+   classes are formed, pass the bounds, and are verified. The smaller set of a pair must hold the token in
+   the shorter prefix n - ceil(2t/(1+t) n) + 1 (sets that share boilerplate too small a part to link
+   don't even meet), lists are split by bands of lengths, and members of a list's largest class meet
+   only others. No link between different classes is lost, and pairs inside a class, which can't
+   change the result, are never formed.
 
 Verification is on the whole shared sets: sizes and the exact number of common shingles. Hashes stand
 for shingles: two different shingles of a pair of sets with m shingles agree with a probability
@@ -28,24 +30,29 @@ of about m^2 / 2^65.
 Defined results:
 * null or blank text: no shingles, linked with nothing; its class is its own id;
 * fewer words than ``size``: the whole word sequence is the one shingle;
-* null ids: listed with a null class; they link nothing; equal ids are one document in the classes;
+* null ids: listed with a null class; they link nothing;
+* equal ids are one document in the classes: it has the links of all its texts;
 * an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import cut_lineage, scratch_path
 from .components import components
-from .spans import span_hashes, word_windows
+from .spans import windows_of, word_hashes
 
 HOT_SHARE = 512
+SLICE_BYTES = 2 << 20  # of text whose shingles are held at a time
+BUCKET_SHINGLES = 1_000_000  # in a bucket, about
 HOT_LEAST = 64  # a token of fewer sets isn't hot in any corpus
 
 
@@ -53,22 +60,28 @@ HOT_LEAST = 64  # a token of fewer sets isn't hot in any corpus
 
 def shingles(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``size`` words; A-Z lower-cased, six ASCII blanks separate."""
-    words = (text or "").encode().lower().split()  # of bytes: ASCII only
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) < size:
-        whole = b" ".join(words)
-        return span_hashes(whole, np.array([0]), np.array([len(whole)]))
-    return np.unique(word_windows(words, size))
+    words = word_hashes((text or "").encode().lower())  # of bytes: ASCII only
+    return np.unique(windows_of(words, min(size, len(words)))) if len(words) else words
 
 
 def set_name(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
+def slices(batches):
+    """Runs of rows with at most ``SLICE_BYTES`` of text, or one row: what is held at a time doesn't follow the texts' lengths."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False))
+        lo, before = 0, 0
+        while lo < batch.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+            yield batch.slice(lo, hi - lo)
+            lo, before = hi, int(ends[hi - 1])
+
+
 def batch_sets(batch, size: int) -> tuple[list[np.ndarray], list[bytes], list[int]]:
-    """Sets and names of the texts of a batch, and the first place of each distinct non-empty set."""
-    sets = [shingles(t, size) for t in batch.column(batch.num_columns - 1).to_pylist()]
+    """Sets and names of the texts of a slice, and the first place of each distinct non-empty set."""
+    sets = [shingles(t.as_py(), size) for t in batch.column(batch.num_columns - 1)]
     names = [set_name(s) for s in sets]
     first = {}
     for i, (name, tokens) in enumerate(zip(names, sets, strict=True)):
@@ -94,12 +107,9 @@ def prefix_length(n, percent: int):
 
 # ---- steps 1 to 3 ---------------------------------------------------------------------------
 
-def facts(docs: DataFrame, size: int) -> DataFrame:
-    """Rows (doc_id, n, name) of documents and rows (token, n) of shingles frequent in a batch."""
+def read_facts(size: int):
     def read(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             sets, names, first = batch_sets(batch, size)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()),
@@ -112,7 +122,12 @@ def facts(docs: DataFrame, size: int) -> DataFrame:
                     [pa.nulls(k, pa.int64()), pa.array(counts[often], pa.int64()), pa.nulls(k, pa.binary()),
                      pa.array(tokens[often].view(np.int64), pa.int64())], ["doc_id", "n", "name", "token"])
 
-    rows = docs.mapInArrow(read, "doc_id long, n long, name binary, token long")
+    return read
+
+
+def facts(docs: DataFrame, size: int) -> DataFrame:
+    """Rows (doc_id, n, name) of documents and rows (token, n) of shingles frequent in a slice."""
+    rows = docs.mapInArrow(read_facts(size), "doc_id long, n long, name binary, token long")
     path = scratch_path(docs.sparkSession, "shingle-facts")
     rows.write.parquet(path)
     return docs.sparkSession.read.parquet(path)
@@ -133,15 +148,13 @@ def hot_tokens(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tokens[order], np.array([r.df for r in found], np.int64)[order]
 
 
-def to_buckets(docs: DataFrame, size: int, hot: np.ndarray, buckets: int) -> DataFrame:
-    """(bucket, batch, kind, data): kind 0 packed shingles, kind 1 the names, sizes and hot shingles of a batch.
+def read_buckets(size: int, hot: np.ndarray, buckets: int):
+    """(bucket, batch, kind, data): kind 0 packed shingles, kind 1 the names, sizes and hot shingles of a slice.
 
-    A batch is named by what it holds, so a repeated task gives the same rows.
+    A slice (column ``batch``) is named by what it holds, so a repeated task gives the same rows.
     """
     def read(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             sets, names, first = batch_sets(batch, size)
             if not first:
                 continue
@@ -165,7 +178,7 @@ def to_buckets(docs: DataFrame, size: int, hot: np.ndarray, buckets: int) -> Dat
                 [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int32()),
                  pa.array(cols[3], pa.binary())], ["bucket", "batch", "kind", "data"])
 
-    return docs.mapInArrow(read, "bucket int, batch binary, kind int, data binary")
+    return read
 
 
 def count_bucket(table: pa.Table) -> pa.Table:
@@ -232,8 +245,10 @@ def partnered_sets(docs: DataFrame, rows: DataFrame, size: int, percent: int) ->
     """Distinct sets that share a prefix token with another row, written once."""
     spark = docs.sparkSession
     hot, hot_df = hot_tokens(rows)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = to_buckets(docs, size, hot, buckets).groupBy("bucket").applyInArrow(
+    total = rows.where("token is null").agg(F.sum("n").alias("n")).collect()[0].n or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_SHINGLES + 1)
+    sent = docs.mapInArrow(read_buckets(size, hot, buckets), "bucket int, batch binary, kind int, data binary")
+    counted = sent.groupBy("bucket").applyInArrow(
         count_bucket, "batch binary, kind int, data binary")
     nodes = counted.groupBy("batch").applyInArrow(merge_batch(hot, hot_df, percent), NODE_SCHEMA)
     path = scratch_path(spark, "shingle-sets")
@@ -267,8 +282,34 @@ def verify(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(check, "a long, b long")
 
 
-def links(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(verified links, classes of the linked nodes)."""
+def open_pairs(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different classes that share a prefix token and pass the bounds (step 5)."""
+    place = F.posexplode("prefix").alias("k", "token")
+    # The smaller set of a pair needs a common token in a shorter prefix, and lengths in neighbouring bands.
+    listed = (nodes.select("id", "n", "n_unique", place).join(classes.withColumnRenamed("vertex", "id"), "id", "left")
+              .select("token", "id", "n", (F.col("n_unique") + F.col("k")).alias("pos"), F.coalesce("label", "id").alias("label")))
+    sizes = listed.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c"))
+    open_lists = sizes.groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    least = F.floor((F.lit(2 * percent) * F.col("n") + (99 + percent)) / (100 + percent))  # common shingles of two sets of this size, rounded up
+    level = F.log(F.col("n").cast("double")) / math.log(100 / percent)  # sets that link are at most 1 apart
+    left = cut_lineage(listed.join(open_lists.drop("labels"), "token").withColumns(
+        {"minor": F.col("label") != F.col("main"), "indexed": F.col("pos") < F.col("n") - least + 1, "band": F.floor(level).cast("int")}).drop("main"))
+    bands = F.sequence(F.floor(level - 1e-6).cast("int"), F.floor(level + 1 + 1e-6).cast("int"))
+    small = left.where("indexed").withColumn("band", F.explode(bands)).select(
+        "token", "band", *[F.col(c).alias(f"s_{c}") for c in ("id", "n", "pos", "label", "minor")])
+
+    def meet(small: DataFrame, large: DataFrame) -> DataFrame:
+        return (small.join(large, ["token", "band"]).where(F.col("label") != F.col("s_label"))
+                .where(F.struct("s_n", "s_id") < F.struct("n", "id"))
+                .where(can_link(F.col("n"), F.col("pos"), F.col("s_n"), F.col("s_pos"), percent))
+                .select(F.least("id", "s_id").alias("a"), F.greatest("id", "s_id").alias("b")))
+
+    # Two members of a list's largest class need no pair: the small side, the large side or both are of other classes.
+    return meet(small.where("s_minor"), left).union(meet(small.where("not s_minor"), left.where("minor"))).distinct()
+
+
+def links(nodes: DataFrame, same: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(verified links, classes of the linked nodes); ``same`` holds pairs of vertices that are one document."""
     place = F.posexplode("prefix").alias("k", "token")
     group = nodes.groupBy("n", "prefix_name").agg(F.max_by("id", F.struct("central", "id")).alias("rep"), F.max("central").alias("central"))
     members = nodes.join(group.select("n", "prefix_name", "rep"), ["n", "prefix_name"])
@@ -279,18 +320,9 @@ def links(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
             .where(can_link(F.col("l.n"), F.col("l.pos"), F.col("n"), F.col("pos"), percent))
             .select(F.col("l.id").alias("a"), F.col("id").alias("b")))
     first = cut_lineage(verify(star.union(inside).distinct(), nodes, percent))
-    classes = cut_lineage(components(first))
+    classes = cut_lineage(components(first.union(same)))
 
-    listed = (nodes.select("id", "n", "n_unique", place).join(classes.withColumnRenamed("vertex", "id"), "id", "left")
-              .select("token", "id", "n", (F.col("n_unique") + F.col("k")).alias("pos"), F.coalesce("label", "id").alias("label")))
-    sizes = listed.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c"))
-    open_lists = sizes.groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    left = cut_lineage(listed.join(open_lists.drop("labels"), "token"))
-    minor = left.where("label <> main").select("token", *[F.col(c).alias(f"m_{c}") for c in ("id", "n", "pos", "label")])
-    rest = (left.join(minor, "token").where(F.col("label") != F.col("m_label"))
-            .where(can_link(F.col("n"), F.col("pos"), F.col("m_n"), F.col("m_pos"), percent))
-            .select(F.least("id", "m_id").alias("a"), F.greatest("id", "m_id").alias("b")).distinct())
-    second = cut_lineage(verify(rest, nodes, percent))
+    second = cut_lineage(verify(open_pairs(nodes, classes, percent), nodes, percent))
     # Links between classes join their labels; labels of the joined classes name the classes anew.
     label = classes.toDF("v", "label")
     bridged = (second.join(label.toDF("a", "la"), "a", "left").join(label.toDF("b", "lb"), "b", "left")
@@ -312,10 +344,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     rows = facts(texts, size)
     members = rows.where("token is null").drop("token")
     ids = members.where("n > 0 and doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("id"))
+    # A vertex is the smallest id of a set. Sets of one id meet in that id: each joins the smallest vertex among them.
+    several = (members.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("name").alias("x"), F.max("name").alias("y"))
+               .where("x <> y").select("doc_id"))
+    shared = members.where("n > 0").join(several, "doc_id").select("doc_id", "name").distinct().join(ids, "name")
+    same = cut_lineage(shared.select(F.col("doc_id").alias("a"), F.col("id").alias("b")).where("a <> b").distinct())
     sets = partnered_sets(texts, rows, size, percent)
-    # Copies in several batches give equal rows of a set: one stays.
-    nodes = cut_lineage(sets.join(ids, "name").drop("name").dropDuplicates(["id"]))
-    pairs, classes = links(nodes, percent)
+    # Copies in several slices give equal rows of a set: one stays.
+    nodes = cut_lineage(sets.join(ids, "name").dropDuplicates(["name"]).drop("name"))
+    pairs, classes = links(nodes, same, percent)
     named = ids.join(classes, ids["id"] == classes["vertex"], "left").select("name", F.coalesce("label", "id").alias("class"))
     out = (members.join(named, "name", "left")
            .select("doc_id", F.col("n").alias("n_shingles"),
