@@ -182,7 +182,9 @@ def judge_anchors(table: pa.Table) -> pa.Table:
 
 # ---- segments -------------------------------------------------------------------------------
 
-SEGMENT = np.dtype([("id", "<i8"), ("tie", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("size", "<u2")])
+SEGMENT = np.dtype([("id", "<i8"), ("tie", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("size", "<u4")])
+BUCKET_BYTES = 64 << 20  # of the corpus, for each bucket of anchors
+SHARD_BYTES = 4 << 20  # of the corpus, for each shard of segments that may repeat
 COVER = np.dtype([("doc", "<u4"), ("start", "<u4"), ("end", "<u4")])
 
 
@@ -200,7 +202,7 @@ def segments_of(length: int, buckets: int, shards: int):
             if len(own):
                 status[own] = np.frombuffer(data[b], np.uint8)
         status = status[which]
-        seen: dict[bytes, int] = {}
+        seen: set[bytes] = set()  # segments, and strings of hot segments: a later one is covered at once
         kept, covered = [], []  # (doc, start, end, key)
         for k in np.flatnonzero(status):
             d, a, b, key = int(doc[k]), int(first[k]), int(last[k]) + length - 1, int(anchor[k])
@@ -208,12 +210,18 @@ def segments_of(length: int, buckets: int, shards: int):
             if whole in seen:
                 covered.append((d, a, b))
                 continue
-            seen[whole] = 1
+            seen.add(whole)
             if status[k] == 1:
                 kept.append((d, a, b, key))
-            else:
-                strings = span_hashes(whole, np.arange(b - a - length + 1), np.arange(length, b - a + 1))
-                kept += [(d, a + i, a + i + length, key ^ int(h)) for i, h in enumerate(strings)]
+                continue
+            strings = span_hashes(whole, np.arange(b - a - length + 1), np.arange(length, b - a + 1))
+            for i, h in enumerate(strings.tolist()):
+                own = whole[i:i + length]
+                if own in seen and b - a > length:
+                    covered.append((d, a + i, a + i + length))
+                else:
+                    seen.add(own)
+                    kept.append((d, a + i, a + i + length, key ^ h))
         rows = [(int.from_bytes(digests[0][:4], "little") % shards, 1, uri, np.array(covered, COVER).tobytes())] if covered else []
         if kept:
             order = by_bucket(np.array([k[3] for k in kept], np.uint64), shards)
@@ -366,8 +374,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     # Much work stands behind the few bytes of a file's row: as many partitions as files.
     n_files = max(1, heads.count())
     heads = heads.repartition(n_files, "file")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = 4 * buckets
+    size = rows.agg(F.sum("n_bytes").alias("b")).collect()[0].b or 0
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets, shards = max(least, size // BUCKET_BYTES + 1), max(4 * least, size // SHARD_BYTES + 1)
     judged = count_anchors(heads, length, buckets).groupBy("bucket").applyInArrow(judge_anchors, "file string, bucket int, data binary")
     marks = heads.mapInArrow(skip_lists, "file string, bucket int, data binary")
     found = judged.union(marks).repartition(n_files, "file").groupBy("file").applyInArrow(
