@@ -4,7 +4,7 @@ Each document gets a vector of transformed statistics (log length, log word leng
 the shares of symbols, repeated lines, repeated windows, capitals and punctuation). For each cell of
 language and source the minimum-covariance-determinant estimate of centre and scatter is found by
 concentration steps: take the ``h`` share of rows that are nearest by the present estimate, estimate
-again from them, repeat; then re-weight once. Documents beyond a chi-square quantile of the squared
+again from them, repeat until all estimates stand still; then re-weight once. Documents beyond a chi-square quantile of the squared
 Mahalanobis distance are rejected.
 
 No cell is ever gathered: a step reads all rows, gives each a distance bin, and sums counts, vectors
@@ -17,7 +17,7 @@ Defined results:
 * null language or source: a cell of its own, like any other value;
 * cells under ``min_rows`` fitted rows are pooled by language, small languages into one pool; a pool
   that is still too small to fit keeps all rows that pass the base rules;
-* scatter is never below ``FLOORS``, so a cell of copies or of constant statistics doesn't reject
+* scatter is never below ``FLOORS`` in any direction (larger scatter is left as it is), so a cell of copies or of constant statistics doesn't reject
   rows that differ from them by a trifle;
 * repeated rows count as often as they occur; an empty table gives an empty result; columns of the
   input that share a name with a statistic are not read.
@@ -45,10 +45,11 @@ PUNCTUATION = b"!\"'(),-./:;?@[\\]^_`{}~"
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_punctuation"]
 
 # Least standard deviation of each transformed statistic, in the order of ``vector()``. Repeats vary
-# most in short texts, where one line that occurs twice is no sign of junk.
-FLOORS = [0.5, 0.05, 0.05, 0.25, 0.25, 0.05, 0.1]
+# most in short texts, where one line that occurs twice is no sign of junk; mostly repeated lines still reach the limit.
+FLOORS = [0.5, 0.05, 0.05, 0.18, 0.18, 0.05, 0.1]
 DIM = len(FLOORS)
 BINS_PER_OCTAVE = 16
+SETTLED = 0.025  # the nearest share is rounded to whole bins, which moves an estimate by up to 2 % to and fro
 
 
 # ---- statistics of one text -----------------------------------------------------------------
@@ -133,8 +134,10 @@ PAIRS = [(i, j) for i in range(DIM) for j in range(i + 1)]
 
 
 def estimate_row(cell, mean: np.ndarray, cov: np.ndarray) -> pd.DataFrame:
-    """Centre and the whitening triangle; the scatter is held above the floors."""
-    cov = cov + np.diag(np.square(FLOORS))
+    """Centre and the whitening triangle. In units of the floors, eigenvalues below 1 are raised to 1."""
+    unit = np.asarray(FLOORS)
+    values, axes = np.linalg.eigh(cov / np.outer(unit, unit))  # rounding can leave tiny negative values
+    cov = (axes * np.maximum(values, 1.0)) @ axes.T * np.outer(unit, unit)
     white = np.linalg.inv(np.linalg.cholesky(cov))
     return pd.DataFrame({"_cell": [cell], "_m": [mean.tolist()], "_l": [[white[i, j] for i, j in PAIRS]]})
 
@@ -185,12 +188,22 @@ def next_estimate(rows: DataFrame, est: DataFrame, share: float | None) -> DataF
         cov = np.zeros((DIM, DIM))
         for i, j in PAIRS:
             cov[i, j] = cov[j, i] = total[f"p{i}_{j}"] / total["n"] - mean[i] * mean[j]
-        values, axes = np.linalg.eigh(cov)  # rounding can leave tiny negative values
-        return estimate_row(cells["_cell"].iloc[0], mean, axes @ np.diag(np.maximum(values, 0)) @ axes.T)
+        return estimate_row(cells["_cell"].iloc[0], mean, cov)
 
     return sums.groupBy("_cell").applyInPandas(step, EST)
 
 
+def settled(before: DataFrame, after: DataFrame) -> bool:
+    """No cell's centre or whitening moved by more than ``SETTLED`` of its spread."""
+    old, new = before.toDF("_cell", "_m0", "_l0"), after.select("_cell", "_m", "_l")
+    white = [F.col("_l0")[k] for k in range(len(PAIRS))]
+    shift = [F.abs(sum((white[k] * (F.col("_m")[j] - F.col("_m0")[j]) for k, (r, j) in enumerate(PAIRS) if r == i), F.lit(0.0)))
+             for i in range(DIM)]
+    turn = [F.abs(F.col("_l")[k] - white[k]) / F.greatest(F.abs(white[PAIRS.index((i, i))]), F.lit(1e-9)) for k, (i, _) in enumerate(PAIRS)]
+    moved = old.join(counted_side(new, BROADCAST_CELLS), "_cell").agg(F.max(F.greatest(*shift, *turn)).alias("d")).collect()[0].d
+    return moved is None or moved < SETTLED
+
+
 def cell_names(lang: str, source: str) -> tuple[Column, Column]:
     """Names of a row's language and of its language and source; null is a value of its own."""
     one, other = (F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in (lang, source))
@@ -210,7 +223,7 @@ def cells_of(fitted: DataFrame, min_rows: int) -> DataFrame:
         .otherwise(F.lit("*")).alias("_cell"))
 
 
-def fit(stats: DataFrame, lang: str = "lang", source: str = "source", share: float = 0.75, steps: int = 4,
+def fit(stats: DataFrame, lang: str = "lang", source: str = "source", share: float = 0.75, steps: int = 20,
         min_rows: int = 300) -> DataFrame:
     """(_fine, _m, _l): the estimate that holds for each language and source."""
     coarse, fine = cell_names(lang, source)
@@ -220,13 +233,15 @@ def fit(stats: DataFrame, lang: str = "lang", source: str = "source", share: flo
     rows = fitted.join(counted_side(cells, BROADCAST_CELLS), "_fine").select("_cell", "_x")
     est = cut_lineage(start(rows))
     for _ in range(steps):
-        est = cut_lineage(next_estimate(rows, est, share))
+        before, est = est, cut_lineage(next_estimate(rows, est, share))
+        if settled(before, est):
+            break
     est = cut_lineage(next_estimate(rows, est, None))
     sizes = rows.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 5 * DIM)
     return cut_lineage(cells.join(est, "_cell").join(sizes, "_cell").select("_fine", "_m", "_l"))
 
 
-def judged(stats: DataFrame, est: DataFrame, lang: str = "lang", source: str = "source", quantile: float = 0.9999) -> DataFrame:
+def judged(stats: DataFrame, est: DataFrame, lang: str = "lang", source: str = "source", quantile: float = 0.999999) -> DataFrame:
     """``stats`` with ``_q_failed``, ``_q_distance`` (null where nothing could be fitted) and ``_q_kept``."""
     _, fine = cell_names(lang, source)
     far = squared_distance([F.col("_x")[i] for i in range(DIM)])

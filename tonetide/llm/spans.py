@@ -1,13 +1,18 @@
-"""64-bit hashes of many spans of one byte string at a time (numpy, for use inside tasks).
+"""Hashes of many spans of one byte string at a time (numpy, for use inside tasks).
 
-Each byte is replaced by a fixed 64-bit value and multiplied by a power of an odd base; with the
-running sums modulo 2**64, the hash of any span takes one subtraction and one product. Two different
-spans agree with a probability of about 2**-64.
+``span_hashes``: each byte is replaced by a fixed 64-bit value and multiplied by a power of an odd base; with
+running sums modulo 2**64, the hash of any span takes one subtraction and one product. Modulo a power of
+two there are regular strings of 1,024 bytes and more (Thue-Morse words) that agree for every base, so this one
+only names short strings or strings that are compared afterwards.
+
+``word_windows``: every word by xxh3 (64 bits), the words of a window then mixed one after the other, so that
+a window's hash depends on each word through a permutation of 64 bits and no structure of the text cancels.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
@@ -45,12 +50,29 @@ def span_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(BASE))
 
 
-def word_windows(words: list[bytes], size: int) -> np.ndarray:
-    """Hash of each run of ``size`` consecutive words; empty when there are fewer words."""
-    if len(words) < size:
+def word_hashes(text: bytes, piece: int = 1 << 20) -> np.ndarray:
+    """Hash of each word (ASCII blanks separate). Long texts are split piece by piece, at blanks."""
+    found, at = [], 0
+    while at < len(text):
+        end = at + piece
+        while end < len(text) and text[end] not in b" \t\n\x0b\x0c\r":
+            end += 1
+        words = text[at:end].split()
+        found.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
+        at = end
+    return found[0] if len(found) == 1 else np.concatenate([np.zeros(0, np.uint64), *found])
+
+
+def windows_of(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each run of ``size`` consecutive words, given the words' hashes; empty when there are fewer."""
+    n = len(hashes) - size + 1
+    if n < 1:
         return np.zeros(0, np.uint64)
-    data = b" ".join(words)
-    gaps = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)  # words hold no space
-    starts = np.concatenate(([0], gaps + 1))
-    ends = np.concatenate((gaps, [len(data)]))
-    return span_hashes(data, starts[: len(words) - size + 1], ends[size - 1:])
+    out = mix(hashes[:n] + np.uint64(size))
+    for k in range(1, size):
+        out = mix(out * np.uint64(BASE) + hashes[k:n + k])
+    return out
+
+
+def word_windows(words: list[bytes], size: int) -> np.ndarray:
+    return windows_of(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), size)
