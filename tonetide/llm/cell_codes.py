@@ -55,7 +55,7 @@ class CellIndex:
     def __init__(self, book: np.ndarray):
         self.book = book  # entries x components
         spread = max(int(c.max() - c.min()) for c in book.T) if book.size else 0
-        self.side = 1 << max(0, (spread // 16).bit_length())  # about a sixteenth of the codebook's extent
+        self.side = 1 << max(0, (spread // 8).bit_length())  # some eight cells along the codebook
         self.cells: dict[bytes, np.ndarray] = {}
 
     def candidates(self, cells: np.ndarray) -> list[np.ndarray]:
