@@ -1,4 +1,4 @@
-"""Toxicity, conversation repair and vector codes against brute force and planted cases."""
+"""Toxicity, conversation repair, vector codes, and hard inputs of earlier operators, against brute force and planted cases."""
 
 import hashlib
 import heapq
@@ -6,14 +6,17 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tonetide.llm import cell_codes, toxicity, turn_repair
+import corpus_pipeline
+from tonetide.llm import cell_codes, ngram_join, robust_outliers, spans, suffix_array, suffix_dedup, toxicity, turn_repair
 
 from .cases import documents, edge_rows, empty, prose
 
@@ -267,3 +270,107 @@ def test_code_edges(spark):
     assert [g[1] for g in got] == [[0, 0], [0, 0], None, None, [0, 0]]
     with pytest.raises(ValueError):
         cell_codes.fit_codebooks(kept, parts=3)
+
+
+# ---- hashes of spans, and near copies under hard inputs -------------------------------------
+
+def thue_morse(n, a="a", b="b"):
+    return "".join(a if bin(k).count("1") % 2 == 0 else b for k in range(n))
+
+
+def test_regular_strings_get_different_hashes(spark):
+    x, y = thue_morse(4096), thue_morse(4096, "b", "a")
+    data = np.frombuffer((x + y + y + "b").encode(), np.uint8)
+    assert suffix_array.differ(data, np.array([0, 4096, 8192]), np.array([4096, 8192, 12288])).tolist() == [True, False]
+    assert suffix_array.differ(data, np.array([4096, 8192, 8192]), np.array([8192, 12288, 12289])).tolist() == [False, True]
+    assert robust_outliers.text_stats(f"p q {x} p q {y}")[4] == 0
+    assert robust_outliers.text_stats(f"p q {x} p q {x}")[4] == 6
+    rows = [(1, f"a b c d {x}", "en", "a"), (2, f"a b c d {y}", "en", "a"), (3, f"A B c d {x}", "en", "a")]
+    got, _ = ngram_join.near_duplicates(documents(spark, rows))
+    assert {r.doc_id: r.component_id for r in got.collect()} == {1: 1, 2: 2, 3: 1}
+    cut = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(
+        documents(spark, [(1, x, "en", "a"), (2, y, "en", "a"), (3, "zz" + x, "en", "a")]), length=4096).collect()}
+    assert cut == {1: 0, 2: 0, 3: 4096}
+
+
+def test_word_hashes_of_pieces():
+    text = prose(1, 5000).encode()
+    whole = spans.word_hashes(text)
+    assert len(whole) == 5000 and (spans.word_hashes(text, 100) == whole).all()
+    assert len(spans.word_hashes(b"")) == len(spans.word_hashes(b" \n")) == 0
+    assert (spans.windows_of(whole, 5)[7:9] == spans.windows_of(whole[7:13], 5)).all()
+
+
+def test_longest_repeats(spark):
+    """The largest length that is allowed."""
+    rnd = random.Random(3)
+    body = "".join(rnd.choice("abcdefgh") for _ in range(130_000))
+    rows = [(1, body, "en", "a"), (2, "x" + body[1000:100_000] + "y", "en", "a"), (3, body[:59_999], "en", "a")]
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(documents(spark, rows), length=60_000).collect()}
+    assert got == {1: (0, 0), 2: (99_000, 1), 3: (0, 0)}
+
+
+def test_a_hot_passage_is_cut_from_all_but_the_first(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_ANCHOR", 5)
+    passage = prose(77, 40)
+    rows = [(k, prose(100 + k, 40) + " | " + passage + " | " + prose(300 + k, 40), "en", "a") for k in range(40)]
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(documents(spark, rows).repartition(3), length=100).collect()}
+    seen = set()
+    for k, text, *_ in rows:
+        data = text.encode()
+        strings = [data[i:i + 100] for i in range(len(data) - 99)]
+        hit = {i + j for i, x in enumerate(strings) if x in seen for j in range(100)}
+        seen |= set(strings)
+        assert got[k] == len(hit) and (k == 0 or got[k] >= len(passage.encode()))
+
+
+def test_sets_of_one_id_hand_on_their_links(spark):
+    def like(seed):
+        return prose(seed, 120), prose(seed, 120).replace(" ", " extra ", 1)
+
+    (a, a2), (b, b2) = like(1), like(2)
+    rows = [(1, a, "en", "a"), (1, b, "en", "a"), (2, a2, "en", "a"), (3, b2, "en", "a"), (9, prose(3, 80), "en", "a"),
+            (8, prose(3, 80), "en", "a"), (9, prose(4, 80), "en", "a"), (10, prose(4, 80), "en", "a"), (11, None, "en", "a")]
+    for parts in (1, 5):
+        got, _ = ngram_join.near_duplicates(documents(spark, rows).repartition(parts))
+        assert {(r.doc_id, r.component_id) for r in got.collect()} == {(1, 1), (2, 1), (3, 1), (8, 8), (9, 8), (10, 8), (11, 11)}
+
+
+def test_boilerplate_makes_no_pairs(spark):
+    """Texts that share 80 % boilerplate have a similarity of two thirds: none of their pairs is formed."""
+    shared = prose(5, 400)
+    rows = [(k, prose(10_000 + k, 104) + " " + shared, "en", "a") for k in range(600)]
+    docs = documents(spark, rows).select("doc_id", "text")
+    facts = ngram_join.facts(docs, 5)
+    ids = facts.where("token is null").groupBy("name").agg(F.min("doc_id").alias("id"))
+    nodes = ngram_join.partnered_sets(docs, facts, 5, 75).join(ids, "name").drop("name")
+    none = spark.createDataFrame([], "vertex long, label long")
+    assert nodes.count() == 600 and ngram_join.open_pairs(nodes, none, 75).count() == 0
+    got, _ = ngram_join.near_duplicates(docs)
+    assert got.where("component_id <> doc_id").count() == 0
+
+
+@pytest.mark.parametrize("rows_n", [40, 160])
+def test_memory_does_not_follow_the_rows_of_a_batch(rows_n):
+    text = prose(1, 20_000)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(rows_n), pa.int64()), pa.array([f"w{k} " + text for k in range(rows_n)])], ["doc_id", "text"])
+    for read in (ngram_join.read_facts(5), ngram_join.read_buckets(5, np.zeros(0, np.uint64), 16)):
+        tracemalloc.start()
+        for out in read([batch]):
+            assert out.num_rows
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 80 << 20
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Null ids, repeated rows and one id with two texts: the pipeline's stage keeps one row of a class."""
+    base, other = prose(1, 120), prose(2, 120)
+    near = base.replace(" ", " extra ", 1)
+    rows = [(5, base, "en", "a"), (5, base, "en", "a"), (None, near, "en", "a"), (None, base, "en", "a"), (7, near, "en", "a"),
+            (None, other, "en", "b"), (None, other, "en", "b"), (9, prose(3, 90), "en", "b"), (9, prose(4, 90), "en", "b"), (11, "", "en", "a")]
+    docs = documents(spark, rows)
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(
+        [(5, base), (None, other), (9, min(prose(3, 90), prose(4, 90))), (11, "")], key=repr)
