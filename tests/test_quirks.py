@@ -234,6 +234,26 @@ def test_skipped_files_are_listed(spark, tmp_path):
     assert any(p.endswith("bad.csv.gz") for p in listed) and not any("part-" in p for p in listed)
 
 
+def test_load_ledger_tells_sources_apart(spark, tmp_path):
+    from tonetide.sources import files
+    import gzip
+
+    (tmp_path / "in").mkdir()
+    whole = b"k,v\n1,a\n2,b\n"
+    for name, data in (("good.csv", whole), ("zipped.csv.gz", gzip.compress(whole)), ("half.csv", b"k,v\n1,a\nx,b\n\n"), ("bad.csv", b"k,v\nx,a\n"),
+                       ("title.csv", b"k,v\n"), ("nothing.csv", b""), ("broken.csv.gz", b"no gzip at all"), ("no title.csv", b"7,z\n")):
+        (tmp_path / "in" / name).write_bytes(data)
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())])
+    ledger = files.load_ledger(spark, str(tmp_path / "in"), schema, header=True, source=lambda c: F.regexp_extract(c, "([^/]*)$", 1))
+    got = {r.source: (r.outcome, r.good_rows, r.rejected_rows) for r in ledger.collect()}
+    assert got == {"good.csv": ("loaded", 2, 0), "zipped.csv.gz": ("loaded", 2, 0), "half.csv": ("partial", 1, 1), "bad.csv": ("rejected", 0, 1),
+                   "title.csv": ("empty", 0, 0), "nothing.csv": ("empty", 0, 0), "broken.csv.gz": ("unreadable", 0, 0), "no%20title.csv": ("loaded", 1, 0)}
+    both = files.load_ledger(spark, str(tmp_path / "in"), schema, header=True, source=lambda c: F.lit("all")).collect()
+    assert [(r.outcome, r.reason, r.files) for r in both] == [("unreadable", "1 of 8 files can't be read", 8)]
+
+
 @pytest.mark.parametrize("ranked, cuts", [(3, 4), (10, 8), (100_000, 256)])
 def test_exact_median_by_rounds(spark, monkeypatch, ranked, cuts):
     """A far value, heavy ties, even and odd counts; the last round ranks at most ``ranked`` values."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -358,6 +359,76 @@ def q_scan_rejects(spark, sf_dir):
                      "AvgTone")
 
 
+def write_bytes(spark, path: str, data: bytes) -> None:
+    """One small file in the shared folder, written by the driver."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(data))
+    out.close()
+
+
+@query("load_ledger", sql=f"""
+WITH {EVENTS},
+s AS (SELECT CAMEOCodeDescription AS source, count(*) AS n,
+             count(*) FILTER (CAMEOCodeDescription = 'error' AND event_id % 2 = 1) AS bad FROM events_in GROUP BY 1)
+SELECT source, CASE WHEN bad = 0 THEN 'loaded' WHEN bad < n THEN 'partial' ELSE 'rejected' END AS outcome,
+       CASE WHEN bad > 0 THEN bad || ' of ' || n || ' records don''t fit the schema' END AS reason, n - bad AS good_rows, bad AS rejected_rows FROM s
+UNION ALL SELECT 'all_bad', 'rejected', count(*) || ' of ' || count(*) || ' records don''t fit the schema', 0, count(*)
+          FROM events_in WHERE CAMEOCodeDescription = 'error'
+UNION ALL SELECT * FROM (VALUES ('broken', 'unreadable', '1 of 1 files can''t be read', 0, 0), ('nothing', 'empty', 'no records', 0, 0),
+                                ('title_only', 'empty', 'no records', 0, 0))""")
+def q_load_ledger(spark, sf_dir):
+    """Each event type is a source: odd error events are landed broken; one source is no gzip, two hold no record."""
+    path = scratch_path(spark, "ledger")
+    ev = fx.events_in(spark, sf_dir)
+    error = F.col("CAMEOCodeDescription") == "error"
+    value = F.when(error & (F.col("event_id") % 2 == 1), "n/a").otherwise(F.round("AvgTone", 4).cast("string"))
+
+    def line(tone):
+        return F.concat_ws(",", F.col("event_id").cast("string"), F.col("Day").cast("string"), tone, F.col("SOURCEURL")).alias("value")
+
+    ev.select(line(value), F.col("CAMEOCodeDescription").alias("source")).write.partitionBy("source").text(path)
+    ev.where(error).select(line(F.lit("n/a"))).write.text(f"{path}/source=all_bad")
+    write_bytes(spark, f"{path}/source=broken/part-0.txt.gz", b"no gzip at all")
+    write_bytes(spark, f"{path}/source=nothing/part-0.txt", b"")
+    write_bytes(spark, f"{path}/source=title_only/part-0.txt", b"event_id,Day,AvgTone,SOURCEURL\n")
+    ledger = files.load_ledger(spark, path, schemas.EVENTS_RAW, header=True, source=lambda c: F.regexp_extract(c, "source=([^/]*)/", 1))
+    return ledger.drop("files")  # how many files a source was written in depends on the cluster
+
+
+@query("sink_refuses", sql=f"""
+WITH {BARS}
+SELECT 'first' AS attempt, 'written' AS outcome, count(*) AS rows_there, {r4('sum(Close) / count(*)')} AS avg_close FROM bars
+UNION ALL SELECT 'second', 'refused', count(*), {r4('sum(Close) / count(*)')} FROM bars""")
+def q_sink_refuses(spark, sf_dir):
+    """An export that refuses to overwrite: the second attempt fails and what was there stays."""
+    path = scratch_path(spark, "refusing_csv")
+    bars = rounded(fx.bars(spark, sf_dir)).select("Date", "Stock", "Close")
+    seen = []
+    for attempt, rows in (("first", bars), ("second", bars.where("Close > 1000"))):
+        try:
+            files.write_csv(rows, path, mode="errorifexists", order_by=["Date", "Stock"])
+            outcome = "written"
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            outcome = "refused"
+        there = files.read_csv(spark, path, "Date date, Stock long, Close double")
+        seen.append(there.agg(F.count(F.lit(1)).alias("rows_there"), F.avg("Close").alias("avg_close"))
+                    .select(F.lit(attempt).alias("attempt"), F.lit(outcome).alias("outcome"), "rows_there", "avg_close"))
+    return rounded(seen[0].unionByName(seen[1]))
+
+
+@query("sink_csv_single", sql=SIGNAL_SQL)
+def q_sink_csv_single(spark, sf_dir):
+    """A small export as one file (an explicit choice): the daily sector signal."""
+    path = scratch_path(spark, "signal_single_csv")
+    files.write_csv(rounded(sector_signal_df(spark, sf_dir)), path, single_file=True)
+    if files.listed_files(spark, f"{path}/*.csv").count() != 1:
+        raise ValueError(f"{path} is not one file")
+    return files.read_csv(spark, path, schemas.SECTOR_SIGNAL)
+
+
 @query("sink_parquet", sql=f"""
 WITH {EVENTS},
 d AS (SELECT * FROM events_in

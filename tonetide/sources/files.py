@@ -49,11 +49,55 @@ def read_csv_strings(spark: SparkSession, path: str, casts: dict[str, str]) -> D
     ])
 
 
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of the files under ``path``, empty ones too; their contents are not read."""
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    # Spark's own listing knows every name, but a scan of it passes over files of no length.
+    names = spark.createDataFrame([(name,) for name in there.inputFiles()], "path string")
+    sizes = there.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"))
+    plain = F.regexp_replace("path", "^file:/+", "file:///")  # the two lists write local paths in two ways
+    return (names.withColumn("path", plain).join(sizes.withColumn("path", plain), "path", "left")
+            .select("path", F.coalesce("length", F.lit(0)).alias("length")))
+
+
 def skipped_files(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
-    """(path): the files under ``path`` that gave ``rows`` (a read with ``ignore_corrupt_files``) no row."""
-    there = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
-    read = rows.select(F.col("_metadata.file_path").alias("path")).distinct()
-    return there.join(read, "path", "left_anti")
+    """(path): the files under ``path`` that hold something and gave ``rows`` (a read with ``ignore_corrupt_files``) no row."""
+    read = rows.select(F.regexp_replace("_metadata.file_path", "^file:/+", "file:///").alias("path")).distinct()
+    return listed_files(spark, path).where("length > 0").select("path").join(read, "path", "left_anti")
+
+
+def load_ledger(spark: SparkSession, path: str, schema: T.StructType, header: bool = False, source=None) -> DataFrame:
+    """What became of each source: (source, outcome, reason, files, good_rows, rejected_rows).
+
+    The files under ``path`` are read once, as lines (one record a line), and every line is parsed with
+    ``schema``. ``source`` is a function of the file path's column (default: the file is the source). Outcomes:
+    * ``loaded``: every record fits the schema; ``partial``: some; ``rejected``: none;
+    * ``empty``: nothing but a header, or nothing at all, could be read and it was no fault;
+    * ``unreadable``: files with content that gave no line. It comes before the others, as a file is lost.
+    """
+    source = source or (lambda c: c)
+    lines = (spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).text(path)
+             .select("value", F.regexp_replace("_metadata.file_path", "^file:/+", "file:///").alias("path")))
+    parsed = F.from_csv("value", T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]).simpleString()[7:-1].replace(":", " "),
+                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    title = F.trim("value") == ""  # like the CSV reader, a blank line is no record
+    if header:
+        title = title | (F.col("value") == F.lit(",".join(schema.names)))
+    bad = parsed.getField(CORRUPT).isNotNull()
+    per_file = lines.groupBy("path").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(~title & ~bad).alias("good"), F.count_if(~title & bad).alias("bad"))
+    known = listed_files(spark, path).join(per_file, "path", "left")
+    lost = F.col("lines").isNull() & (F.col("length") > 0)
+    sums = known.groupBy(source(F.col("path")).alias("source")).agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(lost).alias("lost"), F.coalesce(F.sum("good"), F.lit(0)).alias("good_rows"),
+        F.coalesce(F.sum("bad"), F.lit(0)).alias("rejected_rows"))
+    outcome = (F.when(F.col("lost") > 0, "unreadable").when(F.col("good_rows") + F.col("rejected_rows") == 0, "empty")
+               .when(F.col("rejected_rows") == 0, "loaded").when(F.col("good_rows") > 0, "partial").otherwise("rejected"))
+    reason = (F.when(F.col("lost") > 0, F.concat(F.col("lost").cast("string"), F.lit(" of "), F.col("files").cast("string"), F.lit(" files can't be read")))
+              .when(F.col("good_rows") + F.col("rejected_rows") == 0, "no records")
+              .when(F.col("rejected_rows") > 0, F.concat(F.col("rejected_rows").cast("string"), F.lit(" of "),
+                    (F.col("good_rows") + F.col("rejected_rows")).cast("string"), F.lit(" records don't fit the schema"))))
+    return sums.select("source", outcome.alias("outcome"), reason.alias("reason"), "files", "good_rows", "rejected_rows")
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite",
