@@ -52,6 +52,7 @@ from .spans import windows_of, word_hashes
 
 HOT_SHARE = 512
 SLICE_BYTES = 2 << 20  # of text whose shingles are held at a time
+HOT_RUN = 2_000_000  # shingles among which frequent ones are counted at a time, about
 BUCKET_SHINGLES = 1_000_000  # in a bucket, about
 HOT_LEAST = 64  # a token of fewer sets isn't hot in any corpus
 
@@ -108,19 +109,30 @@ def prefix_length(n, percent: int):
 # ---- steps 1 to 3 ---------------------------------------------------------------------------
 
 def read_facts(size: int):
+    """Facts of each slice, and the frequent shingles of each run of slices (so rare ones aren't sent from small slices)."""
+    none = lambda k, t: pa.nulls(k, t)
+
+    def frequent(held: dict[bytes, np.ndarray]):
+        tokens, counts = np.unique(np.concatenate(list(held.values())), return_counts=True)
+        often = (counts >= 2) & (counts * HOT_SHARE >= len(held))
+        k = int(often.sum())
+        return pa.RecordBatch.from_arrays(
+            [none(k, pa.int64()), pa.array(counts[often], pa.int64()), none(k, pa.binary()), pa.array(tokens[often].view(np.int64), pa.int64())],
+            ["doc_id", "n", "name", "token"])
+
     def read(batches):
+        held: dict[bytes, np.ndarray] = {}  # distinct sets since the last count
         for batch in slices(batches):
             sets, names, first = batch_sets(batch, size)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()),
-                 pa.nulls(len(sets), pa.int64())], ["doc_id", "n", "name", "token"])
-            if first:
-                tokens, counts = np.unique(np.concatenate([sets[i] for i in first]), return_counts=True)
-                often = (counts >= 2) & (counts * HOT_SHARE >= len(first))
-                k = int(often.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(k, pa.int64()), pa.array(counts[often], pa.int64()), pa.nulls(k, pa.binary()),
-                     pa.array(tokens[often].view(np.int64), pa.int64())], ["doc_id", "n", "name", "token"])
+                 none(len(sets), pa.int64())], ["doc_id", "n", "name", "token"])
+            held |= {names[i]: sets[i] for i in first}
+            if sum(map(len, held.values())) >= HOT_RUN:
+                yield frequent(held)
+                held = {}
+        if held:
+            yield frequent(held)
 
     return read
 
