@@ -65,31 +65,45 @@ def segments() -> Column:
     return F.transform(F.split(F.col("path"), "/"), lambda s: F.regexp_replace(s, "[0-9]+", "*"))
 
 
-def open_levels(tree: DataFrame, least: int, *alike: str) -> list[int]:
-    """Levels at which a host (and ``alike``) has ``least`` different segments, however deep the paths are.
+def next_variable_level(tree: DataFrame, after: int) -> int | None:
+    """The first level below ``after`` at which some (host, prefix) has many rare children."""
+    at = F.explode(F.sequence(F.lit(after + 1), F.size("template") - 1)).alias("level")
+    parts = tree.where(F.size("template") > after + 1).select("host", "template", "n", at)
+    prefix = F.xxhash64("host", F.expr("slice(template, 1, level)"))
+    pages = parts.groupBy("level", prefix.alias("prefix"), F.expr("template[level]").alias("child")).agg(F.sum("n").alias("pages"))
+    many = pages.where(F.col("pages") * RARE_SHARE <= 1).groupBy("level", "prefix").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= MANY_CHILDREN)
+    return many.agg(F.min("level").alias("l")).collect()[0].l
 
-    No (host, prefix) or family has more than its host, so the other levels can't change.
+
+def next_family_level(tree: DataFrame, before: int | None) -> int | None:
+    """The deepest level above ``before`` at which some templates are siblings: alike but for their segment there.
+
+    So a round is spent on levels that have something to merge, not on every level of the deepest path.
     """
-    parts = tree.select("host", F.size("template").alias("depth"), F.posexplode("template").alias("level", "segment"))
-    found = parts.where("level > 0").groupBy("host", *alike, "level").agg(F.count_distinct("segment").alias("c")).where(F.col("c") >= least)
-    return sorted(r.level for r in found.select("level").distinct().collect())
+    top = F.size("template") - 1 if before is None else F.least(F.size("template") - 1, F.lit(before - 1))
+    at = F.explode(F.when(top >= 1, F.sequence(F.lit(1), top))).alias("level")
+    parts = tree.select("host", "template", at)
+    others = F.expr("concat(slice(template, 1, level), array('*'), slice(template, level + 2, size(template)))")
+    families = parts.groupBy("level", F.xxhash64("host", others).alias("family")).agg(
+        F.min(F.xxhash64("template")).alias("x"), F.max(F.xxhash64("template")).alias("y")).where("x <> y")
+    return families.agg(F.max("level").alias("l")).collect()[0].l
 
 
 def generalised(tree: DataFrame) -> DataFrame:
     """Replace the rare children of variable (host, prefix) nodes by ``RARE``, from the root down."""
-    for i, level in enumerate(open_levels(tree, MANY_CHILDREN), 1):  # segment 0 is the empty one before the first slash
+    level = 0  # segment 0 is the empty one before the first slash
+    while (level := next_variable_level(tree, level)) is not None:
         here = (tree.where(F.size("template") > level)
                 .groupBy("host", F.slice("template", 1, level).alias("prefix"), F.col("template")[level].alias("child"))
                 .agg(F.sum("n").alias("pages")).where(F.col("pages") * RARE_SHARE <= 1))
         variable = here.groupBy("host", "prefix").agg(F.count(F.lit(1)).alias("children")).where(F.col("children") >= MANY_CHILDREN)
         rare = here.join(variable, ["host", "prefix"]).select("host", "prefix", "child", F.lit(True).alias("v"))
-        tree = (tree.withColumn("prefix", F.slice("template", 1, level)).withColumn("child", F.get("template", F.lit(level)))
-                .join(rare, ["host", "prefix", "child"], "left")
-                .withColumn("template", F.when(F.coalesce("v", F.lit(False)), replaced(level, F.lit(RARE))).otherwise(F.col("template")))
-                .drop("prefix", "child", "v"))
-        if i % 4 == 0:
-            tree = cut_lineage(tree)
-    return cut_lineage(tree)
+        tree = cut_lineage(
+            tree.withColumn("prefix", F.slice("template", 1, level)).withColumn("child", F.get("template", F.lit(level)))
+            .join(rare, ["host", "prefix", "child"], "left")
+            .withColumn("template", F.when(F.coalesce("v", F.lit(False)), replaced(level, F.lit(RARE))).otherwise(F.col("template")))
+            .drop("prefix", "child", "v"))
+    return tree
 
 
 def replaced(level: int, name: Column) -> Column:
@@ -136,7 +150,8 @@ def merged(tree: DataFrame, z: float) -> DataFrame:
     class. A class of several becomes ``*`` (the class of the lowest rate, if no other class has that
     segment) or ``*~k``.
     """
-    for i, level in enumerate(reversed(open_levels(tree, 2, "depth")), 1):
+    level = None
+    while (level := next_family_level(tree, level)) is not None:
         branches = (tree.where(F.size("template") > level)
                     .select("host", "template", replaced(level, F.lit("*")).alias("family"), "labelled", "bad")
                     .groupBy("host", "family", "template").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")))
@@ -147,12 +162,11 @@ def merged(tree: DataFrame, z: float) -> DataFrame:
                    .withColumn("own", own).where("members > 1")
                    .select("host", "template", F.when((F.col("class") == 0) & ~F.col("own"), F.lit("*")).otherwise(
                        F.concat(F.lit("*~"), (F.col("class") + 1).cast("string"))).alias("name")))
-        tree = (tree.join(classes, ["host", "template"], "left")
-                .withColumn("template", F.when(F.col("name").isNotNull(), replaced(level, F.col("name"))).otherwise(F.col("template")))
-                .drop("name"))
-        if i % 4 == 0:
-            tree = cut_lineage(tree)
-    return cut_lineage(tree)
+        tree = cut_lineage(
+            tree.join(classes, ["host", "template"], "left")
+            .withColumn("template", F.when(F.col("name").isNotNull(), replaced(level, F.col("name"))).otherwise(F.col("template")))
+            .drop("name"))
+    return tree
 
 
 def template_tree(pages: DataFrame, z: float = 1.96, smoothing: float = 20.0, least_purity: float = 0.5, prior: float = 0.1) -> DataFrame:
