@@ -31,7 +31,7 @@ import json
 import re
 import zlib
 from array import array
-from itertools import batched
+from itertools import batched, chain
 
 import numpy as np
 import pyarrow as pa
@@ -136,7 +136,7 @@ def encode_texts(texts: list[str], path: str, word_local: bool = True) -> tuple[
         return np.array([i for x in each for i in x], np.uint32), [len(x) for x in each]
     words = [words_of(t) for t in texts]
     n = sum(map(len, words))
-    got = np.fromiter((c for w in words for c in map(codes.__getitem__, w)), np.int64, n)
+    got = np.fromiter(map(codes.__getitem__, chain.from_iterable(words)), np.int64, n)
     upto = np.concatenate(([0], np.cumsum(np.frombuffer(codes.length, np.int64)[got]))) if n else np.zeros(1, np.int64)
     ends = upto[np.cumsum([0] + [len(w) for w in words])]
     return codes.ids_of(got), np.diff(ends).tolist()
@@ -161,6 +161,10 @@ def from_planes(planes: list[bytes], n: int, mode: str) -> np.ndarray:
     return np.ascontiguousarray(raw).view("<u4").reshape(-1)
 
 
+FILE_DOCS = 200_000  # of a file at most: its index has an entry for each
+FILE_IDS = 1 << 28  # of a file, about: its index has an entry for each chunk
+
+
 class PlaneWriter:
     def __init__(self, stream, mode: str = "byte", level: int = 3):
         self.stream, self.mode, self.pack = stream, mode, zstandard.ZstdCompressor(level=level)
@@ -232,40 +236,53 @@ def read_documents(f):
 
 def write_tokens(docs: DataFrame, vocabulary: str, end_id: int | None = 2, folder: str | None = None, mode: str = "byte",
                  word_local: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write all documents; returns one row for each file: file, first_id, n_docs, n_ids."""
+    """Write all documents; returns one row for each file: file, first_id, nth, n_docs, n_ids.
+
+    A task starts a new file after ``FILE_DOCS`` documents or ``FILE_IDS`` ids, so a file's index is bounded whatever
+    a partition holds; ``nth`` numbers its files, and a document is never cut.
+    """
     folder = folder or scratch_path(docs.sparkSession, "token-planes")
 
     def write(batches):
-        path = stream = writer = None
-        first = None
+        path = stream = writer = first = None
+        nth = 0
+
+        def finished():
+            n_docs = len(writer.docs)
+            return pa.RecordBatch.from_pydict({"file": [path], "first_id": pa.array([first], pa.int64()), "nth": [nth],
+                                               "n_docs": [n_docs], "n_ids": [writer.close()]})
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if writer is None:
-                path, stream = files.open_output(folder, "tokens", ".planes")
-                writer = PlaneWriter(stream, mode)
-                first = batch.column(0)[0].as_py()
             texts = [t or "" for t in batch.column(1).to_pylist()]
             ids, counts = encode_texts(texts, vocabulary, word_local)
+            if end_id is not None:
+                ids = np.insert(ids, np.cumsum(counts), np.uint32(end_id))
+                counts = [n + 1 for n in counts]
             at = 0
             for doc_id, n in zip(batch.column(0).to_pylist(), counts, strict=True):
-                own = ids[at:at + n]
-                writer.add(doc_id, own if end_id is None else np.append(own, np.uint32(end_id)))
+                if writer is None:
+                    path, stream = files.open_output(folder, "tokens", ".planes")
+                    writer, first = PlaneWriter(stream, mode), doc_id
+                writer.add(doc_id, ids[at:at + n])
                 at += n
+                if len(writer.docs) >= FILE_DOCS or len(writer.chunks) * CHUNK_IDS >= FILE_IDS:
+                    yield finished()
+                    writer, nth = None, nth + 1
         if writer is not None:
-            n_docs = len(writer.docs)
-            yield pa.RecordBatch.from_pydict({"file": [path], "first_id": pa.array([first], pa.int64()),
-                                              "n_docs": [n_docs], "n_ids": [writer.close()]})
+            yield finished()
 
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     order = F.col("id").asc_nulls_first()
     dealt = narrow.repartitionByRange(order).sortWithinPartitions(order, "text")
-    return cut_lineage(dealt.mapInArrow(write, "file string, first_id long, n_docs long, n_ids long"))
+    return cut_lineage(dealt.mapInArrow(write, "file string, first_id long, nth long, n_docs long, n_ids long"))
 
 
 def file_starts(written: DataFrame) -> DataFrame:
     """(file, start): ids in the files before each file, from per-file totals (a row for each file)."""
-    before = Window.orderBy(F.col("first_id").asc_nulls_first(), "file").rowsBetween(Window.unboundedPreceding, -1)
+    # Equal ids lie in one partition, so files of one first id are in the order of their task.
+    before = Window.orderBy(F.col("first_id").asc_nulls_first(), "nth").rowsBetween(Window.unboundedPreceding, -1)
     return written.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start"))
 
 
