@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tonetide.llm import cell_codes, ngram_join, robust_outliers, spans, suffix_array, suffix_dedup, toxicity, turn_repair
+from tonetide.llm import cell_codes, ngram_join, robust_outliers, spans, suffix_array, suffix_dedup, token_planes, toxicity, turn_repair, url_tree
 
 from .cases import documents, edge_rows, empty, prose
 
@@ -374,3 +374,41 @@ def test_one_row_of_each_group_stays(spark):
     assert got.columns == docs.columns
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(
         [(5, base), (None, other), (9, min(prose(3, 90), prose(4, 90))), (11, "")], key=repr)
+
+
+# ---- deep paths and many files --------------------------------------------------------------
+
+def test_deep_paths_take_rounds_only_where_they_branch(spark, monkeypatch):
+    """Two pages of 60 levels that differ at each of them, a chain of 80, and one deep family."""
+    rounds = []
+    plain = url_tree.cut_lineage
+    monkeypatch.setattr(url_tree, "cut_lineage", lambda df: rounds.append(1) or plain(df))
+    rows = [(1, "http://a.org/" + "/".join("abcdefgh"[k % 8] + "x" for k in range(60))), (2, "http://a.org/" + "/".join("abcdefgh"[k % 8] + "y" for k in range(60))),
+            (3, "http://b.org/" + "/".join(f"s{chr(97 + k % 26)}" for k in range(80)))]
+    deep = "http://c.org/" + "/".join("abcdefgh"[k % 8] for k in range(40))
+    rows += [(10 + k, f"{deep}/{'uvw'[k % 3]}/end") for k in range(30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(10 + k, int(k % 3 == 0)) for k in range(30)], "page_id long, bad int")
+    got = {r.page_id: r for r in url_tree.url_filter(pages, labels, []).collect()}
+    assert len(rounds) <= 5 and len(got) == 33
+    assert {got[k].verdict for k in (1, 2, 3)} == {"allow"} and len({got[k].template for k in (1, 2, 3)}) == 3
+    by = {s: {got[10 + k].verdict for k in range(30) if "uvw"[k % 3] == s} for s in "uvw"}
+    assert by == {"u": {"block"}, "v": {"allow"}, "w": {"allow"}}
+
+
+def test_token_files_are_bounded(spark, monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    docs = documents(spark, [*edge_rows(), *[(7, prose(k, 9), "en", "a") for k in range(40)]])
+    want = sorted(map(tuple, token_planes.read_token_digests(token_planes.write_tokens(docs.coalesce(1), vocabulary)).collect()), key=repr)
+    monkeypatch.setattr(token_planes, "FILE_DOCS", 3)
+    written = token_planes.write_tokens(docs.coalesce(1), vocabulary)
+    assert max(r.n_docs for r in written.collect()) == 3
+    got = token_planes.read_token_digests(written).collect()
+    assert sorted((r.n_tokens, r.ids_crc32) for r in got) == sorted((w[2], w[3]) for w in want)
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):  # no gap between documents, ids in order
+        assert r.start == at
+        at += r.n_tokens
+    ids = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
