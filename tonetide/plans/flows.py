@@ -63,8 +63,8 @@ def stock_features(spark, sf_dir, momentum_k: int = 5) -> DataFrame:
 def in_news_span(df: DataFrame, spark, sf_dir, date: str = "Date") -> DataFrame:
     """Rows from the first to the last day that has news: a model of news features is fitted and tested there."""
     day = F.to_date("date")
-    span = st.valid_dates(fx.news(spark, sf_dir)).select(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
-    return df.where(F.col(date).between(span.getField("lo"), span.getField("hi")))
+    span = st.valid_dates(fx.news(spark, sf_dir)).agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()  # two dates
+    return df.where(F.col(date).between(F.lit(span.lo), F.lit(span.hi)))
 
 
 def buysell_in(spark, sf_dir) -> DataFrame:

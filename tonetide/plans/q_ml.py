@@ -82,7 +82,7 @@ def q_lr_sentiment(spark, sf_dir):
 IN_NEWS_SPAN = "Date BETWEEN (SELECT min(CAST(date AS DATE)) FROM daily) AND (SELECT max(CAST(date AS DATE)) FROM daily)"
 _STOCK_OLS, _ = ols_ctes("spl", STOCK_X, STOCK_Y, "(idx <= floor(n * 0.8))", ["Stock"])
 LR_STOCK_SQL = f"""{STOCK_FEATURES_SQL},
-clean AS (SELECT * FROM sf WHERE Momentum IS NOT NULL AND {IN_NEWS_SPAN}),
+clean AS (SELECT * FROM sf WHERE Momentum IS NOT NULL),
 spl AS (SELECT *, row_number() OVER (PARTITION BY Stock ORDER BY Date) AS idx,
                count(*) OVER (PARTITION BY Stock) AS n FROM clean),
 {_STOCK_OLS},
@@ -93,10 +93,13 @@ m AS (SELECT Stock, any_value(n_train) AS n_train, count(*) AS n_test,
       FROM pr GROUP BY Stock)"""
 
 
-def lr_per_stock_df(spark, sf_dir):
+def lr_per_stock_df(spark, sf_dir, news_days: bool = False):
     """Per-stock OLS of Close-Open on articles, subjectivity and momentum: closed
     form from grouped covariances on the first 80 % of each stock's days."""
-    feats = flows.in_news_span(flows.stock_features(spark, sf_dir), spark, sf_dir).na.drop("any", subset=STOCK_X + [STOCK_Y])
+    feats = flows.stock_features(spark, sf_dir)
+    if news_days:
+        feats = flows.in_news_span(feats, spark, sf_dir)
+    feats = feats.na.drop("any", subset=STOCK_X + [STOCK_Y])
     s = split.chrono_split(feats, "Stock", "Date", 0.8)
     m = ols.fit_evaluate_closed_form(s, STOCK_X, STOCK_Y, "is_train", by="Stock")
     # stocks whose split leaves no test row have no metrics row, as in the join form
@@ -110,6 +113,17 @@ def q_lr_per_stock(spark, sf_dir):
     return rounded(lr_per_stock_df(spark, sf_dir), significant=("mse", "rmse"))
 
 
+LR_NEWS_SQL = LR_STOCK_SQL.replace("FROM sf WHERE Momentum IS NOT NULL", f"FROM sf WHERE Momentum IS NOT NULL AND {IN_NEWS_SPAN}")
+
+
+@query("lr_per_stock_news_days", sql=f"""
+WITH {LR_NEWS_SQL}
+SELECT Stock, n_train, n_test, {sig('mse')} AS mse, {sig('rmse')} AS rmse, {r4('r2')} AS r2 FROM m""")
+def q_lr_per_stock_news_days(spark, sf_dir):
+    """The per-stock models on the days that have news, so that the news features vary in train and test rows."""
+    return rounded(lr_per_stock_df(spark, sf_dir, news_days=True), significant=("mse", "rmse"))
+
+
 @query("stock_metrics_top", sql=f"""
 WITH {LR_STOCK_SQL}
 SELECT Stock, {sig('mse')} AS mse, {sig('rmse')} AS rmse, {r4('r2')} AS r2
