@@ -46,7 +46,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pfair_mix.mixed(docs, power=0.5)
+    return pfair_mix.mixed(docs, power=0.5, row=byte_shards.written_order(docs))
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

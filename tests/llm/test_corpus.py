@@ -193,6 +193,49 @@ def test_weights_are_the_targets_and_small_ones_end_soon():
     assert all(k * total // weights[s] <= slot < -(-(k + 1) * total // weights[s]) for s, k, slot in placed)
 
 
+@pytest.mark.parametrize("length", [1, 2, 5, 23])
+def test_segments_keep_every_block_in_its_window(length):
+    rnd = random.Random(length)
+    for _ in range(300):
+        weights = {str(s): rnd.randint(1, rnd.choice([5, 40, 1000])) ** rnd.choice([1, 3]) for s in range(rnd.randint(1, 9))}
+        total = sum(weights.values())
+        blocks = {s: rnd.choice([rnd.randint(0, 60), w * 200 // total + 1]) for s, w in weights.items()}
+        placed = list(pfair_mix.slots(weights, blocks, length))
+        assert Counter(s for s, _, _ in placed) == Counter({s: n for s, n in blocks.items() if n})
+        assert len({at for _, _, at in placed}) == len(placed)
+        assert all(k * total // weights[s] <= at < -(-(k + 1) * total // weights[s]) for s, k, at in placed)
+
+
+def test_less_than_one_block_off_over_many_segments():
+    weights = pfair_mix.whole_weights({str(s): (s + 1) ** 2.5 for s in range(40)} | {"tiny": 0.01}, pfair_mix.EXACT)
+    total, done, length = sum(weights.values()), Counter(), 20_000
+    for at, (source, _, slot) in zip(range(length), pfair_mix.slots(weights, dict.fromkeys(weights, length), 97)):
+        assert slot == at  # full load: no slot is empty, over 206 segments
+        done[source] += 1
+        assert abs(done[source] * total - (slot + 1) * weights[source]) < total
+        if at % 501 == 0:
+            assert all(abs(done[s] * total - (slot + 1) * w) < total for s, w in weights.items())
+
+
+def test_segments_side_by_side_give_the_schedule(spark):
+    rows = [(f"={k}", 1000 * (k + 1) ** 2, 20 + 60 * k) for k in range(8)]
+    sources = spark.createDataFrame(rows, "_source string, bytes long, blocks long")
+    got = pfair_mix.schedule(sources, 0.5, None, pfair_mix.EXACT, segment=50).collect()
+    weights = pfair_mix.whole_weights({s: float(size) ** 0.5 for s, size, _ in rows}, pfair_mix.EXACT)
+    assert sorted(map(tuple, got)) == sorted(pfair_mix.slots(weights, {s: n for s, _, n in rows}, 50))
+
+
+def test_equal_rows_are_all_mixed(spark):
+    rows = [(None, "same", "en", "a")] * 500 + [(1, "same", "en", "a")] * 300 + [(2, "other", "en", "b")]
+    docs = documents(spark, rows)
+    assert sorted(map(repr, pfair_mix.mixed(docs).collect())) == sorted(map(repr, docs.collect()))
+    path = scratch_path(spark, "mixed-rows")
+    docs.write.parquet(path)
+    read = spark.read.parquet(path)
+    by_row = pfair_mix.mixed(read, row=[F.col("_metadata.file_name"), F.col("_metadata.row_index")])
+    assert by_row.columns == docs.columns and sorted(map(repr, by_row.collect())) == sorted(map(repr, docs.collect()))
+
+
 def test_mixed_slots_keep_the_exact_targets(spark):
     rows = [(k, "x" * 84, "en", "a" if k < 1500 else f"s{k % 50}") for k in range(3000)]
     targets = {"a": 0.5} | {f"s{k}": 0.01 for k in range(50)}
