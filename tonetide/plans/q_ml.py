@@ -187,10 +187,12 @@ def q_lag_sweep_pair(spark, sf_dir):
     return rounded(per_stock.where((F.col("n_train") > 0) & (F.col("n_test") > 0)), significant=("mse",))
 
 
-def _buysell_split(spark, sf_dir):
+def _buysell_split(spark, sf_dir, news_days: bool = True):
     """Chronological 80/20 split of the buy/sell features, materialised once in
     the shared checkpoint folder so iterative fits do not replay the lineage."""
-    bi = flows.in_news_span(flows.buysell_in(spark, sf_dir), spark, sf_dir)
+    bi = flows.buysell_in(spark, sf_dir)
+    if news_days:
+        bi = flows.in_news_span(bi, spark, sf_dir)
     s = cut_lineage(split.chrono_split_global(bi, "Date", ("Category",), 0.8))
     return s.where("is_train").drop("is_train"), s.where("NOT is_train").drop("is_train")
 
@@ -225,6 +227,10 @@ def q_r2_per_category(spark, sf_dir):
     return rounded(metrics.regression_metrics(pred, "buySell", "prediction", by="Category"))
 
 
+# All days of the buy/sell features, as in the reference.
+BUYSELL_ALL_SQL = f"""{BUYSELL_IN_SQL},
+bs AS (SELECT *, row_number() OVER (ORDER BY Date, Category) <= floor((SELECT count(*) FROM bi) * 0.8) AS is_train FROM bi)"""
+
 # The reference's penalty zeroes every coefficient, so the score is the train rate of buys.
 CONSTANT_SCORE_SQL = f"""
 WITH {BUYSELL_SPLIT_SQL},
@@ -232,9 +238,9 @@ m AS (SELECT avg(buySell) AS p FROM bs WHERE is_train)
 SELECT Date, Category, buySell, CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END AS prediction, {r4('p')} AS score FROM bs, m WHERE NOT is_train"""
 
 
-@query("logit_buysell", sql=CONSTANT_SCORE_SQL)
+@query("logit_buysell", sql=CONSTANT_SCORE_SQL.replace(BUYSELL_SPLIT_SQL, BUYSELL_ALL_SQL))
 def q_logit_buysell(spark, sf_dir):
-    tr, te = _buysell_split(spark, sf_dir)
+    tr, te = _buysell_split(spark, sf_dir, news_days=False)
     return rounded(models.logistic(tr, te).select("Date", "Category", "buySell", "prediction", "score"))
 
 
