@@ -23,7 +23,7 @@ def tables(spark, tmp_path_factory):
     return at
 
 
-@pytest.mark.parametrize("name", ["logit_buysell"])
+@pytest.mark.parametrize("name", ["logit_buysell", "poly_logit"])
 def test_models_take_days_without_news(spark, tables, name):
     duckdb = pytest.importorskip("duckdb")
     df = E.queries()[name](spark, tables)

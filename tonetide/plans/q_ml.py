@@ -233,12 +233,12 @@ bs AS (SELECT *, row_number() OVER (ORDER BY Date, Category) <= floor((SELECT co
 
 # The reference's penalty zeroes every coefficient, so the score is the train rate of buys.
 CONSTANT_SCORE_SQL = f"""
-WITH {BUYSELL_SPLIT_SQL},
+WITH {BUYSELL_ALL_SQL},
 m AS (SELECT avg(buySell) AS p FROM bs WHERE is_train)
 SELECT Date, Category, buySell, CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END AS prediction, {r4('p')} AS score FROM bs, m WHERE NOT is_train"""
 
 
-@query("logit_buysell", sql=CONSTANT_SCORE_SQL.replace(BUYSELL_SPLIT_SQL, BUYSELL_ALL_SQL))
+@query("logit_buysell", sql=CONSTANT_SCORE_SQL)
 def q_logit_buysell(spark, sf_dir):
     tr, te = _buysell_split(spark, sf_dir, news_days=False)
     return rounded(models.logistic(tr, te).select("Date", "Category", "buySell", "prediction", "score"))
@@ -296,7 +296,7 @@ def q_rf_buysell(spark, sf_dir):
 
 @query("poly_logit", sql=CONSTANT_SCORE_SQL)
 def q_poly_logit(spark, sf_dir):
-    tr, te = _buysell_split(spark, sf_dir)
+    tr, te = _buysell_split(spark, sf_dir, news_days=False)
     return rounded(models.poly_logistic(tr, te).select("Date", "Category", "buySell", "prediction", "score"))
 
 
