@@ -214,3 +214,33 @@ def test_all_lags_against_plain_least_squares(spark, shape):
             continue
         assert r.mse == (None if mse is None else pytest.approx(mse, rel=1e-6, abs=1e-14))
         assert r.r2 == (None if r2 is None else pytest.approx(r2, rel=1e-6, abs=1e-6))
+
+
+def test_near_lag_counts_are_solved_together(monkeypatch):
+    rnd = np.random.default_rng(11)
+    base, y = rnd.normal(size=(400, 3)), rnd.normal(size=400)
+    calls, solve = [], np.linalg.solve
+    monkeypatch.setattr(np.linalg, "solve", lambda a, b: calls.append(a.shape) or solve(a, b))
+    got = ols.sweep_one_stock(base, y, sorted(set(ols.LAG_VALUES)), 0.8)
+    assert len(got) == 32 and len(calls) <= 4
+    for lag, *metrics_ in got:
+        assert metrics_ == pytest.approx(list(plain_sweep(None, base, y, lag)), rel=1e-8)
+
+
+def test_lag_sweep_takes_null_keys_and_dates(spark):
+    rnd = np.random.default_rng(12)
+    rows = []
+    for stock in (None, 1):
+        for i in range(60):
+            day = None if stock == 1 and i == 59 else dt.date(2020, 1, 1) + dt.timedelta(days=i)
+            rows.append((day, stock, float(rnd.normal()), float(rnd.normal())))
+    df = spark.createDataFrame(rows[::-1], "Date date, Stock long, f double, label double")
+    got = {(r.Stock, r.lag): r for r in ols.lag_sweep_per_stock(df, ["f"], "label", lags=[1, 20]).collect()}
+    assert set(got) == {(s, lag) for s in (None, 1) for lag in (1, 20)}
+    for k, stock in enumerate((None, 1)):
+        mine = rows[60 * k: 60 * k + 60]  # a row without a date comes last
+        for lag in (1, 20):
+            r = got[stock, lag]
+            n_train, n_test, mse, r2 = plain_sweep(None, np.array([[x[2]] for x in mine]), np.array([x[3] for x in mine]), lag)
+            assert (r.n_train, r.n_test) == (n_train, n_test)
+            assert (r.mse, r.r2) == pytest.approx((mse, r2), rel=1e-8)

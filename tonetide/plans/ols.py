@@ -7,7 +7,8 @@ collinear.
 
 The lag sweep needs up to 123 features; it groups one stock's *daily*
 series (at most one row per calendar day, whatever the data volume) into
-an Arrow batch and solves every lag with numpy ``lstsq`` in the same task.
+an Arrow batch and solves every lag in the same task: stacks of normal
+equations, and numpy ``lstsq`` where they are near to singular.
 """
 
 from __future__ import annotations
@@ -16,9 +17,12 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 SINGULAR_TOL = 1e-12
 
@@ -199,103 +203,151 @@ def _one_lag(X: np.ndarray, y: np.ndarray, n_train: int) -> np.ndarray:
     return y[n_train:] - A[n_train:] @ _solve(A[:n_train], y[:n_train])
 
 
-def _metrics_row(stock, lag: int, n_train: int, err: np.ndarray | None, y: np.ndarray) -> tuple:
-    """(stock, lag, n_train, n_test, mse, r2); ``y`` holds the test labels."""
-    if err is None:
-        return stock, lag, n_train, len(y), None, None
-    sst = float(np.sum((y - y.mean()) ** 2))
-    r2 = 1.0 - float(np.sum(err ** 2)) / sst if len(y) >= 2 and sst > 0 else None
-    return stock, lag, n_train, len(y), float(np.mean(err ** 2)), r2
+def _metrics_row(lag: int, n_train: int, sse: float | None, y: np.ndarray) -> tuple:
+    """(lag, n_train, n_test, mse, r2); ``sse`` is the sum of squared test errors, ``y`` holds the test labels."""
+    if sse is None:
+        return lag, n_train, len(y), None, None
+    off = y - y.mean()
+    sst = float(off @ off)
+    return lag, n_train, len(y), sse / len(y), 1.0 - sse / sst if len(y) >= 2 and sst > 0 else None
+
+
+STACKED = 16  # the models of so many consecutive lag counts are solved together
 
 
 class NestedGram:
-    """Normal equations of all lag counts from one Gram matrix.
+    """Normal equations of all lag counts from few Gram matrices.
 
     Columns: 1, the base features, lag 1, lag 2, ..., and the label. A model of L lags uses the leading block, on rows
     from max(L, first whole row) on; its train rows are a range, and both ends only move forward as L grows. So the
-    next model's matrix is this one less the rows that it loses (one for each lag) plus those it gains. Columns are
-    centred and scaled once, which leaves predictions as they are.
+    next model's matrix is this one less the rows that it loses (one for each lag) plus those it gains. The matrices
+    of near lag counts are stacked, and the stack is solved at once. Columns are centred and scaled once, which leaves predictions as they are.
     """
 
     def __init__(self, base: np.ndarray, y: np.ndarray, max_lag: int, begin: int):
-        self.begin, self.n = begin, len(y)
+        self.n, self.nb = len(y), base.shape[1]
         whole = base[begin:]
         self.scale = float(y.std()) or 1.0
         z = (y - y.mean()) / self.scale
         spread = whole.std(axis=0)
         scaled = np.where(np.isnan(base), 0.0, (base - whole.mean(axis=0)) / np.where(spread > 0, spread, 1.0))
-        lagged = np.zeros((self.n, max_lag))
-        for i in range(1, min(max_lag, self.n - 1) + 1):
-            lagged[i:, i - 1] = z[:-i]
-        self.nb, self.z = base.shape[1], np.hstack([np.ones((self.n, 1)), scaled, lagged, z[:, None]])
-        self.lo = self.hi = 0
-        self.gram = np.zeros((self.z.shape[1],) * 2)
-
-    def move(self, lo: int, hi: int) -> None:
-        """Make the matrix that of the rows from ``lo`` to ``hi``."""
-        if lo >= self.hi:
-            self.gram, gone, come = np.zeros_like(self.gram), self.z[:0], self.z[lo:hi]
-        else:
-            gone, come = self.z[self.lo:lo], self.z[self.hi:hi]
-        self.gram += come.T @ come - gone.T @ gone
-        self.lo, self.hi = lo, hi
-
-    def errors(self, lag: int, start: int, n_train: int) -> np.ndarray | None:
-        """Test errors of the model of ``lag`` lags; None if its normal equations are too near to singular."""
-        self.move(start, start + n_train)
-        k = 1 + self.nb + lag
-        G, r = self.gram[:k, :k], self.gram[:k, -1]
-        varies = np.diag(G) - G[0] ** 2 / n_train > 1e-9 * n_train
-        varies[0] = True
-        own = np.flatnonzero(varies)
+        # the label stands after the base features: a block of any number of lags has it at one place
+        self.z = np.empty((self.n, 2 + self.nb + max_lag))
+        self.z[:, 0], self.z[:, 1 + self.nb] = 1.0, z
+        self.z[:, 1: 1 + self.nb] = np.where(np.isfinite(whole).all(axis=0), scaled, 0.0)  # infinite values: no part in any model
+        before = np.concatenate([np.zeros(max_lag), z[:-1]])
+        self.z[:, 2 + self.nb:] = np.lib.stride_tricks.sliding_window_view(before, max_lag)[:, ::-1]
+
+    @staticmethod
+    def grams(z: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Gram matrices of the rows from each of the ``starts`` to its end; both ascend."""
+        out = np.empty((len(starts), z.shape[1], z.shape[1]))
+        lo, hi = starts[0], starts[0]
+        for i, (start, end) in enumerate(zip(starts, ends)):
+            if start >= hi:
+                out[i], gone, come = 0.0, z[:0], z[start:end]
+            else:
+                out[i], gone, come = out[i - 1], z[lo:start], z[hi:end]
+            if len(come):
+                out[i] += come.T @ come
+            if len(gone):
+                out[i] -= gone.T @ gone
+            lo, hi = start, end
+        return out
+
+    def errors(self, lags: np.ndarray, starts: np.ndarray, n_train: np.ndarray) -> list[float | None]:
+        """Sums of squared test errors of the models of ascending ``lags``; None where the normal equations are too near to singular."""
+        at_y, k = 1 + self.nb, 2 + self.nb + int(lags[-1])
+        z, ends = self.z[:, :k], starts + n_train
+        G = self.grams(z, starts, ends)
+        r = G[:, :, at_y]
+        # a column takes part if the model has it and it varies in the train rows; the others stand for themselves
+        own = np.einsum("lii->li", G) - G[:, 0] ** 2 / n_train[:, None] > 1e-9 * n_train[:, None]
+        own &= np.arange(k) < 2 + self.nb + lags[:, None]
+        own[:, 0], own[:, at_y] = True, False
+        G = np.where(own[:, :, None] & own[:, None, :], G, 0.0)
+        r = np.where(own, r, 0.0)
+        np.einsum("lii->li", G)[...] += ~own
+        ok = np.ones(len(lags), dtype=bool)
         try:
-            L = np.linalg.cholesky(G[np.ix_(own, own)])
+            d = np.linalg.cholesky(G)
         except np.linalg.LinAlgError:
-            return None
-        d = np.diag(L)
-        if d.min() <= 1e-5 * d.max():
-            return None
-        beta = np.linalg.solve(L.T, np.linalg.solve(L, r[own]))
-        test = self.z[start + n_train:]
-        return (test[:, -1] - test[:, own] @ beta) * self.scale
-
-
-def sweep_one_stock(pdf: pd.DataFrame, base: list[str], label: str, lags: list[int], frac: float) -> pd.DataFrame:
-    pdf = pdf.sort_values("Date", kind="mergesort")
-    stock = pdf["Stock"].iloc[0]
-    y_all = pdf[label].to_numpy(dtype="float64")
-    X_base = pdf[base].to_numpy(dtype="float64")
-    n, max_lag = len(y_all), max(lags)
-    holes = np.isnan(X_base).any(axis=1)
-    begin = int(np.argmin(holes)) if not holes.all() else n
-    nested = NestedGram(X_base, y_all, max_lag, begin) if begin < n and not holes[begin:].any() and not np.isnan(y_all).any() else None
-    rows = []
-    for L in lags:
-        if nested is not None:  # whole rows are a range
-            start = max(L, begin)
-            m = max(0, n - start)
+            d = np.zeros_like(G)
+            for i in range(len(lags)):
+                try:
+                    d[i] = np.linalg.cholesky(G[i])
+                except np.linalg.LinAlgError:
+                    ok[i] = False
+        d = np.einsum("lii->li", d)
+        ok &= np.where(own, d, np.inf).min(axis=1) > 1e-5 * np.where(own, d, 0.0).max(axis=1)
+        beta = np.zeros_like(r)
+        if ok.any():
+            beta[ok] = np.linalg.solve(G[ok], r[ok][:, :, None])[:, :, 0]
+        test = z[ends[0]:]
+        err = test[:, at_y, None] - test @ beta.T
+        err[np.arange(ends[0], self.n)[:, None] < ends] = 0.0
+        sse = np.einsum("nl,nl->l", err, err) * self.scale ** 2
+        return [float(e) if fine else None for e, fine in zip(sse, ok)]
+
+
+def _stacks(lags: list[int]) -> list[list[int]]:
+    """Runs of ascending lag counts less than ``STACKED`` apart."""
+    out = []
+    for lag in lags:
+        if out and lag - out[-1][0] < STACKED:
+            out[-1].append(lag)
         else:
-            lagged = np.full((n, L), np.nan)
-            for i in range(1, min(L, n - 1) + 1):
-                lagged[i:, i - 1] = y_all[:-i]
-            X = np.hstack([X_base, lagged])
-            keep = ~np.isnan(X).any(axis=1) & ~np.isnan(y_all)
-            X, y = X[keep], y_all[keep]
-            m = len(y)
-        n_train = int(np.floor(m * frac))
-        if n_train < 1 or m - n_train < 1:
-            rows.append((stock, L, n_train, m - n_train, None, None))
+            out.append([lag])
+    return out
+
+
+def _nested_sweep(X_base: np.ndarray, y_all: np.ndarray, begin: int, lags: list[int], frac: float) -> list[tuple]:
+    """Rows of the sweep where the whole rows are those from ``begin`` on."""
+    n, rows = len(y_all), []
+    nested = NestedGram(X_base, y_all, max(lags), begin)
+    for some in _stacks(lags):
+        L = np.array(some)
+        starts = np.maximum(L, begin)
+        n_train = np.floor(np.maximum(n - starts, 0) * frac).astype(int)
+        fits = (n_train >= 1) & (n - starts - n_train >= 1)
+        sse = iter(nested.errors(L[fits], starts[fits], n_train[fits]) if fits.any() else [])
+        for lag, start, cut, fit in zip(some, starts.tolist(), n_train.tolist(), fits):
+            if not fit:
+                rows.append((lag, cut, max(n - start, 0) - cut, None, None))
+                continue
+            e = next(sse)
+            if e is None:  # collinear or more columns than rows: minimum norm over the rows themselves
+                X = np.hstack([X_base[start:], np.stack([y_all[start - i: n - i] for i in range(1, lag + 1)], axis=1)])
+                e = float(np.sum(_one_lag(X, y_all[start:], cut) ** 2))
+            rows.append(_metrics_row(lag, cut, e, y_all[start + cut:]))
+    return rows
+
+
+def _plain_sweep(X_base: np.ndarray, y_all: np.ndarray, lags: list[int], frac: float) -> list[tuple]:
+    """Rows of the sweep where nulls stand anywhere: each lag count from its own rows."""
+    n, rows = len(y_all), []
+    for L in lags:
+        lagged = np.full((n, L), np.nan)
+        for i in range(1, min(L, n - 1) + 1):
+            lagged[i:, i - 1] = y_all[:-i]
+        X = np.hstack([X_base, lagged])
+        keep = ~np.isnan(X).any(axis=1) & ~np.isnan(y_all)
+        X, y = X[keep], y_all[keep]
+        n_train = int(np.floor(len(y) * frac))
+        if n_train < 1 or len(y) - n_train < 1:
+            rows.append((L, n_train, len(y) - n_train, None, None))
             continue
-        if nested is not None:
-            y = y_all[start:]
-            err = nested.errors(L, start, n_train)
-            if err is None:  # collinear or more columns than rows: minimum norm over the rows themselves
-                X = np.hstack([X_base[start:], np.stack([y_all[start - i: n - i] for i in range(1, L + 1)], axis=1)])
-                err = _one_lag(X, y, n_train)
-        else:
-            err = _one_lag(X, y, n_train)
-        rows.append(_metrics_row(stock, L, n_train, err, y[n_train:]))
-    return pd.DataFrame(rows, columns=["Stock", *[f.name for f in SWEEP_FIELDS]])
+        rows.append(_metrics_row(L, n_train, float(np.sum(_one_lag(X, y, n_train) ** 2)), y[n_train:]))
+    return rows
+
+
+def sweep_one_stock(X_base: np.ndarray, y_all: np.ndarray, lags: list[int], frac: float) -> list[tuple]:
+    """(lag, n_train, n_test, mse, r2) for each of the ascending ``lags``, of one stock's rows by date."""
+    holes = np.isnan(X_base).any(axis=1)
+    begin = int(np.argmin(holes)) if not holes.all() else len(y_all)
+    if begin < len(y_all) and not holes[begin:].any() and not np.isnan(y_all).any():
+        return _nested_sweep(X_base, y_all, begin, lags, frac)
+    return _plain_sweep(X_base, y_all, lags, frac)
 
 
 def lag_sweep_per_stock(features: DataFrame, base: list[str], label: str, lags=None,
@@ -307,14 +359,18 @@ def lag_sweep_per_stock(features: DataFrame, base: list[str], label: str, lags=N
     min-max-scaled OLS, the rest test it.
     """
     lags = sorted(set(lags or LAG_VALUES))  # the reference runs lag 30 twice; once is enough
-    cols = ["Date", "Stock", *base, label]
-    data = features.select(*[F.col(f"`{c}`") for c in cols])
+    data = features.select("Date", "Stock", *[F.col(f"`{c}`").cast("double").alias(c) for c in [*base, label]])
+    fields = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in SWEEP_FIELDS])
 
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        return sweep_one_stock(pdf, base, label, lags, frac)
+    def fn(rows: pa.Table) -> pa.Table:
+        order = pc.sort_indices(rows["Date"], null_placement="at_end").to_numpy()  # a stable sort
+        column = lambda c: rows[c].to_numpy()[order]  # noqa: E731  (null: NaN)
+        found = sweep_one_stock(np.stack([column(c) for c in base], axis=1), column(label), lags, frac)
+        out = pa.Table.from_arrays([pa.array(v, f.type, from_pandas=True) for v, f in zip(zip(*found), fields)], schema=fields)
+        return out.add_column(0, "Stock", pa.repeat(rows["Stock"][0], len(found)))
 
     schema = T.StructType([features.schema["Stock"], *SWEEP_FIELDS])  # a key or a ticker
-    return data.groupBy("Stock").applyInPandas(fn, schema)
+    return data.groupBy("Stock").applyInArrow(fn, schema)
 
 
 def lag_sweep_summary(per_stock: DataFrame) -> DataFrame:
