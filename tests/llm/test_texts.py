@@ -4,9 +4,12 @@ import hashlib
 import os
 import re
 import textwrap
+import tracemalloc
 import zlib
+from array import array
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +57,36 @@ def test_hot_anchors_are_dealt_string_by_string(spark, monkeypatch):
     assert rows_of(got, *COLUMNS) == cut_by_hand(edge_rows(), 100)
 
 
+@pytest.mark.parametrize("hot", [2, 8192])
+def test_repeats_are_found_in_small_slices_and_parts(spark, monkeypatch, hot):
+    for name, value in (("HOT_ANCHOR", hot), ("PART_BYTES", 300), ("SLICE_BYTES", 700), ("SEEN_BYTES", 500)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    passages = [prose(900 + k, 30) for k in range(4)]
+    rows = [(100 + k, f"{prose(1000 + k, 20)} {passages[k % 4]} {prose(2000 + k, 20)} {passages[k * k % 4]}", "en", "a") for k in range(30)]
+    got = suffix_dedup.remove_repeats(documents(spark, [*edge_rows(), *rows]).repartition(3), 100)
+    assert rows_of(got, *COLUMNS) == cut_by_hand([*edge_rows(), *rows], 100)
+
+
+def test_memory_of_a_shard_follows_its_parts():
+    rnd = np.random.default_rng(5)
+    n = 40_000
+    bodies = rnd.integers(97, 123, (n, 138)).astype(np.uint8)
+    bodies[1::2, 10:128] = bodies[::2, 5:123]
+    bodies[1::2, [9, 128]] = ord("A")
+    found = array("Q")
+    for d, key in enumerate(rnd.integers(0, 1 << 62, n // 2).repeat(2).tolist()):
+        found.extend((d, 0, 138, key))
+    [(shard, data)] = suffix_dedup.pack_segments(found, 1, [b.tobytes() for b in bodies], np.arange(n), np.zeros(n, np.uint64))
+    batch = pa.RecordBatch.from_pydict({"kind": [suffix_dedup.SEGMENTS], "file": ["f"], "data": [data]})
+    tracemalloc.start()
+    out = list(suffix_dedup.search_shard(100, suffix_dedup.PART_BYTES)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    covered = np.concatenate([np.frombuffer(d, suffix_dedup.COVER) for b in out for d in b.column("data").to_pylist()])
+    assert shard == 0 and sorted(covered.tolist()) == [(d, 10, 128) for d in range(1, n, 2)]
+    assert peak < 150e6, peak
+
+
 def test_pieces_of_long_texts(monkeypatch):
     text = (prose(1, 400) + "aaaa" * 60).encode()
     whole = suffix_dedup.text_anchors(text, 100)
